@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import from_cents, cents
 from ..sources import tables
+from .common import URGENT_SQL, urgent_orders
 from .registry import query
 
 
@@ -32,3 +33,203 @@ def category_revenue(spark, sf_dir):
             .agg(F.countDistinct("l_orderkey").alias("n_sales"),
                  F.sum("l_quantity").cast("long").alias("units_sold"),
                  from_cents(F.sum(cents("l_extendedprice"))).alias("revenue")))
+
+
+@query("agg_global", sql="""
+SELECT COUNT(*) AS n_lines, COUNT(DISTINCT o.o_custkey) AS n_customers
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+""")
+def agg_global(spark, sf_dir):
+    """COUNT(*) and COUNT(DISTINCT) over a join. Lines are counted per
+    order first, so the join carries one row per order."""
+    t = tables(spark, sf_dir)
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    o = t.orders.select("o_orderkey", "o_custkey")
+    j = per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+    return j.agg(F.sum("n").cast("long").alias("n_lines"), F.countDistinct("o_custkey").alias("n_customers"))
+
+
+@query("agg_group_count", sql="""
+SELECT n.n_name AS nation, COUNT(c.c_custkey) AS n_customers
+FROM nation n JOIN customer c ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name ORDER BY n_customers DESC
+""")
+def agg_group_count(spark, sf_dir):
+    """Count per group (partial + final hash aggregate), sorted."""
+    t = tables(spark, sf_dir)
+    cnt = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    n = t.nation.select("n_nationkey", "n_name")
+    return (cnt.join(F.broadcast(n), cnt.c_nationkey == n.n_nationkey)
+            .groupBy(F.col("n_name").alias("nation")).agg(F.sum("n").cast("long").alias("n_customers"))
+            .orderBy(F.col("n_customers").desc()))
+
+
+@query("agg_left_zero", sql=f"""
+SELECT c.c_name, COUNT(o.o_orderkey) AS n_urgent
+FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {URGENT_SQL}) o ON o.o_custkey = c.c_custkey
+GROUP BY c.c_name
+""")
+def agg_left_zero(spark, sf_dir):
+    """D3: COUNT(col) over a left join counts 0 for unmatched groups."""
+    c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
+    o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
+    return (c.join(o, c.c_custkey == o.o_custkey, "left")
+            .groupBy("c_name").agg(F.count("o_orderkey").alias("n_urgent")))
+
+
+@query("agg_having", sql="""
+SELECT c.c_mktsegment, COUNT(o.o_orderkey) AS n_orders
+FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+WHERE o.o_orderpriority = '1-URGENT'
+GROUP BY c.c_mktsegment HAVING COUNT(o.o_orderkey) >= 600
+""")
+def agg_having(spark, sf_dir):
+    """HAVING is a filter after the aggregate."""
+    t = tables(spark, sf_dir)
+    o = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    c = t.customer.select("c_custkey", "c_mktsegment")
+    return (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_mktsegment")
+            .agg(F.sum("n").cast("long").alias("n_orders")).filter(F.col("n_orders") >= 600))
+
+
+@query("agg_where_having", sql="""
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n_lines
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'
+GROUP BY l_returnflag, l_linestatus HAVING COUNT(*) >= 1000
+""")
+def agg_where_having(spark, sf_dir):
+    """WHERE before (pushed to the scan) and HAVING after the aggregate."""
+    l = tables(spark, sf_dir).lineitem
+    return (l.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
+            .groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n_lines"))
+            .filter(F.col("n_lines") >= 1000))
+
+
+@query("monthly_order_stats", sql="""
+SELECT year(o_orderdate) AS yr, month(o_orderdate) AS mon, COUNT(*) AS n_orders,
+       CAST(sign(SUM(CAST(round(o_totalprice * 100) AS BIGINT)))
+            * floor((2 * abs(SUM(CAST(round(o_totalprice * 100) AS BIGINT))) + COUNT(*)) / (2 * COUNT(*)))
+            AS DOUBLE) / 100 AS avg_value
+FROM orders GROUP BY 1, 2
+""")
+def monthly_order_stats(spark, sf_dir):
+    """Per month count and ROUND(AVG(value), 2) in exact cents."""
+    from ..operators.aggregates import monthly_stats
+
+    return monthly_stats(tables(spark, sf_dir).orders, "o_orderdate", "o_totalprice")
+
+
+@query("agg_listagg", sql="""
+SELECT n.n_name AS nation, string_agg(DISTINCT c.c_mktsegment, ', ' ORDER BY c.c_mktsegment) AS segments
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+GROUP BY n.n_name
+""")
+def agg_listagg(spark, sf_dir):
+    """Ordered string aggregate (LISTAGG ... WITHIN GROUP). The list holds
+    distinct values of a bounded domain, built by a partial (map-side) set
+    aggregate, so a hot group never gathers its raw rows in one task."""
+    from ..operators.aggregates import ordered_distinct_list
+
+    t = tables(spark, sf_dir)
+    per = ordered_distinct_list(t.customer, ["c_nationkey"], "c_mktsegment", ", ", "segments")
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"))
+    return per.join(F.broadcast(n), per.c_nationkey == n.n_nationkey).select("nation", "segments")
+
+
+@query("agg_list_titles", sql="""
+SELECT p_type AS category, string_agg(DISTINCT p_name, ', ' ORDER BY p_name) AS titles
+FROM part GROUP BY p_type
+""")
+def agg_list_titles(spark, sf_dir):
+    """The source's unordered list, with an order added so it repeats."""
+    from ..operators.aggregates import ordered_distinct_list
+
+    p = tables(spark, sf_dir).part
+    return ordered_distinct_list(p, ["p_type"], "p_name", ", ", "titles").withColumnRenamed("p_type", "category")
+
+
+@query("order_totals", sql="""
+SELECT o.o_orderkey,
+       CAST(COALESCE(SUM(CAST(round(l.l_extendedprice * 100) AS BIGINT)), 0) AS DOUBLE) / 100 AS returned_value
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R'
+GROUP BY o.o_orderkey
+""")
+def order_totals(spark, sf_dir):
+    """Order total from its items, 0 when none: aggregate the items
+    once, then a left join (no function call per order)."""
+    t = tables(spark, sf_dir)
+    items = (t.lineitem.filter(F.col("l_returnflag") == "R")
+             .groupBy("l_orderkey").agg(F.sum(cents("l_extendedprice")).alias("c")))
+    o = t.orders.select("o_orderkey")
+    return (o.join(items, o.o_orderkey == items.l_orderkey, "left")
+            .select("o_orderkey", from_cents(F.coalesce("c", F.lit(0))).alias("returned_value")))
+
+
+@query("stock_value", sql="""
+SELECT p_type AS category,
+       CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2)) * p_size) AS DOUBLE) AS stock_value
+FROM part GROUP BY p_type
+""")
+def stock_value(spark, sf_dir):
+    """SUM(price * stock) per category (p_size stands for stock)."""
+    from ..operators.aggregates import stock_value_by
+
+    return stock_value_by(tables(spark, sf_dir).part, "p_type", "p_retailprice", "p_size")
+
+
+@query("agg_filtered_count", sql="""
+SELECT COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS n_finished,
+       COUNT(*) FILTER (WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS n_finished_urgent
+FROM orders
+""")
+def agg_filtered_count(spark, sf_dir):
+    """Counts on selective equality filters in one scan."""
+    o = tables(spark, sf_dir).orders
+    f = F.col("o_orderstatus") == "F"
+    return o.agg(F.count(F.when(f, 1)).alias("n_finished"),
+                 F.count(F.when(f & (F.col("o_orderpriority") == "1-URGENT"), 1)).alias("n_finished_urgent"))
+
+
+@query("monthly_volume_class", sql="""
+WITH m AS (
+  SELECT c.c_nationkey, strftime(o.o_orderdate, '%Y-%m') AS ym, COUNT(*) AS n_orders
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  GROUP BY 1, 2)
+SELECT c_nationkey, ym, n_orders,
+       CASE WHEN n_orders > 20 THEN 'ALTO' WHEN n_orders >= 10 THEN 'MEDIO' ELSE 'BAIXO' END AS class_if,
+       CASE WHEN n_orders = 0 THEN 'SEM PEDIDOS' WHEN n_orders < 10 THEN 'BAIXO'
+            WHEN n_orders <= 20 THEN 'MEDIO' ELSE 'ALTO' END AS class_case
+FROM m
+""")
+def monthly_volume_class(spark, sf_dir):
+    """Monthly volume classes in both the IF and the CASE forms."""
+    from ..operators.aggregates import volume_classes
+
+    t = tables(spark, sf_dir)
+    o = t.orders.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("ym")).agg(
+        F.count(F.lit(1)).alias("n"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    m = (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey", "ym")
+         .agg(F.sum("n").cast("long").alias("n_orders")))
+    return volume_classes(m, "n_orders")
+
+
+@query("table_profile", sql="""
+SELECT 'o_custkey' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(o_custkey) AS n_nulls,
+       COUNT(DISTINCT o_custkey) AS n_distinct, CAST(MIN(o_custkey) AS VARCHAR) AS min_value,
+       CAST(MAX(o_custkey) AS VARCHAR) AS max_value,
+       ROUND(COUNT(DISTINCT o_custkey) / NULLIF(COUNT(*), 0), 6) AS distinct_ratio FROM orders
+UNION ALL
+SELECT 'o_orderstatus', COUNT(*), COUNT(*) - COUNT(o_orderstatus), COUNT(DISTINCT o_orderstatus),
+       MIN(o_orderstatus), MAX(o_orderstatus),
+       ROUND(COUNT(DISTINCT o_orderstatus) / NULLIF(COUNT(*), 0), 6) FROM orders
+UNION ALL
+SELECT 'o_orderpriority', COUNT(*), COUNT(*) - COUNT(o_orderpriority), COUNT(DISTINCT o_orderpriority),
+       MIN(o_orderpriority), MAX(o_orderpriority),
+       ROUND(COUNT(DISTINCT o_orderpriority) / NULLIF(COUNT(*), 0), 6) FROM orders
+""")
+def table_profile(spark, sf_dir):
+    """Column profile (ANALYZE re-aimed) in one pass over the table."""
+    from ..operators.aggregates import column_profile
+
+    return column_profile(tables(spark, sf_dir).orders, ["o_custkey", "o_orderstatus", "o_orderpriority"])
