@@ -46,10 +46,9 @@ def shared_neighbours(nodes: DataFrame, edges: DataFrame, anchor_name: str, firs
     The anchor's categories are found first (small), then the paths are
     walked backwards from them; (author, category) pairs are made distinct
     before the second expansion, so no all-pairs product is formed."""
-    e1 = edges.filter(F.col("type") == first)
-    e2 = edges.filter(F.col("type") == second)
-    author_cat = (e1.join(e2, e1.dst == e2.src)
-                  .select(e1.src.alias("author"), e2.dst.alias("cat")).distinct())
+    e1 = edges.filter(F.col("type") == first).select(F.col("src").alias("author"), F.col("dst").alias("mid"))
+    e2 = edges.filter(F.col("type") == second).select(F.col("src").alias("mid2"), F.col("dst").alias("cat"))
+    author_cat = (e1.join(e2, e1.mid == e2.mid2).select("author", "cat").distinct())
     anchor = nodes.filter(F.col("name") == anchor_name).select(F.col("id").alias("anchor"))
     anchor_cats = author_cat.join(anchor, author_cat.author == anchor.anchor).select(F.col("cat").alias("acat"))
     others = author_cat.join(anchor_cats.distinct(), author_cat.cat == F.col("acat"))
