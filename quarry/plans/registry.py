@@ -13,7 +13,7 @@ _SQL: dict[str, str] = {}
 _MODULES = (
     "sources_q", "relational_q", "joins_q", "aggregates_q", "windows_q",
     "scalars_q", "nested_q", "changes_q", "keys_q", "quality_q", "layout_q",
-    "history_q", "domain_q", "text_q", "sqlfuncs_q",
+    "history_q", "domain_q", "text_q", "sqlfuncs_q", "streams_q",
 )
 
 
