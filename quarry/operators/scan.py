@@ -8,15 +8,17 @@ one task, so one hot group (a third of the rows) becomes one 30 TB task.
    order, so the range sampler can cut even a single hot group into many
    balanced partitions -- and sorts within partitions;
 2. scans each partition once (vectorised pandas cumsum per group run,
-   carried across Arrow batches) to get partition-local running sums;
+   carried across Arrow batches) to get partition-local running sums, and
+   stores the rows with their partition id in the shared checkpoint folder.
+   Both later passes read these same bytes, so they agree on the partition
+   boundaries (two independent range exchanges would sample different
+   bounds), and a lost executor does not force the scan to be redone;
 3. builds a carry table with one row per non-empty partition (first group,
    last group, last-group total). Its size is bounded by the number of
    partitions, not by the data, so it is safe to broadcast;
 4. adds to each row of a partition's first group the totals of the same
    group in earlier partitions.
 
-The range exchange is shared by the summary branch and the main branch of
-one plan (Spark reuses the identical exchange), so the data is shuffled once.
 All sums must be non-null; use long columns for exact results (money in
 cents), double columns for approximate ones.
 """
@@ -56,13 +58,10 @@ def _run_starts(g: pd.DataFrame, prev: tuple | None) -> np.ndarray:
     return starts
 
 
-def _local_scan(group_cols, sum_cols, cum_cols, summary: bool):
+def _local_scan(group_cols, sum_cols, cum_cols):
     def fn(batches):
         prev_key = None
         carry = None
-        first_key = None
-        pid = None
-        last_row = None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -78,25 +77,10 @@ def _local_scan(group_cols, sum_cols, cum_cols, summary: bool):
             last = g.iloc[-1]
             prev_key = tuple(None if pd.isna(v) else v for v in last)
             carry = cums.iloc[-1].to_numpy()
-            if first_key is None:
-                first_key = tuple(None if pd.isna(v) else v for v in g.iloc[0])
-                pid = int(pdf[PID].iloc[0])
-            if summary:
-                last_row = (prev_key, carry)
-                continue
             out = pdf.copy()
             for c, cc in zip(sum_cols, cum_cols):
                 out[cc] = cums[c].to_numpy()
             yield out
-        if summary and first_key is not None:
-            row = {PID: [pid]}
-            for c, v in zip(group_cols, first_key):
-                row[f"_f_{c}"] = [v]
-            for c, v in zip(group_cols, last_row[0]):
-                row[f"_l_{c}"] = [v]
-            for c, v in zip(sum_cols, last_row[1]):
-                row[f"_t_{c}"] = [v]
-            yield pd.DataFrame(row)
     return fn
 
 
@@ -113,6 +97,8 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     in ``order_cols`` order (ascending, NULLs first). ``group_cols`` + ``order_cols``
     must identify a row; ``sum_cols`` must be non-null numeric columns.
     """
+    from ..sources.writers import stage
+
     spark = df.sparkSession
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(group_cols) + list(order_cols)
@@ -121,22 +107,24 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
               .withColumn(PID, F.spark_partition_id())
               .sortWithinPartitions(*keys))
     fields = {f.name: f.dataType for f in ranged.schema.fields}
-
     out_schema = T.StructType(list(ranged.schema.fields)
                               + [T.StructField(cc, fields[c], False) for c, cc in zip(sum_cols, cum_cols)])
-    scanned = ranged.mapInPandas(_local_scan(group_cols, sum_cols, cum_cols, False), out_schema)
-
-    sum_schema = T.StructType(
-        [T.StructField(PID, T.IntegerType(), False)]
-        + [T.StructField(f"_f_{c}", fields[c], True) for c in group_cols]
-        + [T.StructField(f"_l_{c}", fields[c], True) for c in group_cols]
-        + [T.StructField(f"_t_{c}", fields[c], False) for c in sum_cols])
-    summaries = ranged.mapInPandas(_local_scan(group_cols, sum_cols, cum_cols, True), sum_schema)
+    scanned = ranged.mapInPandas(_local_scan(group_cols, sum_cols, cum_cols), out_schema)
+    _, staged = stage(scanned, "scan")
+
+    # per partition: first group, last group and the last group's local total
+    # (the local running sum at the partition's last row)
+    order_key = F.struct(*[F.col(k) for k in keys])
+    last = F.max_by(F.struct(*[F.col(c) for c in group_cols], *[F.col(cc) for cc in cum_cols]), order_key)
+    first = F.min_by(F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.lit(0), order_key)
+    s = staged.groupBy(PID).agg(first.alias("_first"), last.alias("_last"))
+    s = s.select(PID, *[F.col(f"_first.{c}").alias(f"_f_{c}") for c in group_cols],
+                 *[F.col(f"_last.{c}").alias(f"_l_{c}") for c in group_cols],
+                 *[F.col(f"_last.{cc}").alias(f"_t_{c}") for c, cc in zip(sum_cols, cum_cols)])
 
     # carry: totals of the partition's first group in earlier partitions
     by_last = Window.partitionBy(*[f"_l_{c}" for c in group_cols]).orderBy(PID)
     by_pid = Window.orderBy(PID)  # one row per partition: bounded, tiny
-    s = summaries
     for c in sum_cols:
         s = s.withColumn(f"_cl_{c}", F.sum(f"_t_{c}").over(by_last.rowsBetween(Window.unboundedPreceding, 0)))
     for c in group_cols:
@@ -151,7 +139,7 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
                      *[F.when(F.col("_cont"), F.col(f"_pc_{c}")).otherwise(F.lit(0)).cast(fields[c])
                        .alias(f"_cv_{c}") for c in sum_cols])
 
-    joined = scanned.join(F.broadcast(carry), scanned[PID] == carry["_c_pid"], "left")
+    joined = staged.join(F.broadcast(carry), staged[PID] == carry["_c_pid"], "left")
     same = _null_safe_all_equal(list(group_cols), [f"_cg_{c}" for c in group_cols])
     result = joined
     for c, cc in zip(sum_cols, cum_cols):

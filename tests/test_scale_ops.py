@@ -19,12 +19,23 @@ def test_running_sum_matches_window_with_hot_and_null_groups(spark):
     for i in range(6000):
         g = 0 if random.random() < 0.5 else random.randint(1, 40)
         rows.append((None if random.random() < 0.03 else g, random.randint(0, 300), i, random.randint(-5, 50)))
-    df = spark.createDataFrame(rows, "g long, o long, id long, v long")
+    df = spark.createDataFrame(rows, "g long, o long, id long, v long").cache()
     r = running_sum(df, ["g"], ["o", "id"], ["v"], n_partitions=11)
     w = Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("ref", F.sum("v").over(w)).select("id", "ref")
     assert r.join(ref, "id").filter(F.col("v_cum") != F.col("ref")).count() == 0
     assert r.count() == 6000
+    df.unpersist()
+
+
+def test_running_sum_many_batches(spark):
+    # partitions larger than one Arrow batch: the carry between batches
+    df = spark.range(0, 120000).select((F.col("id") % 7).alias("g"), (F.col("id") % 97).alias("o"),
+                                       F.col("id"), F.lit(1).cast("long").alias("v"))
+    r = running_sum(df, ["g"], ["o", "id"], ["v"], n_partitions=3)
+    w = Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("ref", F.sum("v").over(w)).select("id", "ref")
+    assert r.join(ref, "id").filter(F.col("v_cum") != F.col("ref")).count() == 0
 
 
 def test_global_ranks(spark):
