@@ -38,10 +38,11 @@ def _run_starts(g: pd.DataFrame, prev: tuple | None) -> np.ndarray:
     """Boolean: row i starts a new group run (null-safe compare with row i-1)."""
     n = len(g)
     starts = np.zeros(n, dtype=bool)
-    for c in g.columns:
+    for j, c in enumerate(g.columns):
         s = g[c]
         na = s.isna().to_numpy()
-        vals = s.to_numpy(dtype=object)
+        # native comparison when possible, object comparison otherwise
+        vals = s.to_numpy() if (s.dtype.kind in "biufmM" and not na.any()) else s.to_numpy(dtype=object)
         diff = np.empty(n, dtype=bool)
         if n > 1:
             same = (vals[1:] == vals[:-1]) | (na[1:] & na[:-1])
@@ -49,7 +50,7 @@ def _run_starts(g: pd.DataFrame, prev: tuple | None) -> np.ndarray:
         if prev is None:
             diff[0] = True
         else:
-            p = prev[list(g.columns).index(c)]
+            p = prev[j]
             p_na = p is None or (isinstance(p, float) and np.isnan(p)) or p is pd.NaT
             diff[0] = not ((na[0] and p_na) or (not na[0] and not p_na and vals[0] == p))
         starts |= diff
