@@ -1,6 +1,6 @@
 """Q: full-text match, inverted index and index lookup.
 
-The index is a table of postings ``(term, doc_id, tf)`` -- never a list per
+The index is a table of postings ``(term, doc_id)`` -- never a list per
 term, so a very common term is many rows spread over tasks, not one huge
 array. Written range-partitioned and sorted by (term, doc_id), a term lookup
 reads only the files and row groups whose min/max cover it.
@@ -11,31 +11,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens, without_stop_words
+from ..functions.text import STOP_WORDS, TOKEN_SPLIT, tokens
 
 
 def match_all(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
-    """``to_tsvector(text) @@ 'a & b'``: documents holding every term."""
-    toks = without_stop_words(tokens(text))
-    cond = None
-    for t in terms:
-        c = F.array_contains(toks, t.lower())
-        cond = c if cond is None else cond & c
-    return docs.filter(cond)
+    """``to_tsvector(text) @@ 'a & b'``: documents holding every term.
+
+    Stop words are dropped from the query (as the server does). A document
+    can only hold the token if its lower-cased text contains the term, so
+    that cheap substring test runs first and only candidates are tokenised."""
+    want = [t.lower() for t in terms if t.lower() not in STOP_WORDS]
+    low = F.lower(F.col(text))
+    pre = None
+    for t in want:
+        c = low.contains(t)
+        pre = c if pre is None else pre & c
+    toks = tokens(text)
+    exact = None
+    for t in want:
+        c = F.array_contains(toks, t)
+        exact = c if exact is None else exact & c
+    if pre is None:
+        return docs
+    return docs.filter(pre).filter(exact)
 
 
 def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Term occurrences per document (stop words out); a partial aggregate
-    per (term, doc) runs map-side before the shuffle."""
-    ex = docs.select(F.col(doc_id).alias("doc_id"), F.explode(without_stop_words_keep_dups(tokens(text))).alias("term"))
-    return ex.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def without_stop_words_keep_dups(arr):
-    from ..functions.text import STOP_WORDS
-
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(arr, lambda x: ~F.array_contains(stop, x))
+    """Postings ``(term, doc_id)``: one row per distinct non-stop term of each
+    document. ``array_except`` drops duplicates and stop words in one
+    hash-based pass per document, so building the postings needs no shuffle;
+    the index writer then clusters them by term."""
+    drop = F.array(*[F.lit(w) for w in ("",) + tuple(STOP_WORDS)])
+    terms = F.array_except(F.split(F.lower(F.col(text)), TOKEN_SPLIT), drop)
+    return docs.select(F.explode(terms).alias("term"), F.col(doc_id).alias("doc_id"))
 
 
 def write_index(post: DataFrame, path: str, n_partitions: int | None = None) -> None:
