@@ -59,3 +59,13 @@ def months_between_whole(end, start) -> Column:
     e, s = F.to_date(col(end)), F.to_date(col(start))
     m = (F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))
     return (m - F.when(F.dayofmonth(e) < F.dayofmonth(s), 1).otherwise(0)).cast("int")
+
+
+def epoch_millis(ts) -> Column:
+    """Unix epoch milliseconds of a TIMESTAMP_NTZ wall-clock value, read as
+    UTC and independent of the session time zone (floor of the microseconds)."""
+    t = col(ts)
+    day_ms = F.unix_date(F.to_date(t)).cast("long") * 86400000
+    tod_ms = (F.hour(t) * 3600000 + F.minute(t) * 60000).cast("long")
+    sec_ms = F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long")
+    return day_ms + tod_ms + sec_ms

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import epoch_millis
 from .windows import row_number
 
 HEX = "0123456789abcdef"
@@ -45,7 +46,7 @@ def _hex_digit_value(c: Column) -> Column:
 
 def uuid7(ts: str, row_id: str) -> Column:
     """48-bit Unix ms, version 7, 12 random bits, variant 10, 62 random bits."""
-    ms = F.unix_millis(F.col(ts).cast("timestamp"))
+    ms = epoch_millis(ts)
     ms_hex = F.lpad(F.lower(F.hex(ms)), 12, "0")
     h = F.md5(F.col(row_id).cast("string"))
     rand_a = F.substring(h, 1, 3)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import epoch_millis
 from ..operators import keys as L
 from ..sources import tables
 from ..sources.writers import stage
@@ -54,4 +55,4 @@ def uuid7_extract(spark, sf_dir):
     k = e.select("event_id", "ts", L.uuid7("ts", "event_id").alias("uuid"))
     ms = L.uuid7_millis("uuid")
     return k.select("event_id", ms.alias("key_millis"),
-                    (ms == F.unix_millis(F.col("ts").cast("timestamp"))).alias("matches_ts"))
+                    (ms == epoch_millis("ts")).alias("matches_ts"))

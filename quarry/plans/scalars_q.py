@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import cents, div_round_half_up, from_cents, money, months_between_whole
+from ..functions.scalars import epoch_millis, cents, div_round_half_up, from_cents, money, months_between_whole
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -160,7 +160,7 @@ SELECT event_id, year(ts) AS yr, month(ts) AS mon, epoch_us(ts) // 1000 AS epoch
 def date_extract(spark, sf_dir):
     e = tables(spark, sf_dir).events
     return e.select("event_id", F.year("ts").alias("yr"), F.month("ts").alias("mon"),
-                    F.unix_millis(F.col("ts").cast("timestamp")).alias("epoch_millis"))
+                    epoch_millis("ts").alias("epoch_millis"))
 
 
 @query("date_trunc_day", sql="""

@@ -98,16 +98,17 @@ def test_clinic_generator_counts(spark):
 
 
 def test_uuid7_roundtrip(spark):
+    from quarry.functions.scalars import epoch_millis
     from quarry.operators.keys import uuid7, uuid7_millis
 
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     k = e.select("event_id", "ts", uuid7("ts", "event_id").alias("u"))
-    bad = k.filter((uuid7_millis("u") != F.unix_millis(F.col("ts").cast("timestamp")))
+    bad = k.filter((uuid7_millis("u") != epoch_millis("ts"))
                    | (F.substring("u", 15, 1) != "7") | ~F.substring("u", 20, 1).isin("8", "9", "a", "b")
                    | (F.length("u") != 36))
     assert bad.count() == 0
     # key order = time order (ms prefix)
-    rows = k.select("u", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms")).orderBy("u").collect()
+    rows = k.select("u", epoch_millis("ts").alias("ms")).orderBy("u").collect()
     ms = [r.ms for r in rows]
     assert ms == sorted(ms)
 
@@ -126,3 +127,16 @@ def test_order_intake_brute_force(spark):
                 left -= q
             ok &= bool(want) == bool(a)
     assert ok
+
+
+def test_epoch_millis_ignores_session_time_zone(spark):
+    from quarry.functions.scalars import epoch_millis
+
+    df = spark.createDataFrame([("2024-01-01 00:00:07.179575",)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert df.select(epoch_millis("ts")).first()[0] == 1704067207179
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
