@@ -34,7 +34,8 @@ def drop_partitions(spark: SparkSession, path: str, part_col: str, values: list[
             fs.delete(p, True)
 
 
-def merge_partitions(spark: SparkSession, path: str, part_col: str, values: list[str], new_value: str) -> None:
+def merge_partitions(spark: SparkSession, path: str, part_col: str, values: list[str], new_value: str,
+                     cluster_cols: list[str] | None = None) -> None:
     """Rewrite the rows of some partitions under one new label, compacted;
     other partitions are not touched. The rows are staged first so the
     source folders can be replaced safely."""
@@ -44,7 +45,9 @@ def merge_partitions(spark: SparkSession, path: str, part_col: str, values: list
     moved.write.mode("overwrite").parquet(tmp)
     staged = spark.read.parquet(tmp)
     drop_partitions(spark, path, part_col, values)
-    (staged.repartition(max(1, len(values)), part_col).write.mode("append").partitionBy(part_col).parquet(path))
+    from ..sources.writers import write_partitioned
+
+    write_partitioned(staged, path, part_col, cluster_cols, mode="append")
 
 
 def write_clustered(df: DataFrame, path: str, cols: list[str], n_partitions: int | None = None) -> None:

@@ -18,7 +18,8 @@ P_RANGE_SQL = """CASE WHEN year(o_orderdate) <= 1996 THEN 'ate_1996'
 def _orders_by_year(spark, sf_dir):
     o = tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     path = scratch_path(spark, "orders_by_year")
-    write_partitioned(o.withColumn("p_range", year_range_partition("o_orderdate", 1996, 2000)), path, "p_range")
+    write_partitioned(o.withColumn("p_range", year_range_partition("o_orderdate", 1996, 2000)), path, "p_range",
+                      ["o_orderdate", "o_orderkey"])
     return path
 
 
@@ -65,7 +66,7 @@ def partition_merge(spark, sf_dir):
     """MERGE PARTITIONS 1997, 1998 -> one: only those two folders are
     rewritten (dynamic partition overwrite), then compacted."""
     path = _orders_by_year(spark, sf_dir)
-    N.merge_partitions(spark, path, "p_range", ["1997", "1998"], "1997_1998")
+    N.merge_partitions(spark, path, "p_range", ["1997", "1998"], "1997_1998", ["o_orderdate", "o_orderkey"])
     d = read_partitioned(spark, path)
     return d.groupBy("p_range").agg(F.count(F.lit(1)).alias("n_rows"))
 

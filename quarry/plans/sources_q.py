@@ -105,7 +105,8 @@ def partitioned_write(spark, sf_dir):
     """Range-partitioned write by year with a DEFAULT partition; read back."""
     o = tables(spark, sf_dir).orders.select("o_orderkey", "o_orderdate")
     path = scratch_path(spark, "orders_by_year")
-    write_partitioned(o.withColumn("p_range", year_range_partition("o_orderdate", 1996, 2000)), path, "p_range")
+    write_partitioned(o.withColumn("p_range", year_range_partition("o_orderdate", 1996, 2000)), path, "p_range",
+                      ["o_orderdate", "o_orderkey"])
     return read_partitioned(spark, path).select("o_orderkey", "o_orderdate", "p_range")
 
 

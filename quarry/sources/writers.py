@@ -19,10 +19,20 @@ def year_range_partition(date_col: str, first_year: int, last_year: int, default
             .otherwise(F.lit(default)))
 
 
-def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> None:
-    """One folder per partition value; rows are clustered by the partition
-    column first so each task writes few files."""
-    (df.repartition(part_col).write.mode(mode).partitionBy(part_col).parquet(path))
+def write_partitioned(df: DataFrame, path: str, part_col: str, cluster_cols: list[str] | None = None,
+                      mode: str = "overwrite", n_partitions: int | None = None) -> None:
+    """One folder per partition value.
+
+    With ``cluster_cols`` the rows are range-partitioned on (partition value,
+    cluster key): tasks stay balanced even when one partition value holds a
+    third of the rows, and each task writes one or two files. Without it the
+    rows are only sorted within the existing tasks (no shuffle)."""
+    if cluster_cols:
+        n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, part_col, *cluster_cols).sortWithinPartitions(part_col, *cluster_cols)
+    else:
+        df = df.sortWithinPartitions(part_col)
+    df.write.mode(mode).partitionBy(part_col).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema=None) -> DataFrame:
