@@ -30,9 +30,11 @@ def assign_identity(df: DataFrame, order: list[tuple[str, bool]], name: str = "i
 def append_identity(existing: DataFrame, id_col: str, new_rows: DataFrame, order: list[tuple[str, bool]],
                     increment: int = 1) -> DataFrame:
     """New rows get ids after max(existing id) (one-row aggregate)."""
+    from .relational import with_scalars
+
     mx = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_max_id"))
     r = row_number(new_rows, [], order, "_id_rn")
-    return (r.join(F.broadcast(mx), how="inner")
+    return (with_scalars(r, mx)
             .withColumn(id_col, F.col("_max_id") + F.col("_id_rn") * increment).drop("_id_rn", "_max_id"))
 
 

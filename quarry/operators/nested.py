@@ -68,10 +68,12 @@ def lossless_check(original: DataFrame, left: DataFrame, right: DataFrame, on: l
     rejoined = left.join(right, on).select(*cols).distinct()
     missing = orig.join(rejoined, [orig[c].eqNullSafe(rejoined[c]) for c in cols], "left_anti")
     extra = rejoined.join(orig, [rejoined[c].eqNullSafe(orig[c]) for c in cols], "left_anti")
+    from .relational import with_scalars
+
     a = orig.agg(F.count(F.lit(1)).alias("n_input"))
     b = rejoined.agg(F.count(F.lit(1)).alias("n_rejoined"))
     m = missing.agg(F.count(F.lit(1)).alias("_miss"))
     x = extra.agg(F.count(F.lit(1)).alias("_extra"))
-    one = a.join(b).join(m).join(x)  # four one-row global aggregates
+    one = with_scalars(with_scalars(with_scalars(a, b), m), x)  # four one-row aggregates
     return one.select("n_input", "n_rejoined",
                       ((F.col("_miss") == 0) & (F.col("_extra") == 0)).alias("lossless"))

@@ -36,9 +36,11 @@ def orphans(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -
 
 
 def fk_summary(name: str, child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -> DataFrame:
+    from .relational import with_scalars
+
     n = child.agg(F.count(F.lit(1)).alias("n_checked"))
     o = orphans(child, fk, parent, pk).agg(F.count(F.lit(1)).alias("n_orphans"))
-    return n.join(o).select(F.lit(name).alias("fk_name"), "n_checked", "n_orphans")
+    return with_scalars(n, o).select(F.lit(name).alias("fk_name"), "n_checked", "n_orphans")
 
 
 def violations(df: DataFrame, rules: dict[str, Column], keep: list[str]) -> DataFrame:

@@ -1,8 +1,7 @@
 """Relational operators Spark lacks in its grammar or runs badly at scale.
 
-* ``with_scalars``: attach the columns of a one-row aggregate (scalar
-  subquery). The right side is a global aggregate, so it has exactly one
-  row by construction and is broadcast.
+* ``with_scalars``: attach the columns of a one-row aggregate as a scalar
+  subquery (computed once, no join).
 * ``not_in``: SQL NOT IN with three-valued logic, as an anti join plus a
   one-row NULL flag, instead of a null-aware nested-loop join.
 * ``quantified``: ``x > ANY (S)`` / ``x > ALL (S)`` from min/max/count.
@@ -15,8 +14,10 @@ from pyspark.sql import functions as F
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a global aggregate (exactly one row) to each row."""
-    return df.join(F.broadcast(one_row), how="inner")
+    """Append the columns of a global aggregate (exactly one row) to each row,
+    as one scalar subquery: evaluated once, then read as a constant (no join)."""
+    sub = one_row.select(F.struct(*one_row.columns)).scalar()
+    return df.select("*", *[sub.getField(c).alias(c) for c in one_row.columns])
 
 
 def not_in(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: str) -> DataFrame:
