@@ -69,3 +69,36 @@ def quantified(df: DataFrame, x: str, subset: DataFrame, s_col: str, op: str,
         keep = empty | (xv.isNotNull() & ~has_null
                         & F.when(F.col("__q_nn") > 0, F.coalesce(cmp, F.lit(False))).otherwise(True))
     return with_scalars(df, stats).filter(keep).drop("__q_min", "__q_max", "__q_n", "__q_nn")
+
+
+def _null_cols(df: DataFrame, exclude: set[str] | None = None) -> list:
+    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields
+            if not exclude or f.name not in exclude]
+
+
+def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+    """LEFT / RIGHT / FULL outer equi-join written as inner join ∪ anti joins.
+
+    AQE can split a skewed partition of either side of an inner join, but
+    never the non-preserved side of an outer join; when that side is the fact
+    table, one hot key would be one task. The unmatched rows come from anti
+    joins against the *distinct* keys of the other side (aggregated map-side,
+    so a hot key is one row per task). Output columns: left's, then right's."""
+    how = how.lower()
+    inner = left.join(right, left[left_key] == right[right_key], "inner")
+    cols = left.columns + right.columns
+    parts = [inner.select(*cols)]
+    if how in ("left", "full"):
+        rk = right.select(F.col(right_key).alias("__oj_rk")).filter(F.col("__oj_rk").isNotNull()).distinct()
+        lonly = left.join(rk, left[left_key] == F.col("__oj_rk"), "left_anti")
+        parts.append(lonly.select(*left.columns, *_null_cols(right)))
+    if how in ("right", "full"):
+        lk = left.select(F.col(left_key).alias("__oj_lk")).filter(F.col("__oj_lk").isNotNull()).distinct()
+        ronly = right.join(lk, right[right_key] == F.col("__oj_lk"), "left_anti")
+        parts.append(ronly.select(*_null_cols(left), *right.columns))
+    if how not in ("left", "right", "full"):
+        raise ValueError("how must be left, right or full")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

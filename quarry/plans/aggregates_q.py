@@ -72,9 +72,10 @@ GROUP BY c.c_name
 def agg_left_zero(spark, sf_dir):
     """D3: COUNT(col) over a left join counts 0 for unmatched groups."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
-    o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
+    # count per key before the join: the join then sees one row per customer
+    o = urgent_orders(spark, sf_dir).groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"))
     return (c.join(o, c.c_custkey == o.o_custkey, "left")
-            .groupBy("c_name").agg(F.count("o_orderkey").alias("n_urgent")))
+            .groupBy("c_name").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_urgent")))
 
 
 @query("agg_having", sql="""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import from_cents, money
 from ..operators.overlap import conflict_counts
-from ..operators.relational import quantified
+from ..operators.relational import outer_join, quantified
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -86,7 +86,7 @@ def view_sale_detail(spark, sf_dir):
 def _cust_urgent(spark, sf_dir, how):
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
     o = urgent_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
-    return c.join(o, c.c_custkey == o.o_custkey, how).select("c_name", "o_orderkey", "o_orderdate")
+    return outer_join(c, o, "c_custkey", "o_custkey", how).select("c_name", "o_orderkey", "o_orderdate")
 
 
 @query("join_left", sql=f"""
@@ -106,7 +106,7 @@ WHERE o.o_orderkey IS NULL
 def join_left_null_anti(spark, sf_dir):
     """C4: LEFT JOIN ... IS NULL written as a left anti join (no outer join + filter)."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
-    o = urgent_orders(spark, sf_dir).select("o_custkey")
+    o = urgent_orders(spark, sf_dir).select("o_custkey").distinct()  # one row per key before the shuffle
     return c.join(o, c.c_custkey == o.o_custkey, "left_anti")
 
 
@@ -118,7 +118,7 @@ def join_right(spark, sf_dir):
     """Right outer join (customer is the preserved side)."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
     o = urgent_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
-    return o.join(c, o.o_custkey == c.c_custkey, "right").select("c_name", "o_orderkey", "o_orderdate")
+    return outer_join(o, c, "o_custkey", "c_custkey", "right").select("c_name", "o_orderkey", "o_orderdate")
 
 
 @query("join_full", sql=f"""
@@ -130,7 +130,7 @@ def join_full(spark, sf_dir):
     """Full outer join; both sides keep unmatched rows."""
     c = tables(spark, sf_dir).customer.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     o = urgent_orders(spark, sf_dir).select("o_orderkey", "o_custkey")
-    return c.join(o, c.c_custkey == o.o_custkey, "full").select("c_name", "o_orderkey")
+    return outer_join(c, o, "c_custkey", "o_custkey", "full").select("c_name", "o_orderkey")
 
 
 @query("join_legacy_outer", sql="""
@@ -141,9 +141,9 @@ def join_legacy_outer(spark, sf_dir):
     """``WHERE s.k(+) = n.k AND s.bal(+) > 9000``: a predicate marked (+)
     belongs to the join condition, so nations without a rich supplier stay."""
     t = tables(spark, sf_dir)
-    n, s = t.nation.select("n_nationkey", "n_name"), t.supplier.select("s_nationkey", "s_name", "s_acctbal")
-    return (n.join(s, (s.s_nationkey == n.n_nationkey) & (s.s_acctbal > 9000), "left")
-            .select("n_name", "s_name"))
+    n = t.nation.select("n_nationkey", "n_name")
+    s = t.supplier.filter(F.col("s_acctbal") > 9000).select("s_nationkey", "s_name")
+    return outer_join(n, s, "n_nationkey", "s_nationkey", "left").select("n_name", "s_name")
 
 
 @query("join_cross", sql="SELECT r.r_name, n.n_name FROM region r CROSS JOIN nation n")
@@ -180,7 +180,7 @@ WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE {URGENT_SQL})
 """)
 def semi_in(spark, sf_dir):
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
-    o = urgent_orders(spark, sf_dir).select("o_custkey")
+    o = urgent_orders(spark, sf_dir).select("o_custkey").distinct()  # one row per key before the shuffle
     return c.join(o, c.c_custkey == o.o_custkey, "left_semi")
 
 
@@ -212,7 +212,7 @@ def anti_not_exists(spark, sf_dir):
                            & (F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
          .select("l_orderkey").distinct())
     o = t.orders.select("o_orderkey", "o_custkey")
-    bad = o.join(l, o.o_orderkey == l.l_orderkey, "left_semi").select("o_custkey")
+    bad = o.join(l, o.o_orderkey == l.l_orderkey, "left_semi").select("o_custkey").distinct()
     return c.join(bad, c.c_custkey == bad.o_custkey, "left_anti")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as M
+from ..operators.relational import outer_join
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -22,7 +23,7 @@ def dq_not_null(spark, sf_dir):
     """M1: NOT NULL per column in one pass."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey", "o_orderdate")
-    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    j = outer_join(c, o, "c_custkey", "o_custkey", "left")
     return M.null_counts(j, ["c_custkey", "c_name", "o_orderkey", "o_orderdate"])
 
 
@@ -71,7 +72,7 @@ def dq_check(spark, sf_dir):
     """M4: CHECK range and enum; a NULL value passes (violation = IS FALSE)."""
     c = tables(spark, sf_dir).customer.select("c_custkey")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
-    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    j = outer_join(c, o, "c_custkey", "o_custkey", "left")
     return M.violations(j, {"valor_minimo": F.col("o_totalprice") >= 5000,
                             "status_valido": F.col("o_orderstatus").isin("F", "O")}, ["c_custkey", "o_orderkey"])
 

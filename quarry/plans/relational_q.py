@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import asc_sql, desc_sql, money
-from ..operators.relational import not_in, with_scalars
+from ..operators.relational import not_in, outer_join, with_scalars
 from ..sources import tables
 from .common import URGENT_SQL, sql_with_views, urgent_orders
 from .registry import query
@@ -95,7 +95,7 @@ def filter_is_null(spark, sf_dir):
     """IS NULL on the optional side of a left join."""
     c = tables(spark, sf_dir).customer
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
-    return (c.join(o, c.c_custkey == o.o_custkey, "left")
+    return (outer_join(c, o, "c_custkey", "o_custkey", "left")
             .filter(F.col("o_orderkey").isNull())
             .select("c_custkey", "c_name", "o_orderkey"))
 
@@ -127,7 +127,7 @@ def null_safe_join(spark, sf_dir):
     """``<=>`` matches NULL with NULL where ``=`` would drop the row."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderstatus")
-    lj = c.join(o, c.c_custkey == o.o_custkey, "left").select("c_custkey", "c_mktsegment", "o_orderstatus")
+    lj = outer_join(c, o, "c_custkey", "o_custkey", "left").select("c_custkey", "c_mktsegment", "o_orderstatus")
     dim = lj.select(F.col("c_mktsegment").alias("seg"), F.col("o_orderstatus").alias("st")).distinct()
     return (lj.join(dim, (lj.c_mktsegment == dim.seg) & lj.o_orderstatus.eqNullSafe(dim.st))
             .groupBy(F.col("seg").alias("c_mktsegment"), F.col("st").alias("o_orderstatus"))
@@ -149,7 +149,7 @@ def not_in_null(spark, sf_dir):
     t = tables(spark, sf_dir)
     c = t.customer.select("c_custkey")
     o = urgent_orders(spark, sf_dir).select("o_custkey")
-    sub = c.join(o, c.c_custkey == o.o_custkey, "left").select("o_custkey")
+    sub = outer_join(c, o, "c_custkey", "o_custkey", "left").select("o_custkey")
     return not_in(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", sub, "o_custkey").select("o_orderkey")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_millis, cents, div_round_half_up, from_cents, money, months_between_whole
+from ..operators.relational import outer_join
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -51,7 +52,7 @@ def str_concat(spark, sf_dir):
     """``||`` propagates NULL (as PG does); COALESCE guards it."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
-    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    j = outer_join(c, o, "c_custkey", "o_custkey", "left")
     key = F.col("o_orderkey").cast("string")
     return j.select("c_custkey",
                     F.concat("c_name", F.lit(" / "), F.coalesce(key, F.lit("sem pedido"))).alias("label"),
@@ -212,7 +213,7 @@ FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {URGENT_SQL}) o ON o.o_cus
 def null_coalesce(spark, sf_dir):
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderpriority", "o_orderstatus")
-    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    j = outer_join(c, o, "c_custkey", "o_custkey", "left")
     return j.select("c_custkey", F.coalesce("o_orderpriority", "o_orderstatus", "c_mktsegment",
                                             F.lit("n/a")).alias("label"))
 
@@ -225,7 +226,7 @@ def null_nvl2(spark, sf_dir):
     """NVL2(x, a, b)."""
     c = tables(spark, sf_dir).customer.select("c_custkey")
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
-    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    j = outer_join(c, o, "c_custkey", "o_custkey", "left")
     return j.select("c_custkey", F.nvl2("o_orderkey", F.lit("com pedido urgente"),
                                         F.lit("sem pedido urgente")).alias("flag"))
 

@@ -137,3 +137,14 @@ def test_restrict_and_cascade(spark):
     assert out == {1: "BLOCKED", 2: "DELETED"}
     gone = M.cascade_delete([(kids, "ck", "fk")], parents.filter(F.col("pk") == 1), "pk")
     assert gone[0].count() == 1
+
+
+def test_outer_join_matches_native(spark):
+    from quarry.operators.relational import outer_join
+
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d")], "k int, x string")
+    b = spark.createDataFrame([(1, 10), (1, 11), (3, 30), (None, 99)], "kk int, y int")
+    for how in ("left", "right", "full"):
+        got = sorted(outer_join(a, b, "k", "kk", how).collect(), key=repr)
+        want = sorted(a.join(b, a.k == b.kk, how).select("k", "x", "kk", "y").collect(), key=repr)
+        assert got == want, how
