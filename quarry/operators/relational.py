@@ -102,3 +102,17 @@ def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when the optimizer's size estimate (from file
+    metadata, no job) is under ``max_bytes``; otherwise no hint, and AQE
+    picks the join from the measured size at run time."""
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - plan statistics unavailable
+        return df
+    return F.broadcast(df) if size <= max_bytes else df

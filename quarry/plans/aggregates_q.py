@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import from_cents, cents
+from ..operators.relational import broadcast_small
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -59,7 +60,7 @@ def agg_group_count(spark, sf_dir):
     t = tables(spark, sf_dir)
     cnt = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
     n = t.nation.select("n_nationkey", "n_name")
-    return (cnt.join(F.broadcast(n), cnt.c_nationkey == n.n_nationkey)
+    return (cnt.join(broadcast_small(n), cnt.c_nationkey == n.n_nationkey)
             .groupBy(F.col("n_name").alias("nation")).agg(F.sum("n").cast("long").alias("n_customers"))
             .orderBy(F.col("n_customers").desc()))
 
@@ -134,7 +135,7 @@ def agg_listagg(spark, sf_dir):
     t = tables(spark, sf_dir)
     per = ordered_distinct_list(t.customer, ["c_nationkey"], "c_mktsegment", ", ", "segments")
     n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"))
-    return per.join(F.broadcast(n), per.c_nationkey == n.n_nationkey).select("nation", "segments")
+    return per.join(broadcast_small(n), per.c_nationkey == n.n_nationkey).select("nation", "segments")
 
 
 @query("agg_list_titles", sql="""

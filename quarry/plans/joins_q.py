@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import from_cents, money
 from ..operators.overlap import conflict_counts
-from ..operators.relational import outer_join, quantified
+from ..operators.relational import broadcast_small, outer_join, quantified
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
@@ -28,7 +28,7 @@ def join_inner_multi(spark, sf_dir):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
-    cn = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    cn = c.join(broadcast_small(n), c.c_nationkey == n.n_nationkey)
     return (l.join(o, l.l_orderkey == o.o_orderkey)
             .join(cn, F.col("o_custkey") == F.col("c_custkey"))
             .select("l_orderkey", "l_linenumber", "o_orderdate", "c_name", "n_name", "l_extendedprice"))
@@ -51,7 +51,7 @@ def view_catalog(spark, sf_dir):
     p = t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"), "p_retailprice")
     v = (ps.join(p, ps.l_partkey == p.p_partkey)
          .join(s, F.col("l_suppkey") == s.s_suppkey)
-         .join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey)
+         .join(broadcast_small(n), F.col("s_nationkey") == n.n_nationkey)
          .select("p_partkey", "p_name", "supplier", "nation", "category", "p_retailprice"))
     v.createOrReplaceTempView("vw_catalog")
     return spark.table("vw_catalog")
@@ -151,7 +151,7 @@ def join_cross(spark, sf_dir):
     """Cross product of two fixed-size dimensions (5 x 25 rows by the
     TPC-H spec); the smaller is broadcast. Never applied to growing tables."""
     t = tables(spark, sf_dir)
-    return t.nation.select("n_name").crossJoin(F.broadcast(t.region.select("r_name"))).select("r_name", "n_name")
+    return t.nation.select("n_name").crossJoin(broadcast_small(t.region.select("r_name"))).select("r_name", "n_name")
 
 
 @query("join_lateral", sql=f"""
@@ -352,8 +352,8 @@ def join_role_alias(spark, sf_dir):
     cn = t.nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("customer_nation"))
     return (pairs.join(s, pairs.l_suppkey == s.s_suppkey)
             .join(c, F.col("o_custkey") == c.c_custkey)
-            .join(F.broadcast(sn), F.col("s_nationkey") == F.col("sn_key"))
-            .join(F.broadcast(cn), F.col("c_nationkey") == F.col("cn_key"), "left")
+            .join(broadcast_small(sn), F.col("s_nationkey") == F.col("sn_key"))
+            .join(broadcast_small(cn), F.col("c_nationkey") == F.col("cn_key"), "left")
             .groupBy("supplier_nation", "customer_nation").agg(F.sum("n").alias("n_lines")))
 
 

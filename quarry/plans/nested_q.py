@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import nested as N
+from ..operators.relational import broadcast_small
 from ..sources import tables
 from ..sources.documents import sale_documents
 from .registry import query
@@ -51,7 +52,7 @@ def _wide(spark, sf_dir):
     n = t.nation.select("n_nationkey", "n_name")
     p = t.part.select("p_partkey", "p_name", "p_brand")
     return (l.join(o, l.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-            .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+            .join(broadcast_small(n), F.col("c_nationkey") == n.n_nationkey)
             .join(p, F.col("l_partkey") == p.p_partkey))
 
 
