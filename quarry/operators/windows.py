@@ -6,6 +6,12 @@ run of ties costs one partial aggregate, not one task.
 
 Order keys: ``(column, ascending)`` pairs; a descending key must be numeric
 (it is negated, which also puts NULLs first as the SQL servers do for DESC).
+
+Strategy: ``choose`` runs one aggregate job that reads only the partition
+columns and finds the largest group. When no group exceeds
+``quarry.window.maxGroupRows`` (default 2,000,000 rows) Spark's own Window
+operator (codegen, no Python) is used; otherwise the scan. Every function
+takes ``strategy`` ("native" / "scan"; None = decide).
 """
 
 from __future__ import annotations
@@ -13,8 +19,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import Window
+
 from .scan import running_sum
 
+MAX_GROUP_CONF = "quarry.window.maxGroupRows"
+DEFAULT_MAX_GROUP = 2_000_000
+
+
+def choose(df: DataFrame, group: list[str], max_group_rows: int | None = None) -> str:
+    """"native" when every group (the whole input if ``group`` is empty) is
+    at most ``max_group_rows`` rows, else "scan"."""
+    if max_group_rows is None:
+        max_group_rows = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP)))
+    if group:
+        biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    else:
+        biggest = df.count()
+    return "native" if (biggest or 0) <= max_group_rows else "scan"
+
+
+def _window(group: list[str], order: list[tuple[str, bool]]):
+    keys = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_first() for c, asc in order]
+    return (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy(*keys)
+
 
 def _sort_cols(df: DataFrame, order: list[tuple[str, bool]], prefix: str):
     cols, exprs = [], []
@@ -26,8 +54,10 @@ def _sort_cols(df: DataFrame, order: list[tuple[str, bool]], prefix: str):
 
 
 def row_number(df: DataFrame, group: list[str], order: list[tuple[str, bool]], name: str = "row_num",
-               n_partitions: int | None = None) -> DataFrame:
+               n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order); ``order`` must be total."""
+    if (strategy or choose(df, group)) == "native":
+        return df.withColumn(name, F.row_number().over(_window(group, order)).cast("long"))
     keys, exprs = _sort_cols(df, order, "_rn_o")
     base = df.select("*", *exprs, F.lit(1).cast("long").alias("_rn_one"))
     out = running_sum(base, group, keys, ["_rn_one"], n_partitions)
@@ -44,8 +74,12 @@ def _join_peers(df: DataFrame, peers: DataFrame, cols: list[str]) -> DataFrame:
 
 def rank_dense_rank(df: DataFrame, group: list[str], order: list[tuple[str, bool]],
                     rank: str = "rank_num", dense: str = "dense_num",
-                    n_partitions: int | None = None) -> DataFrame:
+                    n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
     """RANK() and DENSE_RANK(): ranks of the distinct order values per group."""
+    if (strategy or choose(df, group)) == "native":
+        w = _window(group, order)
+        return (df.withColumn(rank, F.rank().over(w).cast("long"))
+                .withColumn(dense, F.dense_rank().over(w).cast("long")))
     ocols = [c for c, _ in order]
     peers = df.groupBy(*group, *ocols).agg(F.count(F.lit(1)).alias("_pr_n"))
     keys, exprs = _sort_cols(peers, order, "_pr_o")
@@ -58,10 +92,13 @@ def rank_dense_rank(df: DataFrame, group: list[str], order: list[tuple[str, bool
 
 
 def running_total(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str,
-                  name: str, n_partitions: int | None = None) -> DataFrame:
+                  name: str, n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
     """SUM(value) OVER (... ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW).
 
     ``value`` must be a non-null long (e.g. cents) for an exact result."""
+    if (strategy or choose(df, group)) == "native":
+        w = _window(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.sum(value).over(w))
     keys, exprs = _sort_cols(df, order, "_rt_o")
     base = df.select("*", *exprs, F.col(value).alias("_rt_v"))
     out = running_sum(base, group, keys, ["_rt_v"], n_partitions)
@@ -69,9 +106,14 @@ def running_total(df: DataFrame, group: list[str], order: list[tuple[str, bool]]
 
 
 def running_peers(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str,
-                  sum_name: str, count_name: str, n_partitions: int | None = None) -> DataFrame:
+                  sum_name: str, count_name: str, n_partitions: int | None = None,
+                  strategy: str | None = None) -> DataFrame:
     """Default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW, peers included):
     running sum and count of ``value`` (a non-null long) up to the last peer."""
+    if (strategy or choose(df, group)) == "native":
+        w = _window(group, order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return (df.withColumn(sum_name, F.sum(value).over(w))
+                .withColumn(count_name, F.count(F.lit(1)).over(w)))
     ocols = [c for c, _ in order]
     peers = df.groupBy(*group, *ocols).agg(F.sum(value).alias("_rp_s"), F.count(F.lit(1)).alias("_rp_n"))
     keys, exprs = _sort_cols(peers, order, "_rp_o")
@@ -82,6 +124,17 @@ def running_peers(df: DataFrame, group: list[str], order: list[tuple[str, bool]]
     return _join_peers(df, p, group + ocols)
 
 
+def lag_lead(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str, offset: int,
+             name: str, strategy: str | None = None) -> DataFrame:
+    """LAG (offset > 0) / LEAD (offset < 0) of ``value``; ``order`` must be total."""
+    if (strategy or choose(df, group)) == "native":
+        w = _window(group, order)
+        f = F.lag(value, offset) if offset > 0 else F.lead(value, -offset)
+        return df.withColumn(name, f.over(w))
+    r = row_number(df, group, order, "_ll_rn", strategy="scan")
+    return shifted(r, group, "_ll_rn", value, offset, name).drop("_ll_rn")
+
+
 def shifted(df: DataFrame, group: list[str], rn: str, value: str, offset: int, name: str) -> DataFrame:
     """LAG (offset > 0) / LEAD (offset < 0) of ``value`` given a row number column:
     a left join on the unique key (group, row number), so no group is collected."""

@@ -56,16 +56,31 @@ def test_projection_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double>" in p
 
 
+def _forced_scan(spark, key):
+    spark.conf.set("quarry.window.maxGroupRows", "0")
+    try:
+        return _plan(queries()[key](spark, SF))
+    finally:
+        spark.conf.unset("quarry.window.maxGroupRows")
+
+
 def test_scan_reads_staged_partitions(spark):
-    # the carry pass and the main pass read the same materialised scan
+    # hot groups: the carry pass and the main pass read the same stored scan,
+    # and no Window runs over the data itself (only over the carry table)
+    p = _forced_scan(spark, "win_running_total")
+    assert "BroadcastHashJoin" in p
+    assert "Window" not in p.split("BroadcastExchange")[0]
+
+
+def test_small_groups_use_native_window(spark):
     p = _plan(queries()["win_running_total"](spark, SF))
-    assert "BroadcastHashJoin" in p and "Window" not in p.split("BroadcastExchange")[0]
+    assert "Window" in p and "MapInPandas" not in p
 
 
-def test_no_global_single_partition_window_on_data(spark):
-    # global ranks must not plan a Window over all rows in one partition
-    p = _plan(queries()["win_ranks"](spark, SF))
-    assert "SinglePartition" not in p.split("BroadcastExchange")[0] or "MapInPandas" in p
+def test_global_ranks_without_single_partition_window_when_large(spark):
+    p = _forced_scan(spark, "win_ranks")
+    assert "MapInPandas" not in p  # the scan was materialised; the plan reads it back
+    assert "Window [" not in p.split("BroadcastExchange")[0]
 
 
 def test_sql_udf_inlined(spark):

@@ -38,11 +38,15 @@ def test_running_sum_many_batches(spark):
     assert r.join(ref, "id").filter(F.col("v_cum") != F.col("ref")).count() == 0
 
 
-def test_global_ranks(spark):
+import pytest
+
+
+@pytest.mark.parametrize("how", ["native", "scan"])
+def test_global_ranks(spark, how):
     vals = [5.0, 3.0, 5.0, None, 1.0, 3.0, 3.0]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
-    r = W.row_number(df, [], [("x", False), ("id", True)], "rn")
-    r = W.rank_dense_rank(r, [], [("x", False)], "rk", "dr")
+    r = W.row_number(df, [], [("x", False), ("id", True)], "rn", strategy=how)
+    r = W.rank_dense_rank(r, [], [("x", False)], "rk", "dr", strategy=how)
     got = {row.id: (row.rn, row.rk, row.dr) for row in r.collect()}
     pdf = pd.DataFrame({"id": range(7), "x": vals})
     # SQL DESC puts NULL first
@@ -140,3 +144,29 @@ def test_epoch_millis_ignores_session_time_zone(spark):
         assert df.select(epoch_millis("ts")).first()[0] == 1704067207179
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_window_strategies_agree(spark):
+    random.seed(11)
+    rows = [(i, random.choice([1, 1, 1, 2, 3, None]), random.randint(0, 20), random.randint(0, 99))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, g long, o long, v long")
+    order = [("o", True), ("id", True)]
+
+    def run(how):
+        r = W.row_number(df, ["g"], order, "rn", strategy=how)
+        r = W.rank_dense_rank(r, ["g"], [("o", False)], "rk", "dr", strategy=how)
+        r = W.running_total(r, ["g"], order, "v", "rt", strategy=how)
+        r = W.running_peers(r, ["g"], [("o", False)], "v", "ps", "pn", strategy=how)
+        r = W.lag_lead(r, ["g"], order, "v", 1, "lg", strategy=how)
+        r = W.lag_lead(r, ["g"], order, "v", -2, "ld", strategy=how)
+        return sorted(r.select("id", "rn", "rk", "dr", "rt", "ps", "pn", "lg", "ld").collect())
+
+    assert run("native") == run("scan")
+
+
+def test_choose(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "g int")
+    assert W.choose(df, ["g"], max_group_rows=2) == "native"
+    assert W.choose(df, ["g"], max_group_rows=1) == "scan"
+    assert W.choose(df, [], max_group_rows=2) == "scan"
