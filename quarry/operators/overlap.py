@@ -5,7 +5,8 @@ is the C21 double-booking check: for every live slot, how many other live
 slots of the same key overlap it. It is computed as two rank probes over one
 distributed sort (see ``operators.scan``), so it is linear in the rows and
 never lists pairs: one key holding a third of the rows, or thousands of
-identical slots, still spreads over all tasks.
+identical slots, still spreads over all tasks (the running count takes the
+distributed scan when a key is hot, Spark's Window otherwise).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import running_sum
+from .windows import choose, running_total
 
 
 def _ts(v) -> F.Column:
@@ -31,7 +32,7 @@ def overlaps_literal(df: DataFrame, start: str, minutes: int, q_start, q_end) ->
 
 
 def conflict_counts(df: DataFrame, key: str, start: str, ident: str, minutes: int,
-                    n_partitions: int | None = None) -> DataFrame:
+                    n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
     """Per row of ``df``: ``n_conflicts`` = other rows of the same key whose
     slot overlaps its own. Rows without conflicts are dropped.
 
@@ -49,7 +50,9 @@ def conflict_counts(df: DataFrame, key: str, start: str, ident: str, minutes: in
     lo = base.select("_k", (F.col("_t") - d).alias("_t"), F.lit(2).alias("_kind"), "_id",
                      F.lit(0).cast("long").alias("_w"))
     merged = data.unionByName(hi).unionByName(lo)
-    scanned = running_sum(merged, ["_k"], ["_t", "_kind", "_id"], ["_w"], n_partitions=n_partitions)
+    how = strategy or choose(merged, ["_k"])
+    scanned = running_total(merged, ["_k"], [("_t", True), ("_kind", True), ("_id", True)], "_w", "_w_cum",
+                            n_partitions=n_partitions, strategy=how)
     probes = (scanned.filter(F.col("_kind") != 1)
               .groupBy("_id")
               .agg(F.sum(F.when(F.col("_kind") == 0, F.col("_w_cum"))).alias("_below_hi"),

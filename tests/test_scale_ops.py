@@ -67,7 +67,10 @@ def test_conflict_counts_brute_force(spark):
                                                             + 60 * random.randint(0, 3)))
             for i in range(400)]
     df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
-    got = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, n_partitions=5).collect()}
+    got = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, n_partitions=5,
+                                                        strategy="scan").collect()}
+    got_native = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, strategy="native").collect()}
+    assert got_native == got
     want = {}
     for i, k, t in rows:
         n = sum(1 for j, k2, t2 in rows if j != i and k2 == k and abs((t2 - t).total_seconds()) < 1800)
@@ -94,7 +97,7 @@ def test_clinic_generator_counts(spark):
     assert [r["count"] for r in top] == [762] * 8 + [761] * 24
     # double bookings among live visits: pairs counted twice, once per side
     live = v.filter(F.col("status") != "CANCELADA").select("consulta_id", "medico_id", "data_hora")
-    cc = conflict_counts(live, "medico_id", "data_hora", "consulta_id", 30, n_partitions=16)
+    cc = conflict_counts(live, "medico_id", "data_hora", "consulta_id", 30, n_partitions=16, strategy="scan")
     agg = cc.agg(F.sum("n_conflicts").alias("s"),
                  F.countDistinct("medico_id", "data_hora").alias("slots")).first()
     assert agg.s == 2 * 2787300 and agg.slots == 13870
