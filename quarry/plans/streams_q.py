@@ -46,8 +46,7 @@ def stream_upsert(spark, sf_dir):
         _delivery(spark, sf_dir, before, day, seq).repartition(2, "livro_id").write.mode("append").parquet(src)
     feed_schema = _delivery(spark, sf_dir, True, D1, 1).schema
     initial = stock(spark, sf_dir).withColumn("seq", F.lit(0).cast("long"))
-    state = run_upsert_stream(spark, src, feed_schema, initial, scratch_path(spark, "stock_state"),
-                              scratch_path(spark, "stock_ckpt"), "livro_id",
+    state = run_upsert_stream(spark, src, feed_schema, initial, scratch_path(spark, "stock_stream"), "livro_id",
                               {"quantidade_disponivel": "quantidade_nova", "ultima_atualizacao": "data_entrega",
                                "seq": "seq"}, "seq")
     return state.select("livro_id", "quantidade_disponivel", "ultima_atualizacao")
@@ -63,19 +62,20 @@ WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL
    OR o.c_name IS DISTINCT FROM n.c_name OR o.c_mktsegment IS DISTINCT FROM n.c_mktsegment
 """)
 def stream_audit(spark, sf_dir):
-    """Change rows arrive as files; each micro-batch emits the audit rows
-    against the state it changes (equals the batch audit of O1)."""
+    """The snapshot (LOAD) and then the change rows arrive as files; a
+    stateful streaming operator emits the audit rows of each change against
+    the key's current values (equals the batch audit of O1)."""
     v1, v2 = customer_v1(spark, sf_dir), customer_v2(spark, sf_dir)
     src = scratch_path(spark, "changes")
+    load = v1.withColumn("op", F.lit("LOAD"))
     upd = v2.join(v1.select("c_custkey"), "c_custkey", "left_semi").withColumn("op", F.lit("UPSERT"))
     ins = v2.join(v1.select("c_custkey"), "c_custkey", "left_anti").withColumn("op", F.lit("UPSERT"))
     dele = (v1.join(v2.select("c_custkey"), "c_custkey", "left_anti")
             .withColumn("op", F.lit("DELETE")))
-    for i, part in enumerate((upd, ins.unionByName(dele))):
-        part.withColumn("seq", F.lit(i + 1).cast("long")).repartition(2, "c_custkey") \
+    for i, part in enumerate((load, upd, ins.unionByName(dele))):
+        part.withColumn("seq", F.lit(i).cast("long")).repartition(2, "c_custkey") \
             .write.mode("append").parquet(src)
-    feed_schema = upd.withColumn("seq", F.lit(1).cast("long")).schema
-    root = scratch_path(spark, "audit_stream")
-    audit = run_audit_stream(spark, src, feed_schema, v1, root, scratch_path(spark, "audit_ckpt"),
+    feed_schema = load.withColumn("seq", F.lit(0).cast("long")).schema
+    audit = run_audit_stream(spark, src, feed_schema, scratch_path(spark, "audit_stream"),
                              "c_custkey", ["c_name", "c_mktsegment"], "seq", "op")
     return audit.select("c_custkey", "_op", "old_c_name", "old_c_mktsegment", "new_c_name", "new_c_mktsegment")

@@ -1,52 +1,84 @@
-"""Streaming audit. Change rows (key, values, op UPSERT/DELETE) arrive as
-files; each micro-batch is compared with the current state (O1's null-safe
-diff) to emit INSERT/UPDATE/DELETE audit rows, then the state advances.
-Audit rows go to ``audit/batch_id=<n>`` and state to ``state/v=<n>``, both
-overwritten as a unit on replay, so a retried batch does not duplicate rows."""
+"""Streaming audit with a custom stateful operator.
+
+Change rows ``(key, values..., op, seq)`` arrive as files; ``op`` is LOAD
+(the initial snapshot, delivered first), UPSERT or DELETE. Grouped by key,
+``applyInPandasWithState`` compares each change with the key's current
+values held in Spark's state store and emits the trigger's audit rows:
+INSERT (new key), UPDATE (a value differs, NULL-safe), DELETE (key removed).
+A change older than the state (by ``seq``) is ignored. The audit rows go to
+a Parquet file sink in append mode, which is exactly-once through the
+query's checkpoint. Work per micro-batch is proportional to the batch.
+"""
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from ..operators.history import OP
+
+
+def _same(a, b) -> bool:
+    na = a is None or (isinstance(a, float) and math.isnan(a))
+    nb = b is None or (isinstance(b, float) and math.isnan(b))
+    return (na and nb) or (not na and not nb and a == b)
+
+
+def _audit_fn(key: str, cols: list[str], op: str, seq: str):
+    out_cols = [key, OP] + [f"old_{c}" for c in cols] + [f"new_{c}" for c in cols] + [seq]
+    none = [None] * len(cols)
 
-from ..operators.history import OP, audit_diff
-from . import fsutil
-from .upsert_stream import last_per_key, latest_version, read_state
-
-
-def audit_batch_fn(root: str, state_schema: T.StructType, key: str, cols: list[str], seq: str, op: str):
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        out_state = f"{root}/state/v={batch_id}"
-        if fsutil.exists(spark, f"{out_state}/_SUCCESS"):
-            return
-        old = read_state(spark, f"{root}/state", state_schema, below=batch_id)
-        ch = last_per_key(batch, key, seq, cols + [op])
-        touched = old.join(ch.select(key), key, "left_semi")
-        upserts = ch.filter(F.col(op) != "DELETE").select(key, *cols)
-        deleted = ch.filter(F.col(op) == "DELETE").select(key)
-        new_touched = upserts
-        diff = audit_diff(touched, new_touched, key, cols).withColumn("batch_id", F.lit(batch_id))
-        diff.write.mode("overwrite").parquet(f"{root}/audit/batch_id={batch_id}")
-        untouched = old.join(ch.select(key), key, "left_anti")
-        new_state = untouched.unionByName(upserts.select(*old.columns))
-        _ = deleted  # deletes are the touched keys absent from ``upserts``
-        new_state.write.mode("overwrite").parquet(out_state)
+    def fn(k, pdfs, state):
+        if state.exists:
+            st = state.get
+            present, cur_seq, cur = bool(st[0]), st[1], list(st[2:])
+        else:
+            present, cur_seq, cur = False, None, list(none)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(seq, kind="stable")
+        out = []
+        for r in rows.to_dict("records"):  # the changes of one key, in order
+            s = int(r[seq])
+            if cur_seq is not None and s < cur_seq:
+                continue
+            vals = [None if pd.isna(r[c]) else r[c] for c in cols]
+            what = r[op]
+            if what == "LOAD":
+                present, cur = True, vals
+            elif what == "UPSERT":
+                if not present:
+                    out.append([k[0], "INSERT", *none, *vals, s])
+                elif not all(_same(a, b) for a, b in zip(cur, vals)):
+                    out.append([k[0], "UPDATE", *cur, *vals, s])
+                present, cur = True, vals
+            elif what == "DELETE":
+                if present:
+                    out.append([k[0], "DELETE", *cur, *none, s])
+                present, cur = False, list(none)
+            cur_seq = s
+        state.update((present, cur_seq, *cur))
+        yield pd.DataFrame(out, columns=out_cols)
     return fn
 
 
-def run_audit_stream(spark: SparkSession, source_dir: str, feed_schema: T.StructType, initial: DataFrame,
-                     root: str, checkpoint: str, key: str, cols: list[str], seq: str, op: str) -> DataFrame:
-    if latest_version(spark, f"{root}/state") is None:
-        initial.write.mode("overwrite").parquet(f"{root}/state/v=-1")
-    stream = spark.readStream.schema(feed_schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
-    q = (stream.writeStream.foreachBatch(audit_batch_fn(root, initial.schema, key, cols, seq, op))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def run_audit_stream(spark: SparkSession, source_dir: str, feed_schema: T.StructType, root: str,
+                     key: str, cols: list[str], seq: str, op: str, max_files_per_trigger: int = 2) -> DataFrame:
+    """Process every change file available now; return all audit rows."""
+    f = {x.name: x.dataType for x in feed_schema.fields}
+    out_schema = T.StructType([T.StructField(key, f[key]), T.StructField(OP, T.StringType())]
+                              + [T.StructField(f"old_{c}", f[c]) for c in cols]
+                              + [T.StructField(f"new_{c}", f[c]) for c in cols]
+                              + [T.StructField(seq, T.LongType())])
+    state_schema = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("seq", T.LongType())]
+                                + [T.StructField(c, f[c]) for c in cols])
+    stream = (spark.readStream.schema(feed_schema).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(source_dir))
+    audit = stream.groupBy(key).applyInPandasWithState(
+        _audit_fn(key, cols, seq=seq, op=op), out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    q = (audit.writeStream.format("parquet").outputMode("append").option("path", f"{root}/audit")
+         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    schema = T.StructType([T.StructField(key, initial.schema[key].dataType), T.StructField(OP, T.StringType())]
-                          + [T.StructField(f"old_{c}", initial.schema[c].dataType) for c in cols]
-                          + [T.StructField(f"new_{c}", initial.schema[c].dataType) for c in cols])
-    if not fsutil.exists(spark, f"{root}/audit"):
-        return spark.createDataFrame([], schema.add("batch_id", T.LongType()))
-    return spark.read.parquet(f"{root}/audit")
+    return spark.read.schema(out_schema).parquet(f"{root}/audit")

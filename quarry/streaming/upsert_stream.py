@@ -1,11 +1,16 @@
 """Streaming upsert of a staging feed.
 
-Files land in a source folder; ``readStream`` picks them up and each
-micro-batch is merged into the table state with the batch upsert (K6).
-State is kept as versioned folders ``v=<batch_id>``: batch n reads the
-newest complete version below n and writes version n. A retried batch
-rewrites the same folder from the same input, so it is idempotent, and a
-version becomes visible only once its ``_SUCCESS`` marker exists.
+Files land in a source folder and are read with ``readStream``. A streaming
+aggregation keeps, in Spark's fault-tolerant state store, the newest row per
+key (``max_by`` on the delivery sequence, so a late file never overwrites a
+newer delivery). In update mode each micro-batch yields only the keys it
+changed; ``foreachBatch`` writes them to ``changes/batch_id=<n>``, replaced
+as a unit if the batch is replayed. Work per micro-batch is proportional to
+the batch, not to the table.
+
+The table is merge-on-read: ``current_state`` = the initial snapshot upserted
+with the newest change per key (K6). ``compact`` folds the changes into a new
+snapshot when the change log grows.
 """
 
 from __future__ import annotations
@@ -18,55 +23,47 @@ from ..operators.change import upsert
 from . import fsutil
 
 
-def latest_version(spark: SparkSession, state_root: str, below: int | None = None) -> int | None:
-    vs = []
-    for name in fsutil.list_dirs(spark, state_root):
-        if name.startswith("v="):
-            v = int(name[2:])
-            if (below is None or v < below) and fsutil.exists(spark, f"{state_root}/{name}/_SUCCESS"):
-                vs.append(v)
-    return max(vs) if vs else None
-
-
-def read_state(spark: SparkSession, state_root: str, schema: T.StructType, below: int | None = None) -> DataFrame:
-    v = latest_version(spark, state_root, below)
-    if v is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{state_root}/v={v}")
-
-
-def last_per_key(batch: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:
-    """Within one micro-batch the last row per key (by ``seq``) wins."""
-    g = batch.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(seq, *cols)).alias("_l"))
+def last_per_key(rows: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:
+    """The newest row per key by ``seq`` (ties broken by the values)."""
+    g = rows.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(seq, *cols)).alias("_l"))
     return g.select(key, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
-def upsert_batch_fn(state_root: str, state_schema: T.StructType, key: str, set_cols: dict[str, str],
-                    seq: str):
+def _write_changes(root: str):
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        out = f"{state_root}/v={batch_id}"
-        if fsutil.exists(spark, f"{out}/_SUCCESS"):
-            return  # already committed (replayed batch)
-        state = read_state(spark, state_root, state_schema, below=batch_id)
-        src = last_per_key(batch, key, seq, list(set_cols.values()))
-        # a delivery never overwrites a newer one, whatever order files arrive in
-        guard = (F.col(f"src_{set_cols[seq]}") >= F.col(seq)) if seq in set_cols else None
-        new = upsert(state, src, key, set_cols, update_when=guard).drop("_action")
-        new.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
     return fn
 
 
+def current_state(spark: SparkSession, initial: DataFrame, root: str, key: str, set_cols: dict[str, str],
+                  seq: str) -> DataFrame:
+    """Snapshot + newest change per key; a change older than the snapshot's
+    row (by ``seq``) does not overwrite it."""
+    if not fsutil.exists(spark, f"{root}/changes"):
+        return initial
+    cols = list(set_cols.values())
+    changes = last_per_key(spark.read.parquet(f"{root}/changes"), key, seq, cols)
+    guard = F.col(f"src_{set_cols[seq]}") >= F.col(seq) if seq in set_cols else None
+    return upsert(initial, changes, key, set_cols, update_when=guard).drop("_action")
+
+
 def run_upsert_stream(spark: SparkSession, source_dir: str, feed_schema: T.StructType, initial: DataFrame,
-                      state_root: str, checkpoint: str, key: str, set_cols: dict[str, str], seq: str,
-                      max_files_per_trigger: int = 1) -> DataFrame:
-    """Seed the state with ``initial`` (version -1 folder) if empty, process
-    every available file (``availableNow``), return the final state."""
-    if latest_version(spark, state_root) is None:
-        initial.write.mode("overwrite").parquet(f"{state_root}/v=-1")
+                      root: str, key: str, set_cols: dict[str, str], seq: str,
+                      max_files_per_trigger: int = 2) -> DataFrame:
+    """Process every file available now, then return the current table."""
+    cols = list(set_cols.values())
     stream = (spark.readStream.schema(feed_schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
-    q = (stream.writeStream.foreachBatch(upsert_batch_fn(state_root, initial.schema, key, set_cols, seq))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    newest = last_per_key(stream, key, seq, cols)
+    q = (newest.writeStream.outputMode("update").foreachBatch(_write_changes(root))
+         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return read_state(spark, state_root, initial.schema)
+    return current_state(spark, initial, root, key, set_cols, seq)
+
+
+def compact(spark: SparkSession, initial: DataFrame, root: str, key: str, set_cols: dict[str, str], seq: str,
+            snapshot_path: str) -> DataFrame:
+    """Write the current table as a new snapshot (the caller then starts a
+    new change log against it)."""
+    current_state(spark, initial, root, key, set_cols, seq).write.mode("overwrite").parquet(snapshot_path)
+    return spark.read.parquet(snapshot_path)
