@@ -53,8 +53,8 @@ def merge_partitions(spark: SparkSession, path: str, part_col: str, values: list
 def write_clustered(df: DataFrame, path: str, cols: list[str], n_partitions: int | None = None) -> None:
     """Range-partition and sort by the lookup key so each file (and row
     group) covers a narrow key range: min/max statistics then skip data."""
-    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    ranged = df.repartitionByRange(n_partitions, *cols) if n_partitions else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:

@@ -100,13 +100,12 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """
     from ..sources.writers import stage
 
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(group_cols) + list(order_cols)
     cum_cols = [f"{c}_cum" for c in sum_cols]
-    ranged = (df.repartitionByRange(n, *keys)
-              .withColumn(PID, F.spark_partition_id())
-              .sortWithinPartitions(*keys))
+    # without a fixed count AQE may merge adjacent range partitions; merged
+    # partitions keep key order, and the partition id is taken in that stage
+    ranged = df.repartitionByRange(n_partitions, *keys) if n_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn(PID, F.spark_partition_id()).sortWithinPartitions(*keys)
     fields = {f.name: f.dataType for f in ranged.schema.fields}
     out_schema = T.StructType(list(ranged.schema.fields)
                               + [T.StructField(cc, fields[c], False) for c, cc in zip(sum_cols, cum_cols)])

@@ -47,9 +47,9 @@ def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def write_index(post: DataFrame, path: str, n_partitions: int | None = None) -> None:
-    n = n_partitions or int(post.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    post.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id") \
-        .write.mode("overwrite").parquet(path)
+    ranged = (post.repartitionByRange(n_partitions, "term", "doc_id") if n_partitions
+              else post.repartitionByRange("term", "doc_id"))  # AQE sizes the partitions
+    ranged.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(path)
 
 
 def search(post: DataFrame, terms: list[str]) -> DataFrame:

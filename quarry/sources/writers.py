@@ -28,8 +28,10 @@ def write_partitioned(df: DataFrame, path: str, part_col: str, cluster_cols: lis
     third of the rows, and each task writes one or two files. Without it the
     rows are only sorted within the existing tasks (no shuffle)."""
     if cluster_cols:
-        n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, part_col, *cluster_cols).sortWithinPartitions(part_col, *cluster_cols)
+        # no fixed count: AQE sizes the range partitions from the data
+        ranged = (df.repartitionByRange(n_partitions, part_col, *cluster_cols) if n_partitions
+                  else df.repartitionByRange(part_col, *cluster_cols))
+        df = ranged.sortWithinPartitions(part_col, *cluster_cols)
     else:
         df = df.sortWithinPartitions(part_col)
     df.write.mode(mode).partitionBy(part_col).parquet(path)
