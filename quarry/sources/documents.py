@@ -35,7 +35,7 @@ def sale_documents(orders: DataFrame, lineitem: DataFrame, max_items: int = 1000
                            F.col("o_orderpriority").alias("forma_pagamento"),
                            F.col("o_totalprice").alias("valor_total"))
     items = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                            F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit"))
+                            F.round(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0)), 2).alias("unit"))
     docs = nest(header, "_id", items, "l_orderkey",
                 [("l_partkey", "id_livro"), ("l_linenumber", "linha"), ("l_quantity", "quantidade"),
                  ("unit", "preco_unit")], "itens", max_items)
