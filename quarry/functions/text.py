@@ -20,8 +20,10 @@ STOP_WORDS = (
     "o", "os", "e", "do", "da", "dos", "das", "um", "uma", "com", "se", "na", "no",
 )
 
-# fixed values: light suffix rules (approximate stemming, applied in order)
-SUFFIX_RULES = (("oes$", "ao"), ("ais$", "al"), ("eis$", "el"), ("ns$", "m"), ("s$", ""))
+# fixed values: light suffix rules (approximate Portuguese plural stripping);
+# the first rule whose suffix matches is applied, and only to words longer than 3
+SUFFIX_RULES = (("oes", "ao"), ("aes", "ao"), ("ais", "al"), ("eis", "el"), ("ois", "ol"),
+                ("res", "r"), ("zes", "z"), ("ns", "m"), ("s", ""))
 
 TOKEN_SPLIT = r"[^\p{L}]+"
 
@@ -38,9 +40,11 @@ def without_stop_words(arr: Column) -> Column:
 
 def light_stem(term: Column) -> Column:
     """Approximate stemming by suffix rules (Spark has no Portuguese stemmer)."""
-    for pat, rep in SUFFIX_RULES:
-        term = F.when(F.length(term) > 3, F.regexp_replace(term, pat, rep)).otherwise(term)
-    return term
+    out = None
+    for suf, rep in SUFFIX_RULES:
+        cut = F.concat(term.substr(F.lit(1), F.length(term) - len(suf)), F.lit(rep))
+        out = (F.when(term.endswith(suf), cut) if out is None else out.when(term.endswith(suf), cut))
+    return F.when(F.length(term) > 3, out.otherwise(term)).otherwise(term)
 
 
 def stop_words_sql() -> str:

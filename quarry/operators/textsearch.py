@@ -11,16 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import STOP_WORDS, TOKEN_SPLIT, tokens
+from ..functions.text import STOP_WORDS, TOKEN_SPLIT, light_stem, tokens
 
 
-def match_all(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
+def match_all(docs: DataFrame, text: str, terms: list[str], stem: bool = False) -> DataFrame:
     """``to_tsvector(text) @@ 'a & b'``: documents holding every term.
 
     Stop words are dropped from the query (as the server does). A document
     can only hold the token if its lower-cased text contains the term, so
     that cheap substring test runs first and only candidates are tokenised."""
     want = [t.lower() for t in terms if t.lower() not in STOP_WORDS]
+    if stem:  # approximate: stem both sides, no substring prefilter
+        toks = F.transform(tokens(text), light_stem)
+        stems = docs.sparkSession.createDataFrame([(t,) for t in want], "t string") \
+            .select(light_stem(F.col("t")).alias("s")).collect()  # the query terms only
+        cond = None
+        for r in stems:
+            c = F.array_contains(toks, r.s)
+            cond = c if cond is None else cond & c
+        return docs if cond is None else docs.filter(cond)
     low = F.lower(F.col(text))
     pre = None
     for t in want:

@@ -148,3 +148,17 @@ def test_outer_join_matches_native(spark):
         got = sorted(outer_join(a, b, "k", "kk", how).collect(), key=repr)
         want = sorted(a.join(b, a.k == b.kk, how).select("k", "x", "kk", "y").collect(), key=repr)
         assert got == want, how
+
+
+def test_light_stem_and_stemmed_match(spark):
+    from quarry.functions.text import light_stem
+    from quarry.operators.textsearch import match_all
+
+    words = ["cabecas", "dores", "limoes", "papeis", "homens", "dor", "gas", "vezes", "animais"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r.s for r in df.select(light_stem(F.col("w")).alias("s")).collect()]
+    assert got == ["cabeca", "dor", "limao", "papel", "homem", "dor", "gas", "vez", "animal"]
+    docs = spark.createDataFrame([(1, "Paciente relata dor de cabeca recorrente."),
+                                  (2, "Relata dores e cabecas!"), (3, "Sem queixas.")], "id int, t string")
+    assert sorted(r.id for r in match_all(docs, "t", ["dor", "cabeca"]).collect()) == [1]
+    assert sorted(r.id for r in match_all(docs, "t", ["dores", "cabeca"], stem=True).collect()) == [1, 2]
