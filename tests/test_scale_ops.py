@@ -173,3 +173,18 @@ def test_choose(spark):
     assert W.choose(df, ["g"], max_group_rows=2) == "native"
     assert W.choose(df, ["g"], max_group_rows=1) == "scan"
     assert W.choose(df, [], max_group_rows=2) == "scan"
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    """One group holding 60% of the rows is cut into many range partitions
+    by the scan's sort key (group, order, tiebreak), not sent to one task."""
+    df = spark.range(0, 50000).select(
+        F.when(F.col("id") % 5 < 3, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
+        (F.col("id") % 1000).alias("o"), F.col("id"))
+    sizes = [r["count"] for r in df.repartitionByRange(10, "g", "o", "id")
+             .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * (50000 / 10)
+    hot = [r["count"] for r in df.repartition(10, "g").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(hot) >= 30000  # what a plain Window.partitionBy(g) would give one task
+    r = running_sum(df.withColumn("v", F.lit(1).cast("long")), ["g"], ["o", "id"], ["v"], n_partitions=10)
+    assert r.filter(F.col("g") == 0).agg(F.max("v_cum")).first()[0] == 30000
