@@ -187,4 +187,4 @@ def test_hot_group_spreads_over_partitions(spark):
     hot = [r["count"] for r in df.repartition(10, "g").groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(hot) >= 30000  # what a plain Window.partitionBy(g) would give one task
     r = running_sum(df.withColumn("v", F.lit(1).cast("long")), ["g"], ["o", "id"], ["v"], n_partitions=10)
-    assert r.filter(F.col("g") == 0).agg(F.max("v_cum")).first()[0] == 30000
+    assert r.filter(F.col("g") == 0).agg(F.max("v_cum")).first()[0] == df.filter(F.col("g") == 0).count()
