@@ -31,17 +31,16 @@ def match_all(docs: DataFrame, text: str, terms: list[str], stem: bool = False)
             cond = c if cond is None else cond & c
         return docs if cond is None else docs.filter(cond)
     low = F.lower(F.col(text))
-    pre = None
+    if not want:
+        return docs
+    # a token equals t  <=>  t occurs in the lower-cased text with no letter on
+    # either side; the plain substring test runs first as a cheap prefilter
+    pre = exact = None
     for t in want:
         c = low.contains(t)
+        x = low.rlike(r"(?<!\p{L})\Q" + t + r"\E(?!\p{L})")
         pre = c if pre is None else pre & c
-    toks = tokens(text)
-    exact = None
-    for t in want:
-        c = F.array_contains(toks, t)
-        exact = c if exact is None else exact & c
-    if pre is None:
-        return docs
+        exact = x if exact is None else exact & x
     return docs.filter(pre).filter(exact)
 
 
