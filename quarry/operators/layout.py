@@ -91,3 +91,27 @@ def fill_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     for c, v in defaults.items():
         df = df.withColumn(c, F.coalesce(F.col(c), v) if c in df.columns else v)
     return df
+
+
+def add_partition(df: DataFrame, path: str, part_col: str, cluster_cols: list[str] | None = None) -> None:
+    """ADD / ATTACH PARTITION: append rows under their partition folders."""
+    from ..sources.writers import write_partitioned
+
+    write_partitioned(df, path, part_col, cluster_cols, mode="append")
+
+
+def detach_partition(spark: SparkSession, path: str, part_col: str, value: str, dest: str) -> DataFrame:
+    """DETACH PARTITION: the folder leaves the table but keeps its data, as a
+    table of its own at ``dest`` (a metadata-only move on the file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={value}")
+    dst = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = src.getFileSystem(conf)
+    if fs.exists(src):
+        parent = dst.getParent()
+        if parent is not None and not fs.exists(parent):
+            fs.mkdirs(parent)
+        if not fs.rename(src, dst):
+            raise OSError(f"could not detach {src} to {dst}")
+    return spark.read.parquet(dest).withColumn(part_col, F.lit(value))

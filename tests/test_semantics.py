@@ -162,3 +162,26 @@ def test_light_stem_and_stemmed_match(spark):
                                   (2, "Relata dores e cabecas!"), (3, "Sem queixas.")], "id int, t string")
     assert sorted(r.id for r in match_all(docs, "t", ["dor", "cabeca"]).collect()) == [1]
     assert sorted(r.id for r in match_all(docs, "t", ["dores", "cabeca"], stem=True).collect()) == [1, 2]
+
+
+def test_partition_upkeep(spark, tmp_path):
+    import datetime as dt
+
+    from quarry.operators import layout as N
+    from quarry.sources.writers import read_partitioned, write_partitioned, year_range_partition
+
+    rows = [(i, dt.datetime(1995 + i % 8, 1 + i % 12, 1)) for i in range(200)]
+    o = spark.createDataFrame(rows, "k long, d timestamp_ntz").withColumn("p", year_range_partition("d", 1996, 2000))
+    path = str(tmp_path / "t")
+    write_partitioned(o, path, "p", ["d", "k"])
+    assert read_partitioned(spark, path).count() == 200
+    N.add_partition(spark.createDataFrame([(999, dt.datetime(2030, 1, 1))], "k long, d timestamp_ntz")
+                    .withColumn("p", year_range_partition("d", 1996, 2000)), path, "p", ["d", "k"])
+    futuro = read_partitioned(spark, path).filter(F.col("p") == "futuro").count()
+    gone = N.detach_partition(spark, path, "p", "futuro", str(tmp_path / "archive" / "futuro"))
+    assert gone.count() == futuro and read_partitioned(spark, path).filter(F.col("p") == "futuro").count() == 0
+    N.drop_partitions(spark, path, "p", ["ate_1996"])
+    N.merge_partitions(spark, path, "p", ["1997", "1998"], "1997_1998", ["d", "k"])
+    left = {r.p: r["count"] for r in read_partitioned(spark, path).groupBy("p").count().collect()}
+    assert set(left) == {"1997_1998", "1999", "2000"}
+    assert sum(left.values()) + gone.count() + sum(1 for k, d in rows if d.year <= 1996) == 201
