@@ -6,6 +6,7 @@ from ..functions.text import stop_words_sql
 from ..operators import textsearch as Q
 from ..session import scratch_path
 from ..sources import tables
+from ..sources.tables import spread_if_narrow
 from .registry import query
 
 TERMS = ["thon", "erin"]
@@ -21,14 +22,14 @@ GROUP BY doc_id HAVING COUNT(DISTINCT term) = 2
 """)
 def text_match_all(spark, sf_dir):
     """Q1: documents containing all query terms (whole texts tokenised)."""
-    d = tables(spark, sf_dir).documents
+    d = tables(spark, sf_dir).documents.select("doc_id", "text")
     return Q.match_all(d, "text", TERMS).select("doc_id")
 
 
 @query("inverted_index", sql=f"SELECT DISTINCT term, doc_id FROM {TOKENS_SQL} t")
 def inverted_index(spark, sf_dir):
     """Q2: postings (term, doc_id) of every document (GIN re-aimed)."""
-    d = tables(spark, sf_dir).documents
+    d = spread_if_narrow(tables(spark, sf_dir).documents.select("doc_id", "text"))
     return Q.postings(d, "doc_id", "text")
 
 
@@ -39,7 +40,7 @@ GROUP BY doc_id HAVING COUNT(DISTINCT term) = 2
 def index_search(spark, sf_dir):
     """Q3: build the index (written clustered by term), then answer the query
     by intersecting the postings of its terms."""
-    d = tables(spark, sf_dir).documents
+    d = spread_if_narrow(tables(spark, sf_dir).documents.select("doc_id", "text"))
     path = scratch_path(spark, "inverted_index")
     Q.write_index(Q.postings(d, "doc_id", "text"), path)
     return Q.search(spark.read.parquet(path), TERMS)
