@@ -86,3 +86,13 @@ def test_global_ranks_without_single_partition_window_when_large(spark):
 def test_sql_udf_inlined(spark):
     p = _plan(queries()["sql_scalar_udf"](spark, SF))
     assert "Join" in p and "PythonUDF" not in p
+
+
+def test_spread_only_for_narrow_inputs(spark, tmp_path):
+    from quarry.sources.tables import spread_if_narrow
+
+    one = spark.read.parquet(f"{SF}/documents.parquet")  # a single row group
+    assert "RoundRobinPartitioning" in _plan(spread_if_narrow(one))
+    wide = str(tmp_path / "wide")
+    spark.range(0, 1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(wide)
+    assert "RoundRobinPartitioning" not in _plan(spread_if_narrow(spark.read.parquet(wide)))
