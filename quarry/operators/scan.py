@@ -105,11 +105,20 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     # without a fixed count AQE may merge adjacent range partitions; merged
     # partitions keep key order, and the partition id is taken in that stage
     ranged = df.repartitionByRange(n_partitions, *keys) if n_partitions else df.repartitionByRange(*keys)
+    # the local scan compares groups on exact, non-null stand-ins (a NULL flag
+    # and the value with NULL replaced): a nullable 64-bit key would otherwise
+    # reach pandas as float64 and distinct large keys could compare equal
+    surrogates = []
+    for i, c in enumerate(group_cols):
+        dt = df.schema[c].dataType
+        zero = F.lit("") if isinstance(dt, T.StringType) else F.lit(0).cast(dt)
+        ranged = ranged.withColumn(f"_gn{i}", F.col(c).isNull()).withColumn(f"_gv{i}", F.coalesce(F.col(c), zero))
+        surrogates += [f"_gn{i}", f"_gv{i}"]
     ranged = ranged.withColumn(PID, F.spark_partition_id()).sortWithinPartitions(*keys)
     fields = {f.name: f.dataType for f in ranged.schema.fields}
     out_schema = T.StructType(list(ranged.schema.fields)
                               + [T.StructField(cc, fields[c], False) for c, cc in zip(sum_cols, cum_cols)])
-    scanned = ranged.mapInPandas(_local_scan(group_cols, sum_cols, cum_cols), out_schema)
+    scanned = ranged.mapInPandas(_local_scan(surrogates, sum_cols, cum_cols), out_schema).drop(*surrogates)
     _, staged = stage(scanned, "scan")
 
     # per partition: first group, last group and the last group's local total

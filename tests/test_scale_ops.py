@@ -188,3 +188,11 @@ def test_hot_group_spreads_over_partitions(spark):
     assert max(hot) >= 30000  # what a plain Window.partitionBy(g) would give one task
     r = running_sum(df.withColumn("v", F.lit(1).cast("long")), ["g"], ["o", "id"], ["v"], n_partitions=10)
     assert r.filter(F.col("g") == 0).agg(F.max("v_cum")).first()[0] == df.filter(F.col("g") == 0).count()
+
+
+def test_running_sum_large_nullable_keys(spark):
+    big = 2 ** 62
+    rows = [(big, 1, 1), (big + 1, 1, 2), (None, 1, 3), (big + 1, 2, 4), (big, 2, 5), (None, 2, 6)]
+    df = spark.createDataFrame([(g, o, i, 1) for g, o, i in rows], "g long, o long, id long, v long")
+    r = running_sum(df, ["g"], ["o", "id"], ["v"], n_partitions=1)
+    assert {x.id: x.v_cum for x in r.collect()} == {1: 1, 5: 2, 2: 1, 4: 2, 3: 1, 6: 2}
