@@ -157,3 +157,30 @@ def test_sum_to(spark):
 
     register_sum_to(spark)
     assert spark.sql("SELECT sum_to(5) AS s, sum_to(0) AS z").first() == (15, 0)
+
+
+def test_titles_of_category_ordered(spark):
+    from quarry.operators.aggregates import ordered_distinct_list
+
+    livros = spark.createDataFrame([(1, "PL/pgSQL na Pratica"), (1, "Banco de Dados Essencial"), (2, "Romance")],
+                                   "categoria_id int, titulo string")
+    got = {r.categoria_id: r.titulos for r in ordered_distinct_list(livros, ["categoria_id"], "titulo", ", ",
+                                                                     "titulos").collect()}
+    assert got[1] == "Banco de Dados Essencial, PL/pgSQL na Pratica"
+
+
+def test_volume_classes_differ_only_at_zero(spark):
+    from quarry.operators.aggregates import volume_classes
+
+    df = spark.createDataFrame([(0,), (5,), (10,), (20,), (21,)], "n int")
+    got = [(r.n, r.class_if, r.class_case) for r in volume_classes(df, "n").orderBy("n").collect()]
+    assert got == [(0, "BAIXO", "SEM PEDIDOS"), (5, "BAIXO", "BAIXO"), (10, "MEDIO", "MEDIO"),
+                   (20, "MEDIO", "MEDIO"), (21, "ALTO", "ALTO")]
+
+
+def test_scalar_count_is_zero_not_null(spark):
+    from __spark_entry__ import queries
+
+    r = queries()["scalar_subquery"](spark, "/root/testdata/sf0.001")
+    assert r.filter(F.col("n_urgent").isNull()).count() == 0
+    assert r.filter(F.col("n_urgent") == 0).count() > 0
