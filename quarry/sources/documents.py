@@ -42,11 +42,14 @@ def sale_documents(orders: DataFrame, lineitem: DataFrame, max_items: int = 1000
     return docs.select([f.name for f in SALE_DOC.fields])
 
 
+NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
 def write_json(docs: DataFrame, path: str) -> None:
-    docs.write.mode("overwrite").json(path)
+    docs.write.mode("overwrite").option("timestampNTZFormat", NTZ_FORMAT).json(path)
 
 
 def read_sale_documents(spark: SparkSession, path: str) -> DataFrame:
     """Nested source read with an explicit schema: fields missing in a
     document come back as NULL, no inference pass over the files."""
-    return spark.read.schema(SALE_DOC).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
+    return spark.read.schema(SALE_DOC).option("timestampNTZFormat", NTZ_FORMAT).json(path)

@@ -185,3 +185,15 @@ def test_partition_upkeep(spark, tmp_path):
     left = {r.p: r["count"] for r in read_partitioned(spark, path).groupBy("p").count().collect()}
     assert set(left) == {"1997_1998", "1999", "2000"}
     assert sum(left.values()) + gone.count() + sum(1 for k, d in rows if d.year <= 1996) == 201
+
+
+def test_nested_json_roundtrip_keeps_micros(spark, tmp_path):
+    from quarry.sources.documents import SALE_DOC, read_sale_documents, write_json
+
+    import datetime as dt
+
+    ts = dt.datetime(2025, 8, 10, 10, 15, 0, 123456)
+    doc = spark.createDataFrame([(1, 0, 1, ts, "cartao", 165.0, [(1, 1, 1.0, 120.0), (2, 2, 1.0, 45.0)])], SALE_DOC)
+    write_json(doc, str(tmp_path / "d"))
+    back = read_sale_documents(spark, str(tmp_path / "d")).first()
+    assert back.data_venda == ts and [i.id_livro for i in back.itens] == [1, 2]
