@@ -31,11 +31,40 @@ def transfer_batch(accounts: DataFrame, key: str, balance: str, transfers: DataF
                     F.when(ok, "COMMITTED").otherwise("ROLLED_BACK").alias("batch_status")))
 
 
+WINDOW = 1024  # rows looked at per vectorised step
+
+
+def _greedy_segment(q: np.ndarray, left: float, acc: np.ndarray, rem: np.ndarray) -> float:
+    """Greedy acceptance over one product's requests, in order, vectorised:
+    a run of requests whose running total fits the stock is accepted at once
+    (cumsum + searchsorted); a run of requests larger than the stock is
+    refused at once (one mask). Returns the stock left."""
+    i, n = 0, len(q)
+    while i < n:
+        w = q[i:min(i + WINDOW, n)]
+        cs = np.cumsum(w)
+        k = int(np.searchsorted(cs, left, side="right"))  # leading requests that all fit
+        if k > 0:
+            acc[i:i + k] = True
+            rem[i:i + k] = left - cs[:k]
+            left -= cs[k - 1]
+            i += k
+            continue
+        fits = w <= left  # w[0] does not fit: skip to the next request that does
+        if not fits.any():
+            rem[i:i + len(w)] = left
+            i += len(w)
+            continue
+        j = int(np.argmax(fits))
+        rem[i:i + j] = left
+        i += j
+    return left
+
+
 def _intake_scan(product: str, qty: str, stock: str):
-    """Greedy per product in request order: accept when the remaining stock
-    covers the quantity (a refused request uses no stock). Streams the sorted
-    partition batch by batch, carrying the remaining stock of the current
-    product, so memory stays at one Arrow batch."""
+    """Per sorted partition: greedy per product in request order (a refused
+    request uses no stock). Streams batch by batch, carrying the stock left
+    for the current product, so memory stays at one Arrow batch."""
     def fn(batches):
         cur, left = None, 0.0
         for pdf in batches:
@@ -46,13 +75,11 @@ def _intake_scan(product: str, qty: str, stock: str):
             s0 = pdf[stock].to_numpy(dtype=float)
             acc = np.zeros(len(pdf), dtype=bool)
             rem = np.zeros(len(pdf), dtype=float)
-            for i in range(len(pdf)):  # sequential by definition of the rule
-                if prods[i] != cur:
-                    cur, left = prods[i], s0[i]
-                if q[i] <= left:
-                    left -= q[i]
-                    acc[i] = True
-                rem[i] = left
+            change = np.flatnonzero(prods[1:] != prods[:-1]) + 1
+            for a, b in zip(np.r_[0, change], np.r_[change, len(pdf)]):
+                if prods[a] != cur:
+                    cur, left = prods[a], s0[a]
+                left = _greedy_segment(q[a:b], left, acc[a:b], rem[a:b])
             out = pdf.copy()
             out["accepted"] = acc
             out["remaining"] = rem

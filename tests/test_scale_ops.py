@@ -196,3 +196,24 @@ def test_running_sum_large_nullable_keys(spark):
     df = spark.createDataFrame([(g, o, i, 1) for g, o, i in rows], "g long, o long, id long, v long")
     r = running_sum(df, ["g"], ["o", "id"], ["v"], n_partitions=1)
     assert {x.id: x.v_cum for x in r.collect()} == {1: 1, 5: 2, 2: 1, 4: 2, 3: 1, 6: 2}
+
+
+def test_greedy_segment_matches_loop():
+    import numpy as np
+
+    from quarry.operators.domain import _greedy_segment
+
+    rng = random.Random(5)
+    for _ in range(300):
+        n = rng.randint(0, 3000)
+        q = np.array([float(rng.randint(1, 50)) for _ in range(n)])
+        left0 = float(rng.choice([0, 10, 150, 5000, 100000]))
+        acc, rem = np.zeros(n, dtype=bool), np.zeros(n)
+        end = _greedy_segment(q, left0, acc, rem)
+        left = left0
+        for i in range(n):
+            ok = q[i] <= left
+            if ok:
+                left -= q[i]
+            assert acc[i] == ok and rem[i] == left
+        assert end == left
