@@ -96,3 +96,21 @@ def test_spread_only_for_narrow_inputs(spark, tmp_path):
     wide = str(tmp_path / "wide")
     spark.range(0, 1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(wide)
     assert "RoundRobinPartitioning" not in _plan(spread_if_narrow(spark.read.parquet(wide)))
+
+
+def test_output_casts_consistent(spark):
+    """Every DATE/DECIMAL column a query yields is listed for the SQL side."""
+    from pyspark.sql import types as T
+
+    from __spark_entry__ import SQL_OUTPUT_CASTS
+    from quarry.plans import all_queries
+
+    raw = {}
+    for k, fn in all_queries().items():
+        if k.startswith("stream_"):
+            continue
+        cols = {f.name: ("TIMESTAMP" if isinstance(f.dataType, T.DateType) else "DOUBLE")
+                for f in fn(spark, SF).schema.fields if isinstance(f.dataType, (T.DateType, T.DecimalType))}
+        if cols:
+            raw[k] = cols
+    assert raw == {k: v for k, v in SQL_OUTPUT_CASTS.items() if not k.startswith("stream_")}
