@@ -36,7 +36,7 @@ def test_bucketed_join_no_shuffle(spark):
     assert "Exchange hashpartitioning" not in p
 
 
-def test_top3_uses_window_group_limit(spark):
+def test_top_three_uses_window_group_limit(spark):
     p = _plan(queries()["win_top3"](spark, SF))
     assert "WindowGroupLimit" in p
 
