@@ -190,11 +190,14 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
               AND o.o_orderstatus = 'P' AND o.o_totalprice > c.c_acctbal * 100)
 """)
 def semi_exists(spark, sf_dir):
-    """C11: correlated EXISTS with a non-equi term = semi join with a condition."""
+    """C11: correlated EXISTS with a non-equi term. ``EXISTS (o.total > x)``
+    holds exactly when ``max(o.total) > x``, so the orders are reduced to one
+    row per customer (map-side) before a semi join on unique keys."""
     t = tables(spark, sf_dir)
     c = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    o = t.orders.filter(F.col("o_orderstatus") == "P").select("o_custkey", "o_totalprice")
-    return (c.join(o, (o.o_custkey == c.c_custkey) & (o.o_totalprice > c.c_acctbal * 100), "left_semi")
+    o = (t.orders.filter(F.col("o_orderstatus") == "P")
+         .groupBy("o_custkey").agg(F.max("o_totalprice").alias("max_total")))
+    return (c.join(o, (o.o_custkey == c.c_custkey) & (o.max_total > c.c_acctbal * 100), "left_semi")
             .select("c_custkey", "c_name"))
 
 
