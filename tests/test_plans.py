@@ -113,4 +113,9 @@ def test_output_casts_consistent(spark):
                 for f in fn(spark, SF).schema.fields if isinstance(f.dataType, (T.DateType, T.DecimalType))}
         if cols:
             raw[k] = cols
-    assert raw == {k: v for k, v in SQL_OUTPUT_CASTS.items() if not k.startswith("stream_")}
+    listed = {k: {c: t for c, t in v.items() if t != "VARCHAR" and not (t == "DOUBLE" and c in NULLABLE_INTS)}
+              for k, v in SQL_OUTPUT_CASTS.items() if not k.startswith("stream_")}
+    assert raw == {k: v for k, v in listed.items() if v}
+
+
+NULLABLE_INTS = {"o_orderkey", "nation_or_null"}
