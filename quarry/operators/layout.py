@@ -57,13 +57,24 @@ def write_clustered(df: DataFrame, path: str, cols: list[str], n_partitions: int
     ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
-def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets per table: ``quarry.buckets`` or the shuffle partition count."""
+    return int(spark.conf.get("quarry.buckets", spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
     """Hash-bucketed, sorted table stored in the shared checkpoint area;
-    returned as a table scan so its bucketing is known to the planner."""
+    returned as a table scan so its bucketing is known to the planner.
+
+    Rows are first hash-partitioned on the key into as many tasks as buckets
+    (the same hash Spark uses for bucket ids), so each task writes exactly one
+    bucket file instead of one file per bucket per task."""
     spark = df.sparkSession
+    b = buckets or bucket_count(spark)
     path = scratch_path(spark, name)
     table = f"{name}_{path.rsplit('-', 1)[-1]}"
-    (df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    (df.repartition(b, key).write.mode("overwrite").option("path", path)
+     .bucketBy(b, key).sortBy(key).saveAsTable(table))
     return spark.table(table)
 
 

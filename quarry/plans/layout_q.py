@@ -94,8 +94,9 @@ def bucketed_join(spark, sf_dir):
     """Both sides bucketed by the customer key into the same number of
     buckets, so the join reads co-located buckets without a shuffle."""
     t = tables(spark, sf_dir)
-    o = N.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), "orders_b", "o_custkey", 8)
-    c = N.write_bucketed(t.customer.select("c_custkey", "c_name"), "customer_b", "c_custkey", 8)
+    b = N.bucket_count(spark)  # same count on both sides: co-located buckets
+    o = N.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), "orders_b", "o_custkey", b)
+    c = N.write_bucketed(t.customer.select("c_custkey", "c_name"), "customer_b", "c_custkey", b)
     return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_name")
 
 
