@@ -105,6 +105,24 @@ def running_total(df: DataFrame, group: list[str], order: list[tuple[str, bool]]
     return out.withColumnRenamed("_rt_v_cum", name).drop("_rt_v", *keys)
 
 
+def running_totals(df: DataFrame, group: list[str], order: list[tuple[str, bool]], values: dict[str, str],
+                   n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
+    """Several ROWS UNBOUNDED PRECEDING sums in one pass: ``values`` maps a
+    non-null long column to the name of its running sum."""
+    if (strategy or choose(df, group)) == "native":
+        w = _window(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for v, name in values.items():
+            df = df.withColumn(name, F.sum(v).over(w))
+        return df
+    keys, exprs = _sort_cols(df, order, "_rts_o")
+    tmp = {v: f"_rts_v{i}" for i, v in enumerate(values)}
+    base = df.select("*", *exprs, *[F.col(v).alias(t) for v, t in tmp.items()])
+    out = running_sum(base, group, keys, list(tmp.values()), n_partitions)
+    for v, t in tmp.items():
+        out = out.withColumnRenamed(f"{t}_cum", values[v])
+    return out.drop(*keys, *tmp.values())
+
+
 def running_peers(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str,
                   sum_name: str, count_name: str, n_partitions: int | None = None,
                   strategy: str | None = None) -> DataFrame:

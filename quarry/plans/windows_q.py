@@ -106,10 +106,10 @@ def win_moving_avg(spark, sf_dir):
     (S(n) - S(n-3)) / min(n, 3) on exact running sums in cents."""
     o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     order = [("o_orderdate", True), ("o_orderkey", True)]
-    base = o.withColumn("_c", cents("o_totalprice"))
+    base = o.withColumn("_c", cents("o_totalprice")).withColumn("_one", F.lit(1).cast("long"))
     how = W.choose(o, ["o_custkey"])
-    r = W.running_total(base, ["o_custkey"], order, "_c", "_s", strategy=how)
-    r = W.row_number(r, ["o_custkey"], order, "_rn", strategy=how)
+    # one pass: running sum in cents and the row number (running count)
+    r = W.running_totals(base, ["o_custkey"], order, {"_c": "_s", "_one": "_rn"}, strategy=how)
     if how == "native":
         r = W.lag_lead(r, ["o_custkey"], order, "_s", 3, "_s3", strategy="native")
     else:

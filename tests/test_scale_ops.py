@@ -163,7 +163,9 @@ def test_window_strategies_agree(spark):
         r = W.running_peers(r, ["g"], [("o", False)], "v", "ps", "pn", strategy=how)
         r = W.lag_lead(r, ["g"], order, "v", 1, "lg", strategy=how)
         r = W.lag_lead(r, ["g"], order, "v", -2, "ld", strategy=how)
-        return sorted(r.select("id", "rn", "rk", "dr", "rt", "ps", "pn", "lg", "ld").collect())
+        r = W.running_totals(r.withColumn("one", F.lit(1).cast("long")), ["g"], order,
+                             {"v": "rt2", "one": "rn2"}, strategy=how)
+        return sorted(r.select("id", "rn", "rk", "dr", "rt", "ps", "pn", "lg", "ld", "rt2", "rn2").collect())
 
     assert run("native") == run("scan")
 
