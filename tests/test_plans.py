@@ -119,3 +119,11 @@ def test_output_casts_consistent(spark):
 
 
 NULLABLE_INTS = {"o_orderkey", "nation_or_null"}
+
+
+def test_bucketed_write_one_file_per_bucket(spark):
+    from quarry.operators.layout import write_bucketed
+
+    t = write_bucketed(spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey"),
+                       "bucket_files", "o_custkey", 4)
+    assert len(t.inputFiles()) <= 4
