@@ -90,3 +90,28 @@ def test_restore_equals_as_of(spark):
 def test_fd_violations(spark):
     df = spark.createDataFrame([("x", "A"), ("x", "B"), ("y", "A"), ("y", "A")], "k string, v string")
     assert [r.k for r in N.fd_violations(df, ["k"], ["v"]).collect()] == ["x"]
+
+
+rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 5), st.integers(-9, 9)),
+                   min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(rows=rows_st, parts=st.integers(1, 6), batch=st.integers(1, 7))
+def test_running_sum_property(spark, rows, parts, batch):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quarry.operators.scan import running_sum
+
+    df = spark.createDataFrame([(g, o, i, v) for i, (g, o, v) in enumerate(rows)],
+                               "g long, o long, id long, v long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {r.id: r.v_cum for r in running_sum(df, ["g"], ["o", "id"], ["v"], n_partitions=parts).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    w = Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.id: r.c for r in df.select("id", F.sum("v").over(w).alias("c")).collect()}
+    assert got == want
