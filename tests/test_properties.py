@@ -115,3 +115,26 @@ def test_running_sum_property(spark, rows, parts, batch):
     w = Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.id: r.c for r in df.select("id", F.sum("v").over(w).alias("c")).collect()}
     assert got == want
+
+
+slots_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 180)), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(slots=slots_st, how=st.sampled_from(["native", "scan"]))
+def test_conflict_counts_property(spark, slots, how):
+    import datetime as dt
+
+    from quarry.operators.overlap import conflict_counts
+
+    base = dt.datetime(2025, 6, 2, 8)
+    rows = [(i, k, base + dt.timedelta(minutes=m)) for i, (k, m) in enumerate(slots)]
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
+    got = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, n_partitions=3,
+                                                        strategy=how).collect()}
+    want = {}
+    for i, k, t in rows:
+        n = sum(1 for j, k2, t2 in rows if j != i and k2 == k and abs((t2 - t).total_seconds()) < 1800)
+        if n:
+            want[i] = n
+    assert got == want
