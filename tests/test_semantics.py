@@ -197,3 +197,17 @@ def test_nested_json_roundtrip_keeps_micros(spark, tmp_path):
     write_json(doc, str(tmp_path / "d"))
     back = read_sale_documents(spark, str(tmp_path / "d")).first()
     assert back.data_venda == ts and [i.id_livro for i in back.itens] == [1, 2]
+
+
+def test_nest_bucket_pattern_is_lossless(spark):
+    from quarry.operators.nested import nest, unnest
+
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    child = spark.createDataFrame([(1, i, float(i)) for i in range(10)] + [(2, 0, 5.0)], "k long, n int, q double")
+    docs = nest(parent, "k", child, "k", [("n", "n"), ("q", "q")], "items", max_items=3)
+    per_key = {r.k: r.docs for r in docs.groupBy("k").agg(F.count(F.lit(1)).alias("docs")).collect()}
+    assert per_key[2] == 1 and per_key[3] == 1 and 1 <= per_key[1] <= 4  # ceil(10 / 3) chunks at most
+    empty = docs.filter(F.col("k") == 3).first()
+    assert empty["items"] == [] and empty["_chunk"] == 0
+    flat = sorted((r.k, r.n, r.q) for r in unnest(docs, ["k"], "items").collect())
+    assert flat == sorted((r.k, r.n, r.q) for r in child.collect())
