@@ -21,7 +21,8 @@ SELECT doc_id FROM {TOKENS_SQL} t WHERE term IN ('thon', 'erin')
 GROUP BY doc_id HAVING COUNT(DISTINCT term) = 2
 """)
 def text_match_all(spark, sf_dir):
-    """Q1: documents containing all query terms (whole texts tokenised)."""
+    """Q1: documents containing all query terms as whole tokens (letter runs of
+    the whole lower-cased text; stop words dropped from the query)."""
     d = tables(spark, sf_dir).documents.select("doc_id", "text")
     return Q.match_all(d, "text", TERMS).select("doc_id")
 
