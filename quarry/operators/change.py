@@ -139,6 +139,16 @@ def merge_matched(target: DataFrame, source: DataFrame, key: str, set_cols: dict
     return j.select(*target.columns, ACTION)
 
 
+def tag_update(df: DataFrame, where) -> DataFrame:
+    """``_action`` of UPDATE ... WHERE: update where the condition is TRUE."""
+    return df.withColumn(ACTION, F.when(F.coalesce(where, F.lit(False)), "update").otherwise("unchanged"))
+
+
+def tag_delete(df: DataFrame, where) -> DataFrame:
+    """``_action`` of DELETE ... WHERE: delete where the condition is TRUE."""
+    return df.withColumn(ACTION, F.when(F.coalesce(where, F.lit(False)), "delete").otherwise("unchanged"))
+
+
 def action_counts(changed: DataFrame) -> DataFrame:
-    """Affected rows per action."""
+    """Affected rows per action (the rowcount a client sees)."""
     return changed.groupBy(ACTION).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -162,11 +162,24 @@ def dml_merge_matched(spark, sf_dir):
 
 
 @query("dml_action_counts", sql=f"""
-SELECT _action, COUNT(*) AS n_rows FROM ({UPSERT_SQL.format(guard="s.livro_id IS NOT NULL")}) m GROUP BY _action
+SELECT 'update' AS statement, CASE WHEN p_type = 'STANDARD' THEN 'update' ELSE 'unchanged' END AS _action,
+       COUNT(*) AS n_rows
+FROM part GROUP BY 1, 2
+UNION ALL
+SELECT 'delete', CASE WHEN p_size < 3 THEN 'delete' ELSE 'unchanged' END, COUNT(*) FROM part GROUP BY 1, 2
+UNION ALL
+SELECT 'upsert', _action, COUNT(*) FROM ({UPSERT_SQL.format(guard="s.livro_id IS NOT NULL")}) m GROUP BY 1, 2
 """)
 def dml_action_counts(spark, sf_dir):
-    """Affected-row counts per action of the upsert."""
-    return K.action_counts(_upsert(spark, sf_dir))
+    """Affected-row counts per statement and action: the UPDATE of K1,
+    the DELETE of K4 and the upsert of K6 (what the clients print)."""
+    p = tables(spark, sf_dir).part
+    upd = K.action_counts(K.tag_update(p, F.col("p_type") == "STANDARD"))
+    dele = K.action_counts(K.tag_delete(p, F.col("p_size") < 3))
+    ups = K.action_counts(_upsert(spark, sf_dir))
+    return (upd.select(F.lit("update").alias("statement"), "_action", "n_rows")
+            .unionByName(dele.select(F.lit("delete").alias("statement"), "_action", "n_rows"))
+            .unionByName(ups.select(F.lit("upsert").alias("statement"), "_action", "n_rows")))
 
 
 @query("insert_returning", sql=f"""

@@ -184,3 +184,10 @@ def test_scalar_count_is_zero_not_null(spark):
     r = queries()["scalar_subquery"](spark, "/root/testdata/sf0.001")
     assert r.filter(F.col("n_urgent").isNull()).count() == 0
     assert r.filter(F.col("n_urgent") == 0).count() > 0
+
+
+def test_rowcounts(spark, books):
+    got = {r._action: r.n_rows for r in K.action_counts(K.tag_update(books, F.col("tipo") == "F")).collect()}
+    assert got == {"update": 4, "unchanged": 3}
+    got = {r._action: r.n_rows for r in K.action_counts(K.tag_delete(books, F.col("ano") < 1990)).collect()}
+    assert got == {"unchanged": 7}
