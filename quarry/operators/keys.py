@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import epoch_millis
 from .windows import row_number
 
-HEX = "0123456789abcdef"
-
-
 def assign_identity(df: DataFrame, order: list[tuple[str, bool]], name: str = "id", start: int = 1,
                     increment: int = 1) -> DataFrame:
     r = row_number(df, [], order, "_id_rn")
@@ -42,19 +39,19 @@ def uuid4_keys(df: DataFrame, name: str = "uuid") -> DataFrame:
     return df.withColumn(name, F.expr("uuid()"))
 
 
-def _hex_digit_value(c: Column) -> Column:
-    return F.instr(F.lit(HEX), c) - 1
-
-
 def uuid7(ts: str, row_id: str) -> Column:
-    """48-bit Unix ms, version 7, 12 random bits, variant 10, 62 random bits."""
-    ms = epoch_millis(ts)
-    ms_hex = F.lpad(F.lower(F.hex(ms)), 12, "0")
+    """48-bit Unix ms, version 7, 12 random bits, variant 10, 62 random bits.
+
+    The high 64 bits are ``ms << 16 | 7 << 12 | rand_a`` (fits a signed long
+    for any date before year 6000); the variant nibble is ``8 | (r & 3)``.
+    The random fields are MD5 hex digits of the row id (repeatable)."""
     h = F.md5(F.col(row_id).cast("string"))
-    rand_a = F.substring(h, 1, 3)
-    variant = F.substring(F.lit("89ab"), (_hex_digit_value(F.substring(h, 4, 1)) % 4) + 1, 1)
-    rand_b = F.substring(h, 5, 15)
-    raw = F.concat(ms_hex, F.lit("7"), rand_a, variant, rand_b)
+    rand_a = F.conv(F.substring(h, 1, 3), 16, 10).cast("long")
+    msb = F.shiftleft(epoch_millis(ts), 16).bitwiseOR(F.lit(7 << 12)).bitwiseOR(rand_a)
+    msb_hex = F.lpad(F.lower(F.hex(msb)), 16, "0")
+    r = F.conv(F.substring(h, 4, 1), 16, 10).cast("int")
+    variant = F.lower(F.hex(F.lit(8).bitwiseOR(r.bitwiseAND(F.lit(3)))))
+    raw = F.concat(msb_hex, variant, F.substring(h, 5, 15))
     return F.concat_ws("-", F.substring(raw, 1, 8), F.substring(raw, 9, 4), F.substring(raw, 13, 4),
                        F.substring(raw, 17, 4), F.substring(raw, 21, 12))
 

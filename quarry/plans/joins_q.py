@@ -134,16 +134,25 @@ def join_full(spark, sf_dir):
 
 
 @query("join_legacy_outer", sql="""
-SELECT n.n_name, s.s_name
+SELECT 'left' AS form, n.n_name, s.s_name
 FROM nation n LEFT JOIN supplier s ON s.s_nationkey = n.n_nationkey AND s.s_acctbal > 9000
+UNION ALL
+SELECT 'right' AS form, n.n_name, s.s_name
+FROM (SELECT * FROM nation WHERE n_regionkey = 1) n RIGHT JOIN supplier s ON s.s_nationkey = n.n_nationkey
 """)
 def join_legacy_outer(spark, sf_dir):
-    """``WHERE s.k(+) = n.k AND s.bal(+) > 9000``: a predicate marked (+)
-    belongs to the join condition, so nations without a rich supplier stay."""
+    """The two ``(+)`` forms. Left: ``WHERE s.k(+) = n.k AND s.bal(+) > 9000``
+    -- a predicate marked (+) belongs to the join condition, so nations without
+    a rich supplier stay. Right: ``WHERE s.k = n.k(+) AND n.region(+) = 1`` --
+    every supplier, with its nation only when that nation is in region 1."""
     t = tables(spark, sf_dir)
-    n = t.nation.select("n_nationkey", "n_name")
-    s = t.supplier.filter(F.col("s_acctbal") > 9000).select("s_nationkey", "s_name")
-    return outer_join(n, s, "n_nationkey", "s_nationkey", "left").select("n_name", "s_name")
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    rich = t.supplier.filter(F.col("s_acctbal") > 9000).select("s_nationkey", "s_name")
+    left = outer_join(n.select("n_nationkey", "n_name"), rich, "n_nationkey", "s_nationkey", "left")
+    n1 = n.filter(F.col("n_regionkey") == 1).select("n_nationkey", "n_name")
+    right = outer_join(n1, t.supplier.select("s_nationkey", "s_name"), "n_nationkey", "s_nationkey", "right")
+    return (left.select(F.lit("left").alias("form"), "n_name", "s_name")
+            .unionByName(right.select(F.lit("right").alias("form"), "n_name", "s_name")))
 
 
 @query("join_cross", sql="SELECT r.r_name, n.n_name FROM region r CROSS JOIN nation n")
