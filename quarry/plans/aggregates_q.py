@@ -238,3 +238,23 @@ def table_profile(spark, sf_dir):
     from ..operators.aggregates import column_profile
 
     return column_profile(tables(spark, sf_dir).orders, ["o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+def _month_sql(label: str, year: int, month: int) -> str:
+    c = "CAST(round(o_totalprice * 100) AS BIGINT)"
+    return f"""SELECT '{label}' AS mes, COUNT(*) AS n_orders,
+       COALESCE(CAST(sign(SUM({c})) * floor((2 * abs(SUM({c})) + COUNT(*)) / NULLIF(2 * COUNT(*), 0)) AS DOUBLE) / 100,
+                0.0) AS avg_value
+FROM orders WHERE year(o_orderdate) = {year} AND month(o_orderdate) = {month}"""
+
+
+@query("monthly_order_summary", sql=_month_sql("1998-03", 1998, 3) + "\nUNION ALL\n" + _month_sql("2010-01", 2010, 1))
+def monthly_order_summary(spark, sf_dir):
+    """The procedure form -- IN (year, month), OUT (count, average):
+    one row per call, COALESCE(ROUND(AVG), 2), 0) when the month has no order."""
+    from ..operators.aggregates import month_summary
+
+    o = tables(spark, sf_dir).orders
+    a = month_summary(o, "o_orderdate", "o_totalprice", 1998, 3).select(F.lit("1998-03").alias("mes"), "*")
+    b = month_summary(o, "o_orderdate", "o_totalprice", 2010, 1).select(F.lit("2010-01").alias("mes"), "*")
+    return a.unionByName(b)
