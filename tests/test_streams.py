@@ -69,3 +69,22 @@ def test_audit_stream_incremental(spark, tmp_path):
     a2 = run_audit_stream(spark, src, feed, root, "id", ["nome"], "seq", "op")
     got = sorted((r.id, r._op, r.old_nome, r.new_nome) for r in a2.collect())
     assert got == [(2, "DELETE", "B", None), (99, "INSERT", None, "Teste"), (99, "UPDATE", "Teste", "Teste 2")]
+
+
+def test_upsert_stream_compaction(spark, tmp_path):
+    import datetime as dt
+
+    from quarry.streaming.upsert_stream import compact, current_state, run_upsert_stream
+
+    schema = "livro_id long, quantidade_nova long, data_entrega date, seq long"
+    initial = spark.createDataFrame([(1, 12, dt.date(2025, 9, 1), 0)],
+                                    "livro_id long, quantidade_disponivel long, ultima_atualizacao date, seq long")
+    cols = {"quantidade_disponivel": "quantidade_nova", "ultima_atualizacao": "data_entrega", "seq": "seq"}
+    src, root = str(tmp_path / "src"), str(tmp_path / "state")
+    spark.createDataFrame([(1, 8, dt.date(2025, 9, 3), 1), (5, 3, dt.date(2025, 9, 3), 1)], schema) \
+        .write.mode("append").parquet(src)
+    s = run_upsert_stream(spark, src, spark.createDataFrame([], schema).schema, initial, root, "livro_id", cols, "seq")
+    snap = compact(spark, initial, root, "livro_id", cols, "seq", str(tmp_path / "snapshot"))
+    assert sorted(snap.collect()) == sorted(s.collect())
+    assert sorted(current_state(spark, snap, str(tmp_path / "empty"), "livro_id", cols, "seq").collect()) == \
+        sorted(s.collect())
