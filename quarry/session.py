@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # RDD checkpoints too, where the session exposes its SparkContext
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # pragma: no cover - e.g. a remote (Connect) session
+        pass
     return path
 
 
