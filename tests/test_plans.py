@@ -127,3 +127,8 @@ def test_bucketed_write_one_file_per_bucket(spark):
     t = write_bucketed(spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey"),
                        "bucket_files", "o_custkey", 4)
     assert len(t.inputFiles()) <= 4
+
+
+def test_left_join_on_fact_side_is_inner_plus_anti(spark):
+    p = _plan(queries()["join_left"](spark, SF))
+    assert "LeftOuter" not in p and "LeftAnti" in p and "Inner" in p
