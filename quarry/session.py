@@ -37,13 +37,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+    """Return the shared folder named by the session in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we pick a scratch folder of our own.
+    Only a session in local mode (one machine) may leave it unset: it then gets
+    a scratch folder of its own. Elsewhere a machine-local folder would lose
+    rows without an error, so the missing setting is an error.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not _single_machine(spark):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     try:  # RDD checkpoints too, where the session exposes its SparkContext
@@ -53,6 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _single_machine(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
