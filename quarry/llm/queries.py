@@ -27,3 +27,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_documents
 
     return encode_documents(documents(spark, sf_dir), vocab.path("byte_bpe_50k.tiktoken"), vocab.PATTERN)
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import fit_cutoffs, scan_secrets
+
+    docs = documents(spark, sf_dir)
+    return scan_secrets(docs, fit_cutoffs(docs))
