@@ -35,3 +35,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir)
     return scan_secrets(docs, fit_cutoffs(docs))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import apply_quality_rules
+
+    return apply_quality_rules(documents(spark, sf_dir))
