@@ -40,19 +40,22 @@ class PrefixEncoder:
 
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
+        self.no_rank = max(self.bytes_of, default=0) + 2
         self.split = regex.compile(pattern).findall
         self.longest = max(map(len, ranks), default=1)
-        # every proper ending of a token: the walk back stops where none fits
-        self.endings = {t[k:] for t in ranks for k in range(len(t))}
-        self.whole: dict[int, bool] = {}
+        # every ending of a token: the token it is itself, or -1; looking back
+        # from a prefix's end stops at the first that is not here
+        self.ending = dict.fromkeys((t[k:] for t in ranks for k in range(len(t))), -1) | ranks
+        self.made_of: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, list[int]] = {}
 
-    def merge(self, data: bytes) -> list[int]:
-        """Encoding of a short byte string by the merges themselves."""
+    def merge(self, data: bytes, until: int = 1) -> list[bytes]:
+        """Merge a short byte string by rank, leftmost first, until at most
+        ``until`` parts are left or nothing merges."""
         parts = [data[i:i + 1] for i in range(len(data))]
         ranks = self.ranks
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 r = ranks.get(parts[i] + parts[i + 1])
@@ -61,43 +64,74 @@ class PrefixEncoder:
             if best is None:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        return parts
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a single byte
+        and for a token that the merges of its own bytes do not reach."""
+        if token not in self.made_of:
+            parts = self.merge(self.bytes_of[token], 2)
+            whole = len(parts) == 2 and self.ranks.get(parts[0] + parts[1]) == token
+            self.made_of[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if whole else None
+        return self.made_of[token]
 
     def reachable(self, token: int) -> bool:
         """Whether the merges of the token's own bytes end in the token."""
-        known = self.whole.get(token)
-        if known is None:
-            known = self.whole[token] = self.merge(self.bytes_of[token]) == [token]
-        return known
+        return len(self.bytes_of[token]) == 1 or self.halves(token) is not None
 
     def valid_pair(self, a: int, b: int) -> bool:
+        """Whether the merges of the joined bytes end in these two tokens: no
+        merge across the border comes before the merges on either side. The
+        merges next to the border are undone from the last to the first; a
+        merge across must not outrank the one undone before. Of equal ranks
+        the left one goes first."""
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHED_PIECES:
                 self.pairs.clear()
-            known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            self.pairs[key] = known
+            known = self.pairs[key] = self.reachable(b) and self._no_merge_across(a, b)
         return known
 
+    def _no_merge_across(self, left: int, right: int) -> bool:
+        ranks, bytes_of = self.ranks, self.bytes_of
+        limit = self.no_rank
+        while True:
+            across = ranks.get(bytes_of[left] + bytes_of[right])
+            if across is not None and across < limit:
+                return False
+            from_left, from_right = self.halves(left), self.halves(right)
+            if from_left is None and from_right is None:
+                return True
+            if from_right is None or (from_left is not None and left > right):
+                limit, left = left, from_left[1]
+            else:
+                limit, right = right + 1, from_right[0]
+
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """Fill ``last`` (one entry per prefix already known) up to all of ``data``."""
-        ranks, endings, longest = self.ranks, self.endings, self.longest
+        ending, longest, pairs = self.ending.get, self.longest, self.pairs
         for end in range(len(last) + 1, len(data) + 1):
             found = []
             for start in range(end - 1, max(-1, end - 1 - longest), -1):
-                part = data[start:end]
-                if part not in endings:
+                t = ending(data[start:end])
+                if t is None:
                     break
-                t = ranks.get(part)
-                if t is not None:
+                if t >= 0:
                     found.append((start, t))
-            for start, t in reversed(found):
-                if self.reachable(t) and (start == 0 or self.valid_pair(last[start - 1], t)):
-                    last.append(t)
-                    break
+            while found:
+                start, t = found.pop()
+                if start == 0:
+                    if self.reachable(t):
+                        break
+                else:
+                    before = last[start - 1]
+                    fits = pairs.get((before, t))
+                    if self.valid_pair(before, t) if fits is None else fits:
+                        break
             else:
                 raise ValueError("the vocabulary does not cover this byte")
+            last.append(t)
         return last
 
     def walk_back(self, last: list[int]) -> list[int]:
