@@ -78,3 +78,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op10_hash_ring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_rows
+
+    return shard_rows(documents(spark, sf_dir))
