@@ -85,3 +85,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_rows
 
     return shard_rows(documents(spark, sf_dir))
+
+
+@query("op7_licence_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licences
+
+    return scan_licences(documents(spark, sf_dir))
