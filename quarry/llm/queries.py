@@ -92,3 +92,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licences
 
     return scan_licences(documents(spark, sf_dir))
+
+
+@query("op2_setsketch_neardup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2-word shingles, as the query's contract asks; the operator's default is five."""
+    from .neardup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), size=2)
