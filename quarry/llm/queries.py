@@ -100,3 +100,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
     return near_duplicates(documents(spark, sf_dir), size=2)
+
+
+@query("op3_rule_ensemble")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_model import score_quality
+
+    return score_quality(documents(spark, sf_dir), load_table(spark, sf_dir, "labels"))[0]
