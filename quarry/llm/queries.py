@@ -107,3 +107,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_model import score_quality
 
     return score_quality(documents(spark, sf_dir), load_table(spark, sf_dir, "labels"))[0]
+
+
+@query("op4_qgram_decontam")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_leaks
+
+    return find_leaks(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
