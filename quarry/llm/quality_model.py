@@ -153,3 +153,22 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     model = fit_rules(materialise(train_rows(feats, labels), "quality-train"))
     scored = feats.select("doc_id", held_out().alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), model
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> RuleModel:
+    """The model alone: features of the labelled training rows only."""
+    known = labels.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__labelled")).distinct()
+    rows = docs.join(known, F.col(f"`{id_col}`") == F.col("__labelled"), "left_semi")
+    return fit_rules(materialise(train_rows(features(rows, id_col, text_col), labels), "quality-train"))
+
+
+def keep_column(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose text scores at or above the threshold, all columns and
+    rows as they are otherwise."""
+    columns = docs.columns
+    from .quality_rules import add_statistics
+
+    stats = add_statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"),
+                                       F.col(f"`{text_col}`").alias("__text")), "__text", ["__row"])
+    feats = stats.select("__row", *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])
+    return feats.filter(model.score() >= threshold).select("__row.*")

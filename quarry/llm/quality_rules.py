@@ -62,14 +62,20 @@ def _kept_length(text: Column, drop: str) -> Column:
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and STATS (long) of every whole text, one row per input row."""
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return add_statistics(src, "text", ["doc_id"])
+
+
+def add_statistics(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
+    """The columns of ``carry`` and STATS (long), one row per input row."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     # 1. words and lines as columns of their own, so that they are made once
-    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    base = docs.select(*carry, text_or_empty(text_col).alias("text"))
     arrays = base.select(
-        "doc_id", "text",
+        *carry, "text",
         F.array_remove(F.split("text", SPACE, -1), "").alias("words"),
         F.filter(F.split("text", "\n", -1), lambda x: F.translate(x, _SPACES, "") != "").alias("lines"))
-    hashed = arrays.select("doc_id", "text", "words", "lines",
+    hashed = arrays.select(*carry, "text", "words", "lines",
                            F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     at = lambda i, k: F.get("hashes", i + k)
     windows = hashed.select(
@@ -93,7 +99,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_chars = F.length(text)
     echoes = F.size(F.filter("hashes", lambda h, i: h == F.get("hashes", i - 1)))
     out = starts.select(
-        "doc_id", F.size("words").alias("n_words"), _kept_length(text, _SPACES).alias("word_chars"),
+        *carry, F.size("words").alias("n_words"), _kept_length(text, _SPACES).alias("word_chars"),
         (n_chars - _kept_length(text, SYMBOLS)).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).alias("n_repeat_words"), F.size("lines").alias("n_lines"),
@@ -101,7 +107,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.regexp_count(text, F.lit(STOP)).alias("n_stops"), echoes.alias("n_echoes"),
         (n_chars - _kept_length(text, MARKS)).alias("n_marks"),
         F.size(F.filter("words", lambda w: F.translate(w, SYMBOLS, "") == "")).alias("n_symbol_words"))
-    return out.select("doc_id", *[F.col(c).cast("long").alias(c) for c in STATS])
+    return out.select(*carry, *[F.col(c).cast("long").alias(c) for c in STATS])
 
 
 def vote(rule: Rule) -> Column:

@@ -114,3 +114,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import find_leaks
 
     return find_leaks(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_prefix_free_repeats")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir))
