@@ -12,12 +12,13 @@ Exactness and skew:
 
 * Equal sets become one node first (their documents are linked anyway), so a
   group of copies costs one row.
-* Within a bucket no pair list is made. In each round every bucket names hubs
-  -- 1, 2, 4, ... by hash class -- and its other members are compared with the
-  hubs of other components. A bucket is done when its members are in one
-  component or every pair across components has been compared, so no candidate
-  link is lost, while a large group of near copies needs a few rounds linear in
-  its size.
+* Within a bucket no pair list is made. In each round every bucket names up to
+  2, 4, 8, ... hubs of each of its 2, 4, 8, ... largest components, and members
+  of smaller components are compared with the hubs of larger ones. A member
+  drops out of the pairing as soon as it is linked, so a large group of near
+  copies costs a few comparisons per member. A bucket is done when its members
+  are in one component or every pair across components has been compared, so no
+  candidate link is lost.
 * Tables between rounds are written to the shared folder.
 
 With ``BANDS`` = 32 bands of ``ROWS`` = 5 registers, a pair at similarity 0.8
@@ -30,7 +31,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, worker_store
@@ -250,34 +251,51 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, root) of every node that has an edge (a, b): root is the smallest
-    node reachable. Alternating large-star and small-star steps; a node's
-    neighbours are never gathered, only their minimum."""
-
-    def star(e: DataFrame, small: bool) -> DataFrame:
-        if small:   # edges point from the larger to the smaller end
-            e = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        else:
-            e = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = e.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        j = e.join(low, "u")
+    """(node, root) of every node that has an edge (a, b) to a smaller one:
+    root is the smallest node reachable. Alternating large-star and small-star
+    steps; a node's neighbours are never gathered, only their minimum. Done
+    when the edges form stars."""
+
+    def star(u: DataFrame, small: bool) -> DataFrame:
+        """u: (u, v). Large: the larger neighbours of u, small: all of v (which
+        are smaller) and u itself, point to the least of u and its v."""
+        low = u.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+        j = u.join(low, "u")
         if small:
             out = j.select(F.col("v").alias("a"), F.col("low").alias("b")).union(low.select("u", "low"))
         else:
             out = j.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("low").alias("b"))
-        return out.filter(F.col("a") != F.col("b")).distinct()
-
-    def mark(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    e = materialise(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), name)
-    seen = mark(e)
-    while True:
-        e = materialise(star(star(e, False), True), name)
-        now = mark(e)
-        if now == seen:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
+        return out.filter(F.col("a") != F.col("b"))
+
+    def are_stars(e: DataFrame) -> bool:
+        """No node points to two, and none that points is pointed to."""
+        ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")),
+                       F.struct(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+        per = e.select(F.inline(ends)).groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+        return per.filter((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0))).isEmpty()
+
+    down = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = materialise(down.distinct(), name)
+    while not are_stars(e):
+        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
+        large = star(both, False)   # points down: from larger to smaller
+        e = materialise(star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), True).distinct(), name)
+    return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _hubs(members: DataFrame, width: int) -> DataFrame:
+    """(bucket, hub, hub_root, rank, used_up): up to ``width`` members of each
+    of a bucket's ``width`` largest components (rank 1 the largest); used_up
+    when the largest has no other members. Spark limits both windows within
+    each task before it shuffles, so a hot bucket sends a few rows per task."""
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    by_size = Window.partitionBy("bucket").orderBy(F.col("n").desc(), "root")
+    top = sizes.withColumn("rank", F.row_number().over(by_size)).filter(F.col("rank") <= width)
+    largest = top.filter("rank = 1").select("bucket", (F.col("n") <= width).alias("used_up"))
+    by_hash = Window.partitionBy("bucket", "root").orderBy(F.xxhash64("nid"), "nid")
+    some = members.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= width)
+    return some.join(top, ["bucket", "root"]).join(largest, "bucket").select(
+        "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), "rank", "used_up")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -306,23 +324,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
     comp = None     # (node, root), nodes with a link only
     tested = None   # pairs already compared
-    step = 0
+    width = 1
     while True:
+        width *= 2
         m = members.withColumn("root", F.col("nid")) if comp is None else (
             members.join(comp.withColumnRenamed("node", "nid"), "nid", "left")
             .withColumn("root", F.coalesce("root", "nid")))
         # buckets with members in two components or more
         open_ = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        members = materialise(m.join(open_.select("bucket"), "bucket"), "open-buckets")
-        if members.isEmpty():
+        m = materialise(m.join(open_.select("bucket"), "bucket"), "open-buckets")
+        if m.isEmpty():
             break
-        by = F.pmod(F.xxhash64("nid", F.lit(step)), F.lit(1 << step))
-        firsts = members.groupBy("bucket", by.alias("k")).agg(
-            F.min(F.struct("nid", "root")).alias("lo"), F.max(F.struct("nid", "root")).alias("hi"))
-        hubs = materialise(firsts.select("bucket", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("h"))
-                           .select("bucket", F.col("h.nid").alias("hub"), F.col("h.root").alias("hub_root")), "hubs")
-        pairs = (members.join(hubs, "bucket").filter(F.col("root") != F.col("hub_root"))
-                 .select("nid", "hub").distinct())
+        hubs = materialise(_hubs(m, width), "hubs")
+        ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
+        ranked = m.join(ranks, ["bucket", "root"], "left").select(
+            "bucket", "nid", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
+        pairs = ranked.join(hubs, "bucket").filter(F.col("own_rank") > F.col("rank")).select("nid", "hub").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["nid", "hub"], "left_anti")
         pairs = materialise(pairs, "pairs")
@@ -336,11 +353,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         if comp is not None:
             edges = edges.union(comp.select(F.col("node"), F.col("root")))
         comp = components(edges)
-        # a hub has met all members of its bucket; the others go on
-        members = members.select("bucket", "nid").join(
-            hubs.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti")
-        tested = pairs if tested is None else materialise(tested.union(pairs), "tested")
-        step += 1
+        # hubs of the largest component have met all members of others; where it
+        # is used up, so are the smaller ones that were named, and their pairs
+        spent = hubs.filter((F.col("rank") == 1) | F.col("used_up")).select("bucket", F.col("hub").alias("nid"))
+        members = m.select("bucket", "nid").join(spent, ["bucket", "nid"], "left_anti")
+        tested = pairs if tested is None else tested.union(pairs)
 
     found = nodes.select("digest", "nid", "rep")
     if comp is not None:
