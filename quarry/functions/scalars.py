@@ -25,18 +25,26 @@ def cents(c) -> Column:
 
 
 def from_cents(c) -> Column:
-    """Cents back to a double holding the exact two-decimal value."""
-    return (col(c).cast("decimal(38,0)") / 100).cast("double")
+    """Cents back to an exact two-decimal value."""
+    return (col(c).cast("decimal(36,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(38,2)")
 
 
 def div_round_half_up(num, den) -> Column:
-    """Integer ``num/den`` rounded half away from zero, in exact integer math.
+    """Integer ``num/den`` rounded half away from zero, in exact integer math
+    (38 digits; NULL when a side is NULL or den is 0).
 
     Used for averages of money in cents so Spark and SQL agree digit by digit.
     """
-    n, d = col(num).cast("long"), col(den).cast("long")
-    q = F.floor((F.abs(n) * 2 + d) / (d * 2))
-    return (F.signum(n) * q).cast("long")
+    n, d = col(num).cast("decimal(36,0)"), col(den).cast("decimal(19,0)")
+    twice = (F.abs(n) * 2).cast("decimal(38,0)") + d
+    q = F.call_function("div", twice.cast("decimal(38,0)"), F.nullif((d * 2).cast("decimal(20,0)"), F.lit(0)))
+    return (F.when(n < 0, -q).otherwise(q)).cast("long")
+
+
+def sum_cents(c) -> Column:
+    """Sum of a cents column with 38 digits (a long sum overflows near 10^12
+    rows of money)."""
+    return F.sum(col(c).cast("decimal(19,0)"))
 
 
 def avg_money(sum_cents, n) -> Column:
@@ -55,10 +63,13 @@ def desc_sql(c) -> Column:
 
 
 def months_between_whole(end, start) -> Column:
-    """Whole months between two dates (AGE + EXTRACT / TRUNC(MONTHS_BETWEEN))."""
+    """Whole months between two dates (AGE + EXTRACT / TRUNC(MONTHS_BETWEEN)),
+    truncated toward zero when the end lies before the start."""
     e, s = F.to_date(col(end)), F.to_date(col(start))
     m = (F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))
-    return (m - F.when(F.dayofmonth(e) < F.dayofmonth(s), 1).otherwise(0)).cast("int")
+    short = F.when((m > 0) & (F.dayofmonth(e) < F.dayofmonth(s)), 1).when(
+        (m < 0) & (F.dayofmonth(e) > F.dayofmonth(s)), -1).otherwise(0)
+    return (m - short).cast("int")
 
 
 def epoch_millis(ts) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import SparkSession
 def register_order_value(spark: SparkSession, items_view: str = "lineitem") -> None:
     """order_value(k): total of the order's items in exact cents, 0 if none."""
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION order_value(k BIGINT) RETURNS DOUBLE
-        RETURN SELECT CAST(COALESCE(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)), 0) AS DOUBLE) / 100
+        CREATE OR REPLACE TEMPORARY FUNCTION order_value(k BIGINT) RETURNS DECIMAL(38,2)
+        RETURN SELECT CAST(COALESCE(SUM(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DECIMAL(38,2))
                FROM {items_view} WHERE l_orderkey = k""")
 
 
@@ -26,4 +26,4 @@ def register_sum_to(spark: SparkSession) -> None:
     """sum_to(n) = 1 + ... + n (the loop function); 0 for n < 1."""
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION sum_to(n INT) RETURNS BIGINT
-        RETURN CASE WHEN n < 1 THEN 0L ELSE aggregate(sequence(1, n), 0L, (acc, x) -> acc + x) END""")
+        RETURN CASE WHEN n < 1 THEN 0L ELSE CAST(n AS BIGINT) * (CAST(n AS BIGINT) + 1) DIV 2 END""")

@@ -17,7 +17,7 @@ STOP_WORDS = (
     "le", "la", "les", "de", "des", "du", "et", "un", "une", "en", "que", "qui", "est",
     "der", "die", "das", "und", "ist", "ein", "eine", "zu", "den", "mit",
     "el", "los", "las", "y", "es", "por", "con", "para", "una", "del",
-    "o", "os", "e", "do", "da", "dos", "das", "um", "uma", "com", "se", "na", "no",
+    "o", "os", "e", "do", "da", "dos", "um", "uma", "com", "se", "na", "no",
 )
 
 # fixed values: light suffix rules (approximate Portuguese plural stripping);
@@ -49,3 +49,24 @@ def light_stem(term: Column) -> Column:
 
 def stop_words_sql() -> str:
     return ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+
+def letter_runs(text: str) -> list[str]:
+    """The tokens of a query string (the same runs as ``tokens``)."""
+    return "".join(c if c.isalpha() else " " for c in text).split()
+
+
+def stem_word(word: str) -> str:
+    """``light_stem`` of one query word."""
+    if len(word) > 3:
+        for suffix, new in SUFFIX_RULES:
+            if word.endswith(suffix):
+                return word[:len(word) - len(suffix)] + new
+    return word
+
+
+def stem_sql(term: str) -> str:
+    """``light_stem`` as a SQL expression."""
+    cases = " ".join(f"WHEN {term} LIKE '%{s}' THEN left({term}, length({term}) - {len(s)}) || '{r}'"
+                     for s, r in SUFFIX_RULES)
+    return f"CASE WHEN length({term}) <= 3 THEN {term} {cases} ELSE {term} END"

@@ -6,22 +6,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import avg_money, cents, money
+from ..functions.scalars import avg_money, cents, money, sum_cents
 
 
 def monthly_stats(df: DataFrame, date_col: str, value_col: str) -> DataFrame:
     """Count and ROUND(AVG(value), 2) per calendar month, exact in cents."""
     g = df.groupBy(F.year(date_col).alias("yr"), F.month(date_col).alias("mon")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum(cents(value_col)).alias("_c"))
+        F.count(F.lit(1)).alias("n_orders"), sum_cents(cents(value_col)).alias("_c"))
     return g.select("yr", "mon", "n_orders", avg_money("_c", "n_orders").alias("avg_value"))
 
 
 def month_summary(df: DataFrame, date_col: str, value_col: str, year: int, month: int) -> DataFrame:
     """R4 procedure form: one row (count, COALESCE(ROUND(AVG), 2), 0)) for a month,
     also when the month has no rows."""
-    m = df.filter((F.year(date_col) == year) & (F.month(date_col) == month))
-    a = m.agg(F.count(F.lit(1)).alias("n_orders"), F.sum(cents(value_col)).alias("_c"))
-    return a.select("n_orders", F.coalesce(avg_money("_c", "n_orders"), F.lit(0.0)).alias("avg_value"))
+    first = f"{year:04d}-{month:02d}-01"
+    after = f"{year + month // 12:04d}-{month % 12 + 1:02d}-01"
+    # a half-open range on the bare column: it reaches the scan as pushed filters
+    m = df.filter((F.col(date_col) >= F.lit(first).cast("timestamp_ntz"))
+                  & (F.col(date_col) < F.lit(after).cast("timestamp_ntz")))
+    a = m.agg(F.count(F.lit(1)).alias("n_orders"), sum_cents(cents(value_col)).alias("_c"))
+    return a.select("n_orders", F.coalesce(avg_money("_c", "n_orders"), F.lit(0).cast("decimal(38,2)"))
+                    .alias("avg_value"))
+
+
+def any_year_summary(df: DataFrame, date_col: str, value_col: str) -> DataFrame:
+    """The procedure's month-only form for every month 1..12: orders of that
+    month in any year, count and COALESCE(ROUND(AVG, 2), 0); one grouped scan."""
+    months = df.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("mon"))
+    g = df.groupBy(F.month(date_col).alias("mon")).agg(
+        F.count(F.lit(1)).alias("_n"), sum_cents(cents(value_col)).alias("_c"))
+    return months.join(g, "mon", "left").select(
+        "mon", F.coalesce("_n", F.lit(0)).cast("long").alias("n_orders"),
+        F.coalesce(avg_money("_c", "_n"), F.lit(0).cast("decimal(38,2)")).alias("avg_value"))
 
 
 def ordered_distinct_list(df: DataFrame, group: list[str], value: str, sep: str, name: str) -> DataFrame:

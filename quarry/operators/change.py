@@ -32,11 +32,10 @@ ACTION = "_action"
 
 
 def update(df: DataFrame, where, assignments: dict) -> DataFrame:
-    """UPDATE t SET c = v WHERE cond: a NULL condition leaves the row alone."""
+    """UPDATE t SET c = v, ... WHERE cond: the condition and every new value are
+    computed on the old row; a NULL condition leaves the row alone."""
     cond = F.coalesce(where, F.lit(False))
-    for c, v in assignments.items():
-        df = df.withColumn(c, F.when(cond, v).otherwise(F.col(c)))
-    return df
+    return df.withColumns({c: F.when(cond, v).otherwise(F.col(c)) for c, v in assignments.items()})
 
 
 def update_from(target: DataFrame, key: str, source_keys: DataFrame, source_key: str,
@@ -133,8 +132,7 @@ def merge_matched(target: DataFrame, source: DataFrame, key: str, set_cols: dict
                                                    *[F.col(c).alias(f"src_{c}") for c in scols])
     j = target.join(src, F.col(key) == F.col("_mm_k"), "left")
     hit = F.col("_mm_k").isNotNull()
-    for c, s in set_cols.items():
-        j = j.withColumn(c, F.when(hit, F.col(f"src_{s}")).otherwise(F.col(c)))
+    j = j.withColumns({c: F.when(hit, F.col(f"src_{s}")).otherwise(F.col(c)) for c, s in set_cols.items()})
     j = j.withColumn(ACTION, F.when(hit, "update").otherwise("unchanged"))
     return j.select(*target.columns, ACTION)
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def set_fields(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:
     """``$set``: assign fields on matching documents; a new field is created
     and is NULL on the documents that do not match."""
-    for name, v in values.items():
-        old = F.col(name) if name in df.columns else F.lit(None).cast(df.select(v).schema[0].dataType)
-        df = df.withColumn(name, F.when(where, v).otherwise(old))
-    return df
+    def old(name: str, v: Column) -> Column:
+        return F.col(name) if name in df.columns else F.lit(None).cast(df.select(v).schema[0].dataType)
+
+    # all values are computed on the old document
+    return df.withColumns({name: F.when(where, v).otherwise(old(name, v)) for name, v in values.items()})
 
 
 def inc_field(df: DataFrame, where: Column, name: str, amount: float) -> DataFrame:

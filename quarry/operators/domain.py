@@ -7,28 +7,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .relational import with_scalars
 
 FEE_PER_DAY = "2.00"     # fixed value: late fee per day
 LOAN_DAYS = 14           # fixed value: loan period in days
 
 
+def transfer_batches(accounts: DataFrame, key: str, balance: str, transfers: DataFrame, batch: str,
+                     src: str, dst: str, amount: str) -> DataFrame:
+    """All-or-nothing batches, each against the given balances: net delta per
+    batch and account; if any resulting balance would be negative the whole
+    batch is refused and the old state kept. Amounts and balances are exact
+    decimals.
+
+    The transfers are read once: both sides of each come from one row, deltas
+    are summed within tasks first, and the new balances are written before the
+    verdict per batch and the result read them."""
+    from ..sources.writers import stage
+
+    dec = F.col(amount).cast("decimal(38,2)")
+    sides = F.array(F.struct(F.col(src).alias("_acc"), (-dec).alias("_d")),
+                    F.struct(F.col(dst).alias("_acc"), dec.alias("_d")))
+    delta = transfers.select(F.col(batch).alias("_b"), F.inline(sides)).groupBy("_b", "_acc").agg(
+        F.sum("_d").cast("decimal(38,2)").alias("_delta"))
+    _, delta = stage(delta, "transfer_delta")
+    named = delta.groupBy("_b").agg(F.max("_acc").alias("_any")).select("_b")  # the batches: a short list
+    j = accounts.crossJoin(F.broadcast(named)).join(
+        delta.withColumnRenamed("_b", "_db"), (F.col(key) == F.col("_acc")) & (F.col("_b") == F.col("_db")), "left")
+    old = F.col(balance).cast("decimal(38,2)")
+    _, new = stage(j.select(F.col("_b").alias(batch), key, old.alias("_old"),
+                            (old + F.coalesce("_delta", F.lit(0))).cast("decimal(38,2)").alias("_new")), "transfer_new")
+    verdict = new.groupBy(batch).agg(F.count(F.when(F.col("_new") < 0, 1)).alias("_neg"))
+    ok = F.col("_neg") == 0
+    return new.join(F.broadcast(verdict), batch).select(
+        batch, key, F.when(ok, F.col("_new")).otherwise(F.col("_old")).alias(balance),
+        F.when(ok, "COMMITTED").otherwise("ROLLED_BACK").alias("batch_status"))
+
+
 def transfer_batch(accounts: DataFrame, key: str, balance: str, transfers: DataFrame,
                    src: str, dst: str, amount: str) -> DataFrame:
-    """All-or-nothing batch: net delta per account; if any resulting balance
-    would be negative the whole batch is refused and the old state kept.
-    Amounts and balances are exact decimals."""
-    out = transfers.select(F.col(src).alias("_acc"), (-F.col(amount).cast("decimal(18,2)")).alias("_d"))
-    inn = transfers.select(F.col(dst).alias("_acc"), F.col(amount).cast("decimal(18,2)").alias("_d"))
-    delta = out.unionByName(inn).groupBy("_acc").agg(F.sum("_d").alias("_delta"))
-    j = (accounts.join(delta, accounts[key] == F.col("_acc"), "left")
-         .withColumn("_new", F.col(balance).cast("decimal(18,2)") + F.coalesce("_delta", F.lit(0))))
-    flag = j.agg(F.count(F.when(F.col("_new") < 0, 1)).alias("_neg"))
-    ok = F.col("_neg") == 0
-    return (with_scalars(j, flag)
-            .select(key, F.when(ok, F.col("_new")).otherwise(F.col(balance).cast("decimal(18,2)"))
-                    .cast("double").alias(balance),
-                    F.when(ok, "COMMITTED").otherwise("ROLLED_BACK").alias("batch_status")))
+    """One all-or-nothing batch of transfers."""
+    r = transfer_batches(accounts, key, balance, transfers.withColumn("_batch", F.lit(0)), "_batch", src, dst, amount)
+    return r.drop("_batch")
 
 
 WINDOW = 1024  # rows looked at per vectorised step
@@ -109,8 +128,9 @@ def loan_issue(requests: DataFrame, day: str) -> DataFrame:
 
 def loan_return(loans: DataFrame, returns: DataFrame, key: str, ret_day: str) -> DataFrame:
     """Only open loans (no return date yet) take the return date and a fee
-    of 2.00 per day late; closed loans keep their values."""
-    r = returns.select(F.col(key).alias("_rk"), F.col(ret_day).alias("_rd"))
+    of 2.00 per day late; closed loans keep their values. Of several returns
+    of a loan the first counts."""
+    r = returns.groupBy(F.col(key).alias("_rk")).agg(F.min(ret_day).alias("_rd"))
     j = loans.join(r, loans[key] == F.col("_rk"), "left")
     is_open = F.col("data_devolucao").isNull() & F.col("_rd").isNotNull()
     late = F.greatest(F.datediff(F.col("_rd"), F.col("data_prevista")), F.lit(0))

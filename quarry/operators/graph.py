@@ -39,20 +39,24 @@ def one_hop(nodes: DataFrame, edges: DataFrame, src_label: str, edge_type: str,
             .select("a_id", "a_name", "b_id", "b_name", "b_price"))
 
 
-def shared_neighbours(nodes: DataFrame, edges: DataFrame, anchor_name: str, first: str, second: str) -> DataFrame:
-    """MATCH (a1 {name})-[:first]->()-[:second]->(c)<-[:second]-()<-[:first]-(a2)
+def shared_neighbours(nodes: DataFrame, edges: DataFrame, label: str, anchor_name: str, first: str,
+                      second: str) -> DataFrame:
+    """MATCH (a1:label {name})-[:first]->()-[:second]->(c)<-[:second]-()<-[:first]-(a2)
     WHERE a1 <> a2 RETURN DISTINCT a2.name, c.name.
 
-    The anchor's categories are found first (small), then the paths are
-    walked backwards from them; (author, category) pairs are made distinct
-    before the second expansion, so no all-pairs product is formed."""
+    Walked from the anchors: their edges, their categories (distinct pairs),
+    then back to the authors. Only the anchor node itself is excluded, so a
+    namesake counts; several anchors of one name each give their own pairs. A
+    pair (anchor, category) is carried once, and authors are made distinct
+    before the names are looked up, so no all-pairs product is formed."""
     e1 = edges.filter(F.col("type") == first).select(F.col("src").alias("author"), F.col("dst").alias("mid"))
-    e2 = edges.filter(F.col("type") == second).select(F.col("src").alias("mid2"), F.col("dst").alias("cat"))
-    author_cat = (e1.join(e2, e1.mid == e2.mid2).select("author", "cat").distinct())
-    anchor = nodes.filter(F.col("name") == anchor_name).select(F.col("id").alias("anchor"))
-    anchor_cats = author_cat.join(anchor, author_cat.author == anchor.anchor).select(F.col("cat").alias("acat"))
-    others = author_cat.join(anchor_cats.distinct(), author_cat.cat == F.col("acat"))
-    others = others.join(anchor, others.author == anchor.anchor, "left_anti")
+    e2 = edges.filter(F.col("type") == second).select(F.col("src").alias("mid"), F.col("dst").alias("cat"))
+    anchor = nodes.filter((F.col("label") == label) & (F.col("name") == anchor_name)).select(
+        F.col("id").alias("anchor"))
+    cats = (e1.join(anchor, F.col("author") == F.col("anchor")).select("anchor", "mid").distinct()
+            .join(e2, "mid").select("anchor", "cat").distinct())
+    back = cats.join(e2, "cat").select("anchor", "cat", "mid").join(e1, "mid")
+    others = back.filter(F.col("author") != F.col("anchor")).select("author", "cat").distinct()
     names = nodes.select(F.col("id").alias("nid"), F.col("name").alias("nname"))
     out = (others.join(names, others.author == names.nid).select(F.col("nname").alias("autor"), "cat")
            .join(names, F.col("cat") == names.nid)
@@ -60,6 +64,13 @@ def shared_neighbours(nodes: DataFrame, edges: DataFrame, anchor_name: str, firs
     return out.distinct()
 
 
+def set_property(nodes: DataFrame, matched: DataFrame, id_col: str, values: dict) -> DataFrame:
+    """SET n.p = v on the matched nodes; values are computed on the old node."""
+    from .change import update_from
+
+    return update_from(nodes, "id", matched, id_col, values)
+
+
 def delete_edges(edges: DataFrame, doomed: DataFrame) -> DataFrame:
     """DELETE r: drop matching edges (anti join); nodes are untouched."""
     return edges.join(doomed, ["src", "dst", "type"], "left_anti")

@@ -50,3 +50,11 @@ def as_of(changes: DataFrame, key: str, ts: str, tiebreak: str, op: str, values:
     last = upto.groupBy(key).agg(F.max_by(F.struct(op, ts, *values), F.struct(ts, tiebreak)).alias("_last"))
     return (last.filter(F.col("_last")[op] != "DELETE")
             .select(key, F.col(f"_last.{ts}").alias("changed_at"), *[F.col(f"_last.{v}").alias(v) for v in values]))
+
+
+def restore_table(current: DataFrame, key: str, past: DataFrame) -> DataFrame:
+    """The table as it was: the rows of ``past`` (an ``as_of`` read), each with
+    ``_action`` reinserted (not in the current table) or kept."""
+    now = current.select(F.col(key).alias("_rt_k")).distinct()
+    j = past.drop("changed_at").join(now, F.col(key) == F.col("_rt_k"), "left")
+    return j.withColumn("_action", F.when(F.col("_rt_k").isNull(), "reinserted").otherwise("kept")).drop("_rt_k")

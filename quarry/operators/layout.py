@@ -9,45 +9,67 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 
-def prune_by_date(df: DataFrame, date_col: str, part_col: str, lo: str, hi: str,
-                  first_year: int, last_year: int) -> DataFrame:
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def partition_labels(spark: SparkSession, path: str, part_col: str) -> list[str]:
+    """Labels of the partition folders that exist (a listing of one folder)."""
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{part_col}="))
+
+
+def label_years(label: str) -> tuple[int, int]:
+    """Years that a label of ``year_range_partition`` or of a merge covers:
+    ``ate_Y`` all up to Y, ``Y`` one, ``Y_Z`` from Y to Z, else (the DEFAULT
+    label) any year."""
+    parts = label.split("_")
+    if len(parts) == 2 and parts[0] == "ate" and parts[1].isdigit():
+        return -10**9, int(parts[1])
+    if all(p.isdigit() for p in parts) and len(parts) <= 2:
+        return int(parts[0]), int(parts[-1])
+    return -10**9, 10**9
+
+
+def prune_by_date(df: DataFrame, date_col: str, part_col: str, lo: str, hi: str, labels: list[str]) -> DataFrame:
     """Filter a year-partitioned dataset by a date range. Spark cannot infer a
-    partition filter from a filter on the date column, so the matching
-    partition labels are derived and filtered explicitly."""
+    partition filter from a filter on the date column, so the labels (those
+    that exist: see ``partition_labels``) whose years meet the range are
+    filtered explicitly, merged ones included."""
     y0, y1 = int(lo[:4]), int(hi[:4])
-    labels = set()
-    for y in range(y0, y1 + 1):
-        labels.add(f"ate_{first_year}" if y <= first_year else (str(y) if y <= last_year else "futuro"))
+    hit = [x for x in labels if label_years(x)[0] <= y1 and label_years(x)[1] >= y0]
     cond = F.col(date_col).between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
-    return df.filter(F.col(part_col).isin(sorted(labels)) & cond)
+    return df.filter(F.col(part_col).isin(hit) & cond)
 
 
 def drop_partitions(spark: SparkSession, path: str, part_col: str, values: list[str]) -> None:
     """Retention: remove whole partition folders through the Hadoop
     FileSystem API (works on any shared file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={v}")
-        fs = p.getFileSystem(conf)
+        fs, p = _fs(spark, f"{path}/{part_col}={v}")
         if fs.exists(p):
             fs.delete(p, True)
 
 
 def merge_partitions(spark: SparkSession, path: str, part_col: str, values: list[str], new_value: str,
-                     cluster_cols: list[str] | None = None) -> None:
+                     schema: T.StructType, cluster_cols: list[str] | None = None) -> None:
     """Rewrite the rows of some partitions under one new label, compacted;
-    other partitions are not touched. The rows are staged first so the
-    source folders can be replaced safely."""
-    d = spark.read.parquet(path)
-    moved = d.filter(F.col(part_col).isin(values)).withColumn(part_col, F.lit(new_value))
-    tmp = scratch_path(spark, "partition_merge")
-    moved.write.mode("overwrite").parquet(tmp)
-    staged = spark.read.parquet(tmp)
+    other partitions are not touched. The new folder is written and counted
+    before the old ones are dropped, so a failed write loses nothing."""
+    from ..sources.writers import read_partitioned, write_partitioned
+
+    if new_value in values or new_value in partition_labels(spark, path, part_col):
+        raise ValueError(f"partition {new_value} exists already")
+    old = read_partitioned(spark, path, schema).filter(F.col(part_col).isin(values))
+    write_partitioned(old.withColumn(part_col, F.lit(new_value)), path, part_col, cluster_cols, mode="append")
+    counts = {r[0]: r[1] for r in read_partitioned(spark, path, schema).filter(
+        F.col(part_col).isin([*values, new_value])).groupBy(part_col).count().collect()}  # one row per label
+    if counts.get(new_value, 0) != sum(n for v, n in counts.items() if v != new_value):
+        raise OSError(f"merge into {new_value} is incomplete; the old partitions are kept")
     drop_partitions(spark, path, part_col, values)
-    from ..sources.writers import write_partitioned
-
-    write_partitioned(staged, path, part_col, cluster_cols, mode="append")
 
 
 def write_clustered(df: DataFrame, path: str, cols: list[str], n_partitions: int | None = None) -> None:
@@ -79,12 +101,12 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = Non
 
 
 def read_with_added_column(spark: SparkSession, path: str, old_schema: T.StructType, name: str,
-                           dtype: T.DataType, default) -> DataFrame:
-    """Read old files with the new schema: the missing column is NULL and
-    takes the declared default."""
-    schema = T.StructType(list(old_schema.fields) + [T.StructField(name, dtype, True)])
-    d = spark.read.schema(schema).parquet(path)
-    return d.withColumn(name, F.coalesce(F.col(name), F.lit(default).cast(dtype)))
+                           dtype: T.DataType, default_sql: str) -> DataFrame:
+    """Read with the new schema: files without the column give the declared
+    default (the schema's existence default); a NULL that was written later
+    stays NULL."""
+    field = T.StructField(name, dtype, True, {"EXISTS_DEFAULT": default_sql, "CURRENT_DEFAULT": default_sql})
+    return spark.read.schema(T.StructType([*old_schema.fields, field])).parquet(path)
 
 
 def evolve(df: DataFrame, path: str, widen: dict | None = None, rename: dict | None = None,
@@ -98,10 +120,9 @@ def evolve(df: DataFrame, path: str, widen: dict | None = None, rename: dict | N
 
 
 def fill_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    """Columns not named by an insert take their DEFAULT expression."""
-    for c, v in defaults.items():
-        df = df.withColumn(c, F.coalesce(F.col(c), v) if c in df.columns else v)
-    return df
+    """Columns not named by an insert take their DEFAULT expression; an
+    explicit NULL stays NULL."""
+    return df.withColumns({c: v for c, v in defaults.items() if c not in df.columns})
 
 
 def add_partition(df: DataFrame, path: str, part_col: str, cluster_cols: list[str] | None = None) -> None:
@@ -114,11 +135,8 @@ def add_partition(df: DataFrame, path: str, part_col: str, cluster_cols: list[st
 def detach_partition(spark: SparkSession, path: str, part_col: str, value: str, dest: str) -> DataFrame:
     """DETACH PARTITION: the folder leaves the table but keeps its data, as a
     table of its own at ``dest`` (a metadata-only move on the file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={value}")
-    dst = jvm.org.apache.hadoop.fs.Path(dest)
-    fs = src.getFileSystem(conf)
+    fs, src = _fs(spark, f"{path}/{part_col}={value}")
+    _, dst = _fs(spark, dest)
     if fs.exists(src):
         parent = dst.getParent()
         if parent is not None and not fs.exists(parent):

@@ -2,11 +2,11 @@
 
 ``overlaps_literal`` is the B16 lookup against one slot. ``conflict_counts``
 is the C21 double-booking check: for every live slot, how many other live
-slots of the same key overlap it. It is computed as two rank probes over one
-distributed sort (see ``operators.scan``), so it is linear in the rows and
-never lists pairs: one key holding a third of the rows, or thousands of
-identical slots, still spreads over all tasks (the running count takes the
-distributed scan when a key is hot, Spark's Window otherwise).
+slots of the same key overlap it; ``overlap_counts`` is the same for slots with
+a start and an end. Both are two rank probes over one distributed sort (see
+``operators.scan``), linear in the rows and without lists of pairs: one key
+holding a third of the rows, or thousands of identical slots, spread over all
+tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import choose, running_total
+from .scan import running_sum
 
 
 def _ts(v) -> F.Column:
@@ -31,32 +31,39 @@ def overlaps_literal(df: DataFrame, start: str, minutes: int, q_start, q_end) ->
     return df.filter((F.col(start) < _ts(q_end)) & (F.col(start) > lo))
 
 
-def conflict_counts(df: DataFrame, key: str, start: str, ident: str, minutes: int,
-                    n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
-    """Per row of ``df``: ``n_conflicts`` = other rows of the same key whose
-    slot overlaps its own. Rows without conflicts are dropped.
+def overlap_counts(df: DataFrame, key: list[str], start: str, end: str, ident: str,
+                   n_partitions: int | None = None) -> DataFrame:
+    """Per row: ``n_conflicts`` = other rows of the same key whose half-open
+    slot [start, end) overlaps its own; rows without conflicts are dropped.
 
-    Overlap of two slots of equal length d  <=>  |s1 - s2| < d, so the count is
-    #{s' < s + d} - #{s' <= s - d} - 1 per row. Both counts come from one
-    running count over the key's rows merged with two probe rows per slot.
+    Of the key's other slots, all that start before my end overlap mine but
+    for those that end at or before my start: the count is #{start' < end} -
+    #{end' <= start} - 1. Both come from one running count over four tagged
+    points per row (its start, its end, and a probe at each), made by one scan
+    of the rows. Rows without a key, a start before its end, or an id have no
+    slot; ``ident`` must identify a row.
     """
-    d = F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    base = df.select(F.col(key).alias("_k"), F.col(start).alias("_t"), F.col(ident).alias("_id"))
-    # kind orders ties at the same instant: probe "< t" (0) before data (1)
-    # before probe "<= t" (2)
-    data = base.select("_k", "_t", F.lit(1).alias("_kind"), "_id", F.lit(1).cast("long").alias("_w"))
-    hi = base.select("_k", (F.col("_t") + d).alias("_t"), F.lit(0).alias("_kind"), "_id",
-                     F.lit(0).cast("long").alias("_w"))
-    lo = base.select("_k", (F.col("_t") - d).alias("_t"), F.lit(2).alias("_kind"), "_id",
-                     F.lit(0).cast("long").alias("_w"))
-    merged = data.unionByName(hi).unionByName(lo)
-    how = strategy or choose(merged, ["_k"])
-    scanned = running_total(merged, ["_k"], [("_t", True), ("_kind", True), ("_id", True)], "_w", "_w_cum",
-                            n_partitions=n_partitions, strategy=how)
-    probes = (scanned.filter(F.col("_kind") != 1)
-              .groupBy("_id")
-              .agg(F.sum(F.when(F.col("_kind") == 0, F.col("_w_cum"))).alias("_below_hi"),
-                   F.sum(F.when(F.col("_kind") == 2, F.col("_w_cum"))).alias("_upto_lo")))
-    counts = probes.select(F.col("_id").alias(ident),
-                           (F.col("_below_hi") - F.col("_upto_lo") - 1).alias("n_conflicts"))
-    return df.join(counts.filter(F.col("n_conflicts") > 0), ident)
+    slot = df.filter(F.col(start) < F.col(end)).dropna(subset=[*key, ident])
+    point = lambda at, kind, s, e: F.struct(
+        F.col(at).alias("_t"), F.lit(kind).alias("_kind"), F.lit(s).cast("long").alias("_s"),
+        F.lit(e).cast("long").alias("_e"))
+    # at one instant: the probe of starts < t (0) comes before starts and ends
+    # at t (1, 2), the probe of ends <= t (3) after them
+    points = F.array(point(end, 0, 0, 0), point(start, 1, 1, 0), point(end, 2, 0, 1), point(start, 3, 0, 0))
+    merged = slot.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.col(ident).alias("_id"),
+                         F.inline(points))
+    scanned = running_sum(merged, [f"_k{i}" for i in range(len(key))], ["_t", "_kind", "_id"], ["_s", "_e"],
+                          n_partitions)
+    probes = scanned.filter(F.col("_kind").isin(0, 3)).groupBy("_id").agg(
+        F.max(F.when(F.col("_kind") == 0, F.col("_s_cum"))).alias("_started"),
+        F.max(F.when(F.col("_kind") == 3, F.col("_e_cum"))).alias("_ended"))
+    counts = probes.select(F.col("_id").alias(ident), (F.col("_started") - F.col("_ended") - 1).alias("n_conflicts"))
+    return df.join(counts.filter("n_conflicts > 0"), ident)
+
+
+def conflict_counts(df: DataFrame, key: str, start: str, ident: str, minutes: int,
+                    n_partitions: int | None = None) -> DataFrame:
+    """``overlap_counts`` of slots that all last ``minutes``; ``ident`` must
+    identify a row."""
+    until = df.withColumn("_until", F.col(start) + F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    return overlap_counts(until, [key], start, "_until", ident, n_partitions).drop("_until")

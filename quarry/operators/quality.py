@@ -67,6 +67,14 @@ def split_good_rejected(df: DataFrame, key: str, rules: dict[str, Column], dup_c
     return out.withColumn("status", F.when(F.size("reasons") == 0, "ACCEPTED").otherwise("REJECTED"))
 
 
+def with_check_option(rows: DataFrame, inside: Column) -> DataFrame:
+    """Rows written through a view WITH CHECK OPTION: ``accepted`` where the
+    view's condition is TRUE on the new row; else the reason. A NULL condition
+    refuses the row."""
+    ok = F.coalesce(inside, F.lit(False))
+    return rows.withColumns({"accepted": ok, "reason": F.when(~ok, F.lit("CHECK_OPTION"))})
+
+
 def restrict_delete(parents: DataFrame, pk: str, children: DataFrame, fk: str) -> DataFrame:
     """ON DELETE RESTRICT: parents with children are blocked, others deleted."""
     has = children.select(F.col(fk).alias("_rd_k")).distinct().withColumn("_rd_hit", F.lit(True))
@@ -74,11 +82,11 @@ def restrict_delete(parents: DataFrame, pk: str, children: DataFrame, fk: str) -
     return j.withColumn("outcome", F.when(F.col("_rd_hit"), "BLOCKED").otherwise("DELETED")).drop("_rd_k", "_rd_hit")
 
 
-def cascade_delete(levels: list[tuple[DataFrame, str, str]], doomed_keys: DataFrame, key: str) -> list[DataFrame]:
-    """ON DELETE CASCADE down a chain of (table, key, parent_fk) levels.
-    Returns the deleted rows per level; survivors are ``anti`` joins."""
-    out = []
-    keys = doomed_keys.select(F.col(key).alias("_cd_k")).distinct()
+def cascade_delete(doomed: DataFrame, key: str, levels: list[tuple[DataFrame, str, str]]) -> list[DataFrame]:
+    """ON DELETE CASCADE: the deleted rows of the parent (``doomed``) and of
+    each (table, key, parent_fk) level below it; survivors are ``anti`` joins."""
+    out = [doomed]
+    keys = doomed.select(F.col(key).alias("_cd_k")).distinct()
     for table, own_key, parent_fk in levels:
         gone = table.join(keys, table[parent_fk] == F.col("_cd_k"), "left_semi")
         out.append(gone)

@@ -7,14 +7,15 @@ one task, so one hot group (a third of the rows) becomes one 30 TB task.
 1. range-partitions on (group, order) -- the order keys must be a total
    order, so the range sampler can cut even a single hot group into many
    balanced partitions -- and sorts within partitions;
-2. scans each partition once (vectorised pandas cumsum per group run,
+2. scans each partition once (vectorised cumsum per group run,
    carried across Arrow batches) to get partition-local running sums, and
    stores the rows with their partition id in the shared checkpoint folder.
    Both later passes read these same bytes, so they agree on the partition
    boundaries (two independent range exchanges would sample different
    bounds), and a lost executor does not force the scan to be redone;
 3. builds a carry table with one row per non-empty partition (first group,
-   last group, last-group total). Its size is bounded by the number of
+   last group, last-group total) from the rows that the scan flagged as a
+   partition's first and last. Its size is bounded by the number of
    partitions, not by the data, so it is safe to broadcast;
 4. adds to each row of a partition's first group the totals of the same
    group in earlier partitions.
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PID = "_scan_pid"
+EDGE = "_scan_edge"  # 1: first row of its partition, 2: last row, 3: both, 0: neither
 
 
 def _run_starts(g: pd.DataFrame, prev: tuple | None) -> np.ndarray:
@@ -60,28 +62,42 @@ def _run_starts(g: pd.DataFrame, prev: tuple | None) -> np.ndarray:
 
 
 def _local_scan(group_cols, sum_cols, cum_cols):
+    """Arrow batches in and out: the rows pass through untouched (a detour
+    over pandas would turn NaN into NULL and nullable longs into doubles); only
+    the non-null group stand-ins and summands are looked at."""
     def fn(batches):
+        import pyarrow as pa
+
         prev_key = None
         carry = None
-        for pdf in batches:
-            if pdf.empty:
+        held = None  # one batch back, until it is known whether it ends the partition
+
+        def finish(b, cums, edge):
+            arrays = [*b.columns, *(pa.array(cums[c].to_numpy()) for c in sum_cols), pa.array(edge)]
+            return pa.RecordBatch.from_arrays(arrays, [*b.schema.names, *cum_cols, EDGE])
+
+        for b in batches:
+            if not b.num_rows:
                 continue
-            g = pdf[group_cols]
+            g = pd.DataFrame({c: b.column(c).to_pandas() for c in group_cols}, index=range(b.num_rows))
             starts = _run_starts(g, prev_key)
             gid = np.cumsum(starts)  # 0 for rows continuing the previous batch's group
-            vals = pdf[sum_cols]
+            vals = pd.DataFrame({c: b.column(c).to_numpy(zero_copy_only=False) for c in sum_cols})
             cums = vals.groupby(gid, sort=False).cumsum()
             if carry is not None:
                 cont = gid == 0
                 if cont.any():
                     cums.loc[cont, :] = cums.loc[cont, :].to_numpy() + carry
-            last = g.iloc[-1]
-            prev_key = tuple(None if pd.isna(v) else v for v in last)
+            prev_key = tuple(g.iloc[-1])
             carry = cums.iloc[-1].to_numpy()
-            out = pdf.copy()
-            for c, cc in zip(sum_cols, cum_cols):
-                out[cc] = cums[c].to_numpy()
-            yield out
+            edge = np.zeros(b.num_rows, dtype=np.int32)
+            edge[0] = held is None
+            if held is not None:
+                yield finish(*held)
+            held = b, cums, edge
+        if held is not None:
+            held[2][-1] += 2
+            yield finish(*held)
     return fn
 
 
@@ -92,15 +108,19 @@ def _null_safe_all_equal(left: list[str], right: list[str]):
     return cond
 
 
-def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
+def running_sum(df: DataFrame, group_cols: list[str], order_cols: list,
                 sum_cols: list[str], n_partitions: int | None = None) -> DataFrame:
-    """Add ``<c>_cum``: inclusive running sum of ``c`` within each group,
-    in ``order_cols`` order (ascending, NULLs first). ``group_cols`` + ``order_cols``
-    must identify a row; ``sum_cols`` must be non-null numeric columns.
+    """Add ``<c>_cum``: inclusive running sum of ``c`` within each group, in
+    ``order_cols`` order: column names (ascending, NULLs first) or
+    ``(name, ascending)`` pairs of any orderable type; descending puts NULLs
+    first as well. ``group_cols`` + ``order_cols`` must identify a row;
+    ``sum_cols`` must be non-null numeric columns.
     """
     from ..sources.writers import stage
 
-    keys = list(group_cols) + list(order_cols)
+    order = [(c, True) if isinstance(c, str) else c for c in order_cols]
+    keys = [F.col(c).asc_nulls_first() for c in group_cols] + [
+        F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_first() for c, asc in order]
     cum_cols = [f"{c}_cum" for c in sum_cols]
     # without a fixed count AQE may merge adjacent range partitions; merged
     # partitions keep key order, and the partition id is taken in that stage
@@ -111,22 +131,25 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     surrogates = []
     for i, c in enumerate(group_cols):
         dt = df.schema[c].dataType
-        zero = F.lit("") if isinstance(dt, T.StringType) else F.lit(0).cast(dt)
-        ranged = ranged.withColumn(f"_gn{i}", F.col(c).isNull()).withColumn(f"_gv{i}", F.coalesce(F.col(c), zero))
+        plain = isinstance(dt, (T.NumericType, T.BooleanType))
+        value = F.coalesce(F.col(c), F.lit(0).cast(dt)) if plain else F.coalesce(F.col(c).cast("string"), F.lit(""))
+        ranged = ranged.withColumn(f"_gn{i}", F.col(c).isNull()).withColumn(f"_gv{i}", value)
         surrogates += [f"_gn{i}", f"_gv{i}"]
     ranged = ranged.withColumn(PID, F.spark_partition_id()).sortWithinPartitions(*keys)
     fields = {f.name: f.dataType for f in ranged.schema.fields}
     out_schema = T.StructType(list(ranged.schema.fields)
-                              + [T.StructField(cc, fields[c], False) for c, cc in zip(sum_cols, cum_cols)])
-    scanned = ranged.mapInPandas(_local_scan(surrogates, sum_cols, cum_cols), out_schema).drop(*surrogates)
+                              + [T.StructField(cc, fields[c], False) for c, cc in zip(sum_cols, cum_cols)]
+                              + [T.StructField(EDGE, T.IntegerType(), False)])
+    scanned = ranged.mapInArrow(_local_scan(surrogates, sum_cols, cum_cols), out_schema).drop(*surrogates)
     _, staged = stage(scanned, "scan")
 
     # per partition: first group, last group and the last group's local total
-    # (the local running sum at the partition's last row)
-    order_key = F.struct(*[F.col(k) for k in keys])
-    last = F.max_by(F.struct(*[F.col(c) for c in group_cols], *[F.col(cc) for cc in cum_cols]), order_key)
-    first = F.min_by(F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.lit(0), order_key)
-    s = staged.groupBy(PID).agg(first.alias("_first"), last.alias("_last"))
+    # (the local running sum at the partition's last row); two rows at most
+    edges = staged.filter(F.col(EDGE) > 0)
+    first = F.max(F.when(F.col(EDGE).bitwiseAND(1) == 1, F.struct(*[F.col(c) for c in group_cols], F.lit(0).alias("_z"))))
+    last = F.max(F.when(F.col(EDGE).bitwiseAND(2) == 2,
+                        F.struct(*[F.col(c) for c in group_cols], *[F.col(cc) for cc in cum_cols])))
+    s = edges.groupBy(PID).agg(first.alias("_first"), last.alias("_last"))
     s = s.select(PID, *[F.col(f"_first.{c}").alias(f"_f_{c}") for c in group_cols],
                  *[F.col(f"_last.{c}").alias(f"_l_{c}") for c in group_cols],
                  *[F.col(f"_last.{cc}").alias(f"_t_{c}") for c, cc in zip(sum_cols, cum_cols)])
@@ -154,5 +177,5 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
     for c, cc in zip(sum_cols, cum_cols):
         result = result.withColumn(cc, F.when(same & F.col(f"_cv_{c}").isNotNull(),
                                               F.col(cc) + F.col(f"_cv_{c}")).otherwise(F.col(cc)))
-    drop = [PID, "_c_pid"] + [f"_cg_{c}" for c in group_cols] + [f"_cv_{c}" for c in sum_cols]
+    drop = [PID, EDGE, "_c_pid"] + [f"_cg_{c}" for c in group_cols] + [f"_cv_{c}" for c in sum_cols]
     return result.drop(*drop)

@@ -11,36 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import STOP_WORDS, TOKEN_SPLIT, light_stem, tokens
+from ..functions.text import STOP_WORDS, TOKEN_SPLIT, letter_runs, light_stem, stem_word, tokens
+
+
+def query_terms(terms: list[str], stem: bool = False) -> list[str]:
+    """The distinct tokens that a query asks for: lower-cased letter runs (a
+    term of two words gives two), stop words dropped, stemmed on request."""
+    found = {w for t in terms for w in letter_runs(t.lower()) if w not in STOP_WORDS}
+    return sorted({stem_word(w) for w in found} if stem else found)
 
 
 def match_all(docs: DataFrame, text: str, terms: list[str], stem: bool = False) -> DataFrame:
-    """``to_tsvector(text) @@ 'a & b'``: documents holding every term.
+    """``to_tsvector(text) @@ 'a & b'``: documents holding every term. A query
+    of stop words alone matches nothing, as in the server.
 
-    Stop words are dropped from the query (as the server does). A document
-    can only hold the token if its lower-cased text contains the term, so
-    that cheap substring test runs first and only candidates are tokenised."""
-    want = [t.lower() for t in terms if t.lower() not in STOP_WORDS]
-    if stem:  # approximate: stem both sides, no substring prefilter
-        toks = F.transform(tokens(text), light_stem)
-        stems = docs.sparkSession.createDataFrame([(t,) for t in want], "t string") \
-            .select(light_stem(F.col("t")).alias("s")).collect()  # the query terms only
-        cond = None
-        for r in stems:
-            c = F.array_contains(toks, r.s)
-            cond = c if cond is None else cond & c
-        return docs if cond is None else docs.filter(cond)
-    low = F.lower(F.col(text))
+    A document can only hold a token if its lower-cased text contains it, so
+    that cheap substring test runs first. With ``stem`` (approximate) both
+    sides are stemmed; a stem need not be part of the word, so the test is
+    then on the tokens alone."""
+    want = query_terms(terms, stem)
     if not want:
-        return docs
+        return docs.filter(F.lit(False))
+    if stem:
+        drop = F.array(*[F.lit(w) for w in STOP_WORDS])
+        stems = F.transform(F.array_except(tokens(text), drop), light_stem)
+        return docs.filter(F.size(F.array_except(F.array(*[F.lit(w) for w in want]), stems)) == 0)
+    low = F.lower(F.col(text))
     # a token equals t  <=>  t occurs in the lower-cased text with no letter on
-    # either side; the plain substring test runs first as a cheap prefilter
-    pre = exact = None
+    # either side; tokens are letters only, so nothing needs quoting
+    pre, exact = F.lit(True), F.lit(True)
     for t in want:
-        c = low.contains(t)
-        x = low.rlike(r"(?<!\p{L})\Q" + t + r"\E(?!\p{L})")
-        pre = c if pre is None else pre & c
-        exact = x if exact is None else exact & x
+        pre = pre & low.contains(t)
+        exact = exact & low.rlike(r"(?<!\p{L})" + t + r"(?!\p{L})")
     return docs.filter(pre).filter(exact)
 
 
@@ -61,7 +63,8 @@ def write_index(post: DataFrame, path: str, n_partitions: int | None = None) ->
 
 
 def search(post: DataFrame, terms: list[str]) -> DataFrame:
-    """Intersect the postings of all terms: documents where every term occurs."""
-    want = sorted({t.lower() for t in terms})
+    """Intersect the postings of all terms: documents where every term occurs;
+    the same terms as ``match_all`` asks for."""
+    want = query_terms(terms)
     hits = post.filter(F.col("term").isin(want)).groupBy("doc_id").agg(F.countDistinct("term").alias("_n"))
     return hits.filter(F.col("_n") == len(want)).select("doc_id")

@@ -1,17 +1,12 @@
 """Window functions that stay balanced when one partition key is hot.
 
 Built on ``scan.running_sum`` (a distributed prefix sum) plus joins on unique
-keys. Peers (rows with equal ORDER BY values) are aggregated first, so a hot
-run of ties costs one partial aggregate, not one task.
+keys; there is one path at every size. Peers (rows with equal ORDER BY values)
+are aggregated first, so a hot run of ties costs one partial aggregate, not one
+task.
 
-Order keys: ``(column, ascending)`` pairs; a descending key must be numeric
-(it is negated, which also puts NULLs first as the SQL servers do for DESC).
-
-Strategy: ``choose`` runs one aggregate job that reads only the partition
-columns and finds the largest group. When no group exceeds
-``quarry.window.maxGroupRows`` (default 2,000,000 rows) Spark's own Window
-operator (codegen, no Python) is used; otherwise the scan. Every function
-takes ``strategy`` ("native" / "scan"; None = decide).
+Order keys: ``(column, ascending)`` pairs of any orderable type; NULLs come
+first either way, as the SQL servers do for DESC and Spark for ASC.
 """
 
 from __future__ import annotations
@@ -19,49 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from .scan import running_sum
 
-MAX_GROUP_CONF = "quarry.window.maxGroupRows"
-DEFAULT_MAX_GROUP = 2_000_000
-
-
-def choose(df: DataFrame, group: list[str], max_group_rows: int | None = None) -> str:
-    """"native" when every group (the whole input if ``group`` is empty) is
-    at most ``max_group_rows`` rows, else "scan"."""
-    if max_group_rows is None:
-        max_group_rows = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP)))
-    if group:
-        biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    else:
-        biggest = df.count()
-    return "native" if (biggest or 0) <= max_group_rows else "scan"
-
-
-def _window(group: list[str], order: list[tuple[str, bool]]):
-    keys = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_first() for c, asc in order]
-    return (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy(*keys)
-
-
-def _sort_cols(df: DataFrame, order: list[tuple[str, bool]], prefix: str):
-    cols, exprs = [], []
-    for i, (c, asc) in enumerate(order):
-        name = f"{prefix}{i}"
-        exprs.append((F.col(c) if asc else -F.col(c)).alias(name))
-        cols.append(name)
-    return cols, exprs
-
 
 def row_number(df: DataFrame, group: list[str], order: list[tuple[str, bool]], name: str = "row_num",
-               n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
+               n_partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order); ``order`` must be total."""
-    if (strategy or choose(df, group)) == "native":
-        return df.withColumn(name, F.row_number().over(_window(group, order)).cast("long"))
-    keys, exprs = _sort_cols(df, order, "_rn_o")
-    base = df.select("*", *exprs, F.lit(1).cast("long").alias("_rn_one"))
-    out = running_sum(base, group, keys, ["_rn_one"], n_partitions)
-    return out.withColumnRenamed("_rn_one_cum", name).drop("_rn_one", *keys)
+    base = df.withColumn("_rn_one", F.lit(1).cast("long"))
+    out = running_sum(base, group, order, ["_rn_one"], n_partitions)
+    return out.withColumnRenamed("_rn_one_cum", name).drop("_rn_one")
 
 
 def _join_peers(df: DataFrame, peers: DataFrame, cols: list[str]) -> DataFrame:
@@ -74,17 +35,12 @@ def _join_peers(df: DataFrame, peers: DataFrame, cols: list[str]) -> DataFrame:
 
 def rank_dense_rank(df: DataFrame, group: list[str], order: list[tuple[str, bool]],
                     rank: str = "rank_num", dense: str = "dense_num",
-                    n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
+                    n_partitions: int | None = None) -> DataFrame:
     """RANK() and DENSE_RANK(): ranks of the distinct order values per group."""
-    if (strategy or choose(df, group)) == "native":
-        w = _window(group, order)
-        return (df.withColumn(rank, F.rank().over(w).cast("long"))
-                .withColumn(dense, F.dense_rank().over(w).cast("long")))
     ocols = [c for c, _ in order]
     peers = df.groupBy(*group, *ocols).agg(F.count(F.lit(1)).alias("_pr_n"))
-    keys, exprs = _sort_cols(peers, order, "_pr_o")
-    p = peers.select(*group, *ocols, *exprs, "_pr_n", F.lit(1).cast("long").alias("_pr_one"))
-    p = running_sum(p, group, keys, ["_pr_n", "_pr_one"], n_partitions)
+    p = peers.withColumn("_pr_one", F.lit(1).cast("long"))
+    p = running_sum(p, group, order, ["_pr_n", "_pr_one"], n_partitions)
     p = p.select(*[F.col(c).alias(f"_pk_{c}") for c in group + ocols],
                  (F.col("_pr_n_cum") - F.col("_pr_n") + 1).alias(rank),
                  F.col("_pr_one_cum").alias(dense))
@@ -92,64 +48,52 @@ def rank_dense_rank(df: DataFrame, group: list[str], order: list[tuple[str, bool
 
 
 def running_total(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str,
-                  name: str, n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
-    """SUM(value) OVER (... ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW).
-
-    ``value`` must be a non-null long (e.g. cents) for an exact result."""
-    if (strategy or choose(df, group)) == "native":
-        w = _window(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.sum(value).over(w))
-    keys, exprs = _sort_cols(df, order, "_rt_o")
-    base = df.select("*", *exprs, F.col(value).alias("_rt_v"))
-    out = running_sum(base, group, keys, ["_rt_v"], n_partitions)
-    return out.withColumnRenamed("_rt_v_cum", name).drop("_rt_v", *keys)
+                  name: str, n_partitions: int | None = None) -> DataFrame:
+    """SUM(value) OVER (... ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW);
+    ``order`` must be total. NULLs are skipped; before the first value the sum
+    is NULL. ``value`` should be a long (e.g. cents) for an exact result."""
+    return running_totals(df, group, order, {value: name}, n_partitions)
 
 
 def running_totals(df: DataFrame, group: list[str], order: list[tuple[str, bool]], values: dict[str, str],
-                   n_partitions: int | None = None, strategy: str | None = None) -> DataFrame:
+                   n_partitions: int | None = None) -> DataFrame:
     """Several ROWS UNBOUNDED PRECEDING sums in one pass: ``values`` maps a
-    non-null long column to the name of its running sum."""
-    if (strategy or choose(df, group)) == "native":
-        w = _window(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        for v, name in values.items():
-            df = df.withColumn(name, F.sum(v).over(w))
-        return df
-    keys, exprs = _sort_cols(df, order, "_rts_o")
-    tmp = {v: f"_rts_v{i}" for i, v in enumerate(values)}
-    base = df.select("*", *exprs, *[F.col(v).alias(t) for v, t in tmp.items()])
-    out = running_sum(base, group, keys, list(tmp.values()), n_partitions)
-    for v, t in tmp.items():
-        out = out.withColumnRenamed(f"{t}_cum", values[v])
-    return out.drop(*keys, *tmp.values())
+    column to the name of its running sum."""
+    sums, counts = {}, {}
+    base = df
+    for i, v in enumerate(values):
+        sums[v], counts[v] = f"_rts_v{i}", f"_rts_n{i}"
+        kind = df.schema[v].dataType
+        base = base.withColumn(sums[v], F.coalesce(F.col(v), F.lit(0).cast(kind))).withColumn(
+            counts[v], F.col(v).isNotNull().cast("long"))
+    out = running_sum(base, group, order, [*sums.values(), *counts.values()], n_partitions)
+    for v, name in values.items():
+        out = out.withColumn(name, F.when(F.col(f"{counts[v]}_cum") > 0, F.col(f"{sums[v]}_cum")))
+    drop = [*sums.values(), *counts.values()]
+    return out.drop(*drop, *[f"{c}_cum" for c in drop])
 
 
 def running_peers(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str,
-                  sum_name: str, count_name: str, n_partitions: int | None = None,
-                  strategy: str | None = None) -> DataFrame:
+                  sum_name: str, count_name: str, n_partitions: int | None = None) -> DataFrame:
     """Default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW, peers included):
-    running sum and count of ``value`` (a non-null long) up to the last peer."""
-    if (strategy or choose(df, group)) == "native":
-        w = _window(group, order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return (df.withColumn(sum_name, F.sum(value).over(w))
-                .withColumn(count_name, F.count(F.lit(1)).over(w)))
+    running sum of ``value`` (NULLs skipped) and count of rows up to the last
+    peer."""
     ocols = [c for c, _ in order]
-    peers = df.groupBy(*group, *ocols).agg(F.sum(value).alias("_rp_s"), F.count(F.lit(1)).alias("_rp_n"))
-    keys, exprs = _sort_cols(peers, order, "_rp_o")
-    p = peers.select(*group, *ocols, *exprs, "_rp_s", "_rp_n")
-    p = running_sum(p, group, keys, ["_rp_s", "_rp_n"], n_partitions)
+    kind = df.schema[value].dataType
+    peers = df.groupBy(*group, *ocols).agg(
+        F.coalesce(F.sum(value), F.lit(0).cast(kind)).alias("_rp_s"), F.count(value).alias("_rp_v"),
+        F.count(F.lit(1)).alias("_rp_n"))
+    p = running_sum(peers, group, order, ["_rp_s", "_rp_v", "_rp_n"], n_partitions)
     p = p.select(*[F.col(c).alias(f"_pk_{c}") for c in group + ocols],
-                 F.col("_rp_s_cum").alias(sum_name), F.col("_rp_n_cum").alias(count_name))
+                 F.when(F.col("_rp_v_cum") > 0, F.col("_rp_s_cum")).alias(sum_name),
+                 F.col("_rp_n_cum").alias(count_name))
     return _join_peers(df, p, group + ocols)
 
 
 def lag_lead(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str, offset: int,
-             name: str, strategy: str | None = None) -> DataFrame:
+             name: str) -> DataFrame:
     """LAG (offset > 0) / LEAD (offset < 0) of ``value``; ``order`` must be total."""
-    if (strategy or choose(df, group)) == "native":
-        w = _window(group, order)
-        f = F.lag(value, offset) if offset > 0 else F.lead(value, -offset)
-        return df.withColumn(name, f.over(w))
-    r = row_number(df, group, order, "_ll_rn", strategy="scan")
+    r = row_number(df, group, order, "_ll_rn")
     return shifted(r, group, "_ll_rn", value, offset, name).drop("_ll_rn")
 
 

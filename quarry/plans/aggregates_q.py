@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import from_cents, cents
+from ..functions.scalars import cents, from_cents, sum_cents
 from ..operators.relational import broadcast_small
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
@@ -33,7 +33,7 @@ def category_revenue(spark, sf_dir):
             .groupBy("category")
             .agg(F.countDistinct("l_orderkey").alias("n_sales"),
                  F.sum("l_quantity").cast("long").alias("units_sold"),
-                 from_cents(F.sum(cents("l_extendedprice"))).alias("revenue")))
+                 from_cents(sum_cents(cents("l_extendedprice"))).alias("revenue")))
 
 
 @query("agg_global", sql="""
@@ -258,3 +258,18 @@ def monthly_order_summary(spark, sf_dir):
     a = month_summary(o, "o_orderdate", "o_totalprice", 1998, 3).select(F.lit("1998-03").alias("mes"), "*")
     b = month_summary(o, "o_orderdate", "o_totalprice", 2010, 1).select(F.lit("2010-01").alias("mes"), "*")
     return a.unionByName(b)
+
+
+@query("monthly_any_year_summary", sql="""
+SELECT CAST(m.mon AS INTEGER) AS mon, COUNT(o.o_orderkey) AS n_orders,
+       COALESCE(CAST(sign(SUM(CAST(round(o_totalprice * 100) AS BIGINT)))
+         * floor((2 * abs(SUM(CAST(round(o_totalprice * 100) AS BIGINT))) + COUNT(o.o_orderkey))
+                 / NULLIF(2 * COUNT(o.o_orderkey), 0)) AS DOUBLE) / 100, 0.0) AS avg_value
+FROM range(1, 13) m(mon) LEFT JOIN orders o ON month(o.o_orderdate) = m.mon
+GROUP BY m.mon
+""")
+def monthly_any_year_summary(spark, sf_dir):
+    """The procedure takes a month only: that month of any year."""
+    from ..operators.aggregates import any_year_summary
+
+    return any_year_summary(tables(spark, sf_dir).orders, "o_orderdate", "o_totalprice")

@@ -48,6 +48,20 @@ def dml_update(spark, sf_dir):
     return K.update(p, F.col("p_type") == "STANDARD", {"p_retailprice": new})
 
 
+@query("dml_update_old_values", sql="""
+SELECT p_partkey, CASE WHEN p_size > 25 THEN p_size - 25 ELSE p_size END AS p_size,
+       CASE WHEN p_size > 25 THEN p_brand || '/' || CAST(p_size AS VARCHAR) ELSE p_brand END AS p_brand
+FROM part
+""")
+def dml_update_old_values(spark, sf_dir):
+    """K1: SET size = size - 25, brand = brand || '/' || size WHERE size > 25:
+    condition and both values are those of the old row."""
+    p = tables(spark, sf_dir).part.select("p_partkey", "p_size", "p_brand")
+    return K.update(p, F.col("p_size") > 25, {
+        "p_size": F.col("p_size") - 25,
+        "p_brand": F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string"))})
+
+
 @query("dml_update_from", sql=f"""
 SELECT s.livro_id,
        CASE WHEN EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = s.livro_id AND p.p_brand = 'Brand#13')

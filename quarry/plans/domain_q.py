@@ -31,19 +31,23 @@ SELECT '{batch}' AS batch, s_suppkey, CAST(CASE WHEN f.neg = 0 THEN new ELSE old
 FROM n, f)"""
 
 
-def _transfers(spark, sf_dir, pct: str):
-    """Each returned line since 2001 makes its supplier pay a share of the
-    line value to the hub supplier (lowest key) of its nation."""
+def _transfers(spark, sf_dir, shares: dict[str, str]):
+    """Each returned line since 2001 makes its supplier pay a share of the line
+    value to the hub supplier (lowest key) of its nation: per batch and
+    supplier the rounded amounts, summed in one scan of the lines before
+    anything is joined."""
     t = tables(spark, sf_dir)
     s = t.supplier
-    hub = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("hub"))
+    hub = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("dst"))
     l = t.lineitem.filter((F.col("l_returnflag") == "R")
                           & (F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")))
-    return (l.join(s.select("s_suppkey", "s_nationkey"), l.l_suppkey == s.s_suppkey)
-            .join(hub, "s_nationkey")
-            .select(F.col("l_suppkey").alias("src"), F.col("hub").alias("dst"),
-                    F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(pct).cast("decimal(3,2)"), 2)
-                    .alias("amount")))
+    part = lambda pct: F.sum(F.round(F.col("l_extendedprice").cast("decimal(18,2)")
+                                     * F.lit(pct).cast("decimal(3,2)"), 2))
+    paid = l.groupBy(F.col("l_suppkey").alias("src")).agg(*[part(p).alias(f"_{b}") for b, p in shares.items()])
+    rows = F.array(*[F.struct(F.lit(b).alias("batch"), F.col(f"_{b}").cast("decimal(38,2)").alias("amount"))
+                     for b in shares])
+    return (paid.select("src", F.inline(rows)).join(s.select("s_suppkey", "s_nationkey"), F.col("src") == F.col("s_suppkey"))
+            .join(hub, "s_nationkey").select("batch", "src", "dst", "amount"))
 
 
 @query("transfer_batch", sql=_transfers_sql("A", "0.01") + " UNION ALL " + _transfers_sql("B", "0.80"))
@@ -51,11 +55,9 @@ def transfer_batch(spark, sf_dir):
     """Two transfer batches; the small one commits, the large one would
     overdraw an account and is refused as a whole."""
     s = tables(spark, sf_dir).supplier.select("s_suppkey", "s_acctbal")
-    out = []
-    for batch, pct in (("A", "0.01"), ("B", "0.80")):
-        r = P.transfer_batch(s, "s_suppkey", "s_acctbal", _transfers(spark, sf_dir, pct), "src", "dst", "amount")
-        out.append(r.select(F.lit(batch).alias("batch"), "s_suppkey", "s_acctbal", "batch_status"))
-    return out[0].unionByName(out[1])
+    moved = _transfers(spark, sf_dir, {"A": "0.01", "B": "0.80"})
+    return P.transfer_batches(s, "s_suppkey", "s_acctbal", moved, "batch", "src", "dst", "amount").select(
+        "batch", "s_suppkey", "s_acctbal", "batch_status")
 
 
 @query("order_intake", sql="""
@@ -139,18 +141,17 @@ ORDER BY l.l_shipdate DESC, l.l_orderkey DESC, l.l_linenumber DESC, l.l_partkey
 LIMIT 10
 """)
 def loan_latest(spark, sf_dir):
-    """P5: the 10 latest loans with user and title. The top-k runs on the
-    fact table first (per-task top 10, then a final top 10); the dimension
-    joins then see 10 rows (every line has its order, customer and part)."""
+    """P5: the 10 latest loans with user and title, latest first. The joins
+    come before the top-k, as no key is enforced: a line without its order,
+    user or title does not count; each task forwards its top 10."""
     t = tables(spark, sf_dir)
     l = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    top = l.orderBy(*[F.col(c).desc() for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
-                                                 "l_suppkey")]).limit(10)
+    latest = [F.col(c).desc() for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.select("c_custkey", F.col("c_name").alias("usuario"))
     p = t.part.select("p_partkey", F.col("p_name").alias("titulo"))
-    return (top.join(o, top.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-            .join(p, F.col("l_partkey") == p.p_partkey)
+    return (l.join(o, l.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+            .join(p, F.col("l_partkey") == p.p_partkey).orderBy(*latest).limit(10)
             .select("l_orderkey", "l_linenumber", "usuario", "titulo", F.col("l_shipdate").alias("data_retirada")))
 
 

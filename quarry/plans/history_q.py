@@ -106,3 +106,21 @@ def restore_as_of(spark, sf_dir):
     past = O.as_of(log, "user_id", "ts", "event_id", "op", ["value"], AS_OF_TS)
     return merge_matched(current.select("user_id", "value"), past.select("user_id", F.col("value").alias("v")),
                          "user_id", {"value": "v"})
+
+
+@query("restore_table", sql=f"""
+WITH past AS (SELECT user_id, value FROM (
+         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+         FROM {CHANGES_SQL} c WHERE ts <= TIMESTAMP '{AS_OF_TS}') x WHERE rn = 1 AND op <> 'DELETE'),
+     cur AS (SELECT user_id FROM (
+         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+         FROM {CHANGES_SQL} c) x WHERE rn = 1 AND op <> 'DELETE')
+SELECT past.user_id, past.value, CASE WHEN cur.user_id IS NULL THEN 'reinserted' ELSE 'kept' END AS _action
+FROM past LEFT JOIN cur ON cur.user_id = past.user_id
+""")
+def restore_table(spark, sf_dir):
+    """O4, whole table: keys created since t are gone, keys deleted since are
+    back, all others have their values of t."""
+    log = change_log(spark, sf_dir)
+    current = O.as_of(log, "user_id", "ts", "event_id", "op", ["value"], "9999-12-31 23:59:59")
+    return O.restore_table(current, "user_id", O.as_of(log, "user_id", "ts", "event_id", "op", ["value"], AS_OF_TS))

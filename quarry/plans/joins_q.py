@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import money
-from ..operators.overlap import conflict_counts
+from ..operators.overlap import conflict_counts, overlap_counts
 from ..operators.relational import broadcast_small, outer_join, quantified
 from ..sources import tables
 from .common import URGENT_SQL, urgent_orders
@@ -291,7 +291,7 @@ def derived_table_avg(spark, sf_dir):
     sub = (c.join(o, c.c_custkey == o.o_custkey)
            .groupBy("c_mktsegment", "c_nationkey").agg(F.sum("n").alias("n_orders")))
     s, n = F.sum("n_orders"), F.count(F.lit(1))
-    return sub.groupBy("c_mktsegment").agg((F.floor((s * 20 + n) / (n * 2)).cast("double") / 10).alias("avg_orders"))
+    return sub.groupBy("c_mktsegment").agg((F.call_function("div", s * 20 + n, n * 2).cast("decimal(19,0)") * F.lit("0.1").cast("decimal(1,1)")).alias("avg_orders"))
 
 
 @query("cte_absences", sql=f"""
@@ -328,6 +328,25 @@ def overlap_conflicts(spark, sf_dir):
     return conflict_counts(e, "user_id", "ts", "event_id", 30).select("event_id", "user_id", "ts", "n_conflicts")
 
 
+@query("overlap_slots", sql="""
+WITH slot AS (SELECT event_id, user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS dia, ts AS starts,
+                     ts + to_minutes(CAST(floor(value) AS INTEGER)) AS ends
+              FROM events WHERE event_type <> 'error' AND value >= 1)
+SELECT a.event_id, a.user_id, a.dia, a.starts, a.ends, COUNT(*) AS n_conflicts
+FROM slot a JOIN slot b ON a.user_id = b.user_id AND a.dia = b.dia AND a.event_id <> b.event_id
+ AND a.starts < b.ends AND b.starts < a.ends
+GROUP BY a.event_id, a.user_id, a.dia, a.starts, a.ends
+""")
+def overlap_slots(spark, sf_dir):
+    """C21, room booking form: slots with a start and an end of their own, same
+    room (user) and day; each slot with its number of overlapping partners."""
+    e = tables(spark, sf_dir).events.filter((F.col("event_type") != "error") & (F.col("value") >= 1))
+    slot = e.select("event_id", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("dia"),
+                    F.col("ts").alias("starts"),
+                    (F.col("ts") + F.expr("make_dt_interval(0, 0, CAST(floor(value) AS INT))")).alias("ends"))
+    return overlap_counts(slot, ["user_id", "dia"], "starts", "ends", "event_id")
+
+
 @query("join_hint", sql="""
 SELECT o.o_orderkey, c.c_name FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 """)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 
 from ..functions.scalars import epoch_millis
 from ..operators import keys as L
@@ -36,6 +38,21 @@ def uuid4_keys(spark, sf_dir):
     return landed
 
 
+@query("uuid4_properties", sql="""
+SELECT COUNT(*) AS n_keys, COUNT(*) AS n_distinct, COUNT(*) AS n_length, COUNT(*) AS n_version, COUNT(*) AS n_variant
+FROM events
+""")
+def uuid4_properties(spark, sf_dir):
+    """L2: what can be said of random keys: all distinct, 36 characters,
+    version 4 and variant marks in place."""
+    e = tables(spark, sf_dir).events.select("event_id")
+    _, k = stage(L.uuid4_keys(e, "uuid"), "uuid4_keys")
+    one = lambda c: F.count(F.when(c, 1))
+    return k.agg(F.count("uuid").alias("n_keys"), F.countDistinct("uuid").alias("n_distinct"),
+                 one(F.length("uuid") == 36).alias("n_length"), one(F.substring("uuid", 15, 1) == "4").alias("n_version"),
+                 one(F.substring("uuid", 20, 1).isin("8", "9", "a", "b")).alias("n_variant"))
+
+
 @query("uuid7_keys", sql=f"SELECT event_id, uuid FROM {UUID7_SQL} u")
 def uuid7_keys(spark, sf_dir):
     """L3: UUID v7 per event (time-ordered: 48-bit ms prefix)."""

@@ -15,6 +15,9 @@ P_RANGE_SQL = """CASE WHEN year(o_orderdate) <= 1996 THEN 'ate_1996'
             WHEN year(o_orderdate) <= 2000 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE 'futuro' END"""
 
 
+BY_YEAR = "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_totalprice DOUBLE, p_range STRING"
+
+
 def _orders_by_year(spark, sf_dir):
     o = tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     path = scratch_path(spark, "orders_by_year")
@@ -29,7 +32,7 @@ FROM orders GROUP BY 1
 """)
 def partition_profile(spark, sf_dir):
     """Rows and date bounds per partition of the written table."""
-    d = read_partitioned(spark, _orders_by_year(spark, sf_dir))
+    d = read_partitioned(spark, _orders_by_year(spark, sf_dir), BY_YEAR)
     return d.groupBy("p_range").agg(F.count(F.lit(1)).alias("n_rows"), F.min("o_orderdate").alias("first_date"),
                                     F.max("o_orderdate").alias("last_date"))
 
@@ -42,9 +45,55 @@ def partition_pruned_read(spark, sf_dir):
     """A date-range read of the year-partitioned table; the partition
     predicate is derived from the date range so only two folders are listed
     (PartitionFilters in the plan)."""
-    d = read_partitioned(spark, _orders_by_year(spark, sf_dir))
-    return N.prune_by_date(d, "o_orderdate", "p_range", "1997-03-01", "1998-02-01", 1996, 2000).select(
-        "o_orderkey", "o_orderdate")
+    return _pruned(spark, _orders_by_year(spark, sf_dir))
+
+
+def _pruned(spark, path):
+    d = read_partitioned(spark, path, BY_YEAR)
+    return N.prune_by_date(d, "o_orderdate", "p_range", "1997-03-01", "1998-02-01",
+                           N.partition_labels(spark, path, "p_range")).select("o_orderkey", "o_orderdate")
+
+
+@query("partition_read_after_merge", sql="""
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1998-02-01'
+""")
+def partition_read_after_merge(spark, sf_dir):
+    """N4 after N5: the same read once 1997 and 1998 are one partition."""
+    path = _orders_by_year(spark, sf_dir)
+    N.merge_partitions(spark, path, "p_range", ["1997", "1998"], "1997_1998", BY_YEAR, ["o_orderdate", "o_orderkey"])
+    return _pruned(spark, path)
+
+
+@query("partition_add", sql="""
+SELECT o_orderkey, o_orderdate, '2030' AS p_range FROM orders WHERE year(o_orderdate) = 1999
+""")
+def partition_add(spark, sf_dir):
+    """ADD / ATTACH PARTITION: rows of a new year arrive as a folder of
+    their own (the year 1999's orders stand for 2030's)."""
+    path = _orders_by_year(spark, sf_dir)
+    new = tables(spark, sf_dir).orders.filter(F.year("o_orderdate") == 1999).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").withColumn("p_range", F.lit("2030"))
+    N.add_partition(new, path, "p_range", ["o_orderdate", "o_orderkey"])
+    d = read_partitioned(spark, path, BY_YEAR).filter(F.col("p_range") == "2030")
+    return d.select("o_orderkey", "o_orderdate", "p_range")
+
+
+@query("partition_detach", sql=f"""
+SELECT p_range, COUNT(*) AS n_rows, 'destacada' AS tabela FROM (SELECT {P_RANGE_SQL} AS p_range FROM orders) x
+WHERE p_range = '1997' GROUP BY p_range
+UNION ALL
+SELECT p_range, COUNT(*), 'principal' FROM (SELECT {P_RANGE_SQL} AS p_range FROM orders) x
+WHERE p_range <> '1997' GROUP BY p_range
+""")
+def partition_detach(spark, sf_dir):
+    """DETACH PARTITION: 1997 becomes a table of its own."""
+    path = _orders_by_year(spark, sf_dir)
+    gone = N.detach_partition(spark, path, "p_range", "1997", scratch_path(spark, "orders_1997"))
+    rest = read_partitioned(spark, path, BY_YEAR)
+    count = lambda d, name: d.groupBy("p_range").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "tabela", F.lit(name))
+    return count(gone, "destacada").unionByName(count(rest, "principal"))
 
 
 @query("partition_retention", sql=f"""
@@ -55,7 +104,7 @@ def partition_retention(spark, sf_dir):
     the kept data)."""
     path = _orders_by_year(spark, sf_dir)
     N.drop_partitions(spark, path, "p_range", ["ate_1996"])
-    return read_partitioned(spark, path).select("o_orderkey", "p_range")
+    return read_partitioned(spark, path, BY_YEAR).select("o_orderkey", "p_range")
 
 
 @query("partition_merge", sql=f"""
@@ -64,10 +113,10 @@ FROM (SELECT {P_RANGE_SQL} AS p FROM orders) x GROUP BY 1
 """)
 def partition_merge(spark, sf_dir):
     """MERGE PARTITIONS 1997, 1998 -> one: only those two folders are
-    rewritten (dynamic partition overwrite), then compacted."""
+    rewritten, compacted; the new folder is checked before they are dropped."""
     path = _orders_by_year(spark, sf_dir)
-    N.merge_partitions(spark, path, "p_range", ["1997", "1998"], "1997_1998", ["o_orderdate", "o_orderkey"])
-    d = read_partitioned(spark, path)
+    N.merge_partitions(spark, path, "p_range", ["1997", "1998"], "1997_1998", BY_YEAR, ["o_orderdate", "o_orderkey"])
+    d = read_partitioned(spark, path, BY_YEAR)
     return d.groupBy("p_range").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -107,7 +156,7 @@ def schema_add_default(spark, sf_dir):
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name")
     path = scratch_path(spark, "customer_v1")
     c.write.mode("overwrite").parquet(path)
-    return N.read_with_added_column(spark, path, c.schema, "ativo", T.StringType(), "S")
+    return N.read_with_added_column(spark, path, c.schema, "ativo", T.StringType(), "'S'")
 
 
 @query("schema_evolve", sql="""

@@ -9,7 +9,7 @@ from ..operators import graph as G
 from ..operators import nested as N
 from ..operators.relational import broadcast_small
 from ..sources import tables
-from ..sources.documents import sale_documents
+from ..sources.documents import sale_documents, sale_headers
 from .registry import query
 
 ANCHOR_SUPPLIER = "Supplier#000000007"
@@ -20,6 +20,11 @@ def _docs(spark, sf_dir):
     return sale_documents(t.orders, t.lineitem)
 
 
+def _headers(spark, sf_dir):
+    """The documents' own fields; no query of them needs the item arrays."""
+    return sale_headers(tables(spark, sf_dir).orders)
+
+
 @query("nest_items", sql="""
 SELECT o.o_orderkey AS _id, COUNT(l.l_orderkey) AS n_itens,
        COALESCE(string_agg(CAST(l.l_partkey AS VARCHAR), ',' ORDER BY l.l_partkey, l.l_linenumber, l.l_quantity), '')
@@ -28,7 +33,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 GROUP BY o.o_orderkey
 """)
 def nest_items(spark, sf_dir):
-    """One sale = header + sorted item array (bucketed past 10k items)."""
+    """One sale = header + sorted item array, one document per sale."""
     d = _docs(spark, sf_dir)
     return d.select("_id", F.size("itens").cast("long").alias("n_itens"),
                     F.array_join(F.transform("itens", lambda x: x["id_livro"].cast("string")), ",").alias("item_keys"))
@@ -93,10 +98,8 @@ SELECT (SELECT COUNT(*) FROM orig) AS n_input, (SELECT COUNT(*) FROM rj) AS n_re
 def normalize_bcnf(spark, sf_dir):
     """Decomposition into (order, item) and (item, brand) with the
     lossless-join check (re-join equals the input)."""
-    w = _wide(spark, sf_dir).select("l_orderkey", "l_partkey", "p_brand").distinct()
-    a = w.select("l_orderkey", "l_partkey").distinct()
-    b = w.select("l_partkey", "p_brand").distinct()
-    return N.lossless_check(w, a, b, ["l_partkey"])
+    w = _wide(spark, sf_dir).select("l_orderkey", "l_partkey", "p_brand")
+    return N.lossless_check(w, ["l_orderkey", "l_partkey"], ["l_partkey", "p_brand"], ["l_partkey"])
 
 
 @query("fd_check", sql="""
@@ -139,9 +142,10 @@ WHERE o.o_totalprice > 400000
 def doc_find(spark, sf_dir):
     """``find({valor_total: {$gt}, 'itens.quantidade': {$gte}}, projection)``:
     ANDed field filters, one on the item array, then a projection."""
-    d = _docs(spark, sf_dir)
-    hit = (F.col("valor_total") > 400000) & F.exists("itens", lambda x: x["quantidade"] >= 45)
-    return d.filter(hit).select("_id", "id_cliente", "valor_total")
+    items = tables(spark, sf_dir).lineitem.filter(F.col("l_quantity") >= 45).select("l_orderkey")
+    d = _headers(spark, sf_dir).filter(F.col("valor_total") > 400000)
+    # the filter on the item array is a semi join on the flat child rows
+    return d.join(items, d["_id"] == items["l_orderkey"], "left_semi").select("_id", "id_cliente", "valor_total")
 
 
 @query("doc_lookup_unwind", sql="""
@@ -150,7 +154,7 @@ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 """)
 def doc_lookup_unwind(spark, sf_dir):
     """$lookup + $unwind + $project as one inner join (no array built)."""
-    d = _docs(spark, sf_dir).select("_id", "id_cliente", "valor_total", "forma_pagamento")
+    d = _headers(spark, sf_dir).select("_id", "id_cliente", "valor_total", "forma_pagamento")
     c = tables(spark, sf_dir).customer.select("c_custkey", F.col("c_name").alias("cliente"))
     return N.lookup_unwind(d, "id_cliente", c, "c_custkey").select("_id", "cliente", "valor_total", "forma_pagamento")
 
@@ -160,13 +164,13 @@ SELECT o_orderpriority AS forma_pagamento, COUNT(*) AS total_vendas FROM orders
 """)
 def doc_group_count(spark, sf_dir):
     """``$group`` with ``$sum: 1``."""
-    d = _docs(spark, sf_dir)
+    d = _headers(spark, sf_dir)
     return d.groupBy("forma_pagamento").agg(F.count(F.lit(1)).alias("total_vendas"))
 
 
 @query("doc_update", sql="""
 SELECT p_partkey AS _id,
-       CASE WHEN p_partkey = 3 THEN 31.95
+       CASE WHEN p_partkey = 3 AND p_type = 'PROMO' THEN 36.95 WHEN p_partkey = 3 THEN 31.95
             WHEN p_type = 'PROMO' THEN CAST(CAST(p_retailprice AS DECIMAL(18,2)) + 5.00 AS DOUBLE)
             ELSE p_retailprice END AS preco,
        CASE WHEN p_partkey = 3 THEN TRUE END AS em_promocao
@@ -180,13 +184,25 @@ def doc_update(spark, sf_dir):
     p = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("_id"), F.col("p_retailprice").alias("preco"),
                                           "p_type", "p_size")
     p = set_fields(p, F.col("_id") == 3, {"preco": F.lit(31.95), "em_promocao": F.lit(True)})
-    # $inc after $set: _id 3 keeps 31.95 only if it is not PROMO; the source
-    # documents make the two sets disjoint, here we exclude it explicitly
-    p = inc_field(p, (F.col("p_type") == "PROMO") & (F.col("_id") != 3), "preco", 5.00)
+    p = inc_field(p, F.col("p_type") == "PROMO", "preco", 5.00)  # after the $set, in source order
     p = delete_many(p, F.col("p_size") < 3)
     return p.select("_id", "preco", "em_promocao")
 
 
+@query("doc_update_old_values", sql="""
+SELECT p_partkey AS _id, CASE WHEN p_size > 25 THEN 0 ELSE p_size END AS tamanho,
+       CASE WHEN p_size > 25 THEN p_size END AS tamanho_anterior
+FROM part
+""")
+def doc_update_old_values(spark, sf_dir):
+    """A $set of two fields whose filter and second value read the first:
+    both see the old document."""
+    from ..operators.documents import set_fields
+
+    p = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("_id"), F.col("p_size").alias("tamanho"))
+    return set_fields(p, F.col("tamanho") > 25, {"tamanho": F.lit(0), "tamanho_anterior": F.col("tamanho")})
+
+
 @query("graph_one_hop", sql="""
 SELECT DISTINCT 'S:' || CAST(s.s_suppkey AS VARCHAR) AS a_id, s.s_name AS a_name,
        'P:' || CAST(p.p_partkey AS VARCHAR) AS b_id, p.p_name AS b_name, p.p_retailprice AS b_price
@@ -212,7 +228,7 @@ def graph_shared_category(spark, sf_dir):
     """C20: other suppliers sharing a category with the anchor, self excluded."""
     t = tables(spark, sf_dir)
     nodes, edges = G.build_graph(t.lineitem, t.supplier, t.part)
-    return G.shared_neighbours(nodes, edges, ANCHOR_SUPPLIER, "SUPPLIES", "IN")
+    return G.shared_neighbours(nodes, edges, "Supplier", ANCHOR_SUPPLIER, "SUPPLIES", "IN")
 
 
 @query("graph_edge_delete", sql="""
@@ -229,3 +245,18 @@ def graph_edge_delete(spark, sf_dir):
     cat = edges.filter((F.col("type") == "IN") & (F.col("dst") == "B:Brand#4")).select(F.col("src").alias("p"))
     doomed = (sup.filter(F.col("src") == "S:7").join(cat, F.col("dst") == F.col("p"), "left_semi"))
     return G.delete_edges(sup, doomed)
+
+
+@query("graph_property_set", sql="""
+SELECT 'P:' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
+       CASE WHEN p_brand = 'Brand#4' THEN 9.99 ELSE p_retailprice END AS price
+FROM part
+""")
+def graph_property_set(spark, sf_dir):
+    """MATCH (p:Part)-[:IN]->(c {name}) SET p.price = 9.99: a property of
+    the matched nodes only."""
+    t = tables(spark, sf_dir)
+    nodes, edges = G.build_graph(t.lineitem, t.supplier, t.part)
+    cat = edges.filter((F.col("type") == "IN") & (F.col("dst") == "B:Brand#4")).select("src")
+    out = G.set_property(nodes, cat, "src", {"price": F.lit(9.99)})
+    return out.filter(F.col("label") == "Part").select("id", "name", "price")

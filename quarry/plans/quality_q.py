@@ -163,9 +163,7 @@ def delete_cascade(spark, sf_dir):
     """M9: deleting old orders cascades to their lines; deleted rows per level."""
     t = tables(spark, sf_dir)
     doomed = t.orders.filter(F.col("o_orderdate") < F.lit("1995-07-01").cast("timestamp_ntz"))
-    (o_gone,) = M.cascade_delete([(t.orders, "o_orderkey", "o_orderkey")], doomed, "o_orderkey")
-    l_gone = t.lineitem.join(o_gone.select(F.col("o_orderkey").alias("k")), F.col("l_orderkey") == F.col("k"),
-                             "left_semi")
+    o_gone, l_gone = M.cascade_delete(doomed, "o_orderkey", [(t.lineitem, "l_orderkey", "l_orderkey")])
     return (o_gone.agg(F.count(F.lit(1)).alias("n_deleted")).select(F.lit("orders").alias("level"), "n_deleted")
             .unionByName(l_gone.agg(F.count(F.lit(1)).alias("n_deleted"))
                          .select(F.lit("lineitem").alias("level"), "n_deleted")))
@@ -186,9 +184,21 @@ def view_check_option(spark, sf_dir):
     # the change batch: every customer with a balance under 1000 moves to MACHINERY
     new_seg = F.when(F.col("c_acctbal") < 1000, F.lit("MACHINERY")).otherwise(F.col("c_mktsegment"))
     changed = visible.select("c_custkey", new_seg.alias("new_segment"))
-    ok = F.col("new_segment") == "BUILDING"
-    return changed.select("c_custkey", "new_segment", ok.alias("accepted"),
-                          F.when(~ok, F.lit("CHECK_OPTION")).alias("reason"))
+    return M.with_check_option(changed, F.col("new_segment") == "BUILDING")
+
+
+@query("view_check_insert", sql="""
+SELECT s_suppkey + 1000000000 AS c_custkey, CASE WHEN s_acctbal < 0 THEN 'MACHINERY' ELSE 'BUILDING' END AS c_mktsegment,
+       s_acctbal >= 0 AS accepted, CASE WHEN s_acctbal < 0 THEN 'CHECK_OPTION' END AS reason
+FROM supplier
+""")
+def view_check_insert(spark, sf_dir):
+    """Inserts through the same view: a new row that the view would not
+    show is refused."""
+    s = tables(spark, sf_dir).supplier
+    new = s.select((F.col("s_suppkey") + 1000000000).alias("c_custkey"),
+                   F.when(F.col("s_acctbal") < 0, "MACHINERY").otherwise("BUILDING").alias("c_mktsegment"))
+    return M.with_check_option(new, F.col("c_mktsegment") == "BUILDING")
 
 
 @query("dq_validate_batch", sql="""

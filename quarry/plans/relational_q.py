@@ -95,9 +95,11 @@ def filter_is_null(spark, sf_dir):
     """IS NULL on the optional side of a left join."""
     c = tables(spark, sf_dir).customer
     o = urgent_orders(spark, sf_dir).select("o_custkey", "o_orderkey")
-    return (outer_join(c, o, "c_custkey", "o_custkey", "left")
-            .filter(F.col("o_orderkey").isNull())
-            .select("c_custkey", "c_name", "o_orderkey"))
+    # only customers without a match pass the filter, so the join is an anti
+    # join against the distinct keys (an order key itself is never NULL)
+    keys = o.filter(F.col("o_orderkey").isNotNull()).select("o_custkey").distinct()
+    alone = c.select("c_custkey", "c_name").join(keys, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    return alone.withColumn("o_orderkey", F.lit(None).cast("long"))
 
 
 @query("filter_not_equal", sql="""
@@ -172,8 +174,9 @@ WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_regionkey < 0)
 def exists_constant(spark, sf_dir):
     """Uncorrelated [NOT] EXISTS is a one-row flag, not a join per row."""
     t = tables(spark, sf_dir)
-    neg = t.nation.agg(F.count(F.when(F.col("n_regionkey") < 0, 1)).alias("neg"))
-    has_f = t.orders.agg(F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("has_f"))
+    # the first row found ends the search
+    neg = t.nation.filter(F.col("n_regionkey") < 0).limit(1).agg(F.count(F.lit(1)).alias("neg"))
+    has_f = t.orders.filter(F.col("o_orderstatus") == "F").limit(1).agg(F.count(F.lit(1)).alias("has_f"))
     flags = with_scalars(neg, has_f)
     return (with_scalars(t.region, flags)
             .filter((F.col("neg") == 0) & (F.col("has_f") > 0)).select("r_name"))

@@ -106,7 +106,7 @@ def partitioned_write(spark, sf_dir):
     path = scratch_path(spark, "orders_by_year")
     write_partitioned(o.withColumn("p_range", year_range_partition("o_orderdate", 1996, 2000)), path, "p_range",
                       ["o_orderdate", "o_orderkey"])
-    return read_partitioned(spark, path).select("o_orderkey", "o_orderdate", "p_range")
+    return read_partitioned(spark, path, "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ, p_range STRING").select("o_orderkey", "o_orderdate", "p_range")
 
 
 @query("staging_feed", sql="""

@@ -62,9 +62,9 @@ WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL
    OR o.c_name IS DISTINCT FROM n.c_name OR o.c_mktsegment IS DISTINCT FROM n.c_mktsegment
 """)
 def stream_audit(spark, sf_dir):
-    """The snapshot (LOAD) and then the change rows arrive as files; a
-    stateful streaming operator emits the audit rows of each change against
-    the key's current values (equals the batch audit of O1)."""
+    """The snapshot (LOAD) and then the change rows arrive as files; the
+    stream keeps the change log, whose audit compares each change with the
+    key's change before it (equals the batch audit of O1)."""
     v1, v2 = customer_v1(spark, sf_dir), customer_v2(spark, sf_dir)
     src = scratch_path(spark, "changes")
     load = v1.withColumn("op", F.lit("LOAD"))

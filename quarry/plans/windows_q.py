@@ -28,9 +28,8 @@ def win_ranks(spark, sf_dir):
     """ROW_NUMBER / RANK / DENSE_RANK over one global order, computed by
     the distributed prefix scan instead of a single-task global window."""
     s = tables(spark, sf_dir).supplier.select("s_suppkey", "s_name", "s_acctbal")
-    how = W.choose(s, [])
-    r = W.row_number(s, [], [("s_acctbal", False), ("s_suppkey", True)], "row_num", strategy=how)
-    return W.rank_dense_rank(r, [], [("s_acctbal", False)], "rank_num", "dense_num", strategy=how)
+    r = W.row_number(s, [], [("s_acctbal", False), ("s_suppkey", True)], "row_num")
+    return W.rank_dense_rank(r, [], [("s_acctbal", False)], "rank_num", "dense_num")
 
 
 @query("win_top3", sql="""
@@ -63,13 +62,10 @@ def win_lag_lead(spark, sf_dir):
     32 (customer, date) pairs repeat)."""
     o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     order = [("o_orderdate", True), ("o_orderkey", True)]
-    if W.choose(o, ["o_custkey"]) == "native":
-        r = W.lag_lead(o, ["o_custkey"], order, "o_totalprice", 1, "anterior", strategy="native")
-        r = W.lag_lead(r, ["o_custkey"], order, "o_totalprice", -1, "proximo", strategy="native")
-    else:  # one row number, two joins on (customer, row number)
-        r = W.row_number(o, ["o_custkey"], order, "_rn", strategy="scan")
-        r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", 1, "anterior")
-        r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", -1, "proximo")
+    # one row number, two joins on (customer, row number)
+    r = W.row_number(o, ["o_custkey"], order, "_rn")
+    r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", 1, "anterior")
+    r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", -1, "proximo")
     return r.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "anterior", "proximo",
                     from_cents(cents("o_totalprice") - cents("anterior")).alias("variacao"))
 
@@ -107,13 +103,9 @@ def win_moving_avg(spark, sf_dir):
     o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     order = [("o_orderdate", True), ("o_orderkey", True)]
     base = o.withColumn("_c", cents("o_totalprice")).withColumn("_one", F.lit(1).cast("long"))
-    how = W.choose(o, ["o_custkey"])
     # one pass: running sum in cents and the row number (running count)
-    r = W.running_totals(base, ["o_custkey"], order, {"_c": "_s", "_one": "_rn"}, strategy=how)
-    if how == "native":
-        r = W.lag_lead(r, ["o_custkey"], order, "_s", 3, "_s3", strategy="native")
-    else:
-        r = W.shifted(r, ["o_custkey"], "_rn", "_s", 3, "_s3")
+    r = W.running_totals(base, ["o_custkey"], order, {"_c": "_s", "_one": "_rn"})
+    r = W.shifted(r, ["o_custkey"], "_rn", "_s", 3, "_s3")
     n = F.least(F.col("_rn"), F.lit(3))
     return r.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice",
                     from_cents(div_round_half_up(F.col("_s") - F.coalesce("_s3", F.lit(0)), n)).alias("media_movel_3"))
@@ -150,7 +142,6 @@ def win_named_default_frame(spark, sf_dir):
     up to the last peer (RANGE frame), not a group average."""
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     c = c.withColumn("_c", cents("c_acctbal"))
-    how = W.choose(c, ["c_mktsegment"])
-    r = W.row_number(c, ["c_mktsegment"], [("c_acctbal", False), ("c_custkey", True)], "pos", strategy=how)
-    r = W.running_peers(r, ["c_mktsegment"], [("c_acctbal", False)], "_c", "_s", "_n", strategy=how)
+    r = W.row_number(c, ["c_mktsegment"], [("c_acctbal", False), ("c_custkey", True)], "pos")
+    r = W.running_peers(r, ["c_mktsegment"], [("c_acctbal", False)], "_c", "_s", "_n")
     return r.select("c_name", "c_mktsegment", "c_acctbal", "pos", avg_money("_s", "_n").alias("media_depto"))

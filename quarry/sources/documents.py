@@ -17,7 +17,6 @@ ITEM = T.StructType([
 
 SALE_DOC = T.StructType([
     T.StructField("_id", T.LongType()),
-    T.StructField("_chunk", T.IntegerType()),
     T.StructField("id_cliente", T.LongType()),
     T.StructField("data_venda", T.TimestampNTZType()),
     T.StructField("forma_pagamento", T.StringType()),
@@ -26,19 +25,22 @@ SALE_DOC = T.StructType([
 ])
 
 
-def sale_documents(orders: DataFrame, lineitem: DataFrame, max_items: int = 10000) -> DataFrame:
-    """orders + lineitem -> one document per sale with its item array.
-    o_orderpriority stands for the payment method; unit price is
-    extendedprice / quantity rounded to cents."""
-    header = orders.select(F.col("o_orderkey").alias("_id"), F.col("o_custkey").alias("id_cliente"),
-                           F.col("o_orderdate").alias("data_venda"),
-                           F.col("o_orderpriority").alias("forma_pagamento"),
-                           F.col("o_totalprice").alias("valor_total"))
+def sale_headers(orders: DataFrame) -> DataFrame:
+    """The documents' own fields. o_orderpriority stands for the payment method."""
+    return orders.select(F.col("o_orderkey").alias("_id"), F.col("o_custkey").alias("id_cliente"),
+                         F.col("o_orderdate").alias("data_venda"),
+                         F.col("o_orderpriority").alias("forma_pagamento"),
+                         F.col("o_totalprice").alias("valor_total"))
+
+
+def sale_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """orders + lineitem -> one document per sale with its item array; unit
+    price is extendedprice / quantity rounded to cents."""
     items = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                             F.round(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0)), 2).alias("unit"))
-    docs = nest(header, "_id", items, "l_orderkey",
+    docs = nest(sale_headers(orders), "_id", items, "l_orderkey",
                 [("l_partkey", "id_livro"), ("l_linenumber", "linha"), ("l_quantity", "quantidade"),
-                 ("unit", "preco_unit")], "itens", max_items)
+                 ("unit", "preco_unit")], "itens")
     return docs.select([f.name for f in SALE_DOC.fields])
 
 

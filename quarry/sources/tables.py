@@ -47,50 +47,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_ROW_GROUPS: dict[str, int] = {}
-
-
-def _local_row_groups(uri: str) -> int | None:
-    """Row groups of a local Parquet file (footer only); None when unknown."""
-    if uri in _ROW_GROUPS:
-        return _ROW_GROUPS[uri]
-    path = uri[len("file:"):] if uri.startswith("file:") else (uri if "://" not in uri else None)
-    if path is None:
-        return None
-    while path.startswith("//"):
-        path = path[1:]
-    try:
-        import pyarrow.parquet as pq
-
-        n = pq.ParquetFile(path).metadata.num_row_groups
-    except Exception:
-        return None
-    _ROW_GROUPS[uri] = n
-    return n
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """A scan splits by Parquet row group. When a table has fewer files *and*
-    row groups than the cluster has cores, everything up to the first shuffle
-    runs in that many tasks; for CPU-heavy per-row work (tokenising whole
-    texts) the pruned rows are then spread round-robin first. With a normal
-    large layout (many files) this is a no-op and reads no footer."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        files = df.inputFiles()
-    except Exception:  # pragma: no cover - no SparkContext handle: leave the plan as is
-        return df
-    if len(files) >= cores:
-        return df
-    groups = 0
-    for f in files:
-        n = _local_row_groups(f)
-        if n is None:
-            return df
-        groups += n
-    return df.repartition(cores) if groups < cores else df
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one table; column pruning and filters reach the Parquet reader."""
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))

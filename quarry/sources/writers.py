@@ -37,11 +37,10 @@ def write_partitioned(df: DataFrame, path: str, part_col: str, cluster_cols: lis
     df.write.mode(mode).partitionBy(part_col).parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The schema names the partition column's type too: inferred from the
+    folder names it would change with the labels present."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str) -> tuple[str, DataFrame]:

@@ -1,84 +1,56 @@
-"""Streaming audit with a custom stateful operator.
-
-Change rows ``(key, values..., op, seq)`` arrive as files; ``op`` is LOAD
-(the initial snapshot, delivered first), UPSERT or DELETE. Grouped by key,
-``applyInPandasWithState`` compares each change with the key's current
-values held in Spark's state store and emits the trigger's audit rows:
-INSERT (new key), UPDATE (a value differs, NULL-safe), DELETE (key removed).
-A change older than the state (by ``seq``) is ignored. The audit rows go to
-a Parquet file sink in append mode, which is exactly-once through the
-query's checkpoint. Work per micro-batch is proportional to the batch.
+"""Streaming audit over a change feed.
+
+Change rows ``(key, values..., op, seq)`` arrive as files; ``op`` is LOAD (the
+initial snapshot), UPSERT or DELETE. The stream appends every change to a
+change log (a Parquet file sink, exactly-once through the query's checkpoint).
+The audit is a function of that log alone: the changes of a key in the order of
+``seq``, each against the one before it, so it does not depend on how files
+were batched or in which order they came. INSERT: a new key; UPDATE: a value
+differs (NULL-safe); DELETE: the key is removed.
+
+The change before is found by a distributed row number and a join on (key, row
+number), so a key with a third of all changes is spread over all tasks.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.history import OP
-
-
-def _same(a, b) -> bool:
-    na = a is None or (isinstance(a, float) and math.isnan(a))
-    nb = b is None or (isinstance(b, float) and math.isnan(b))
-    return (na and nb) or (not na and not nb and a == b)
-
-
-def _audit_fn(key: str, cols: list[str], op: str, seq: str):
-    out_cols = [key, OP] + [f"old_{c}" for c in cols] + [f"new_{c}" for c in cols] + [seq]
-    none = [None] * len(cols)
-
-    def fn(k, pdfs, state):
-        if state.exists:
-            st = state.get
-            present, cur_seq, cur = bool(st[0]), st[1], list(st[2:])
-        else:
-            present, cur_seq, cur = False, None, list(none)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(seq, kind="stable")
-        out = []
-        for r in rows.to_dict("records"):  # the changes of one key, in order
-            s = int(r[seq])
-            if cur_seq is not None and s < cur_seq:
-                continue
-            vals = [None if pd.isna(r[c]) else r[c] for c in cols]
-            what = r[op]
-            if what == "LOAD":
-                present, cur = True, vals
-            elif what == "UPSERT":
-                if not present:
-                    out.append([k[0], "INSERT", *none, *vals, s])
-                elif not all(_same(a, b) for a, b in zip(cur, vals)):
-                    out.append([k[0], "UPDATE", *cur, *vals, s])
-                present, cur = True, vals
-            elif what == "DELETE":
-                if present:
-                    out.append([k[0], "DELETE", *cur, *none, s])
-                present, cur = False, list(none)
-            cur_seq = s
-        state.update((present, cur_seq, *cur))
-        yield pd.DataFrame(out, columns=out_cols)
-    return fn
+from ..operators.windows import row_number
+
+
+def audit_log(changes: DataFrame, key: str, cols: list[str], seq: str, op: str) -> DataFrame:
+    """Audit rows (key, _op, old values, new values, seq) of a change log.
+    Repeated rows count once; changes of one key and seq are ordered by op
+    (LOAD before UPSERT, DELETE first), then values."""
+    log = changes.select(key, seq, op, *cols).distinct()
+    order = [(seq, True), (op, True), *[(c, True) for c in cols]]
+    r = row_number(log, [key], order, "_n").select(
+        key, seq, "_n", F.col(op).alias("_now"), *[F.col(c).alias(f"new_{c}") for c in cols])
+    before = r.select(F.col(key).alias("_k"), (F.col("_n") + 1).alias("_m"), F.col("_now").alias("_was"),
+                      *[F.col(f"new_{c}").alias(f"old_{c}") for c in cols])
+    j = r.join(before, r[key].eqNullSafe(before["_k"]) & (r["_n"] == before["_m"]), "left")
+    had = F.coalesce(F.col("_was") != "DELETE", F.lit(False))
+    has = F.col("_now") != "DELETE"
+    same = reduce(lambda a, b: a & b, [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in cols], F.lit(True))
+    what = (F.when((F.col("_now") == "UPSERT") & ~had, "INSERT").when((F.col("_now") == "UPSERT") & ~same, "UPDATE")
+            .when((F.col("_now") == "DELETE") & had, "DELETE"))
+    return j.select(key, what.alias(OP), *[F.when(had, F.col(f"old_{c}")).alias(f"old_{c}") for c in cols],
+                    *[F.when(has, F.col(f"new_{c}")).alias(f"new_{c}") for c in cols], seq).filter(F.col(OP).isNotNull())
 
 
 def run_audit_stream(spark: SparkSession, source_dir: str, feed_schema: T.StructType, root: str,
-                     key: str, cols: list[str], seq: str, op: str, max_files_per_trigger: int = 2) -> DataFrame:
-    """Process every change file available now; return all audit rows."""
-    f = {x.name: x.dataType for x in feed_schema.fields}
-    out_schema = T.StructType([T.StructField(key, f[key]), T.StructField(OP, T.StringType())]
-                              + [T.StructField(f"old_{c}", f[c]) for c in cols]
-                              + [T.StructField(f"new_{c}", f[c]) for c in cols]
-                              + [T.StructField(seq, T.LongType())])
-    state_schema = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("seq", T.LongType())]
-                                + [T.StructField(c, f[c]) for c in cols])
-    stream = (spark.readStream.schema(feed_schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir))
-    audit = stream.groupBy(key).applyInPandasWithState(
-        _audit_fn(key, cols, seq=seq, op=op), out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-    q = (audit.writeStream.format("parquet").outputMode("append").option("path", f"{root}/audit")
+                     key: str, cols: list[str], seq: str, op: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Add every change file available now to the log; return all audit rows."""
+    reader = spark.readStream.schema(feed_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(source_dir).writeStream.format("parquet").outputMode("append").option("path", f"{root}/changes")
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(out_schema).parquet(f"{root}/audit")
+    return audit_log(spark.read.schema(feed_schema).parquet(f"{root}/changes"), key, cols, seq, op)

@@ -49,10 +49,13 @@ def current_state(spark: SparkSession, initial: DataFrame, root: str, key: str,
 
 def run_upsert_stream(spark: SparkSession, source_dir: str, feed_schema: T.StructType, initial: DataFrame,
                       root: str, key: str, set_cols: dict[str, str], seq: str,
-                      max_files_per_trigger: int = 2) -> DataFrame:
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Process every file available now, then return the current table."""
     cols = list(set_cols.values())
-    stream = (spark.readStream.schema(feed_schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(feed_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = (reader
               .parquet(source_dir))
     newest = last_per_key(stream, key, seq, cols)
     q = (newest.writeStream.outputMode("update").foreachBatch(_write_changes(root))

@@ -56,46 +56,33 @@ def test_projection_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double>" in p
 
 
-def _forced_scan(spark, key):
-    spark.conf.set("quarry.window.maxGroupRows", "0")
-    try:
-        return _plan(queries()[key](spark, SF))
-    finally:
-        spark.conf.unset("quarry.window.maxGroupRows")
-
-
 def test_scan_reads_staged_partitions(spark):
-    # hot groups: the carry pass and the main pass read the same stored scan,
-    # and no Window runs over the data itself (only over the carry table)
-    p = _forced_scan(spark, "win_running_total")
+    # the carry pass and the main pass read the same stored scan, and no Window
+    # runs over the data itself (only over the carry table)
+    p = _plan(queries()["win_running_total"](spark, SF))
     assert "BroadcastHashJoin" in p
     assert "Window" not in p.split("BroadcastExchange")[0]
 
 
-def test_small_groups_use_native_window(spark):
-    p = _plan(queries()["win_running_total"](spark, SF))
-    assert "Window" in p and "MapInPandas" not in p
-
-
-def test_global_ranks_without_single_partition_window_when_large(spark):
-    p = _forced_scan(spark, "win_ranks")
+def test_global_ranks_without_single_partition_window(spark):
+    p = _plan(queries()["win_ranks"](spark, SF))
     assert "MapInPandas" not in p  # the scan was materialised; the plan reads it back
     assert "Window [" not in p.split("BroadcastExchange")[0]
 
 
-def test_sql_udf_inlined(spark):
-    p = _plan(queries()["sql_scalar_udf"](spark, SF))
-    assert "Join" in p and "PythonUDF" not in p
+def test_month_range_is_pushed(spark):
+    p = _plan(queries()["monthly_order_summary"](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p
+
 
+def test_lossless_check_has_one_wide_join(spark):
+    p = _plan(queries()["normalize_bcnf"](spark, SF))
+    assert p.count("Location: InMemoryFileIndex") <= 5 or p.count("FileScan parquet") <= 5
 
-def test_spread_only_for_narrow_inputs(spark, tmp_path):
-    from quarry.sources.tables import spread_if_narrow
 
-    one = spark.read.parquet(f"{SF}/documents.parquet")  # a single row group
-    assert "RoundRobinPartitioning" in _plan(spread_if_narrow(one))
-    wide = str(tmp_path / "wide")
-    spark.range(0, 1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(wide)
-    assert "RoundRobinPartitioning" not in _plan(spread_if_narrow(spark.read.parquet(wide)))
+def test_sql_udf_inlined(spark):
+    p = _plan(queries()["sql_scalar_udf"](spark, SF))
+    assert "Join" in p and "PythonUDF" not in p
 
 
 def test_output_casts_consistent(spark):

@@ -41,12 +41,11 @@ def test_running_sum_many_batches(spark):
 import pytest
 
 
-@pytest.mark.parametrize("how", ["native", "scan"])
-def test_global_ranks(spark, how):
+def test_global_ranks(spark):
     vals = [5.0, 3.0, 5.0, None, 1.0, 3.0, 3.0]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
-    r = W.row_number(df, [], [("x", False), ("id", True)], "rn", strategy=how)
-    r = W.rank_dense_rank(r, [], [("x", False)], "rk", "dr", strategy=how)
+    r = W.row_number(df, [], [("x", False), ("id", True)], "rn")
+    r = W.rank_dense_rank(r, [], [("x", False)], "rk", "dr")
     got = {row.id: (row.rn, row.rk, row.dr) for row in r.collect()}
     pdf = pd.DataFrame({"id": range(7), "x": vals})
     # SQL DESC puts NULL first
@@ -67,10 +66,7 @@ def test_conflict_counts_brute_force(spark):
                                                             + 60 * random.randint(0, 3)))
             for i in range(400)]
     df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
-    got = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, n_partitions=5,
-                                                        strategy="scan").collect()}
-    got_native = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, strategy="native").collect()}
-    assert got_native == got
+    got = {r.id: r.n_conflicts for r in conflict_counts(df, "k", "t", "id", 30, n_partitions=5).collect()}
     want = {}
     for i, k, t in rows:
         n = sum(1 for j, k2, t2 in rows if j != i and k2 == k and abs((t2 - t).total_seconds()) < 1800)
@@ -97,7 +93,7 @@ def test_clinic_generator_counts(spark):
     assert [r["count"] for r in top] == [762] * 8 + [761] * 24
     # double bookings among live visits: pairs counted twice, once per side
     live = v.filter(F.col("status") != "CANCELADA").select("consulta_id", "medico_id", "data_hora")
-    cc = conflict_counts(live, "medico_id", "data_hora", "consulta_id", 30, n_partitions=16, strategy="scan")
+    cc = conflict_counts(live, "medico_id", "data_hora", "consulta_id", 30, n_partitions=16)
     agg = cc.agg(F.sum("n_conflicts").alias("s"),
                  F.countDistinct("medico_id", "data_hora").alias("slots")).first()
     assert agg.s == 2 * 2787300 and agg.slots == 13870
@@ -149,32 +145,55 @@ def test_epoch_millis_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_window_strategies_agree(spark):
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_windows_match_spark(spark, kind, descending):
+    """Every function against Spark's Window: NULL and NaN order keys,
+    descending strings, NULL values."""
+    from pyspark.sql import Window
+
     random.seed(11)
-    rows = [(i, random.choice([1, 1, 1, 2, 3, None]), random.randint(0, 20), random.randint(0, 99))
-            for i in range(3000)]
-    df = spark.createDataFrame(rows, "id long, g long, o long, v long")
-    order = [("o", True), ("id", True)]
-
-    def run(how):
-        r = W.row_number(df, ["g"], order, "rn", strategy=how)
-        r = W.rank_dense_rank(r, ["g"], [("o", False)], "rk", "dr", strategy=how)
-        r = W.running_total(r, ["g"], order, "v", "rt", strategy=how)
-        r = W.running_peers(r, ["g"], [("o", False)], "v", "ps", "pn", strategy=how)
-        r = W.lag_lead(r, ["g"], order, "v", 1, "lg", strategy=how)
-        r = W.lag_lead(r, ["g"], order, "v", -2, "ld", strategy=how)
-        r = W.running_totals(r.withColumn("one", F.lit(1).cast("long")), ["g"], order,
-                             {"v": "rt2", "one": "rn2"}, strategy=how)
-        return sorted(r.select("id", "rn", "rk", "dr", "rt", "ps", "pn", "lg", "ld", "rt2", "rn2").collect())
-
-    assert run("native") == run("scan")
-
-
-def test_choose(spark):
-    df = spark.createDataFrame([(1,), (1,), (2,)], "g int")
-    assert W.choose(df, ["g"], max_group_rows=2) == "native"
-    assert W.choose(df, ["g"], max_group_rows=1) == "scan"
-    assert W.choose(df, [], max_group_rows=2) == "scan"
+    def key():
+        o = random.choice([None, *range(20)])
+        return o if kind == "long" or o is None else (f"k{o}é" if kind == "string" else (float("nan") if o == 7 else o / 3))
+
+    rows = [(i, random.choice([1, 1, 1, 2, 3, None]), key(), random.choice([None, *range(99)])) for i in range(1500)]
+    df = spark.createDataFrame(rows, f"id long, g long, o {kind}, v long").cache()
+    order = [("o", not descending), ("id", True)]
+    r = W.row_number(df, ["g"], order, "rn", n_partitions=7)
+    r = W.rank_dense_rank(r, ["g"], order[:1], "rk", "dr", n_partitions=7)
+    r = W.running_total(r, ["g"], order, "v", "rt", n_partitions=7)
+    r = W.running_peers(r, ["g"], order[:1], "v", "ps", "pn", n_partitions=7)
+    r = W.lag_lead(r, ["g"], order, "v", 1, "lg")
+    r = W.lag_lead(r, ["g"], order, "v", -2, "ld")
+    o = F.col("o").desc_nulls_first() if descending else F.col("o").asc_nulls_first()
+    peers, w = Window.partitionBy("g").orderBy(o), Window.partitionBy("g").orderBy(o, "id")
+    rows_w = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.row_number().over(w).alias("rn"), F.rank().over(peers).alias("rk"),
+                     F.dense_rank().over(peers).alias("dr"), F.sum("v").over(rows_w).alias("rt"),
+                     F.sum("v").over(peers).alias("ps"), F.count(F.lit(1)).over(peers).alias("pn"),
+                     F.lag("v", 1).over(w).alias("lg"), F.lead("v", 2).over(w).alias("ld"))
+    cols = ["id", "rn", "rk", "dr", "rt", "ps", "pn", "lg", "ld"]
+    assert sorted(map(tuple, r.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    df.unpersist()
+
+
+def test_overlap_counts_brute_force(spark):
+    import datetime as dt
+
+    from quarry.operators.overlap import overlap_counts
+
+    random.seed(5)
+    base = dt.datetime(2025, 6, 1, 8)
+    rows = []
+    for i in range(300):
+        s = base + dt.timedelta(minutes=10 * random.randint(0, 30))
+        rows.append((i, random.choice([1, 1, 2, None]), s, s + dt.timedelta(minutes=10 * random.randint(0, 9))))
+    df = spark.createDataFrame(rows, "id long, k long, s timestamp_ntz, e timestamp_ntz")
+    got = {r.id: r.n_conflicts for r in overlap_counts(df, ["k"], "s", "e", "id", n_partitions=5).collect()}
+    live = [r for r in rows if r[1] is not None and r[2] < r[3]]
+    want = {a[0]: n for a in live if (n := sum(b[0] != a[0] and b[1] == a[1] and a[2] < b[3] and b[2] < a[3] for b in live))}
+    assert got == want
 
 
 def test_hot_group_spreads_over_partitions(spark):

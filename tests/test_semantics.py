@@ -123,7 +123,7 @@ def test_graph(spark):
         ("L5", "C1", "PERTENCE_A")], "src string, dst string, type string")
     hop = G.one_hop(nodes, edges, "Autor", "ESCREVEU", "Livro").filter(F.col("a_name") == "John Marshall")
     assert sorted((r.b_id, r.b_price) for r in hop.collect()) == [("L3", 35.5), ("L5", 89.9)]
-    shared = G.shared_neighbours(nodes, edges, "Paula Sousa", "ESCREVEU", "PERTENCE_A").collect()
+    shared = G.shared_neighbours(nodes, edges, "Autor", "Paula Sousa", "ESCREVEU", "PERTENCE_A").collect()
     assert [(r.autor, r.categoria_em_comum) for r in shared] == [("John Marshall", "Tecnologia")]
     left = G.delete_edges(edges, spark.createDataFrame([("A1", "L2", "ESCREVEU")], edges.schema))
     assert sorted(r.dst for r in left.filter(F.col("src") == "A1").collect()) == ["L1"]
@@ -135,8 +135,8 @@ def test_restrict_and_cascade(spark):
     kids = spark.createDataFrame([(10, 1)], "ck int, fk int")
     out = {r.pk: r.outcome for r in M.restrict_delete(parents, "pk", kids, "fk").collect()}
     assert out == {1: "BLOCKED", 2: "DELETED"}
-    gone = M.cascade_delete([(kids, "ck", "fk")], parents.filter(F.col("pk") == 1), "pk")
-    assert gone[0].count() == 1
+    gone = M.cascade_delete(parents.filter(F.col("pk") == 1), "pk", [(kids, "ck", "fk")])
+    assert [g.count() for g in gone] == [1, 1]
 
 
 def test_outer_join_matches_native(spark):
@@ -172,17 +172,20 @@ def test_partition_upkeep(spark, tmp_path):
 
     rows = [(i, dt.datetime(1995 + i % 8, 1 + i % 12, 1)) for i in range(200)]
     o = spark.createDataFrame(rows, "k long, d timestamp_ntz").withColumn("p", year_range_partition("d", 1996, 2000))
-    path = str(tmp_path / "t")
+    path, schema = str(tmp_path / "t"), "k bigint, d timestamp_ntz, p string"
     write_partitioned(o, path, "p", ["d", "k"])
-    assert read_partitioned(spark, path).count() == 200
+    assert read_partitioned(spark, path, schema).count() == 200
     N.add_partition(spark.createDataFrame([(999, dt.datetime(2030, 1, 1))], "k long, d timestamp_ntz")
                     .withColumn("p", year_range_partition("d", 1996, 2000)), path, "p", ["d", "k"])
-    futuro = read_partitioned(spark, path).filter(F.col("p") == "futuro").count()
+    futuro = read_partitioned(spark, path, schema).filter(F.col("p") == "futuro").count()
     gone = N.detach_partition(spark, path, "p", "futuro", str(tmp_path / "archive" / "futuro"))
-    assert gone.count() == futuro and read_partitioned(spark, path).filter(F.col("p") == "futuro").count() == 0
+    assert gone.count() == futuro and read_partitioned(spark, path, schema).filter(F.col("p") == "futuro").count() == 0
     N.drop_partitions(spark, path, "p", ["ate_1996"])
-    N.merge_partitions(spark, path, "p", ["1997", "1998"], "1997_1998", ["d", "k"])
-    left = {r.p: r["count"] for r in read_partitioned(spark, path).groupBy("p").count().collect()}
+    N.merge_partitions(spark, path, "p", ["1997", "1998"], "1997_1998", schema, ["d", "k"])
+    left = {r.p: r["count"] for r in read_partitioned(spark, path, schema).groupBy("p").count().collect()}
+    seen = N.prune_by_date(read_partitioned(spark, path, schema), "d", "p", "1997-03-01", "1998-02-01",
+                           N.partition_labels(spark, path, "p"))
+    assert {r.k for r in seen.collect()} == {k for k, d in rows if dt.datetime(1997, 3, 1) <= d <= dt.datetime(1998, 2, 1)}
     assert set(left) == {"1997_1998", "1999", "2000"}
     assert sum(left.values()) + gone.count() + sum(1 for k, d in rows if d.year <= 1996) == 201
 
@@ -193,21 +196,114 @@ def test_nested_json_roundtrip_keeps_micros(spark, tmp_path):
     import datetime as dt
 
     ts = dt.datetime(2025, 8, 10, 10, 15, 0, 123456)
-    doc = spark.createDataFrame([(1, 0, 1, ts, "cartao", 165.0, [(1, 1, 1.0, 120.0), (2, 2, 1.0, 45.0)])], SALE_DOC)
+    doc = spark.createDataFrame([(1, 1, ts, "cartao", 165.0, [(1, 1, 1.0, 120.0), (2, 2, 1.0, 45.0)])], SALE_DOC)
     write_json(doc, str(tmp_path / "d"))
     back = read_sale_documents(spark, str(tmp_path / "d")).first()
     assert back.data_venda == ts and [i.id_livro for i in back.itens] == [1, 2]
 
 
-def test_nest_bucket_pattern_is_lossless(spark):
+def test_nest_is_one_document_per_key(spark):
     from quarry.operators.nested import nest, unnest
 
     parent = spark.createDataFrame([(1,), (2,), (3,)], "k long")
-    child = spark.createDataFrame([(1, i, float(i)) for i in range(10)] + [(2, 0, 5.0)], "k long, n int, q double")
-    docs = nest(parent, "k", child, "k", [("n", "n"), ("q", "q")], "items", max_items=3)
-    per_key = {r.k: r.docs for r in docs.groupBy("k").agg(F.count(F.lit(1)).alias("docs")).collect()}
-    assert per_key[2] == 1 and per_key[3] == 1 and 1 <= per_key[1] <= 4  # ceil(10 / 3) chunks at most
-    empty = docs.filter(F.col("k") == 3).first()
-    assert empty["items"] == [] and empty["_chunk"] == 0
+    child = spark.createDataFrame([(1, i, float(i)) for i in range(10_001)] + [(2, 7, 5.0)] * 50, "k long, n int, q double")
+    docs = nest(parent, "k", child, "k", [("n", "n"), ("q", "q")], "items")
+    assert {r.k: r.n for r in docs.select("k", F.size("items").alias("n")).collect()} == {1: 10_001, 2: 50, 3: 0}
     flat = sorted((r.k, r.n, r.q) for r in unnest(docs, ["k"], "items").collect())
     assert flat == sorted((r.k, r.n, r.q) for r in child.collect())
+
+
+def test_update_sees_the_old_row(spark):
+    from quarry.operators.change import update
+    from quarry.operators.documents import set_fields
+
+    df = spark.createDataFrame([(10, 0), (3, 0), (None, 0)], "x int, y int")
+    new = {"x": F.lit(0), "y": F.col("x") + 1}
+    assert sorted(map(tuple, update(df, F.col("x") > 5, new).collect()), key=str) == [(0, 11), (3, 0), (None, 0)]
+    d = set_fields(df, F.col("x") > 5, {"x": F.lit(0), "z": F.col("x")})
+    assert {(r.x, r.z) for r in d.collect()} == {(0, 10), (3, None), (None, None)}
+
+
+def test_defaults_leave_explicit_nulls(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from quarry.operators.layout import fill_defaults, read_with_added_column
+
+    old = spark.createDataFrame([(1,)], "k int")
+    path = str(tmp_path / "t")
+    old.write.parquet(path)
+    spark.createDataFrame([(2, None), (3, "X")], "k int, ativo string").write.mode("append").parquet(path)
+    got = read_with_added_column(spark, path, old.schema, "ativo", T.StringType(), "'S'")
+    assert {(r.k, r.ativo) for r in got.collect()} == {(1, "S"), (2, None), (3, "X")}
+    filled = fill_defaults(spark.createDataFrame([(1, None)], "k int, s string"), {"s": F.lit("P"), "n": F.lit(0)})
+    assert filled.first() == (1, None, 0)
+
+
+def test_exact_average_above_two_to_the_53(spark):
+    from quarry.functions.scalars import avg_money
+
+    df = spark.createDataFrame([(9007199254740993, 1), (-5, 2), (5, 2), (1, 3), (None, 1)], "c long, n long")
+    got = [None if r[0] is None else str(r[0]) for r in df.select(avg_money("c", "n")).collect()]
+    assert got == ["90071992547409.93", "-0.03", "0.03", "0.00", None]
+
+
+def test_months_between_truncates_toward_zero(spark):
+    from quarry.functions.scalars import months_between_whole
+
+    rows = [("2020-01-15", "2020-02-10", 0), ("2020-02-10", "2020-01-15", 0), ("2020-01-10", "2020-02-10", -1),
+            ("2020-01-10", "2020-03-15", -2), ("2020-03-15", "2020-01-10", 2)]
+    df = spark.createDataFrame(rows, "e string, s string, want int")
+    assert all(r[0] == r[1] for r in df.select(months_between_whole("e", "s"), "want").collect())
+
+
+def test_first_return_of_a_loan_counts(spark):
+    import datetime as dt
+
+    from quarry.operators.domain import loan_return
+
+    day = dt.date(2025, 1, 15)
+    loans = spark.createDataFrame([(1, day, None, None)], "id int, data_prevista date, data_devolucao date, multa decimal(10,2)")
+    back = spark.createDataFrame([(1, day + dt.timedelta(5)), (1, day + dt.timedelta(2))], "id int, rd date")
+    (r,) = loan_return(loans, back, "id", "rd").collect()
+    assert r.data_devolucao == day + dt.timedelta(2) and str(r.multa) == "4.00"
+
+
+def test_query_terms_agree_on_both_paths(spark):
+    from quarry.operators import textsearch as Q
+
+    df = spark.createDataFrame([(1, "The erin"), (2, "erin's red\\E book"), (3, "thing")], "doc_id int, text string")
+    post = Q.postings(df, "doc_id", "text")
+    for terms, want in ((["the", "erin"], {1, 2}), (["the"], set()), (["red book"], {2}), (["E"], set()), ([".*"], set())):
+        assert {r.doc_id for r in Q.match_all(df, "text", terms).collect()} == want, terms
+        assert {r.doc_id for r in Q.search(post, terms).collect()} == want, terms
+    assert {r.doc_id for r in Q.match_all(df, "text", ["books", "reds"], stem=True).collect()} == {2}
+
+
+def test_shared_neighbours_label_and_namesakes(spark):
+    from quarry.operators.graph import set_property, shared_neighbours
+
+    nodes = spark.createDataFrame([("A1", "Autor", "Ana"), ("A2", "Autor", "Ana"), ("X", "Outro", "Ana"), ("A3", "Autor", "Bia"),
+                                   ("L1", "Livro", "l1"), ("L2", "Livro", "l2"), ("L3", "Livro", "l3"), ("C1", "Cat", "c1"),
+                                   ("C2", "Cat", "c2")], "id string, label string, name string")
+    edges = spark.createDataFrame([("A1", "L1", "W"), ("A2", "L2", "W"), ("X", "L3", "W"), ("A3", "L3", "W"), ("L1", "C1", "IN"),
+                                   ("L2", "C1", "IN"), ("L3", "C2", "IN")], "src string, dst string, type string")
+    got = sorted(map(tuple, shared_neighbours(nodes, edges, "Autor", "Ana", "W", "IN").collect()))
+    assert got == [("Ana", "c1")]   # the namesake counts, the other label is no anchor
+    named = set_property(nodes, edges.filter("src = 'A1'"), "src", {"name": F.lit("Eva")})
+    assert {r.id: r.name for r in named.collect()}["A1"] == "Eva" and named.filter("name = 'Ana'").count() == 2
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    import pytest
+
+    from quarry.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())

@@ -71,6 +71,38 @@ def test_audit_stream_incremental(spark, tmp_path):
     assert got == [(2, "DELETE", "B", None), (99, "INSERT", None, "Teste"), (99, "UPDATE", "Teste", "Teste 2")]
 
 
+def test_audit_does_not_depend_on_batching(spark, tmp_path):
+    import random
+
+    from quarry.streaming.audit_stream import run_audit_stream
+
+    schema = "id long, nome string, op string, seq long"
+    feed = spark.createDataFrame([], schema).schema
+    rng = random.Random(3)
+    rows = [(i, f"n{i}", "LOAD", 0) for i in range(5)]
+    for s in range(1, 40):
+        rows.append((rng.randrange(7), rng.choice(["a", "b", None]), rng.choice(["UPSERT", "UPSERT", "DELETE"]), s))
+    state, want = {}, []
+    for i, nome, op, s in rows:
+        old = state.get(i)
+        if op == "DELETE":
+            if old is not None:
+                want.append((i, "DELETE", s, old[0], None))
+            state.pop(i, None)
+        else:
+            if op == "UPSERT" and old != (nome,):
+                want.append((i, "UPDATE" if old else "INSERT", s, old[0] if old else None, nome))
+            state[i] = (nome,)
+    for per_file, per_trigger in ((len(rows), None), (3, 1), (7, 2)):
+        shuffled = rows[:]
+        rng.shuffle(shuffled)
+        src = str(tmp_path / f"src{per_file}")
+        for k in range(0, len(rows), per_file):
+            spark.createDataFrame(shuffled[k:k + per_file], schema).coalesce(1).write.mode("append").parquet(src)
+        a = run_audit_stream(spark, src, feed, str(tmp_path / f"out{per_file}"), "id", ["nome"], "seq", "op", per_trigger)
+        assert sorted(((r.id, r._op, r.seq, r.old_nome, r.new_nome) for r in a.collect()), key=str) == sorted(want, key=str)
+
+
 def test_upsert_stream_compaction(spark, tmp_path):
     import datetime as dt
 
