@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
+from .scan import running_sum
+
 FEE_PER_DAY = "2.00"     # fixed value: late fee per day
 LOAN_DAYS = 14           # fixed value: loan period in days
 
@@ -50,76 +50,58 @@ def transfer_batch(accounts: DataFrame, key: str, balance: str, transfers: DataF
     return r.drop("_batch")
 
 
-WINDOW = 1024  # rows looked at per vectorised step
-
-
-def _greedy_segment(q: np.ndarray, left: float, acc: np.ndarray, rem: np.ndarray) -> float:
-    """Greedy acceptance over one product's requests, in order, vectorised:
-    a run of requests whose running total fits the stock is accepted at once
-    (cumsum + searchsorted); a run of requests larger than the stock is
-    refused at once (one mask). Returns the stock left."""
-    i, n = 0, len(q)
-    while i < n:
-        w = q[i:min(i + WINDOW, n)]
-        cs = np.cumsum(w)
-        k = int(np.searchsorted(cs, left, side="right"))  # leading requests that all fit
-        if k > 0:
-            acc[i:i + k] = True
-            rem[i:i + k] = left - cs[:k]
-            left -= cs[k - 1]
-            i += k
-            continue
-        fits = w <= left  # w[0] does not fit: skip to the next request that does
-        if not fits.any():
-            rem[i:i + len(w)] = left
-            i += len(w)
-            continue
-        j = int(np.argmax(fits))
-        rem[i:i + j] = left
-        i += j
-    return left
-
-
-def _intake_scan(product: str, qty: str, stock: str):
-    """Per sorted partition: greedy per product in request order (a refused
-    request uses no stock). Streams batch by batch, carrying the stock left
-    for the current product, so memory stays at one Arrow batch."""
-    def fn(batches):
-        cur, left = None, 0.0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            prods = pdf[product].to_numpy()
-            q = pdf[qty].to_numpy(dtype=float)
-            s0 = pdf[stock].to_numpy(dtype=float)
-            acc = np.zeros(len(pdf), dtype=bool)
-            rem = np.zeros(len(pdf), dtype=float)
-            change = np.flatnonzero(prods[1:] != prods[:-1]) + 1
-            for a, b in zip(np.r_[0, change], np.r_[change, len(pdf)]):
-                if prods[a] != cur:
-                    cur, left = prods[a], s0[a]
-                left = _greedy_segment(q[a:b], left, acc[a:b], rem[a:b])
-            out = pdf.copy()
-            out["accepted"] = acc
-            out["remaining"] = rem
-            yield out
-    return fn
-
-
 def order_intake(requests: DataFrame, product: str, order: list[str], qty: str, stock: str,
                  n_partitions: int | None = None) -> DataFrame:
-    """Adds ``accepted`` and ``remaining`` (stock left after the request).
-
-    Requests are hash-partitioned by product and sorted by (product, order)
-    within partitions; the scan streams each partition. A product's decisions
-    depend on all its earlier ones, so one product is processed by one task
-    (time grows with the hottest product, memory does not)."""
-    spark = requests.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = requests.repartition(n, product).sortWithinPartitions(product, *order)
-    schema = T.StructType(list(requests.schema.fields) + [T.StructField("accepted", T.BooleanType()),
-                                                          T.StructField("remaining", T.DoubleType())])
-    return ordered.mapInPandas(_intake_scan(product, qty, stock), schema)
+    """Adds ``accepted`` and ``remaining`` (stock left after the request): in
+    ``order``, a product's request is accepted when the stock left covers it.
+
+    Rounds over the distributed prefix sum, so one product with a third of the
+    requests is spread over all tasks. In a round, requests larger than the
+    stock left are refused for good (it only falls); of the others the leading
+    run whose total fits is accepted. The request that ended the run is larger
+    than what is then left, so the largest open quantity falls with every
+    round: there are at most as many rounds as distinct quantities, and each
+    sees only the requests still open. Quantities must be positive; a request
+    without a quantity or a stock is refused.
+    """
+    from ..sources.writers import stage
+
+    keys = [(c, True) for c in order]
+    n_left = F.col(stock).cast("double").alias("_left")
+    _, open_ = stage(requests.select("*", n_left), "intake")
+    decided = []
+    while True:
+        fits = F.coalesce(F.col(qty) <= F.col("_left"), F.lit(False))
+        decided.append(open_.filter(~fits).withColumn("accepted", F.lit(False)))
+        small = open_.filter(fits)
+        if small.isEmpty():
+            break
+        _, run = stage(running_sum(small, [product], keys, [qty], n_partitions), "intake_run")
+        total = F.col(f"{qty}_cum")
+        taken = run.filter(total <= F.col("_left"))
+        decided.append(taken.drop(f"{qty}_cum").withColumn("accepted", F.lit(True)))
+        used = taken.groupBy(F.col(product).alias("_p")).agg(F.max(total).alias("_used"))
+        rest = run.filter(total > F.col("_left")).drop(f"{qty}_cum")
+        rest = rest.join(used, rest[product].eqNullSafe(F.col("_p")), "left").withColumn(
+            "_left", F.col("_left") - F.coalesce("_used", F.lit(0.0))).drop("_p", "_used")
+        _, open_ = stage(rest, "intake")
+    cols = [*requests.columns, "accepted"]
+    every = decided[0].select(cols)
+    for d in decided[1:]:
+        every = every.unionByName(d.select(cols))
+    every = every.withColumn("_out", F.when(F.col("accepted"), F.col(qty)).otherwise(F.lit(0.0)).cast("double"))
+    out = running_sum(every, [product], keys, ["_out"], n_partitions)
+    return out.withColumn("remaining", F.col(stock).cast("double") - F.col("_out_cum")).drop("_out", "_out_cum")
+
+
+def intake_totals(decided: DataFrame, product: str, qty: str, stock: str, price: str) -> DataFrame:
+    """Per product: the stock after the batch, requests accepted and refused,
+    and the value of the accepted ones (the routine's order value), exact."""
+    out = F.when(F.col("accepted"), F.col(qty)).otherwise(0.0)
+    value = F.when(F.col("accepted"), F.col(price).cast("decimal(18,2)")).otherwise(F.lit(0))
+    return decided.groupBy(product).agg(
+        (F.max(stock) - F.sum(out)).alias("new_stock"), F.count(F.when(F.col("accepted"), 1)).alias("n_accepted"),
+        F.count(F.when(~F.col("accepted"), 1)).alias("n_refused"), F.sum(value).cast("decimal(38,2)").alias("order_value"))
 
 
 def loan_issue(requests: DataFrame, day: str) -> DataFrame:

@@ -60,36 +60,57 @@ def transfer_batch(spark, sf_dir):
         "batch", "s_suppkey", "s_acctbal", "batch_status")
 
 
-@query("order_intake", sql="""
+# the requests walked one by one, per product
+INTAKE_SQL = """
 WITH RECURSIVE req AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_shipdate,
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_shipdate, l.l_extendedprice,
          CAST(p.p_size * 3 AS DOUBLE) AS stock,
          ROW_NUMBER() OVER (PARTITION BY l.l_partkey
-                            ORDER BY l.l_shipdate, l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_quantity) AS rn
+                            ORDER BY l.l_shipdate, l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_quantity, l.l_extendedprice) AS rn
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 walk AS (
-  SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey, r.l_quantity, r.l_shipdate, r.stock, r.rn,
+  SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey, r.l_quantity, r.l_shipdate, r.l_extendedprice, r.stock, r.rn,
          r.l_quantity <= r.stock AS accepted,
          CASE WHEN r.l_quantity <= r.stock THEN r.stock - r.l_quantity ELSE r.stock END AS remaining
   FROM req r WHERE r.rn = 1
   UNION ALL
-  SELECT n.l_orderkey, n.l_linenumber, n.l_partkey, n.l_suppkey, n.l_quantity, n.l_shipdate, n.stock, n.rn,
+  SELECT n.l_orderkey, n.l_linenumber, n.l_partkey, n.l_suppkey, n.l_quantity, n.l_shipdate, n.l_extendedprice, n.stock, n.rn,
          n.l_quantity <= w.remaining,
          CASE WHEN n.l_quantity <= w.remaining THEN w.remaining - n.l_quantity ELSE w.remaining END
   FROM walk w JOIN req n ON n.l_partkey = w.l_partkey AND n.rn = w.rn + 1)
+"""
+
+
+@query("order_intake", sql=INTAKE_SQL + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate, stock, accepted, remaining FROM walk
 """)
 def order_intake(spark, sf_dir):
     """Order requests (lines in ship order) against stock (3 x p_size):
-    refused when stock < quantity, else accepted and stock decremented.
-    Sequential per product (the oracle walks the requests with a recursive
-    CTE); also checked against a brute force in the tests."""
+    refused when stock < quantity, else accepted and stock decremented (the
+    oracle walks the requests with a recursive CTE)."""
+    return _intake(spark, sf_dir).drop("l_extendedprice")
+
+
+def _intake(spark, sf_dir):
     t = tables(spark, sf_dir)
-    req = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    req = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
+                            "l_extendedprice")
     stock = t.part.select(F.col("p_partkey"), (F.col("p_size") * 3).cast("double").alias("stock"))
     r = req.join(stock, req.l_partkey == stock.p_partkey).drop("p_partkey")
-    return P.order_intake(r, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"],
-                          "l_quantity", "stock")
+    return P.order_intake(r, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                                           "l_extendedprice"], "l_quantity", "stock")
+
+
+@query("order_intake_totals", sql=INTAKE_SQL + """
+SELECT l_partkey, MIN(remaining) AS new_stock, COUNT(*) FILTER (WHERE accepted) AS n_accepted,
+       COUNT(*) FILTER (WHERE NOT accepted) AS n_refused,
+       CAST(COALESCE(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE accepted), 0) AS DOUBLE) AS order_value
+FROM walk GROUP BY l_partkey
+""")
+def order_intake_totals(spark, sf_dir):
+    """What the routine writes: the new stock and the order value, per
+    product of the batch."""
+    return P.intake_totals(_intake(spark, sf_dir), "l_partkey", "l_quantity", "stock", "l_extendedprice")
 
 
 @query("loan_issue", sql="""

@@ -219,22 +219,19 @@ def test_running_sum_large_nullable_keys(spark):
     assert {x.id: x.v_cum for x in r.collect()} == {1: 1, 5: 2, 2: 1, 4: 2, 3: 1, 6: 2}
 
 
-def test_greedy_segment_matches_loop():
-    import numpy as np
-
-    from quarry.operators.domain import _greedy_segment
+def test_intake_rounds_with_a_hot_product(spark):
+    """A product with a third of the requests, small and large ones in turn."""
+    from quarry.operators.domain import order_intake
 
     rng = random.Random(5)
-    for _ in range(300):
-        n = rng.randint(0, 3000)
-        q = np.array([float(rng.randint(1, 50)) for _ in range(n)])
-        left0 = float(rng.choice([0, 10, 150, 5000, 100000]))
-        acc, rem = np.zeros(n, dtype=bool), np.zeros(n)
-        end = _greedy_segment(q, left0, acc, rem)
-        left = left0
-        for i in range(n):
-            ok = q[i] <= left
-            if ok:
-                left -= q[i]
-            assert acc[i] == ok and rem[i] == left
-        assert end == left
+    rows = [(i, 0 if i % 3 == 0 else rng.randint(1, 40), float(rng.choice([1, 2, 49, 50]) if i % 3 == 0 else rng.randint(1, 50)))
+            for i in range(3000)] + [(3000, 1, None), (3001, 999, 5.0)]
+    stock = {p: float(rng.choice([0, 10, 150])) for p in range(1, 41)} | {0: 4000.0, 999: None}
+    df = spark.createDataFrame([(i, p, q, stock[p]) for i, p, q in rows], "id long, p long, q double, s double")
+    got = {r.id: (r.accepted, r.remaining) for r in order_intake(df, "p", ["id"], "q", "s", n_partitions=6).collect()}
+    left = dict(stock)
+    for i, p, q in rows:
+        ok = q is not None and left[p] is not None and q <= left[p]
+        if ok:
+            left[p] -= q
+        assert got[i] == (ok, left[p]), i
