@@ -13,12 +13,15 @@ Exactness and skew:
 * Equal sets become one node first (their documents are linked anyway), so a
   group of copies costs one row.
 * Within a bucket no pair list is made. In each round every bucket names up to
-  2, 4, 8, ... hubs of each of its 2, 4, 8, ... largest components, and members
+  2, 8, 32, ... hubs of each of its 2, 8, 32, ... largest components, and members
   of smaller components are compared with the hubs of larger ones. A member
   drops out of the pairing as soon as it is linked, so a large group of near
   copies costs a few comparisons per member. A bucket is done when its members
   are in one component or every pair across components has been compared, so no
   candidate link is lost.
+* From the second round on, a node leaves whose own shingles, held by no other
+  node still open, are too many for any link: with p of its n shingles private,
+  an intersection is at most n - p and a union at least n.
 * Tables between rounds are written to the shared folder.
 
 With ``BANDS`` = 32 bands of ``ROWS`` = 5 registers, a pair at similarity 0.8
@@ -298,6 +301,16 @@ def _hubs(members: DataFrame, width: int) -> DataFrame:
         "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), "rank", "used_up")
 
 
+def _without_loners(members: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The rows of nodes that can still be linked with another node of the
+    table, judged by the shingles that no other of them holds."""
+    alive = sets.join(members.select("nid").distinct(), "nid").select("nid", F.explode("members").alias("shingle"))
+    private = alive.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("nid")).filter("n = 1")
+    alone = private.groupBy("nid").agg(F.count(F.lit(1)).alias("p")).join(nodes.select("nid", "n_shingles"), "nid").filter(
+        F.lit(100) * (F.col("n_shingles") - F.col("p")) < F.lit(percent) * F.col("n_shingles"))
+    return members.join(alone.select("nid"), "nid", "left_anti")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per input row.
@@ -324,9 +337,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
     comp = None     # (node, root), nodes with a link only
     tested = None   # pairs already compared
-    width = 1
+    width = 2
     while True:
-        width *= 2
+        if comp is not None:
+            members = _without_loners(members, sets, nodes, percent)
         m = members.withColumn("root", F.col("nid")) if comp is None else (
             members.join(comp.withColumnRenamed("node", "nid"), "nid", "left")
             .withColumn("root", F.coalesce("root", "nid")))
@@ -335,6 +349,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         m = materialise(m.join(open_.select("bucket"), "bucket"), "open-buckets")
         if m.isEmpty():
             break
+        width = 2 if comp is None else 4 * width
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
         ranked = m.join(ranks, ["bucket", "root"], "left").select(
