@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# fixed values: status words and, in the formulas below, the moduli, start time
+# and price range that the generated rows must have
 STATUS_CANCELLED, STATUS_BOOKED, STATUS_DONE = "CANCELADA", "AGENDADA", "REALIZADA"
 
 
