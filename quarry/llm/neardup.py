@@ -339,8 +339,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     tested = None   # pairs already compared
     width = 2
     while True:
-        if comp is not None:
-            members = _without_loners(members, sets, nodes, percent)
         m = members.withColumn("root", F.col("nid")) if comp is None else (
             members.join(comp.withColumnRenamed("node", "nid"), "nid", "left")
             .withColumn("root", F.coalesce("root", "nid")))
@@ -349,6 +347,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         m = materialise(m.join(open_.select("bucket"), "bucket"), "open-buckets")
         if m.isEmpty():
             break
+        if comp is not None:
+            m = materialise(_without_loners(m, sets, nodes, percent), "open-buckets")
         width = 2 if comp is None else 4 * width
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
