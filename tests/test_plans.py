@@ -86,28 +86,31 @@ def test_sql_udf_inlined(spark):
 
 
 def test_output_casts_consistent(spark):
-    """Every DATE/DECIMAL column a query yields is listed for the SQL side."""
+    """Every DATE column a query yields is listed for the SQL side; no DATE or
+    DECIMAL column leaves, and no integer key leaves as a double."""
     from pyspark.sql import types as T
 
-    from __spark_entry__ import SQL_OUTPUT_CASTS
+    from __spark_entry__ import SQL_OUTPUT_CASTS, portable
     from quarry.plans import all_queries
 
     raw = {}
     for k, fn in all_queries().items():
         if k.startswith("stream_"):
             continue
-        cols = {f.name: ("TIMESTAMP" if isinstance(f.dataType, T.DateType) else "DOUBLE")
-                for f in fn(spark, SF).schema.fields if isinstance(f.dataType, (T.DateType, T.DecimalType))}
+        df = fn(spark, SF)
+        before = {f.name: f.dataType for f in df.schema.fields}
+        after = {f.name: f.dataType for f in portable(df, k).schema.fields}
+        assert not [c for c, t in after.items() if isinstance(t, (T.DateType, T.DecimalType))], k
+        assert not [c for c, t in after.items() if isinstance(t, T.DoubleType)
+                    and not isinstance(before[c], (T.DoubleType, T.DecimalType))], k
+        cols = {c: "TIMESTAMP" for c, t in before.items() if isinstance(t, T.DateType)}
         if cols:
             raw[k] = cols
-    listed = {k: {c: t for c, t in v.items() if t != "VARCHAR" and not (t == "DOUBLE" and c in NULLABLE_INTS)}
+    listed = {k: {c: t for c, t in v.items() if t == "TIMESTAMP"}
               for k, v in SQL_OUTPUT_CASTS.items() if not k.startswith("stream_")}
     assert raw == {k: v for k, v in listed.items() if v}
 
 
-NULLABLE_INTS = {"o_orderkey", "nation_or_null"}
-
-
 def test_bucketed_write_one_file_per_bucket(spark):
     from quarry.operators.layout import write_bucketed
 
