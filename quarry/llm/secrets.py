@@ -2,8 +2,12 @@
 
 Base patterns (assignments, access keys, long hex runs) are found as they are.
 The battery adds strings that look drawn at random from an encoding's
-alphabet. Every token of 20 or more encoding characters that mixes character
-classes is a candidate; the smallest alphabet that holds it is its encoding.
+alphabet. Runs of encoding characters are cut around base spans and at inner
+``=`` (a ``KEY=value`` gives its value), and each part is read whole and cut at
+``/`` and ``+``, at ``-`` and ``_``, and at all four (a path gives its names).
+Every reading of 20 or more characters that mixes character classes is a
+candidate; the smallest alphabet that holds it is its encoding. Accepted
+readings that overlap become one span.
 Three tests ask whether the token could be uniform random symbols:
 
 * chi-squared of the symbol counts (gamma-matched mean and variance),
@@ -39,6 +43,8 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+PART = re.compile(r"[^=]+(?:=+\Z)?")   # between inner "="; padding stays
+CUTS, CUT_ALL = (re.compile("[+/]"), re.compile("[_-]")), re.compile("[+/_-]")
 
 MIN_RANDOM = 20
 LENGTH_EDGES = (16, 20, 24, 32, 48, 80)   # lower edges of the length classes
@@ -147,23 +153,61 @@ def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _readings(token: str) -> list[tuple[int, int, int]]:
+    """(start, end, encoding) of the mixed parts of a run without base spans."""
+    out = []
+    for m in PART.finditer(token):
+        if m.end() - m.start() < MIN_RANDOM:
+            continue
+        part = m.group()
+        cuts = [c for c in CUTS if c.search(part)]
+        if len(cuts) == 2:
+            cuts.append(CUT_ALL)
+        places = {(0, len(part))}
+        for c in cuts:
+            at = 0
+            for x in (*c.finditer(part), None):
+                places.add((at, x.start() if x else len(part)))
+                at = x.end() if x else at
+        for start, end in sorted(places):
+            t = part[start:end]
+            if len(t.rstrip("=")) < MIN_RANDOM:
+                continue
+            k = infer_encoding(t)
+            if k is None or (not any(c.isdigit() for c in t) and t[1:].islower() | t.isupper()):
+                continue
+            out.append((m.start() + start, m.start() + end, k))
+    return out
+
+
 def _candidates(runs: list[re.Match], spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, encoding) of the mixed tokens that no base span touches."""
+    """(start, end, encoding) of the mixed tokens outside the base spans."""
     out, i = [], 0
-    by_end = sorted(spans, key=lambda s: s[1])
+    taken = _union(spans)
     for m in runs:
         start, end, token = m.start(), m.end(), m.group()
         if end - start < MIN_RANDOM:
             continue
-        while i < len(by_end) and by_end[i][1] <= start:
+        while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if any(s < end for s, _, _ in by_end[i:]):
-            continue
-        k = infer_encoding(token)
-        if k is None or (not any(c.isdigit() for c in token) and token[1:].islower() | token.isupper()):
-            continue
-        if len(token.rstrip("=")) >= MIN_RANDOM:
-            out.append((start, end, k))
+        at, j = start, i
+        while j < len(taken) and taken[j][0] < end:
+            out += [(at + s, at + e, k) for s, e, k in _readings(token[at - start:max(taken[j][0], at) - start])]
+            at = taken[j][1]
+            j += 1
+        if at < end:
+            out += [(at + s, at + e, k) for s, e, k in _readings(token[at - start:])]
+    return out
+
+
+def _union(spans: list[tuple]) -> list[tuple[int, int]]:
+    """Spans that overlap become one, by start."""
+    out = []
+    for s, e, *_ in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
     return out
 
 
@@ -250,9 +294,12 @@ def find_spans(texts: list[str], limits: list[int]) -> list[list[tuple[int, int,
             codes.append(k)
             where.append((len(found), start, end))
         found.append(spans)
+    random: dict[int, list] = {}
     for (i, start, end), b in zip(where, _scores(tokens, codes) if tokens else ()):
         if b <= limits[_length_class(end - start)]:
-            found[i].append((start, end, 3))
+            random.setdefault(i, []).append((start, end))
+    for i, spans in random.items():
+        found[i] += [(s, e, 3) for s, e in _union(spans)]
     return [sorted(s) for s in found]
 
 

@@ -88,3 +88,26 @@ def test_redaction_keeps_columns(spark):
     assert got[1].text == "a [assign] z" and got[1].spans == "en"
     assert got[2].text is None and got[3].text == ""
     assert S.scan_secrets(df.limit(0), [-1] * 6).count() == 0
+
+
+def test_parts_of_runs_are_found():
+    """Planted as KEY=value, in a path, and beside base spans."""
+    rng = random.Random(4)
+    limits = [S.BINS] * len(S.LENGTH_EDGES)   # every candidate counts
+    for n in (20, 24, 40, 64):
+        for name, alphabet in S.ENCODINGS[7:]:
+            t = "a1B" + "".join(rng.choice(alphabet) for _ in range(n - 4)) + "Z"
+            if any(len(h.group()) >= S.MIN_HEX for h in S.HEX.finditer(t)):
+                continue
+            for before, after in (("auth=", ""), ("AWS_SECRET_ACCESS_KEY=", ""), ("a=b=", "="), ("/v1/keys_x/", ""),
+                                  ("/v1/keys-x+y/", "?q"), ("auth=", "/AKIA" + "A" * 20), ("0123456789abcdef=", "")):
+                text = f"x {before}{t}{after} y"
+                at = len(before) + 2
+                spans = [s for s in S.find_spans([text], limits)[0] if s[2] == 3]
+                assert any(s <= at and at + n <= e for s, e, _ in spans), (name, text, spans)
+    # what is cut away is not part of the span, and overlapping readings are one
+    token = "Zx8kQ2mN7vB4tR9pL3sW6yH1"
+    assert S.find_spans([f"auth={token}"], limits) == [[(5, 29, 3)]]
+    assert S.find_spans([f"/v1/keys_x/{token}"], limits) == [[(9, 35, 3)]]   # x/ by its own reading
+    assert S.find_spans([f"{token}/{token}"], limits) == [[(0, 49, 3)]]
+    assert S.find_spans(["plain/words_and=more-plain-words-of-any-length"], limits) == [[]]
