@@ -16,13 +16,16 @@ Three tests ask whether the token could be uniform random symbols:
 
 combined by Fisher's method to one p-value; high means "nothing speaks against
 random". Short tokens give the tests little power, so the p-value is compared
-with what plain writing of the same length reaches: each text's words of 16 or
-more letters of one case, joined and cut into pieces as long as the lower edge
-of the candidate's length class. A short candidate thus meets a wide null, a
-long one a sharp null. The resulting empirical p-values go through the
+with what plain writing of the same length reaches: each text's words of one
+case, joined and cut into pieces as long as the lower edge of the candidate's
+length class. Candidates of one letter case meet the words in lower case as
+base36, those of both cases the words with a capital each as base64. A short
+candidate meets a wide null, a long one a sharp null. An empirical p-value is at least 1 / (1 + pieces), so the pieces of a
+fixed reference text (``reference_counts``) are always added: a corpus without
+much plain writing can still accept. The resulting p-values go through the
 Benjamini-Hochberg step-up at rate ``FDR`` over all candidates of the corpus.
-Both need only counts per length class and score bin, summed on Spark: a table
-of at most ``len(LENGTH_EDGES) * BINS * 2`` rows whatever the corpus.
+Both need only counts per cell (letter case and length class) and score bin,
+summed on Spark: a table of at most ``CELLS * BINS * 2`` rows whatever the corpus.
 """
 
 from __future__ import annotations
@@ -50,6 +53,10 @@ MIN_RANDOM = 20
 LENGTH_EDGES = (16, 20, 24, 32, 48, 80)   # lower edges of the length classes
 BINS, BIN_WIDTH = 80, 0.25                # -log10(p) bins; the last is open
 FDR = 0.01
+NULL_SIZES = tuple(e for e in LENGTH_EDGES if e >= MIN_RANDOM)   # no candidate is shorter
+CHUNK = 1 << 16                           # symbols scored at a time
+# bytes outside of runs become spaces
+_BREAKS = bytes(c if chr(c).isascii() and (chr(c).isalnum() or chr(c) in "+/_=-") else 32 for c in range(256))
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # encodings, smallest alphabet first
@@ -60,7 +67,10 @@ ENCODINGS = (
     ("base64url", _UPPER + _LOWER + _DIGITS + "-_"),
 )
 _SETS = [frozenset(a) for _, a in ENCODINGS]
-_VALUES = [{ord(c): i for i, c in enumerate(a)} for _, a in ENCODINGS]
+_TABLES = [np.array([max(a.find(chr(c)), 0) for c in range(128)], np.int32) for _, a in ENCODINGS]
+MIXED = 7                                 # encodings from here on have both letter cases
+CELLS = 2 * len(LENGTH_EDGES)
+NULL_CODES = (5, 8)                       # base36 and base64
 
 
 def infer_encoding(token: str) -> int | None:
@@ -69,10 +79,20 @@ def infer_encoding(token: str) -> int | None:
     return next((k for k, s in enumerate(_SETS) if chars <= s), None)
 
 
-def _normal_sf(z: np.ndarray) -> np.ndarray:
-    from math import erfc, sqrt
+_ERFC = (0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368,
+         -1.26551223)
+
 
-    return np.array([erfc(x / sqrt(2)) / 2 for x in z])
+def _normal_sf(z: np.ndarray) -> np.ndarray:
+    """Upper tail of the normal distribution, to a relative 1.2e-7 (Chebyshev
+    fit of erfc, Numerical Recipes 6.2)."""
+    x = np.abs(z) / np.sqrt(2)
+    t = 1 / (1 + x / 2)
+    fit = np.zeros_like(t)
+    for c in _ERFC:
+        fit = fit * t + c
+    tail = t * np.exp(fit - x * x) / 2
+    return np.where(z < 0, 1 - tail, tail)
 
 
 def battery(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
@@ -80,22 +100,42 @@ def battery(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int)
     the values 0..k-1 of all tokens one after the other."""
     if not len(starts):
         return np.empty(0)
-    m, n = len(starts), sizes.astype(float)
-    owner = np.repeat(np.arange(m), sizes)
-    counts = np.bincount(owner * k + symbols, minlength=m * k).reshape(m, k)
-    chi = (counts.astype(float) ** 2).sum(1) * k / n - n
+    m = len(starts)
+    counts = np.bincount(np.repeat(np.arange(m), sizes) * k + symbols, minlength=m * k).reshape(m, k)
+    high = symbols >= (k + 1) // 2
+    first = np.zeros(len(symbols), bool)
+    first[starts] = True
+    change = np.concatenate([[False], high[1:] != high[:-1]]) & ~first
+    follow = np.where(np.append(first[1:], True), 0, np.append(symbols[1:], 0))
+    total = lambda x: np.add.reduceat(x.astype(np.int64), starts)
+    return _combined(k, sizes, np.einsum("ij,ij->i", counts, counts), total(change) + 1, total(high), total(symbols),
+                     total(symbols * symbols), total(symbols * follow), symbols[starts] + symbols[starts + sizes - 1])
+
+
+def _battery_even(symbols: np.ndarray, k: int) -> np.ndarray:
+    """``battery`` of tokens of one length, one to a row: the same numbers."""
+    m, size = symbols.shape
+    x = symbols.astype(np.int32)
+    counts = np.bincount((x + np.arange(0, m * k, k, dtype=np.int32)[:, None]).ravel(), minlength=m * k).reshape(m, k)
+    high = x >= (k + 1) // 2
+    change = np.count_nonzero(high[:, 1:] != high[:, :-1], 1)
+    return _combined(k, np.full(m, size), np.einsum("ij,ij->i", counts, counts), change + 1, np.count_nonzero(high, 1),
+                     np.einsum("ij->i", x), np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", x[:, 1:], x[:, :-1]),
+                     x[:, 0] + x[:, -1])
+
+
+def _combined(k, sizes, squares, runs, up, sums, sums2, lagged, ends) -> np.ndarray:
+    """The three tests of tokens given by whole numbers: sums of squared symbol
+    counts, runs, symbols in the upper half, sums of symbols, of their squares
+    and of products of neighbours, first plus last symbol."""
+    n = sizes.astype(float)
+    chi = squares * k / n - n
     mean, var = k - 1.0, 2 * (k - 1) * (1 - 1 / n)
     shape, scale = mean * mean / var, var / mean
     # Wilson-Hilferty cube root of a gamma variate
     z1 = ((np.maximum(chi, 0) / (shape * scale)) ** (1 / 3) - (1 - 1 / (9 * shape))) * 3 * np.sqrt(shape)
     p1 = _normal_sf(z1)
 
-    high = symbols >= (k + 1) // 2
-    first = np.zeros(len(symbols), bool)
-    first[starts] = True
-    change = np.concatenate([[False], high[1:] != high[:-1]]) & ~first
-    runs = np.add.reduceat(change.astype(float), starts) + 1
-    up = np.add.reduceat(high.astype(float), starts)
     pairs = 2 * up * (n - up)
     mu = pairs / n + 1
     sd = np.sqrt(np.maximum(pairs * (pairs - n) / (n * n * np.maximum(n - 1, 1)), 0))
@@ -103,11 +143,9 @@ def battery(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int)
     z2 = np.where(one_sided, 0.0, (runs - mu) / np.where(one_sided, 1, sd))
     p2 = np.where(one_sided, np.exp2(1 - np.minimum(n, 1000)), 2 * _normal_sf(np.abs(z2)))
 
-    x = symbols.astype(float) - np.repeat(np.add.reduceat(symbols.astype(float), starts) / n, sizes)
-    follow = np.concatenate([x[1:], [0.0]])
-    last = np.append(first[1:], True)
-    cov = np.add.reduceat(np.where(last, 0, x * follow), starts)
-    spread = np.add.reduceat(x * x, starts)
+    s = sums.astype(float)
+    spread = (n * sums2 - s * s) / n
+    cov = (n * n * lagged - n * s * (2 * s - ends) + (n - 1) * s * s) / (n * n)
     r = np.where(spread > 0, cov / np.where(spread > 0, spread, 1), 1.0)
     p3 = 2 * _normal_sf(np.abs((r + 1 / n) * np.sqrt(n)))
 
@@ -121,21 +159,28 @@ def _scores(tokens: list[str], codes: list[int]) -> np.ndarray:
     codes_a = np.array(codes)
     for k in set(codes):
         at = np.flatnonzero(codes_a == k)
-        table = np.zeros(128, np.int64)
-        for c, v in _VALUES[k].items():
-            table[c] = v
+        table = _TABLES[k]
         raw = [tokens[i].rstrip("=") for i in at]
         sizes = np.array([len(t) for t in raw])
-        symbols = table[np.frombuffer("".join(raw).encode("ascii"), np.uint8)]
+        symbols = table[np.frombuffer("".join(raw).encode("ascii"), np.uint8)].astype(np.int64)
         p = battery(symbols, np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes, len(ENCODINGS[k][1]))
-        bins[at] = np.minimum(-np.log10(np.maximum(p, 1e-300)) / BIN_WIDTH, BINS - 1)
+        bins[at] = _bins(p)
     return bins
 
 
+def _bins(p: np.ndarray) -> np.ndarray:
+    return np.minimum(-np.log10(np.maximum(p, 1e-300)) / BIN_WIDTH, BINS - 1).astype(np.int32)
+
+
 def _length_class(n: int) -> int:
     return int(np.searchsorted(LENGTH_EDGES, n, "right")) - 1
 
 
+def _cell(n: int, code: int) -> int:
+    """Length class, those of encodings with both letter cases after the others."""
+    return _length_class(n) + (len(LENGTH_EDGES) if code >= MIXED else 0)
+
+
 def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the fixed patterns, by start, then kind. Access
     keys and hex runs of the asked lengths always lie inside a ``RUN``."""
@@ -211,57 +256,98 @@ def _union(spans: list[tuple]) -> list[tuple[int, int]]:
     return out
 
 
-def _plain(runs: list[re.Match]) -> str:
-    """The plain words of 16 or more letters, joined: the null of the battery."""
-    return "".join(t.lower() for t in (m.group() for m in runs)
-                   if t.isalpha() and (t[1:].islower() or t.isupper()))
+def _plain(text: str) -> bytes:
+    """The plain words of a text (whole runs of encoding characters that are
+    letters of one case, a capital first allowed), joined, a capital each."""
+    return b"".join([w.capitalize() for w in text.encode("utf-8", "replace").translate(_BREAKS).split()
+                     if w.isalpha() and ((w[1:] or w).islower() or w.isupper())])
+
+
+class _Null:
+    """Counts of plain pieces per cell and bin, scored some at a time."""
+
+    def __init__(self):
+        self.counts = np.zeros((CELLS, BINS), np.int64)
+        self.pieces = {size: [] for size in NULL_SIZES}
+        self.waiting = 0
+
+    def add(self, plain: bytes) -> None:
+        for size, kept in self.pieces.items():
+            kept.append(plain[:len(plain) // size * size])
+        self.waiting += len(plain)
+        if self.waiting >= CHUNK:
+            self.score()
+
+    def score(self) -> None:
+        for size, kept in self.pieces.items():
+            text = b"".join(kept)
+            kept.clear()
+            step = CHUNK // size * size
+            for at in range(0, len(text), step):
+                part = text[at:at + step]
+                m = len(part) // size
+                for code, written in zip(NULL_CODES, (part.lower(), part)):
+                    symbols = _TABLES[code][np.frombuffer(written, np.uint8)].reshape(m, size)
+                    p = _battery_even(symbols, len(ENCODINGS[code][1]))
+                    self.counts[_cell(size, code)] += np.bincount(_bins(p), minlength=BINS)
+        self.waiting = 0
+
+
+def reference_counts() -> np.ndarray:
+    """Counts per cell and bin of a fixed English text, cut at every letter: the sentences of public licences."""
+    from .licenses import SENTENCES
+
+    plain = _plain(" ".join(form for forms in SENTENCES.values() for form in forms))
+    null = _Null()
+    for size in NULL_SIZES:
+        null.pieces[size] = [plain[i:i + size] for i in range(len(plain) - size + 1)]
+    null.score()
+    return null.counts
 
 
 def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(is_null, length_class, bin, n): how many plain pieces and candidates of
-    all texts fall into each class and bin. Summed within each task first."""
+    """(is_null, cell, bin, n): how many plain pieces and candidates of all
+    texts fall into each cell and bin. Summed within each task first."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        sums = np.zeros((2, len(LENGTH_EDGES), BINS), np.int64)
+        found = np.zeros((CELLS, BINS), np.int64)
+        plain = _Null()
         for b in batches:
-            words, tokens, codes = [], [], []
+            tokens, codes = [], []
             for value in b.column(0):
                 text = value.as_py() or ""
+                plain.add(_plain(text))
                 runs = list(RUN.finditer(text))
                 if runs:
-                    plain = _plain(runs)
-                    words += [plain[i:i + size] for size in LENGTH_EDGES
-                              for i in range(0, len(plain) - size + 1, size)]
                     for start, end, k in _candidates(runs, base_spans(text, runs)):
                         tokens.append(text[start:end])
                         codes.append(k)
-            if words:
-                classes = [_length_class(len(w)) for w in words]
-                np.add.at(sums[1], (classes, _scores(words, [3] * len(words))), 1)
             if tokens:
-                classes = [_length_class(len(t)) for t in tokens]
-                np.add.at(sums[0], (classes, _scores(tokens, codes)), 1)
-        null, cls, bins = np.nonzero(sums)
+                cells = [_cell(len(t), k) for t, k in zip(tokens, codes)]
+                np.add.at(found, (cells, _scores(tokens, codes)), 1)
+        plain.score()
+        sums = np.stack([found, plain.counts])
+        null, cells, bins = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(null == 1), pa.array(cls, pa.int32()), pa.array(bins, pa.int32()),
-             pa.array(sums[null, cls, bins], pa.int64())], ["is_null", "length_class", "bin", "n"])
+            [pa.array(null == 1), pa.array(cells, pa.int32()), pa.array(bins, pa.int32()),
+             pa.array(sums[null, cells, bins], pa.int64())], ["is_null", "cell", "bin", "n"])
 
     parts = (docs.select(F.col(f"`{text_col}`").alias("text"))
-             .mapInArrow(run, "is_null boolean, length_class int, bin int, n long"))
-    return parts.groupBy("is_null", "length_class", "bin").agg(F.sum("n").alias("n"))
+             .mapInArrow(run, "is_null boolean, cell int, bin int, n long"))
+    return parts.groupBy("is_null", "cell", "bin").agg(F.sum("n").alias("n"))
 
 
-def cutoffs(counts: list[tuple[bool, int, int, int]], fdr: float = FDR) -> list[int]:
-    """Largest accepted bin per length class (-1: none) by Benjamini-Hochberg.
+def cutoffs(counts: list[tuple[bool, int, int, int]], fdr: float = FDR, cells: int = len(LENGTH_EDGES)) -> list[int]:
+    """Largest accepted bin per cell (-1: none) by Benjamini-Hochberg.
 
-    The empirical p-value of bin b in class c is (1 + null pieces of class c
-    with a bin of at most b) / (1 + null pieces of class c). Without any plain
-    words in the corpus nothing is accepted.
+    The empirical p-value of bin b in cell c is (1 + null pieces of cell c
+    with a bin of at most b) / (1 + null pieces of cell c). Without any null
+    pieces nothing is accepted; ``fit_cutoffs`` always has those of the reference.
     """
-    null = np.zeros((len(LENGTH_EDGES), BINS))
-    cand = np.zeros((len(LENGTH_EDGES), BINS))
+    null = np.zeros((cells, BINS))
+    cand = np.zeros((cells, BINS))
     for is_null, c, b, n in counts:
         (null if is_null else cand)[c, b] += n
     below = np.cumsum(null, 1)
@@ -278,9 +364,12 @@ def cutoffs(counts: list[tuple[bool, int, int, int]], fdr: float = FDR) -> list[
 
 
 def fit_cutoffs(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> list[int]:
-    """One pass over all texts; the driver gets the bounded table of counts."""
+    """One pass over all texts; the driver gets the bounded table of counts and
+    adds those of the reference text."""
     rows = score_counts(docs, text_col).collect()
-    return cutoffs([(r.is_null, r.length_class, r.bin, r.n) for r in rows], fdr)
+    fixed = reference_counts()
+    return cutoffs([(r.is_null, r.cell, r.bin, r.n) for r in rows]
+                   + [(True, int(c), int(b), int(fixed[c, b])) for c, b in zip(*np.nonzero(fixed))], fdr, CELLS)
 
 
 def find_spans(texts: list[str], limits: list[int]) -> list[list[tuple[int, int, int]]]:
@@ -295,8 +384,8 @@ def find_spans(texts: list[str], limits: list[int]) -> list[list[tuple[int, int,
             where.append((len(found), start, end))
         found.append(spans)
     random: dict[int, list] = {}
-    for (i, start, end), b in zip(where, _scores(tokens, codes) if tokens else ()):
-        if b <= limits[_length_class(end - start)]:
+    for (i, start, end), k, b in zip(where, codes, _scores(tokens, codes) if tokens else ()):
+        if b <= limits[_cell(end - start, k)]:
             random.setdefault(i, []).append((start, end))
     for i, spans in random.items():
         found[i] += [(s, e, 3) for s, e in _union(spans)]

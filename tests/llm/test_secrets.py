@@ -5,6 +5,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from quarry.llm import secrets as S
 
 PLAIN = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -93,7 +95,7 @@ def test_redaction_keeps_columns(spark):
 def test_parts_of_runs_are_found():
     """Planted as KEY=value, in a path, and beside base spans."""
     rng = random.Random(4)
-    limits = [S.BINS] * len(S.LENGTH_EDGES)   # every candidate counts
+    limits = [S.BINS] * S.CELLS   # every candidate counts
     for n in (20, 24, 40, 64):
         for name, alphabet in S.ENCODINGS[7:]:
             t = "a1B" + "".join(rng.choice(alphabet) for _ in range(n - 4)) + "Z"
@@ -111,3 +113,36 @@ def test_parts_of_runs_are_found():
     assert S.find_spans([f"/v1/keys_x/{token}"], limits) == [[(9, 35, 3)]]   # x/ by its own reading
     assert S.find_spans([f"{token}/{token}"], limits) == [[(0, 49, 3)]]
     assert S.find_spans(["plain/words_and=more-plain-words-of-any-length"], limits) == [[]]
+
+
+def test_verdict_does_not_vanish_with_corpus_size(spark):
+    """A 64-character key in one short text, in few and in many texts, with
+    and without plain words of 16 letters, with and without any plain words."""
+    rng = random.Random(8)
+    keys = ("".join(rng.choice(S.ENCODINGS[7][1]) for _ in range(64)) for _ in range(50))
+    key = next(k for k in keys if S._scores([k], [7])[0] <= 1)   # one that the three tests see as random
+    plain = [(i, " ".join(rng.choice(["the", "cat", "sat", "Upon", "a", "mat", "before", "dawn"]) for _ in range(90)))
+             for i in range(300)]
+    for others in ([], plain[:3], plain, [(1, "0 1 2; 3")], [(1, "an internationalization of institutionalisation")]):
+        df = spark.createDataFrame([*others, (999, f"key={key}")], "doc_id long, text string")
+        got = S.scan_secrets(df, S.fit_cutoffs(df)).filter("doc_id = 999").first()
+        assert got.spans == "random:4:68", (len(others), got)
+
+
+def test_null_is_all_plain_words():
+    assert S._plain("The cat's ÉTÉ sat I a x1 wiFi DAWN a-b café=") == b"TheCatSTSatIADawnCaf"
+    plain = S._plain("the quick brown fox jumps over the lazy dog " * 4000)
+    null, want = S._Null(), np.zeros((S.CELLS, S.BINS), int)
+    null.add(plain)
+    for size in S.NULL_SIZES:
+        pieces = [plain[i:i + size].decode() for i in range(0, len(plain) - size + 1, size)]
+        for code, written in ((5, [p.lower() for p in pieces]), (8, pieces)):
+            np.add.at(want, (S._cell(size, code), S._scores(written, [code] * len(pieces))), 1)
+    assert (null.counts == want).all() and S.reference_counts().sum(1)[[1, 2, 3, 4, 5, 7, 8, 9, 10, 11]].min() > 1000
+
+
+def test_normal_tail():
+    from math import erfc, sqrt
+
+    z = np.linspace(-6, 12, 999)
+    assert np.allclose(S._normal_sf(z), [erfc(v / sqrt(2)) / 2 for v in z], rtol=2e-7, atol=0)
