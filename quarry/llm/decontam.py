@@ -1,12 +1,15 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items are cut into windows of ``WINDOW`` bytes, every ``STRIDE``
-bytes (a shorter item is one window). A window and a stretch of a document
+bytes, and of ``SEED`` bytes, every ``SEED_STRIDE`` bytes (a shorter item is one
+window). So every excerpt of an item of ``SEED + SEED_STRIDE - 1`` bytes or more
+(``EXCERPT``), wherever it starts, holds a window. A window and a stretch of a document
 within ``e`` edits share at least ``length - q + 1 - q * e`` q-grams, all of
 them on diagonals (document position less window position) that differ by at
 most e. Shared q-grams are counted per window in diagonal bands of width 2e
 that overlap by e, so some band holds them all; bands that reach the bound are
-verified by alignment within the band. The filter loses nothing.
+verified by alignment within the band. The filter loses no window. Items of
+fewer than ``MIN_ITEM`` bytes are searched whole and byte for byte.
 
 Texts are compared byte by byte with ASCII letters lower-cased and every other
 ASCII byte but letters and digits as a space, so offsets stay those of the text.
@@ -29,8 +32,10 @@ from .common import worker_store
 
 Q = 8
 WINDOW, STRIDE = 80, 40
+SEED, SEED_STRIDE = 56, 8
+EXCERPT = SEED + SEED_STRIDE - 1   # an excerpt as long as this holds a window
 EDIT_SHARE = 0.075            # edits allowed per byte of a window
-MIN_ITEM = 24                 # a shorter item says too little to be a leak
+MIN_ITEM = 24                 # a shorter item must be there whole, without edits
 BLOCK_BYTES = 1 << 20
 FILTER_BITS = 20
 
@@ -43,14 +48,14 @@ def folded(text: str) -> np.ndarray:
     return _FOLD[np.frombuffer(text.encode("utf-8"), np.uint8)]
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """The q-grams of all positions, eight bytes to a number."""
-    n = len(data) - Q + 1
+def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-grams of all positions, up to eight bytes to a number."""
+    n = len(data) - q + 1
     if n <= 0:
         return np.empty(0, _U)
     wide = data.astype(_U)
     out = np.zeros(n, _U)
-    for k in range(Q):
+    for k in range(q):
         out = (out << _U(8)) | wide[k:k + n]
     return out
 
@@ -63,23 +68,37 @@ class WindowIndex:
     """Windows of a block of items and where each q-gram occurs in them."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.windows, self.item_of = [], []
+        self.windows, self.item_of, codes = [], [], []
+        short: dict[int, dict[bytes, list[int]]] = {}
         for item, text in items:
             data = folded(text)
             if len(data) < MIN_ITEM:
+                if data.tobytes().strip():
+                    short.setdefault(len(data), {}).setdefault(data.tobytes(), []).append(item)
                 continue
-            starts = list(range(0, max(len(data) - WINDOW, 0) + 1, STRIDE))
-            if starts[-1] + WINDOW < len(data):
-                starts.append(len(data) - WINDOW)
-            for s in starts:
-                self.windows.append(data[s:s + WINDOW])
-                self.item_of.append(item)
+            at = grams(data)
+            for size, stride in ((WINDOW, STRIDE), (SEED, SEED_STRIDE)):
+                if size < WINDOW and len(data) <= size:
+                    continue   # one window, as it is
+                starts = list(range(0, max(len(data) - size, 0) + 1, stride))
+                if starts[-1] + size < len(data):
+                    starts.append(len(data) - size)
+                for s in starts:
+                    self.windows.append(data[s:s + size])
+                    self.item_of.append(item)
+                    codes.append(at[s:s + len(self.windows[-1]) - Q + 1])
+        # short items by length: the codes of their first q-grams, and the items
+        self.short = [(n, np.unique(np.concatenate([grams(np.frombuffer(t, np.uint8)[:Q], min(n, Q)) for t in texts])), texts)
+                      for n, texts in sorted(short.items())]
         self.sizes = np.array([len(w) for w in self.windows], np.int64)
         self.edits = np.maximum((self.sizes * EDIT_SHARE).astype(np.int64), 1)
         self.bounds = self.sizes - Q + 1 - Q * self.edits
-        codes = [grams(w) for w in self.windows]
-        owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        offset = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.empty(0, np.int64)
+        # (least hits, longest stretch) of the windows up to each length
+        kinds = [self.sizes > SEED, (self.sizes <= SEED) & (self.sizes > SEED // 2), self.sizes <= SEED // 2]
+        self.needs = [(int(self.bounds[k].min()), int((self.sizes + self.edits)[k].max())) for k in kinds if k.any()]
+        counts = [len(c) for c in codes]
+        owner = np.repeat(np.arange(len(codes), dtype=np.int32), counts)
+        offset = np.concatenate([np.arange(n, dtype=np.int32) for n in counts]) if codes else np.empty(0, np.int32)
         flat = np.concatenate(codes) if codes else np.empty(0, _U)
         order = np.argsort(flat, kind="stable")
         self.owner, self.offset = owner[order], offset[order]
@@ -99,17 +118,19 @@ class WindowIndex:
         at[at == len(self.codes)] = 0
         true = self.codes[at] == codes[pos]
         pos, at = pos[true], at[true]
-        least, reach = int(self.bounds.min()), WINDOW + int(self.edits.max())
-        if len(pos) < least:
-            return none
-        # a stretch that reaches any bound has this many hits around each hit
-        near = np.searchsorted(pos, pos + reach, "right") - np.searchsorted(pos, pos - reach, "left")
-        pos, at = pos[near >= least], at[near >= least]
+        # a stretch that reaches a bound has this many hits within its length
+        near = np.zeros(len(pos) + 1, np.int64)
+        for least, reach in self.needs:
+            ends = np.searchsorted(pos, pos + reach, "right")
+            start = np.flatnonzero(ends - np.arange(len(pos)) >= least)
+            near += np.bincount(start, minlength=len(pos) + 1) - np.bincount(ends[start], minlength=len(pos) + 1)
+        near = np.cumsum(near[:-1]) > 0
+        pos, at = pos[near], at[near]
         if not len(pos):
             return none
         n = self.count[at]
         flat = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        win = self.owner[flat]
+        win = self.owner[flat].astype(np.int64)
         diag = np.repeat(pos, n) - self.offset[flat]
         band = diag // self.edits[win]
         # a diagonal lies in two bands
@@ -147,15 +168,28 @@ class WindowIndex:
                 out.append((int(win[pick[i]]), max(0, end - int(size)), end))
         return out
 
+    def whole(self, data: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first start, last end) of the short items that the data holds."""
+        found: dict[tuple, list] = {}
+        raw = data.tobytes() if self.short else b""
+        for n, codes, texts in self.short:
+            here = grams(data, min(n, Q))
+            for at in np.flatnonzero(np.isin(here, codes)).tolist():
+                text = raw[at:at + n]
+                if text in texts:
+                    found.setdefault((n, text), [at, at])[1] = at + n
+        return [(item, start, end) for n, codes, texts in self.short for text, ids in texts.items()
+                if (n, text) in found for item in ids for start, end in [found[n, text]]]
+
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, windows found, start, end) per leaked item, by item."""
         data = folded(text or "")
         win, band = self.bands(data)
-        if not len(win):
-            return []
         found: dict[int, list] = {}
         for w, start, end in self.verify(data, win, band):
             found.setdefault(self.item_of[w], []).append((w, start, end))
+        for k, (item, start, end) in enumerate(self.whole(data)):
+            found.setdefault(item, []).append((-1 - k, start, end))
         return [(item, len({w for w, _, _ in hits}), min(s for _, s, _ in hits), max(e for _, _, e in hits))
                 for item, hits in sorted(found.items())]
 
@@ -191,7 +225,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Documents without a leak give no row; null or empty texts have none;
     repeated rows repeat; a null doc_id stays null; items without an id or a
-    text, or of fewer than MIN_ITEM bytes, are no queries; empty tables give an
+    text, or without any letter or digit, are no queries; empty tables give an
     empty result; other columns are not read.
     """
     src = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")

@@ -77,3 +77,30 @@ def test_bound_is_positive():
     for n in range(D.MIN_ITEM, 400):
         index = D.WindowIndex([(1, "a" * n)])
         assert (index.bounds >= 1).all() and np.all(index.edits >= 1)
+
+
+def test_every_excerpt_at_every_offset():
+    rng = random.Random(7)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    for size in (64, 81, 106, 233, 394):
+        item = letters(size)
+        index = D.WindowIndex([(5, item), (6, letters(200))])
+        for n in {min(D.EXCERPT, size), min(74, size), min(106, size)}:
+            for at in range(size - n + 1):
+                part = item[at:at + n]
+                assert [i for i, *_ in index.leaks(letters(150) + part + letters(150))] == [5], (size, n, at)
+                k = at % (n - 9) + 4   # three edits in one place, one elsewhere
+                part = part[1:k] + "#" + part[k + 1:k + 3] + "##" + part[k + 3:]
+                assert [i for i, *_ in index.leaks(letters(150) + part + letters(150))] == [5], (size, n, at)
+        assert index.leaks(letters(2000)) == []
+
+
+def test_short_items_are_searched_whole(spark):
+    items = [(1, "What is 6 x 7?"), (2, "Name the capital of F"), (3, "forty"), (4, " ?! "), (5, "")] + [(6, "forty"), (1, "b" * 20)]
+    docs = [(1, "so: WHAT IS 6 X 7! forty"), (2, "what is 6 x 8?"), (3, "name the capital of f and name the capital of f"),
+            (4, "name the  capital of f"), (5, "fort"), (6, None), (7, "b" * 50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in D.find_leaks(df, bench).collect())
+    assert got == [(1, 1, 1, 4, 18), (1, 3, 1, 19, 24), (1, 6, 1, 19, 24), (3, 2, 1, 0, 47), (7, 1, 1, 0, 50)]
+    assert sorted(r.doc_id for r in D.drop_leaking(df, bench).collect()) == [2, 4, 5, 6]
