@@ -19,6 +19,8 @@ output is one text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,6 +59,7 @@ MAPPINGS = (
     Mapping("from_value", ("conversations[].from", "conversations[].value"),
             items=("conversations", "from", "value")),
 )
+ORDER = ("system", "user", "assistant")   # of the texts of a row in no layout
 ROLE_WORDS = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -81,14 +84,25 @@ def _fingerprint_of(paths) -> Column:
     return F.xxhash64(F.array(*[F.lit(p) for p in sorted(paths)]))
 
 
+def _filled(path: str) -> Column:
+    """Whether a row fills a path: of a list, its being there."""
+    return F.col(f"`{path.split('[]')[0]}`").isNotNull()
+
+
 def row_fingerprint(schema: T.StructType, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
-    """Hash of the known paths that the schema has and the row fills. Of a
-    turn row the role path counts even when null, of a list its being there."""
-    known = {p for m in mappings for p in m.paths}
-    always = {p for m in mappings if m.flat for p in m.paths}
-    there = [p for p in field_paths(schema) if p in known]
-    parts = [F.lit(p) if p in always else F.when(F.col(f"`{p.split('[]')[0]}`").isNotNull(), F.lit(p))
-             for p in there]
+    """Hash of the known paths that the schema has and the row fills. The paths
+    of a turn row count as one: they are filled when the row has any of turn,
+    role or text, or no path of another layout."""
+    have = set(field_paths(schema))
+    flat = [m for m in mappings if m.flat and set(m.paths) <= have]
+    turn_paths = {p for m in flat for p in m.paths}
+    others = sorted({p for m in mappings if not m.flat for p in m.paths} & have - turn_paths)
+    there = {p: _filled(p) for p in others}
+    none = ~reduce(or_, there.values(), F.lit(False))
+    for m in flat:
+        some = reduce(or_, [_filled(p) for p in m.flat if p in have])
+        there |= {p: some | none for p in m.paths}
+    parts = [F.when(there[p], F.lit(p)) for p in sorted(there)]
     return F.xxhash64(F.array_compact(F.array(*parts) if parts else F.array().cast("array<string>")))
 
 
@@ -101,12 +115,58 @@ def _item_turns(array: str, role: str, text: str) -> Column:
         i.cast("bigint").alias("turn"), _text(e[role]).alias("role"), _text(e[text]).alias("text")))
 
 
+def _flat_turn(m: Mapping, have: set[str]) -> Column:
+    """The one turn of a row, of the paths that the schema has."""
+    t, r, x = m.flat
+    turn = F.col(f"`{t}`").cast("bigint") if t in have else F.lit(None).cast("bigint")
+    role, text = (_text(F.col(f"`{p}`")) if p in have else F.lit("") for p in (r, x))
+    return F.array(F.struct(turn.alias("turn"), role.alias("role"), text.alias("text")))
+
+
+def _list_texts(array: str, role: str | None, text: str, turn_type: str) -> Column:
+    turns = F.transform(F.col(f"`{array}`"), lambda e: F.struct(
+        F.lit(0).cast("bigint").alias("turn"), (F.lit("unknown") if role is None else _text(e[role])).alias("role"),
+        _text(e[text]).alias("text")))
+    return F.coalesce(turns.cast(turn_type), F.array().cast(turn_type))
+
+
+def _all_texts(mappings: tuple[Mapping, ...], have: set[str], turn_type: str) -> Column:
+    """The turns of all texts of a row that is in no layout."""
+    literal: dict[str, str] = {}
+    for m in mappings:
+        literal |= {p: literal.get(p, r) for r, p in m.turns}
+    order = sorted((p for p in literal if p in have), key=lambda p: ORDER.index(literal[p]) if literal[p] in ORDER else len(ORDER))
+    groups = [F.array(*[F.when(_filled(p), F.struct(
+        F.lit(0).cast("bigint").alias("turn"), F.lit(literal[p]).alias("role"), _text(F.col(f"`{p}`")).alias("text")))
+        for p in order]).cast(turn_type)] if order else []
+    for m in sorted(mappings, key=lambda m: m.flat is not None):
+        if m.items:
+            a, r, x = m.items
+            if f"{a}[].{x}" in have:
+                groups.append(_list_texts(a, r if f"{a}[].{r}" in have else None, x, turn_type))
+        elif m.flat and m.flat[2] in have:
+            t, r, x = m.flat
+            role = F.coalesce(F.col(f"`{r}`").cast("string"), F.lit("unknown")) if r in have else F.lit("unknown")
+            groups.append(F.array(F.when(_filled(x), F.struct(
+                F.lit(0).cast("bigint").alias("turn"), role.alias("role"), _text(F.col(f"`{x}`")).alias("text")))).cast(turn_type))
+    unknown = F.array(F.struct(F.lit(0).cast("bigint").alias("turn"), F.lit("unknown").alias("role"),
+                               F.lit("").alias("text"))).cast(turn_type)
+    if not groups:
+        return unknown
+    found = F.array_compact(F.concat(*groups))
+    found = F.transform(found, lambda e, i: F.struct(i.cast("bigint").alias("turn"), e.role.alias("role"), e.text.alias("text")))
+    return F.when(F.size(found) > 0, found.cast(turn_type)).otherwise(unknown)
+
+
 def to_turns(df: DataFrame, id_col: str = "conv_id", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Canonical turns (conv_id, turn, role, text, layout) of rows in any of
     the known layouts, mixed layouts included. Null roles and texts become
-    empty; a row that fills no known layout gives one turn with layout null,
-    role ``unknown`` and an empty text, so that no row is lost. Other columns
-    are not read."""
+    empty. A row whose paths are those of no layout (a prompt without response,
+    paths of two layouts) gives the turns of every text that it fills, with
+    layout null: literal turns in the order of ``ORDER``, then lists, then the
+    turn row; a role that no mapping knows is ``unknown``. A row that fills
+    nothing gives one such turn with an empty text, so that no row is lost.
+    Other columns are not read."""
     have = set(field_paths(df.schema))
     turn_type = "array<struct<turn:bigint,role:string,text:string>>"
     case, layout = None, None
@@ -115,12 +175,9 @@ def to_turns(df: DataFrame, id_col: str = "conv_id", mappings: tuple[Mapping, ..
         if not set(m.paths) <= have:
             continue
         if m.flat:
-            t, r, x = m.flat
-            turns = F.array(F.struct(F.col(f"`{t}`").cast("bigint").alias("turn"), _text(F.col(f"`{r}`")).alias("role"),
-                                     _text(F.col(f"`{x}`")).alias("text")))
+            turns = _flat_turn(m, have)
         elif m.items:
-            a, r, x = m.items
-            turns = _item_turns(a, r, x)
+            turns = _item_turns(*m.items)
         else:
             turns = F.array(*[F.struct(F.lit(i).cast("bigint").alias("turn"), F.lit(r).alias("role"),
                                        _text(F.col(f"`{p}`")).alias("text")) for i, (r, p) in enumerate(m.turns)])
@@ -128,9 +185,8 @@ def to_turns(df: DataFrame, id_col: str = "conv_id", mappings: tuple[Mapping, ..
         turns = turns.cast(turn_type)
         case = F.when(hit, turns) if case is None else case.when(hit, turns)
         layout = F.when(hit, m.name) if layout is None else layout.when(hit, m.name)
-    unknown = F.array(F.struct(F.lit(0).cast("bigint").alias("turn"), F.lit("unknown").alias("role"),
-                               F.lit("").alias("text"))).cast(turn_type)
-    case = unknown if case is None else case.otherwise(unknown)
+    rest = _all_texts(mappings, have, turn_type)
+    case = rest if case is None else case.otherwise(rest)
     out = src.select(F.col(f"`{id_col}`").alias("conv_id"),
                      (F.lit(None).cast("string") if layout is None else layout).alias("layout"),
                      F.inline(case))

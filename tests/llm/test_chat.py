@@ -65,3 +65,44 @@ def test_query_probe_and_plan(spark):
     assert (r.n_turns, r.loss_chars) == (2, len(probe))
     assert r.turns_sha256 == hashlib.sha256(f"user\n{probe}\nassistant\n{probe}\n".encode()).hexdigest()
     assert r.loss_sha256 == hashlib.sha256(probe.encode()).hexdigest()
+
+
+def test_all_layouts_in_one_table(spark):
+    cols = ["turn long", "role string", "text string", "prompt string", "response string", "completion string", "system string",
+            "instruction string", "output string", "input string", "messages array<struct<role:string,content:string>>",
+            "conversations array<struct<`from`:string,value:string>>"]
+    names = [c.split(" ")[0] for c in cols]
+    cases = [
+        (dict(turn=3, role="user", text="t"), "turn_rows", [(3, "user", "t")]),
+        (dict(role="user", text="t"), "turn_rows", [(None, "user", "t")]),
+        (dict(text="t"), "turn_rows", [(None, "", "t")]),
+        (dict(turn=1), "turn_rows", [(1, "", "")]),
+        (dict(prompt="p", response="r"), "prompt_response", [(0, "user", "p"), (1, "assistant", "r")]),
+        (dict(prompt="p", completion="c"), "prompt_completion", [(0, "user", "p"), (1, "assistant", "c")]),
+        (dict(prompt="p", response="r", system="s"), "system_prompt_response",
+         [(0, "system", "s"), (1, "user", "p"), (2, "assistant", "r")]),
+        (dict(instruction="i", output="o"), "instruction", [(0, "user", "i"), (1, "assistant", "o")]),
+        (dict(instruction="i", output="o", input="n"), "instruction_input",
+         [(0, "user", "i"), (1, "user", "n"), (2, "assistant", "o")]),
+        (dict(messages=[("user", "a"), ("bot", None)]), "messages", [(0, "user", "a"), (1, "assistant", "")]),
+        (dict(conversations=[("human", "h")]), "from_value", [(0, "user", "h")]),
+        (dict(messages=[]), "messages", []),
+        # partial rows, and rows with a path too many
+        (dict(prompt="p"), None, [(0, "user", "p")]),
+        (dict(instruction="i"), None, [(0, "user", "i")]),
+        (dict(response="r", system="s"), None, [(0, "system", "s"), (1, "assistant", "r")]),
+        (dict(prompt="p", response="r", output="o"), None, [(0, "user", "p"), (1, "assistant", "r"), (2, "assistant", "o")]),
+        (dict(messages=[("user", "a")], text="t", prompt="p"), None, [(0, "user", "p"), (1, "user", "a"), (2, "unknown", "t")]),
+        (dict(turn=1, role="user", prompt="p"), None, [(0, "user", "p")]),
+    ]
+    rows = [(i, *(c.get(n) for n in names)) for i, (c, _, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "conv_id long, " + ", ".join(cols))
+    got = {}
+    for r in C.to_turns(df).orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.layout, r.turn, r.role, r.text))
+    for i, (_, layout, turns) in enumerate(cases):
+        want = [(layout, *t) for t in turns]
+        assert sorted(got.get(i, []), key=str) == sorted(want, key=str), (cases[i], got.get(i))
+    # a row with nothing is a turn row when the table has such rows, else unknown
+    empty = spark.createDataFrame([(1, None, None, None)], "conv_id long, prompt string, response string, system string")
+    assert [tuple(r) for r in C.to_turns(empty).collect()] == [(1, 0, "unknown", "", None)]
