@@ -1,8 +1,9 @@
 """Licence scan by sentence rules.
 
-A text is cut into fragments at sentence ends and line ends. A fragment, or up
-to ``JOINED`` neighbouring ones (a sentence wrapped over lines), is normalised
-and looked up among known licence sentences; the longest hit at a place wins.
+A text is cut into fragments at sentence ends and line ends. One pattern, a
+tree of the words of all known licence sentences, is matched from fragment
+start to fragment end over any number of neighbouring fragments (a sentence
+wrapped over lines); the longest hit at a place wins.
 The document becomes a sequence of sentence identifiers, and ordered rules over
 such sequences name the licences: every identifier of the rule, in order, with
 other licence sentences allowed between.
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-JOINED = 6
-
 # Sentences of public licences and notices, identifier first.
 SENTENCES: dict[str, tuple[str, ...]] = {
     "mit-grant": (
@@ -145,6 +144,33 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
 
 
+#: More fragments than this hold no known sentence, as each has a word.
+JOINED = max(len(k.split(" ")) for k in known_sentences())
+
+
+def _tree_pattern(sentences: list[list[str]]) -> str:
+    """Pattern of all sentences (lists of words), the longest first, up to a
+    fragment end; words are apart by a space or a fragment end."""
+    heads: dict[str, list[list[str]]] = {}
+    for words in sentences:
+        if words:
+            heads.setdefault(words[0], []).append(words[1:])
+    out = []
+    for word, tails in sorted(heads.items()):
+        chain = [word]
+        while len(tails) == 1 and tails[0]:
+            chain.append(tails[0][0])
+            tails = [tails[0][1:]]
+        more = [t for t in tails if t]
+        ends = [_GAP + _tree_pattern(more)] if more else []
+        ends += ["(?=\n)"] if len(more) < len(tails) else []
+        out.append(_GAP.join(chain) + (ends[0] if len(ends) == 1 else f"(?:{'|'.join(ends)})"))
+    return f"(?:{'|'.join(out)})"
+
+
+_GAP = "[ \n]"
+
+
 def _sequence_pattern(rule: LicenceRule) -> str:
     return "," + "(?:[^,]+,)*?".join(f"\\Q{s}\\E," for s in rule.sentences)
 
@@ -161,6 +187,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = known_sentences()
     # one literal: "form|id" lines -> map; a few thousand fixed entries
     table = F.str_to_map(F.lit("\n".join(f"{k}|{v}" for k, v in known.items())), F.lit("\n"), F.lit("\\|"))
+    pattern = "\n" + _tree_pattern([k.split(" ") for k in known])
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     hint = F.lower("text")
     may_hold = F.lit(False)
@@ -169,36 +196,15 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         may_hold = may_hold | (F.contains(hint, F.lit(a)) if " " not in a
                                else F.regexp_like(hint, F.lit(a.replace(" ", "[^a-z0-9]+"))))
     none = F.array().cast("array<string>")
-    cut = F.filter(F.transform(F.split("text", r"(?<=[.!?;:])[\x20\x09-\x0D]+|\n", -1), _normal), lambda x: x != "")
-    parts = src.select("doc_id", F.when(may_hold, cut).otherwise(none).alias("parts"))
-    n = F.size("parts")
-    longest = max(len(k) for k in known)
-    # exact tests that spare most lookups: how a known sentence can start, and
-    # that it holds an anchor
-    opening = "^(" + "|".join(sorted({k.split(" ")[0] for k in known})) + ")( |$)"
-    anchored = "|".join(ANCHORS)
-
-    def hit(i: Column) -> Column:
-        """(identifier, fragments used) of the longest sentence starting here."""
-        best = None
-        for k in range(JOINED, 0, -1):
-            joined = F.array_join(F.slice("parts", i + 1, k), " ")
-            found = F.when((i + k <= n) & (F.length(joined) <= longest) & F.regexp_like(joined, F.lit(anchored)),
-                           F.element_at(table, joined))
-            one = F.when(found.isNotNull(), F.struct(found.alias("id"), F.lit(k).alias("k")))
-            best = one if best is None else F.coalesce(best, one)
-        return F.when(F.regexp_like(F.get("parts", i), F.lit(opening)), best)
-
-    hits = parts.select("doc_id", F.when(n > 0, F.filter(F.transform(
-        F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("i"), hit(i).alias("hit"))),
-        lambda x: x.hit.isNotNull())).alias("hits"))
-    # a hit inside an earlier, longer one does not count
-    kept = F.aggregate(
-        "hits", F.struct(none.alias("ids"), F.lit(0).alias("next")),
-        lambda a, x: F.when(x.i >= a.next, F.struct(F.array_append(a.ids, x.hit.id).alias("ids"),
-                                                    (x.i + x.hit.k).alias("next"))).otherwise(a),
-        lambda a: a.ids)
-    ids = hits.select("doc_id", F.coalesce(kept, none).alias("ids"))
+    # fragments in normal form, each between line feeds
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    cut = F.regexp_replace(lower, r"(?<=[.!?;:])[\x20\x09-\x0D]+", "\n")
+    cut = F.regexp_replace(F.regexp_replace(cut, r"[^a-z0-9\n]+", " "), r" ?\n[ \n]*", "\n")
+    cut = F.concat(F.lit("\n"), F.trim(cut, F.lit(" \n")), F.lit("\n"))
+    found = F.when(may_hold, F.regexp_extract_all(cut, F.lit(pattern), F.lit(0)))
+    hits = src.select("doc_id", found.alias("hits"))
+    known_id = lambda x: F.element_at(table, F.trim(F.translate(x, "\n", " ")))
+    ids = hits.select("doc_id", F.coalesce(F.transform("hits", known_id), none).alias("ids"))
     seq = ids.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
                      F.array_join("ids", ",").alias("sentence_ids"))
     line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))

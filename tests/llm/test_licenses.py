@@ -56,3 +56,22 @@ def test_texts(spark):
     assert got[0][2] == "MIT" and got[1][2] == "CC-BY-NC-4.0" and got[2][2] == "MIT" and got[None][2] == "BSD-3-Clause"
     assert got[5][2] == "GPL-3.0" and got[6][2] == "Apache-2.0" and got[7][2] == "MIT"
     assert L.scan_licences(df.limit(0)).count() == 0
+
+
+def test_every_sentence_wrapped_at_any_width(spark):
+    """Wrapped at 40 to 80 columns, as plain lines and as comment lines, every
+    sentence is found once."""
+    import textwrap
+
+    rows, want = [], {}
+    for name, forms in L.SENTENCES.items():
+        for form in forms:
+            for width in range(40, 81, 4):
+                for lead in ("", " * ", "# "):
+                    text = "Foo bar.\n" + "\n".join(lead + x for x in textwrap.wrap(form, width)) + "\n\nEnd."
+                    want[len(rows)] = name
+                    rows.append((len(rows), text))
+    out = L.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.sentence_ids for r in out.collect()} == want
+    mit = "\n".join("\n".join(textwrap.wrap(L.SENTENCES[k][0], 60)) for k in ("mit-grant", "mit-notice", "as-is-software"))
+    assert L.scan_licences(spark.createDataFrame([(1, mit)], "doc_id long, text string")).first().licences == "MIT"
