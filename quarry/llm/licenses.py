@@ -1,8 +1,8 @@
 """Licence scan by sentence rules.
 
 A text is cut into fragments at sentence ends and line ends. One pattern, a
-tree of the words of all known licence sentences, is matched from fragment
-start to fragment end over any number of neighbouring fragments (a sentence
+tree of the words of all known licence sentences beside those with variable
+parts (a name, an organisation), is matched from fragment start to end over any number of neighbouring fragments (a sentence
 wrapped over lines); the longest hit at a place wins.
 The document becomes a sequence of sentence identifiers, and ordered rules over
 such sequences name the licences: every identifier of the rule, in order, with
@@ -71,6 +71,56 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "unlicense": ("This is free and unencumbered software released into the public domain.",),
     "public-domain": ("This work is in the public domain.", "Released into the public domain."),
     "all-rights": ("All rights reserved.",),
+    "lgpl21-redistribute": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",),
+    "lgpl-redistribute": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",),
+    "agpl-redistribute": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",),
+    # opening lines of the full texts
+    "apache-text": ("Apache License Version 2.0, January 2004",),
+    "gpl-text": ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "gpl2-text": ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",),
+    "lgpl-text": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "lgpl21-text": ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",),
+    "agpl-text": ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",),
+    "mpl-text": ("Mozilla Public License Version 2.0",),
+}
+
+# Sentences with variable parts: {first} is a name of one or two words that
+# opens the sentence, {words} one to twelve words within it.
+VARIABLE: dict[str, tuple[str, ...]] = {
+    "bsd-endorse": (
+        "Neither the name of {words} nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "Neither the names of {words} nor the names of their contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "Neither the name of {words} nor the names of other contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        "Neither the name of {words} may be used to endorse or promote products derived from this software without "
+        "specific prior written permission.",
+        "The name of {words} may not be used to endorse or promote products derived from this software without "
+        "specific prior written permission.",
+        "The names of {words} may not be used to endorse or promote products derived from this software without "
+        "specific prior written permission."),
+    "apache-grant": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use {words} except in compliance "
+        "with the License.",),
+    **{i: (f"{{first}} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}"
+           f"General Public License as published by the Free Software Foundation, either version {v} of the License, or "
+           "(at your option) any later version.",)
+       for i, kind, v in (("gpl-redistribute", "", "3"), ("gpl2-redistribute", "", "2"),
+                          ("lgpl-redistribute", "Lesser ", "3"), ("lgpl21-redistribute", "Lesser ", "2.1"),
+                          ("agpl-redistribute", "Affero ", "3"))},
+    "gpl-nowarranty": (
+        "{first} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",),
 }
 
 # Licences that short notices name, in the usual spellings: (identifier, names).
@@ -110,7 +160,17 @@ RULES: tuple[LicenceRule, ...] = (
     LicenceRule("Apache-2.0", ("apache-grant",)),
     LicenceRule("GPL-3.0", ("gpl-redistribute", "gpl-nowarranty")),
     LicenceRule("GPL-2.0", ("gpl2-redistribute", "gpl-nowarranty")),
+    LicenceRule("LGPL-2.1", ("lgpl21-redistribute", "gpl-nowarranty")),
+    LicenceRule("LGPL-3.0", ("lgpl-redistribute", "gpl-nowarranty")),
+    LicenceRule("AGPL-3.0", ("agpl-redistribute", "gpl-nowarranty")),
     LicenceRule("MPL-2.0", ("mpl-notice",)),
+    LicenceRule("Apache-2.0", ("apache-text",)),
+    LicenceRule("GPL-3.0", ("gpl-text",)),
+    LicenceRule("GPL-2.0", ("gpl2-text",)),
+    LicenceRule("LGPL-3.0", ("lgpl-text",)),
+    LicenceRule("LGPL-2.1", ("lgpl21-text",)),
+    LicenceRule("AGPL-3.0", ("agpl-text",)),
+    LicenceRule("MPL-2.0", ("mpl-text",)),
     LicenceRule("Unlicense", ("unlicense",)),
     LicenceRule("Public-Domain", ("public-domain",)),
     LicenceRule("Proprietary", ("all-rights",)),
@@ -144,6 +204,19 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
 
 
+def variable_patterns() -> list[tuple[str, str]]:
+    """(pattern up to a fragment end, identifier) of the variable sentences."""
+    out = []
+    for i, forms in VARIABLE.items():
+        for form in forms:
+            text = form.replace("{first}", "0first0").replace("{words}", "0words0")
+            words = _GAP.join(normal_form(text).split(" ")).replace("0words0", "[a-z0-9]+(?:[ \\n][a-z0-9]+){0,11}?")
+            out.append((words.replace(f"0first0{_GAP}", "[a-z0-9]+(?:[ \\n][a-z0-9]+)?[ \\n]") + "(?=\\n)", i))
+    return out
+
+
+_GAP = "[ \\n]"
+
 #: More fragments than this hold no known sentence, as each has a word.
 JOINED = max(len(k.split(" ")) for k in known_sentences())
 
@@ -168,9 +241,6 @@ def _tree_pattern(sentences: list[list[str]]) -> str:
     return f"(?:{'|'.join(out)})"
 
 
-_GAP = "[ \n]"
-
-
 def _sequence_pattern(rule: LicenceRule) -> str:
     return "," + "(?:[^,]+,)*?".join(f"\\Q{s}\\E," for s in rule.sentences)
 
@@ -187,7 +257,8 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = known_sentences()
     # one literal: "form|id" lines -> map; a few thousand fixed entries
     table = F.str_to_map(F.lit("\n".join(f"{k}|{v}" for k, v in known.items())), F.lit("\n"), F.lit("\\|"))
-    pattern = "\n" + _tree_pattern([k.split(" ") for k in known])
+    variable = variable_patterns()
+    pattern = "\n(?:" + "|".join([*(v for v, _ in variable), _tree_pattern([k.split(" ") for k in known])]) + ")"
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     hint = F.lower("text")
     may_hold = F.lit(False)
@@ -203,7 +274,12 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cut = F.concat(F.lit("\n"), F.trim(cut, F.lit(" \n")), F.lit("\n"))
     found = F.when(may_hold, F.regexp_extract_all(cut, F.lit(pattern), F.lit(0)))
     hits = src.select("doc_id", found.alias("hits"))
-    known_id = lambda x: F.element_at(table, F.trim(F.translate(x, "\n", " ")))
+
+    def known_id(x: Column) -> Column:
+        found = F.element_at(table, F.trim(F.translate(x, "\n", " ")))
+        line = F.concat(F.substring(x, F.lit(2), F.length(x)), F.lit("\n"))
+        return F.coalesce(found, *[F.when(F.regexp_like(line, F.lit(f"^{v}\n\\z")), F.lit(i)) for v, i in variable])
+
     ids = hits.select("doc_id", F.coalesce(F.transform("hits", known_id), none).alias("ids"))
     seq = ids.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
                      F.array_join("ids", ",").alias("sentence_ids"))

@@ -75,3 +75,37 @@ def test_every_sentence_wrapped_at_any_width(spark):
     assert {r.doc_id: r.sentence_ids for r in out.collect()} == want
     mit = "\n".join("\n".join(textwrap.wrap(L.SENTENCES[k][0], 60)) for k in ("mit-grant", "mit-notice", "as-is-software"))
     assert L.scan_licences(spark.createDataFrame([(1, mit)], "doc_id long, text string")).first().licences == "MIT"
+
+
+def test_variable_parts_and_full_texts(spark):
+    import textwrap
+
+    bsd2 = "\n".join(L.SENTENCES[k][0] for k in ("bsd-grant", "bsd-source", "bsd-binary"))
+    may = "may be used to endorse or promote products derived from this software without specific prior written permission."
+    ends = [f"   * Neither the name of {org} nor the names of its contributors {may}" for org in (
+        "Google Inc.", "the <organization>", "the University of California, Berkeley", "Foo & Sons Ltd. (Bar)", "x")]
+    ends += [f"3. The name of the author {may.replace('may be', 'may not be')}", f"- Neither the name of Foo {may}"]
+    ends = [e.replace("3. ", "3.\n").replace("- ", "- ") for e in ends]
+    texts = [(bsd2 + "\n" + "\n".join(textwrap.wrap(e.strip(" *"), w)), "BSD-3-Clause") for e in ends for w in (40, 60, 200)]
+    gpl = ("{} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License "
+           "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later "
+           "version. {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+           "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+    for who in ("This program", "This library", "GNU Emacs", "Foo"):
+        for kind, v, name in (("", 3, "GPL-3.0"), ("", 2, "GPL-2.0"), ("Lesser ", 3, "LGPL-3.0"), ("Lesser ", 2.1, "LGPL-2.1"),
+                              ("Affero ", 3, "AGPL-3.0")):
+            texts.append(("\n".join(textwrap.wrap(gpl.format(who, kind, v, who), 66)), name))
+    texts += [("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use these files except in\n"
+               "compliance with the License.", "Apache-2.0"), ("Neither the name of it nor that.\nNo licence.", ""),
+              ("Neither the name of " + "a " * 13 + f"nor the names of its contributors {may}", "")]
+    for title, version, name in (("Apache License", "Version 2.0, January 2004", "Apache-2.0"),
+                                 ("GNU GENERAL PUBLIC LICENSE", "Version 2, June 1991", "GPL-2.0"),
+                                 ("GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007", "GPL-3.0"),
+                                 ("GNU LESSER GENERAL PUBLIC LICENSE", "Version 2.1, February 1999", "LGPL-2.1"),
+                                 ("GNU LESSER GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007", "LGPL-3.0"),
+                                 ("GNU AFFERO GENERAL PUBLIC LICENSE", "Version 3, 19 November 2007", "AGPL-3.0"),
+                                 ("Mozilla Public License Version 2.0", "====", "MPL-2.0")):
+        texts.append((f"   {title}\n      {version}\n\nText follows.", name))
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in L.scan_licences(df).collect()}
+    assert got == {i: n for i, (_, n) in enumerate(texts)}
