@@ -121,3 +121,48 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir))
+
+
+@query("op11_baier_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, one in ten of them made periodic as the contract asks."""
+    from .periodic import periodic_runs
+
+    return periodic_runs(documents(spark, sf_dir), probed=True)
+
+
+@query("op12_site_template")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import extract_pages
+
+    return extract_pages(load_table(spark, sf_dir, "pages"))
+
+
+@query("op13_rank_infill", sql=r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS toks
+  FROM documents),
+e AS (
+  SELECT *, len(toks) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(toks) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(toks) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+f AS (
+  SELECT *, array_to_string(toks[1:least(a, b)], '') AS pre, array_to_string(toks[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(toks[greatest(a, b) + 1:], '') AS suf
+  FROM e)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM f
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .infill import fill_in_middle
+
+    return fill_in_middle(documents(spark, sf_dir)).drop("n_segments")
