@@ -170,5 +170,8 @@ def keep_column(docs: DataFrame, model: RuleModel, text_col: str = "text", thres
 
     stats = add_statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"),
                                        F.col(f"`{text_col}`").alias("__text")), "__text", ["__row"])
-    feats = stats.select("__row", *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])
+    # a generator's outputs are never written out again in the conditions above it, so each
+    # statistic is computed once per row, however many rules ask for it
+    values = F.struct(*[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])
+    feats = stats.select("__row", F.inline(F.array(values)))
     return feats.filter(model.score() >= threshold).select("__row.*")
