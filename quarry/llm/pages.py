@@ -338,8 +338,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """
     src = _source(pages, id_col, url_col, html_col)
     template = recurring(src, min_pages, share)
-    # an outer join by host: a hot host is split by AQE, its short list goes to each part
-    joined = src.join(template.hint("shuffle_hash"), "host", "left").select("page_id", "url", "html", "hashes")
+    # read back from a table, so that Spark knows the size of the lists: few hosts are broadcast (under the session's
+    # threshold), many are joined by host, and AQE then splits a hot host, whose short list goes to each part
+    joined = src.join(materialise(template, "site-templates"), "host", "left").select("page_id", "url", "html", "hashes")
     kind = src.schema["page_id"].dataType.simpleString()
     schema = f"page_id {kind}, url string, text string, n_chars long"
 
