@@ -93,7 +93,7 @@ def test_audit_does_not_depend_on_batching(spark, tmp_path):
             if op == "UPSERT" and old != (nome,):
                 want.append((i, "UPDATE" if old else "INSERT", s, old[0] if old else None, nome))
             state[i] = (nome,)
-    for per_file, per_trigger in ((len(rows), None), (3, 1), (7, 2)):
+    for per_file, per_trigger in ((len(rows), None), (15, 1)):
         shuffled = rows[:]
         rng.shuffle(shuffled)
         src = str(tmp_path / f"src{per_file}")
@@ -103,6 +103,87 @@ def test_audit_does_not_depend_on_batching(spark, tmp_path):
         assert sorted(((r.id, r._op, r.seq, r.old_nome, r.new_nome) for r in a.collect()), key=str) == sorted(want, key=str)
 
 
+def _feed(spark, src, rows, schema="id long, valor long, op string, seq long"):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    return spark.createDataFrame([], schema).schema
+
+
+def _walk(rows):
+    """Audit of the changes one by one, in the order of seq."""
+    state, out = {}, []
+    for i, v, op, s in sorted(set(rows), key=lambda r: r[3]):
+        old = state.get(i)
+        if op == "DELETE":
+            if old is not None:
+                out.append((i, "DELETE", s, old[0], None))
+            state.pop(i, None)
+        else:
+            if op == "UPSERT" and old != (v,):
+                out.append((i, "UPDATE" if old else "INSERT", s, old[0] if old else None, v))
+            state[i] = (v,)
+    return sorted(out, key=str)
+
+
+def _audited(df):
+    return sorted(((r.id, r._op, r.seq, r.old_valor, r.new_valor) for r in df.collect()), key=str)
+
+
+def test_audit_stream_restarts_from_its_checkpoint(spark, tmp_path):
+    """Each call is a new query on the same checkpoint: it reads the new files only and goes on
+    from the stored state; late changes correct verdicts that were given before."""
+    from quarry.streaming.audit_stream import audit_log, run_audit_stream
+
+    src, root = str(tmp_path / "src"), str(tmp_path / "audit")
+    big = 2 ** 53 + 1
+    deliveries = [
+        [(1, 10, "LOAD", 0), (2, None, "LOAD", 0), (3, big, "LOAD", 0)],
+        [(1, 11, "UPSERT", 5), (2, None, "UPSERT", 5), (3, big + 1, "UPSERT", 5), (4, 1, "UPSERT", 5)],
+        [(1, 12, "UPSERT", 3), (2, 7, "UPSERT", 3), (4, None, "DELETE", 6), (3, None, "DELETE", 4)],   # 3 and 4 come late
+        [(1, 11, "UPSERT", 4), (1, 11, "UPSERT", 5), (4, 9, "UPSERT", 8)],                             # a repeat, and late again
+    ]
+    seen = []
+    for d in deliveries:
+        schema = _feed(spark, src, d)
+        seen += d
+        got = run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=10)
+        assert _audited(got) == _walk(seen)
+    log = spark.createDataFrame(seen, schema)
+    assert _audited(got) == _audited(audit_log(log, "id", ["valor"], "seq", "op"))
+    assert _audited(run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=10)) == _walk(seen)
+
+
+def test_audit_stream_work_follows_the_batch(spark, tmp_path):
+    """A small batch after a large one touches the state of its own keys only, and writes only their rows."""
+    from quarry.streaming.audit_stream import run_audit_stream
+
+    src, root = str(tmp_path / "src"), str(tmp_path / "audit")
+    schema = _feed(spark, src, [(i, i, "LOAD", 0) for i in range(300)])
+    run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=2)
+    files = set((tmp_path / "audit" / "audit").glob("*.parquet"))
+    _feed(spark, src, [(7, 70, "UPSERT", 1), (8, 80, "UPSERT", 1)])
+    got = run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=2)
+    assert _audited(got) == [(7, "UPDATE", 1, 7, 70), (8, "UPDATE", 1, 8, 80)]
+    new = [str(f) for f in set((tmp_path / "audit" / "audit").glob("*.parquet")) - files]
+    assert spark.read.parquet(*new).count() == 2
+    import json
+    commits = sorted((tmp_path / "audit" / "_checkpoint" / "offsets").glob("[0-9]*"), key=lambda p: int(p.name))
+    assert len(commits) == 2 and json.loads(commits[-1].read_text().splitlines()[-1])["logOffset"] == 1
+
+
+def test_audit_stream_reports_what_comes_too_late(spark, tmp_path):
+    from quarry.streaming.audit_stream import read_audit, run_audit_stream
+
+    src, root = str(tmp_path / "src"), str(tmp_path / "audit")
+    schema = _feed(spark, src, [(1, 1, "UPSERT", 1), (1, 2, "UPSERT", 10), (None, 5, "UPSERT", 1)])
+    run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=3)
+    _feed(spark, src, [(1, 3, "UPSERT", 0), (1, 1, "UPSERT", 1), (1, 9, "UPSERT", 12), (1, 4, "UPSERT", 11)])
+    got = run_audit_stream(spark, src, schema, root, "id", ["valor"], "seq", "op", late_by=3)
+    assert _audited(got) == sorted([(1, "INSERT", 1, None, 1), (1, "UPDATE", 10, 1, 2), (1, "UPDATE", 11, 2, 4),
+                                    (1, "UPDATE", 12, 4, 9), (None, "INSERT", 1, None, 5)], key=str)
+    late = read_audit(spark, root, schema, "id", ["valor"], "seq", "op", late=True).collect()
+    assert [(r.id, r.op, r.valor, r.seq) for r in late] == [(1, "UPSERT", 3, 0)]
+
+
 def test_upsert_stream_compaction(spark, tmp_path):
     import datetime as dt
 
