@@ -3,8 +3,13 @@ graph (C19, C20, K12) operations."""
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import dependencies as D
 from ..operators import graph as G
 from ..operators import nested as N
 from ..operators.relational import broadcast_small
@@ -102,6 +107,73 @@ def normalize_bcnf(spark, sf_dir):
     return N.lossless_check(w, ["l_orderkey", "l_partkey"], ["l_partkey", "p_brand"], ["l_partkey"])
 
 
+WIDE_COLS = ["l_orderkey", "l_partkey", "l_quantity", "o_custkey", "c_name", "c_nationkey", "n_name", "p_name", "p_brand"]
+
+
+def _distinct_counts_sql(max_size: int) -> str:
+    """One row (mask, size, n) per set of at most ``max_size`` columns of the wide
+    row: a bit mask and the number of distinct value combinations."""
+    rows = []
+    for size in range(1, max_size + 1):
+        for s in combinations(range(len(WIDE_COLS)), size):
+            names = ", ".join(WIDE_COLS[i] for i in s)
+            rows.append(f"SELECT {sum(1 << i for i in s)} AS mask, {size} AS size, "
+                        f"(SELECT COUNT(*) FROM (SELECT DISTINCT {names} FROM w)) AS n")
+    return " UNION ALL ".join(rows)
+
+
+# every determinant of one or two columns against every column, minimal ones kept
+FD_SQL = f"""
+WITH w AS MATERIALIZED (SELECT * FROM {WIDE_SQL}), c AS MATERIALIZED ({_distinct_counts_sql(3)}),
+cols AS (SELECT * FROM (VALUES {", ".join(f"({1 << i}, '{c}')" for i, c in enumerate(WIDE_COLS))}) v(bit, name)),
+fd AS (SELECT x.mask, x.size, a.bit, a.name FROM c x JOIN cols a ON (x.mask & a.bit) = 0
+       JOIN c xa ON xa.mask = (x.mask | a.bit) AND xa.n = x.n WHERE x.size <= 2)
+SELECT (SELECT string_agg(k.name, ',' ORDER BY k.name) FROM cols k WHERE (k.bit & f.mask) <> 0) AS determinant,
+       f.name AS dependent
+FROM fd f WHERE NOT EXISTS (SELECT 1 FROM fd g WHERE g.bit = f.bit AND g.mask <> f.mask AND (g.mask & f.mask) = g.mask)
+"""
+
+
+@query("fd_discover", sql=FD_SQL)
+def fd_discover(spark, sf_dir):
+    """All minimal dependencies of the wide row with one or two
+    determining columns, found level by level."""
+    found = D.discover(_wide(spark, sf_dir).select(WIDE_COLS), max_lhs=2)
+    rows = [(",".join(sorted(d.lhs)), d.rhs) for d in found]
+    return spark.createDataFrame(rows, "determinant string, dependent string")
+
+
+@query("normalize_synthesis", sql=f"""
+WITH w AS MATERIALIZED (SELECT * FROM {WIDE_SQL})
+SELECT 'c_name,n_name,o_custkey' AS relation, COUNT(*) AS n_rows FROM (SELECT DISTINCT c_name, n_name, o_custkey FROM w)
+UNION ALL SELECT 'c_nationkey,n_name', COUNT(*) FROM (SELECT DISTINCT c_nationkey, n_name FROM w)
+UNION ALL SELECT 'l_orderkey,l_partkey,l_quantity', COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_partkey, l_quantity FROM w)
+UNION ALL SELECT 'l_orderkey,o_custkey', COUNT(*) FROM (SELECT DISTINCT l_orderkey, o_custkey FROM w)
+UNION ALL SELECT 'l_partkey,p_brand,p_name', COUNT(*) FROM (SELECT DISTINCT l_partkey, p_brand, p_name FROM w)
+""")
+def normalize_synthesis(spark, sf_dir):
+    """Third normal form of the wide row from the dependencies found in
+    it: the relations and their rows."""
+    w = _wide(spark, sf_dir).select(WIDE_COLS)
+    relations = D.synthesize_3nf(WIDE_COLS, D.discover(w, max_lhs=2))
+    out = [w.select(*sorted(r)).distinct().agg(F.count(F.lit(1)).alias("n_rows"))
+           .select(F.lit(",".join(sorted(r))).alias("relation"), "n_rows") for r in relations]
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("normalize_rejoin", sql=f"""
+SELECT form, n AS n_input, n AS n_rejoined, true AS lossless
+FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM {WIDE_SQL})) x, (VALUES ('3NF'), ('BCNF')) f(form)
+""")
+def normalize_rejoin(spark, sf_dir):
+    """The relations of both normal forms, joined again, are the wide rows."""
+    w = _wide(spark, sf_dir).select(WIDE_COLS)
+    fds = D.discover(w, max_lhs=2)
+    forms = {"3NF": D.synthesize_3nf(WIDE_COLS, fds), "BCNF": D.decompose_bcnf(WIDE_COLS, fds)}
+    out = [D.rejoin_counts(w, r).withColumn("form", F.lit(f)) for f, r in forms.items()]
+    return reduce(DataFrame.unionByName, out).select("form", "n_input", "n_rejoined", "lossless")
+
+
 @query("fd_check", sql="""
 SELECT p_name, COUNT(DISTINCT p_type) AS n_variants FROM part GROUP BY p_name HAVING COUNT(DISTINCT p_type) > 1
 """)
