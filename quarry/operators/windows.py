@@ -1,9 +1,9 @@
 """Window functions that stay balanced when one partition key is hot.
 
-Built on ``scan.running_sum`` (a distributed prefix sum) plus joins on unique
-keys; there is one path at every size. Peers (rows with equal ORDER BY values)
-are aggregated first, so a hot run of ties costs one partial aggregate, not one
-task.
+Built on the scans of ``scan``: prefix sums, ranks, and ROWS frames by a halo of
+border rows; there is one path at every size and no self-join. For the RANGE
+frame, peers (rows with equal ORDER BY values) are aggregated first, so a hot run
+of ties costs one partial aggregate, not one task.
 
 Order keys: ``(column, ascending)`` pairs of any orderable type; NULLs come
 first either way, as the SQL servers do for DESC and Spark for ASC.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import running_sum
+from .scan import Frame, frames, ranks, running_sum
 
 
 def row_number(df: DataFrame, group: list[str], order: list[tuple[str, bool]], name: str = "row_num",
@@ -33,10 +33,19 @@ def _join_peers(df: DataFrame, peers: DataFrame, cols: list[str]) -> DataFrame:
     return df.join(peers, cond).drop(*[f"_pk_{c}" for c in cols])
 
 
+def all_ranks(df: DataFrame, group: list[str], order: list[tuple[str, bool]], tiebreak: list[tuple[str, bool]],
+              number: str = "row_num", rank: str = "rank_num", dense: str = "dense_num",
+              n_partitions: int | None = None) -> DataFrame:
+    """ROW_NUMBER over ``order`` and ``tiebreak`` (together total), RANK and
+    DENSE_RANK over ``order``: one scan, no join."""
+    return ranks(df, group, [*order, *tiebreak], [c for c, _ in order], number, rank, dense, n_partitions)
+
+
 def rank_dense_rank(df: DataFrame, group: list[str], order: list[tuple[str, bool]],
                     rank: str = "rank_num", dense: str = "dense_num",
                     n_partitions: int | None = None) -> DataFrame:
-    """RANK() and DENSE_RANK(): ranks of the distinct order values per group."""
+    """RANK() and DENSE_RANK() of rows that no tiebreak tells apart: ranks of
+    the distinct order values per group, joined back."""
     ocols = [c for c, _ in order]
     peers = df.groupBy(*group, *ocols).agg(F.count(F.lit(1)).alias("_pr_n"))
     p = peers.withColumn("_pr_one", F.lit(1).cast("long"))
@@ -91,18 +100,7 @@ def running_peers(df: DataFrame, group: list[str], order: list[tuple[str, bool]]
 
 
 def lag_lead(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str, offset: int,
-             name: str) -> DataFrame:
+             name: str, n_partitions: int | None = None) -> DataFrame:
     """LAG (offset > 0) / LEAD (offset < 0) of ``value``; ``order`` must be total."""
-    r = row_number(df, group, order, "_ll_rn")
-    return shifted(r, group, "_ll_rn", value, offset, name).drop("_ll_rn")
-
-
-def shifted(df: DataFrame, group: list[str], rn: str, value: str, offset: int, name: str) -> DataFrame:
-    """LAG (offset > 0) / LEAD (offset < 0) of ``value`` given a row number column:
-    a left join on the unique key (group, row number), so no group is collected."""
-    other = df.select(*[F.col(c).alias(f"_sh_{c}") for c in group],
-                      (F.col(rn) + offset).alias("_sh_rn"), F.col(value).alias(name))
-    cond = F.col(rn) == F.col("_sh_rn")
-    for c in group:
-        cond = cond & df[c].eqNullSafe(F.col(f"_sh_{c}"))
-    return df.join(other, cond, "left").drop("_sh_rn", *[f"_sh_{c}" for c in group])
+    frame = Frame("lag", value, preceding=offset) if offset >= 0 else Frame("lead", value, following=-offset)
+    return frames(df, group, order, {name: frame}, n_partitions)

@@ -87,6 +87,20 @@ def as_of_state(spark, sf_dir):
     return O.as_of(change_log(spark, sf_dir), "user_id", "ts", "event_id", "op", ["value"], AS_OF_TS)
 
 
+@query("as_of_join", sql=f"""
+SELECT p.event_id, p.user_id AS probe_user, p.at, CASE WHEN h.op <> 'DELETE' THEN h.ts END AS changed_at,
+       CASE WHEN h.op <> 'DELETE' THEN h.value END AS value
+FROM (SELECT event_id, user_id, ts - INTERVAL 5 MINUTE AS at FROM events) p
+ASOF LEFT JOIN (SELECT * FROM {CHANGES_SQL} c) h ON h.user_id = p.user_id AND p.at >= h.ts
+""")
+def as_of_join(spark, sf_dir):
+    """O3 for many keys and times: for every event, its user's state five
+    minutes earlier, as the recovery lesson reads it."""
+    probes = tables(spark, sf_dir).events.select(
+        "event_id", F.col("user_id").alias("probe_user"), (F.col("ts") - F.expr("INTERVAL 5 MINUTES")).alias("at"))
+    return O.as_of_join(probes, "probe_user", "at", change_log(spark, sf_dir), "user_id", "ts", "event_id", "op", ["value"])
+
+
 @query("restore_as_of", sql=f"""
 WITH cur AS (SELECT user_id, value FROM (
          SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

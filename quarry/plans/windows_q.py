@@ -25,11 +25,10 @@ SELECT s_suppkey, s_name, s_acctbal,
 FROM supplier
 """)
 def win_ranks(spark, sf_dir):
-    """ROW_NUMBER / RANK / DENSE_RANK over one global order, computed by
-    the distributed prefix scan instead of a single-task global window."""
+    """ROW_NUMBER / RANK / DENSE_RANK over one global order, in one
+    distributed scan instead of a single-task global window."""
     s = tables(spark, sf_dir).supplier.select("s_suppkey", "s_name", "s_acctbal")
-    r = W.row_number(s, [], [("s_acctbal", False), ("s_suppkey", True)], "row_num")
-    return W.rank_dense_rank(r, [], [("s_acctbal", False)], "rank_num", "dense_num")
+    return W.all_ranks(s, [], [("s_acctbal", False)], [("s_suppkey", True)])
 
 
 @query("win_top3", sql="""
@@ -62,10 +61,9 @@ def win_lag_lead(spark, sf_dir):
     32 (customer, date) pairs repeat)."""
     o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     order = [("o_orderdate", True), ("o_orderkey", True)]
-    # one row number, two joins on (customer, row number)
-    r = W.row_number(o, ["o_custkey"], order, "_rn")
-    r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", 1, "anterior")
-    r = W.shifted(r, ["o_custkey"], "_rn", "o_totalprice", -1, "proximo")
+    # one range exchange; rows at the borders of its partitions see a halo of their neighbours
+    r = W.frames(o, ["o_custkey"], order, {"anterior": W.Frame("lag", "o_totalprice", preceding=1),
+                                           "proximo": W.Frame("lead", "o_totalprice", following=1)})
     return r.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "anterior", "proximo",
                     from_cents(cents("o_totalprice") - cents("anterior")).alias("variacao"))
 
@@ -98,17 +96,34 @@ SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice,
 FROM x
 """)
 def win_moving_avg(spark, sf_dir):
-    """E5: ROUND(AVG(x) OVER (ROWS 2 PRECEDING .. CURRENT ROW), 2) as
-    (S(n) - S(n-3)) / min(n, 3) on exact running sums in cents."""
+    """E5: ROUND(AVG(x) OVER (ROWS 2 PRECEDING .. CURRENT ROW), 2) from exact
+    sums in cents and counts of the frame."""
     o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     order = [("o_orderdate", True), ("o_orderkey", True)]
-    base = o.withColumn("_c", cents("o_totalprice")).withColumn("_one", F.lit(1).cast("long"))
-    # one pass: running sum in cents and the row number (running count)
-    r = W.running_totals(base, ["o_custkey"], order, {"_c": "_s", "_one": "_rn"})
-    r = W.shifted(r, ["o_custkey"], "_rn", "_s", 3, "_s3")
-    n = F.least(F.col("_rn"), F.lit(3))
+    r = W.frames(o.withColumn("_c", cents("o_totalprice")), ["o_custkey"], order,
+                 {"_s": W.Frame("sum", "_c", preceding=2), "_n": W.Frame("count", "_c", preceding=2)})
     return r.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice",
-                    from_cents(div_round_half_up(F.col("_s") - F.coalesce("_s3", F.lit(0)), n)).alias("media_movel_3"))
+                    from_cents(div_round_half_up(F.col("_s"), F.col("_n"))).alias("media_movel_3"))
+
+
+@query("win_frame_extremes", sql="""
+SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice,
+       MIN(o_totalprice) OVER w AS menor, MAX(o_totalprice) OVER w AS maior, COUNT(o_totalprice) OVER w AS n_pedidos,
+       FIRST_VALUE(o_orderdate) OVER w AS primeira_data, LAST_VALUE(o_orderkey) OVER w AS ultimo_pedido,
+       MAX(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                               ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS maior_dos_proximos
+FROM orders
+WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 4 PRECEDING AND 2 FOLLOWING)
+""")
+def win_frame_extremes(spark, sf_dir):
+    """Any ROWS frame: moving minimum, maximum and count, the frame's
+    first and last row, and a frame that lies ahead of the row."""
+    o = tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    kinds = {"menor": ("min", "o_totalprice"), "maior": ("max", "o_totalprice"), "n_pedidos": ("count", "o_totalprice"),
+             "primeira_data": ("first", "o_orderdate"), "ultimo_pedido": ("last", "o_orderkey")}
+    specs = {n: W.Frame(k, c, preceding=4, following=2) for n, (k, c) in kinds.items()}
+    specs["maior_dos_proximos"] = W.Frame("max", "o_totalprice", preceding=-1, following=3)
+    return W.frames(o, ["o_custkey"], [("o_orderdate", True), ("o_orderkey", True)], specs)
 
 
 @query("win_running_total", sql=f"""
