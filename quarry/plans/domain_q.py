@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import months_between_whole
@@ -52,12 +55,80 @@ def _transfers(spark, sf_dir, shares: dict[str, str]):
 
 @query("transfer_batch", sql=_transfers_sql("A", "0.01") + " UNION ALL " + _transfers_sql("B", "0.80"))
 def transfer_batch(spark, sf_dir):
-    """Two transfer batches; the small one commits, the large one would
-    overdraw an account and is refused as a whole."""
+    """Two transfer batches, each against the given balances; the small
+    one commits, the large one would overdraw an account and is refused as a whole."""
     s = tables(spark, sf_dir).supplier.select("s_suppkey", "s_acctbal")
     moved = _transfers(spark, sf_dir, {"A": "0.01", "B": "0.80"})
-    return P.transfer_batches(s, "s_suppkey", "s_acctbal", moved, "batch", "src", "dst", "amount").select(
-        "batch", "s_suppkey", "s_acctbal", "batch_status")
+    return reduce(DataFrame.unionByName, [
+        P.transfer_batch(s, "s_suppkey", "s_acctbal", moved.filter(F.col("batch") == b), "src", "dst", "amount").select(
+            F.lit(b).alias("batch"), "s_suppkey", "s_acctbal", "batch_status") for b in ("A", "B")])
+
+
+# each nation's batches (one a month) walked in order; balances as a list in cents, by supplier
+SEQUENCE_SQL = """
+WITH RECURSIVE hub AS (SELECT s_nationkey, MIN(s_suppkey) AS hub FROM supplier GROUP BY s_nationkey),
+tr AS (SELECT s.s_nationkey AS nation, (year(l_shipdate) * 12 + month(l_shipdate)) * 100 + s.s_nationkey AS batch,
+              CASE WHEN l_returnflag = 'R' THEN h.hub ELSE l_suppkey END AS src,
+              CASE WHEN l_returnflag = 'R' THEN l_suppkey ELSE h.hub END AS dst,
+              CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.001, 2) * 100 AS BIGINT) AS c
+       FROM lineitem JOIN supplier s ON s.s_suppkey = l_suppkey JOIN hub h ON h.s_nationkey = s.s_nationkey),
+net AS (SELECT nation, batch, acc, SUM(d) AS d FROM (
+          SELECT nation, batch, src AS acc, -c AS d FROM tr UNION ALL SELECT nation, batch, dst, c FROM tr)
+        GROUP BY nation, batch, acc),
+acc AS (SELECT s_nationkey AS nation, s_suppkey AS acc, CAST(round(s_acctbal * 100) AS BIGINT) AS bal FROM supplier),
+grid AS (SELECT b.nation, b.batch, a.acc, n.d, ROW_NUMBER() OVER (PARTITION BY b.nation, a.acc ORDER BY b.batch) AS m
+         FROM (SELECT DISTINCT nation, batch FROM net) b JOIN acc a ON a.nation = b.nation
+         LEFT JOIN net n ON n.batch = b.batch AND n.acc = a.acc),
+step AS (SELECT nation, batch, m, list(CAST(COALESCE(d, 0) AS BIGINT) ORDER BY acc) AS d, list(d IS NOT NULL ORDER BY acc) AS hit
+         FROM grid GROUP BY nation, batch, m),
+walk AS (
+  SELECT nation, CAST(0 AS BIGINT) AS m, CAST(NULL AS BIGINT) AS batch, list(bal ORDER BY acc) AS bal, true AS ok
+  FROM acc GROUP BY nation
+  UNION ALL
+  SELECT nation, m, batch, CASE WHEN ok THEN nxt ELSE bal END, ok
+  FROM (SELECT nation, m, batch, bal, nxt,
+               len(list_filter(range(1, len(nxt) + 1), lambda i: hit[i] AND nxt[i] < 0)) = 0 AS ok
+        FROM (SELECT s.nation, s.m, CAST(s.batch AS BIGINT) AS batch, w.bal, s.hit,
+                     list_transform(range(1, len(w.bal) + 1), lambda i: w.bal[i] + s.d[i]) AS nxt
+              FROM walk w JOIN step s ON s.nation = w.nation AND s.m = w.m + 1) x) y)
+"""
+
+
+def _monthly(spark, sf_dir):
+    """Every line makes its supplier pay a share to the hub supplier of its
+    nation (a returned line: the other way round), in one batch per month and nation."""
+    t = tables(spark, sf_dir)
+    s = t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal")
+    hub = s.groupBy(F.col("s_nationkey").alias("_n")).agg(F.min("s_suppkey").alias("hub"))
+    own = s.join(hub, F.col("s_nationkey") == F.col("_n")).drop("_n", "s_acctbal")
+    back = F.col("l_returnflag") == "R"
+    month = F.year("l_shipdate").cast("long") * 12 + F.month("l_shipdate")
+    share = F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.001").cast("decimal(4,3)"), 2)
+    # summed per supplier, month and direction before the suppliers are looked up
+    paid = t.lineitem.groupBy("l_suppkey", month.alias("_m"), F.coalesce(back, F.lit(False)).alias("_back")).agg(F.sum(share).alias("amount"))
+    moved = paid.join(own, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        (F.col("_m") * 100 + F.col("s_nationkey")).alias("batch"), F.when(F.col("_back"), F.col("hub")).otherwise(F.col("l_suppkey")).alias("src"),
+        F.when(F.col("_back"), F.col("l_suppkey")).otherwise(F.col("hub")).alias("dst"), "amount")
+    return P.transfer_sequence(s.drop("s_nationkey"), "s_suppkey", "s_acctbal", moved, "batch", "src", "dst", "amount")
+
+
+@query("transfer_sequence", sql=SEQUENCE_SQL + """
+SELECT batch, CASE WHEN ok THEN 'COMMITTED' ELSE 'ROLLED_BACK' END AS batch_status FROM walk WHERE m > 0
+""")
+def transfer_sequence(spark, sf_dir):
+    """P1, one after the other: each batch sees what the accepted ones before
+    it left (the oracle walks them with a recursive CTE)."""
+    return _monthly(spark, sf_dir)[0].drop("round")
+
+
+@query("transfer_balances", sql=SEQUENCE_SQL + """
+SELECT a.acc AS s_suppkey, CAST(w.bal[a.i] AS DOUBLE) / 100 AS s_acctbal
+FROM (SELECT nation, acc, ROW_NUMBER() OVER (PARTITION BY nation ORDER BY acc) AS i FROM acc) a
+JOIN (SELECT nation, arg_max(bal, m) AS bal FROM walk GROUP BY nation) w ON w.nation = a.nation
+""")
+def transfer_balances(spark, sf_dir):
+    """P1, one after the other: the balances after the last batch."""
+    return _monthly(spark, sf_dir)[1]
 
 
 # the requests walked one by one, per product
