@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 
 from .common import worker_store
 
-CACHED_PIECES = 400_000   # bound of each worker's piece and pair tables
+CACHED_PIECES = 200_000   # bound of each generation of a worker's known pieces
+CACHED_PAIRS = 400_000    # ... and of its pair table
 CACHED_PIECE_CHARS = 64   # longer pieces are encoded afresh each time
+CHUNK_CHARS = 1 << 20     # texts whose new pieces are encoded together, in order
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -49,6 +51,7 @@ class PrefixEncoder:
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}   # the generation before; pieces seen again move up
 
     def merge(self, data: bytes, until: int = 1) -> list[bytes]:
         """Merge a short byte string by rank, leftmost first, until at most
@@ -88,7 +91,7 @@ class PrefixEncoder:
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= CACHED_PIECES:
+            if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.reachable(b) and self._no_merge_across(a, b)
         return known
@@ -108,10 +111,11 @@ class PrefixEncoder:
             else:
                 limit, right = right + 1, from_right[0]
 
-    def extend(self, data: bytes, last: list[int]) -> list[int]:
-        """Fill ``last`` (one entry per prefix already known) up to all of ``data``."""
+    def extend(self, data: bytes, last: list[int], upto: int | None = None) -> list[int]:
+        """Fill ``last`` (one entry per prefix already known) up to all of
+        ``data``, or its first ``upto`` bytes."""
         ending, longest, pairs = self.ending.get, self.longest, self.pairs
-        for end in range(len(last) + 1, len(data) + 1):
+        for end in range(len(last) + 1, (len(data) if upto is None else upto) + 1):
             found = []
             for start in range(end - 1, max(-1, end - 1 - longest), -1):
                 t = ending(data[start:end])
@@ -148,25 +152,65 @@ class PrefixEncoder:
         whole = self.ranks.get(data)
         return [whole] if whole is not None else self.walk_back(self.extend(data, []))
 
-    def encode(self, text: str) -> list[int]:
-        """Token ids of ``text``; each match of the split pattern separately."""
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the pieces that are not known yet, in byte order: a piece
+        shares the stored prefixes of the one before it and only appends the rest."""
+        if len(self.pieces) > CACHED_PIECES:
+            self.older, self.pieces = self.pieces, {}
+        known, older = self.pieces, self.older
+        fresh = []
+        for p in pieces.difference(known):
+            ids = older.get(p)
+            if ids is not None:
+                known[p] = ids
+            elif len(p) <= CACHED_PIECE_CHARS:
+                fresh.append(p.encode("utf-8"))
+        fresh.sort()
+        before, last, ranks = b"", [], self.ranks
+        for data in fresh:
+            whole = ranks.get(data)
+            if whole is not None:
+                known[data.decode("utf-8")] = [whole]
+                continue
+            shared = 0
+            for a, b in zip(before, data):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared:]
+            known[data.decode("utf-8")] = self.walk_back(self.extend(data, last))
+            before = data
+
+    def join(self, pieces: list[str]) -> list[int]:
+        """Token ids of a text's pieces, those not known encoded on the way."""
         known = self.pieces
-        pieces = self.split(text)
         try:
             return list(chain.from_iterable(map(known.__getitem__, pieces)))
         except KeyError:
-            pass
-        out: list[int] = []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                ids = self.encode_piece(p)
-                if len(p) <= CACHED_PIECE_CHARS:
-                    if len(known) >= CACHED_PIECES:
-                        known.clear()
-                    known[p] = ids
-            out += ids
-        return out
+            return [t for p in pieces for t in known.get(p) or self.encode_piece(p)]
+
+    def encode(self, text: str) -> list[int]:
+        """Token ids of ``text``; each match of the split pattern separately."""
+        pieces = self.split(text)
+        self.learn(set(pieces))
+        return self.join(pieces)
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        """Token ids of each text; new pieces of some texts are learnt together."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(self.split(text))
+            size += len(text)
+            if size >= CHUNK_CHARS:
+                yield from self._joined(held)
+                held, size = [], 0
+        yield from self._joined(held)
+
+    def _joined(self, held: list[list[str]]) -> Iterator[list[int]]:
+        self.learn(set(chain.from_iterable(held)))
+        for pieces in held:
+            yield self.join(pieces)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -194,7 +238,7 @@ class PrefixTable:
         agree, done = 0, 0
         while len(self.last) < len(self.data):
             at = len(self.last)
-            self.encoder.extend(self.data[:at + 1], self.last)
+            self.encoder.extend(self.data, self.last, at + 1)
             done += 1
             before = at - shift
             same = at >= start + len(new) and old[before] == self.last[at]
@@ -210,7 +254,7 @@ class PrefixTable:
 
 
 def _encoder(ranks_key: str, lines: bytes, pattern: str) -> PrefixEncoder:
-    store = worker_store()
+    store = worker_store("bpe")
     key = ("bpe", ranks_key, pattern)
     if key not in store:
         ranks = {base64.b64decode(a): int(b)
@@ -243,8 +287,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         decimal = [str(i) for i in range(max(enc.bytes_of, default=0) + 1)]
         for b in batches:
             n, ids_sha, dec_sha, all_ids = [], [], [], []
-            for value in b.column(1):
-                ids = enc.encode(value.as_py() or "")
+            for ids in enc.encode_all(value.as_py() or "" for value in b.column(1)):
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 dec_sha.append(hashlib.sha256(enc.decode(ids)).hexdigest())

@@ -29,14 +29,16 @@ def text_or_empty(text_col: str = "text") -> Column:
     return F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
 
 
-def worker_store() -> dict:
+def worker_store(owner: str) -> dict:
     """A per-process dict that outlives a task. Functions are shipped by
     value, so module globals start afresh in each task; ``sys.modules`` does
-    not."""
+    not. A worker keeps the tables of one operator at a time: another one's are
+    dropped when it asks, so that the stages of a pipeline do not add up."""
     name = "_quarry_llm_worker_store"
     mod = sys.modules.get(name)
     if mod is None:
         mod = types.ModuleType(name)
-        mod.store = {}
         sys.modules[name] = mod
+    if getattr(mod, "owner", None) != owner:
+        mod.owner, mod.store = owner, {}
     return mod.store

@@ -196,7 +196,7 @@ class WindowIndex:
 
 def _index(items: list[tuple[int, str]]) -> WindowIndex:
     """The index of a block, built once per worker (the latest block stays)."""
-    store = worker_store()
+    store = worker_store("decontam")
     key = hashlib.sha256(repr(items).encode()).hexdigest()
     if store.get("window-index", ("",))[0] != key:
         store["window-index"] = (key, WindowIndex(items))

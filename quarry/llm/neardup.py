@@ -160,7 +160,7 @@ def could_reach(regs_a, regs_b, n_a, n_b, threshold: float) -> np.ndarray:
 
 
 def _known_words() -> WordHashes:
-    store = worker_store()
+    store = worker_store("neardup")
     if "word-hashes" not in store:
         store["word-hashes"] = WordHashes()
     return store["word-hashes"]

@@ -71,3 +71,29 @@ def test_documents(spark, reference):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert encode_documents(df.limit(0), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
+
+
+def test_small_generations_and_chunks(reference, monkeypatch):
+    """Pieces learnt in order, forgotten and learnt again give the ids of the library."""
+    from quarry.llm import bpe
+
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 40)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 300)
+    rng = random.Random(6)
+    syllables = ["ther", "e", "on", "and", "ing", "é", "ß", "x" * 70, "1", " "]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randrange(1, 5))) for _ in range(rng.randrange(0, 60))) for _ in range(120)]
+    enc = PrefixEncoder(RANKS, P.PATTERN)
+    assert list(enc.encode_all(texts)) == [reference.encode_ordinary(t) for t in texts]
+    assert [enc.encode(t) for t in texts] == [reference.encode_ordinary(t) for t in texts]
+    assert list(enc.encode_all([])) == []
+
+
+def test_edit_copies_no_prefix():
+    """An edit early in a long piece is redone without copying the prefix for every byte."""
+    import time
+
+    data = b"abcdetion" * 40_000
+    t = PrefixTable(ENC, data)
+    began = time.process_time()
+    t.edit(5, 6, b"zz")
+    assert time.process_time() - began < 5 and t.last == ENC.extend(data[:5] + b"zz" + data[6:], [])
