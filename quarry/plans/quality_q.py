@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import cascade as C
 from ..operators import quality as M
 from ..operators.relational import outer_join
 from ..sources import tables
@@ -187,6 +191,76 @@ def view_check_option(spark, sf_dir):
     return M.with_check_option(changed, F.col("new_segment") == "BUILDING")
 
 
+def _foreign_key_graph(spark, sf_dir):
+    """The tables with their keys; a customer is sponsored by the one with half its number."""
+    t = tables(spark, sf_dir)
+    sponsor = F.when(F.col("c_custkey") > 1, F.floor(F.col("c_custkey") / 2))
+    line = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_orderkey", "l_suppkey")
+    return {
+        "region": (t.region.select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name"), "r_regionkey"),
+        "nation": (t.nation.select(F.col("n_nationkey").cast("long").alias("n_nationkey"),
+                                   F.col("n_regionkey").cast("long").alias("n_regionkey"), "n_name"), "n_nationkey"),
+        "customer": (t.customer.select("c_custkey", F.col("c_nationkey").cast("long").alias("c_nationkey"),
+                                       sponsor.alias("c_sponsor")), "c_custkey"),
+        "supplier": (t.supplier.select("s_suppkey", F.col("s_nationkey").cast("long").alias("s_nationkey")), "s_suppkey"),
+        "orders": (t.orders.select("o_orderkey", "o_custkey"), "o_orderkey"),
+        "lineitem": (line, "line"),
+    }
+
+
+FK_GRAPH = [C.ForeignKey("nation", "n_regionkey", "region"), C.ForeignKey("customer", "c_nationkey", "nation"),
+            C.ForeignKey("supplier", "s_nationkey", "nation"), C.ForeignKey("customer", "c_sponsor", "customer"),
+            C.ForeignKey("orders", "o_custkey", "customer"), C.ForeignKey("lineitem", "l_orderkey", "orders"),
+            C.ForeignKey("lineitem", "l_suppkey", "supplier")]
+
+
+@query("cascade_graph", sql="""
+WITH RECURSIVE refs AS (
+  SELECT 'region' AS parent, CAST(n_regionkey AS BIGINT) AS ref, 'nation' AS child, CAST(n_nationkey AS BIGINT) AS key FROM nation
+  UNION ALL SELECT 'nation', c_nationkey, 'customer', c_custkey FROM customer
+  UNION ALL SELECT 'nation', s_nationkey, 'supplier', s_suppkey FROM supplier
+  UNION ALL SELECT 'customer', c_custkey // 2, 'customer', c_custkey FROM customer WHERE c_custkey > 1
+  UNION ALL SELECT 'customer', o_custkey, 'orders', o_orderkey FROM orders
+  UNION ALL SELECT 'orders', l_orderkey, 'lineitem', l_orderkey * 10 + l_linenumber FROM lineitem
+  UNION ALL SELECT 'supplier', l_suppkey, 'lineitem', l_orderkey * 10 + l_linenumber FROM lineitem),
+gone AS (
+  SELECT 'region' AS tab, CAST(r_regionkey AS BIGINT) AS key FROM region WHERE r_name = 'ASIA'
+  UNION
+  SELECT r.child, r.key FROM gone g JOIN refs r ON r.parent = g.tab AND r.ref = g.key)
+SELECT tab, key FROM gone
+""")
+def cascade_graph(spark, sf_dir):
+    """M9 over a graph of foreign keys: deleting a region takes its nations,
+    their customers and suppliers, all that these sponsored (a reference of the
+    table to itself), the orders, and lines by two paths."""
+    t = _foreign_key_graph(spark, sf_dir)
+    doomed = t["region"][0].filter(F.col("r_name") == "ASIA").select("r_regionkey")
+    gone = C.delete_cascade(t, FK_GRAPH, "region", doomed).gone
+    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("tab"), "key") for n, df in gone.items()])
+
+
+@query("cascade_set_null", sql="""
+WITH gone AS (SELECT n_nationkey FROM nation WHERE n_name IN ('FRANCE', 'CHINA')),
+c_gone AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM gone)),
+left_ AS (SELECT 'supplier' AS tab, s_suppkey AS key,
+                 CASE WHEN s_nationkey NOT IN (SELECT n_nationkey FROM gone) THEN CAST(s_nationkey AS BIGINT) END AS ref FROM supplier
+  UNION ALL SELECT 'customer', c_custkey, CAST(c_nationkey AS BIGINT) FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM c_gone)
+  UNION ALL SELECT 'orders', o_orderkey, CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM c_gone) THEN o_custkey END FROM orders)
+SELECT tab, CAST(key AS VARCHAR) AS key, CAST(ref AS VARCHAR) AS ref FROM left_
+""")
+def cascade_set_null(spark, sf_dir):
+    """M8, M9 mixed: two nations go with their customers; suppliers of these
+    nations and orders of these customers stay without a reference."""
+    t = {n: v for n, v in _foreign_key_graph(spark, sf_dir).items() if n in ("nation", "customer", "supplier", "orders")}
+    keys = [C.ForeignKey("customer", "c_nationkey", "nation"), C.ForeignKey("supplier", "s_nationkey", "nation", C.SET_NULL),
+            C.ForeignKey("orders", "o_custkey", "customer", C.SET_NULL)]
+    doomed = t["nation"][0].filter(F.col("n_name").isin("FRANCE", "CHINA")).select("n_nationkey")
+    left = C.remaining(t, C.delete_cascade(t, keys, "nation", doomed))
+    cols = {"supplier": ("s_suppkey", "s_nationkey"), "customer": ("c_custkey", "c_nationkey"), "orders": ("o_orderkey", "o_custkey")}
+    return reduce(DataFrame.unionByName, [left[n].select(F.lit(n).alias("tab"), F.col(k).cast("string").alias("key"),
+                                                         F.col(r).cast("string").alias("ref")) for n, (k, r) in cols.items()])
+
+
 @query("view_check_insert", sql="""
 SELECT s_suppkey + 1000000000 AS c_custkey, CASE WHEN s_acctbal < 0 THEN 'MACHINERY' ELSE 'BUILDING' END AS c_mktsegment,
        s_acctbal >= 0 AS accepted, CASE WHEN s_acctbal < 0 THEN 'CHECK_OPTION' END AS reason
