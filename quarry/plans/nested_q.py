@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..operators import dependencies as D
 from ..operators import graph as G
 from ..operators import nested as N
+from ..operators import variants as V
 from ..operators.relational import broadcast_small
+from ..session import scratch_path
 from ..sources import tables
 from ..sources.documents import sale_documents, sale_headers
 from .registry import query
@@ -332,3 +334,70 @@ def graph_property_set(spark, sf_dir):
     cat = edges.filter((F.col("type") == "IN") & (F.col("dst") == "B:Brand#4")).select("src")
     out = G.set_property(nodes, cat, "src", {"price": F.lit(9.99)})
     return out.filter(F.col("label") == "Part").select("id", "name", "price")
+
+
+def _event_documents(spark, sf_dir):
+    """(id, doc): one document per event; which fields it has, and of which
+    kind ``cliente`` is, depends on the event."""
+    e = tables(spark, sf_dir).events
+    kind = F.col("event_type")
+    seen = kind.isin("view", "click")
+    of = lambda on, c: F.when(on, c)
+    common = [F.col("event_id").alias("_id")]
+    buy = F.to_json(F.struct(*common, F.col("user_id").alias("cliente"), F.col("value").alias("preco"),
+                             F.struct((F.col("event_id") % 9).alias("dias"), F.lit("casa").alias("local")).alias("entrega")))
+    look = F.to_json(F.struct(*common, F.col("user_id").alias("cliente"), F.array(kind).alias("tags"),
+                              F.struct((F.col("user_id") % 4).alias("visitas")).alias("contadores")))
+    rest = F.to_json(F.struct(*common, F.col("user_id").cast("string").alias("cliente"), F.lit("web").alias("origem"),
+                              of(kind == "error", F.lit("falha")).alias("motivo")))
+    text = F.when(kind == "purchase", buy).when(seen, look).otherwise(rest)
+    return e.select(F.col("event_id").alias("id"), V.parse(text).alias("doc"))
+
+
+@query("doc_variant_filter", sql="""
+SELECT event_id AS id, user_id AS cliente, value AS preco, event_id % 9 AS dias FROM events
+WHERE event_type = 'purchase' AND event_id % 9 >= 5 AND value > 20
+""")
+def doc_variant_filter(spark, sf_dir):
+    """B17 on fields that only some documents have: stored shredded, the two
+    paths of the filter are read as columns."""
+    docs = _event_documents(spark, sf_dir)
+    path = scratch_path(spark, "documents")
+    V.write_documents(docs, path)
+    d = V.read_documents(spark, path, docs)
+    doc = F.col("doc")
+    return d.filter((V.get(doc, ["entrega", "dias"], "bigint") >= 5) & (V.get(doc, ["preco"], "double") > 20)).select(
+        "id", V.get(doc, ["cliente"], "bigint").alias("cliente"), V.get(doc, ["preco"], "double").alias("preco"),
+        V.get(doc, ["entrega", "dias"], "bigint").alias("dias"))
+
+
+@query("doc_variant_update", sql="""
+SELECT event_id AS id,
+       CASE event_type WHEN 'purchase' THEN CASE WHEN value < 20 THEN '_id,cliente,em_promocao,entrega,preco' ELSE '_id,cliente,entrega,preco' END
+         WHEN 'view' THEN '_id,cliente,contadores,tags' WHEN 'click' THEN '_id,cliente,contadores,tags'
+         WHEN 'error' THEN '_id,cliente,contadores,motivo' ELSE '_id,cliente,contadores' END AS campos,
+       CAST(CASE WHEN event_type = 'purchase' AND value < 20 THEN true END AS VARCHAR) AS em_promocao,
+       CAST(CASE WHEN event_type IN ('view', 'click') THEN user_id % 4 + 2 WHEN event_type = 'purchase' THEN NULL ELSE 2 END AS VARCHAR) AS visitas,
+       CASE WHEN event_type IN ('view', 'click') THEN event_type || '|visto' END AS tags,
+       CAST(CASE WHEN event_type = 'purchase' THEN event_id % 9 + 1 END AS VARCHAR) AS dias
+FROM events
+""")
+def doc_variant_update(spark, sf_dir):
+    """K11 without a schema: $set of a new field, $inc of a nested field that
+    may be missing, $push, $unset."""
+    d = _event_documents(spark, sf_dir)
+    doc = F.col("doc")
+    steps = [
+        lambda: V.set_field(doc, ["em_promocao"], F.lit(True), V.get(doc, ["preco"], "double") < 20),
+        lambda: V.inc_field(doc, ["contadores", "visitas"], 2, ~V.has(doc, ["preco"])),
+        lambda: V.inc_field(doc, ["entrega", "dias"], 1, V.has(doc, ["entrega"])),
+        lambda: V.push_field(doc, ["tags"], F.lit("visto"), V.has(doc, ["tags"])),
+        lambda: V.unset_field(doc, ["origem"]),
+    ]
+    for step in steps:
+        d = d.withColumn("doc", step())
+    return d.select("id", F.array_join(V.fields(doc), ",").alias("campos"),
+                    V.get(doc, ["em_promocao"], "boolean").cast("string").alias("em_promocao"),
+                    V.get(doc, ["contadores", "visitas"], "bigint").cast("string").alias("visitas"),
+                    F.array_join(V.get(doc, ["tags"], "array<string>"), "|").alias("tags"),
+                    V.get(doc, ["entrega", "dias"], "bigint").cast("string").alias("dias"))
