@@ -241,8 +241,34 @@ def _tree_pattern(sentences: list[list[str]]) -> str:
     return f"(?:{'|'.join(out)})"
 
 
-def _sequence_pattern(rule: LicenceRule) -> str:
-    return "," + "(?:[^,]+,)*?".join(f"\\Q{s}\\E," for s in rule.sentences)
+def _holds(ids: Column, rule: LicenceRule) -> Column:
+    """Whether the rule's sentences stand in ``ids`` in this order, with others
+    allowed between: a fold that counts how many have been met (a regular
+    expression over a long sequence would recurse once per identifier)."""
+    if len(rule.sentences) == 1:
+        return F.array_contains(ids, rule.sentences[0])
+    wanted = F.array(*[F.lit(s) for s in rule.sentences])
+    met = F.aggregate(ids, F.lit(0), lambda n, x: n + (x == F.coalesce(F.get(wanted, n), F.lit(""))).cast("int"))
+    return met == len(rule.sentences)
+
+
+#: Marks of list items before a sentence: (1), 2), a), (iv), also after "and".
+_LIST_MARK = (r"(^|\n|[.!?;:,][\x20\x09-\x0D]+)[\x20\x09*#/;%-]*(?:and[\x20\x09-\x0D]+)?"
+              r"\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\)[\x20\x09]+")
+_SPDX = r"(?i)SPDX-License-Identifier:[\x20\x09]*([^\r\n]{1,400})"
+
+
+def _spdx_names(text: Column) -> Column:
+    """Licences of SPDX expressions: the operands of OR and AND, without the
+    exception after WITH and without -only, -or-later and +."""
+    lines = F.regexp_extract_all(text, F.lit(_SPDX), F.lit(1))
+    bare = F.transform(lines, lambda x: F.regexp_replace(
+        F.regexp_replace(x, r"(?:\*/|-->|[\"'#;]).*$", ""), r"(?i)\bWITH[\x20\x09]+[A-Za-z0-9.+-]+", " "))
+    words = F.flatten(F.transform(bare, lambda x: F.regexp_extract_all(x, F.lit(r"[A-Za-z0-9][A-Za-z0-9.+-]*"), F.lit(0))))
+    # an expression ends where two operands follow each other; text after it has no operator between
+    found = F.filter(words, lambda w: ~F.lower(w).isin("or", "and", "with"))
+    plain = F.transform(found, lambda w: F.regexp_replace(w, r"(?:-only|-or-later|\+)$", ""))
+    return F.filter(plain, lambda w: w.rlike(r"^[A-Za-z0-9]+(?:[.-][A-Za-z0-9.]+)*$") & w.rlike("[A-Z]"))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,7 +276,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order), licences (sorted, comma-joined), n_licences; one row per input row.
 
     A rule whose sentences all belong to a longer matching rule (BSD-2 within
-    BSD-3) is not reported. A null or empty text has none; repeated rows
+    BSD-3) is not reported; Proprietary is reported only where nothing is
+    granted. The operands of an SPDX expression are licences too, as written,
+    without -only and -or-later. A null or empty text has none; repeated rows
     repeat; a null id stays null; an empty table gives an empty result; other
     columns are not read.
     """
@@ -269,30 +297,35 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none = F.array().cast("array<string>")
     # fragments in normal form, each between line feeds
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    cut = F.regexp_replace(lower, r"(?<=[.!?;:])[\x20\x09-\x0D]+", "\n")
+    unmarked = F.regexp_replace(lower, _LIST_MARK, "$1")
+    cut = F.regexp_replace(unmarked, r"(?<=[.!?;:])[\x20\x09-\x0D]+", "\n")
     cut = F.regexp_replace(F.regexp_replace(cut, r"[^a-z0-9\n]+", " "), r" ?\n[ \n]*", "\n")
     cut = F.concat(F.lit("\n"), F.trim(cut, F.lit(" \n")), F.lit("\n"))
     found = F.when(may_hold, F.regexp_extract_all(cut, F.lit(pattern), F.lit(0)))
-    hits = src.select("doc_id", found.alias("hits"))
+    spdx = F.when(F.contains(hint, F.lit("spdx-license-identifier")), _spdx_names(F.col("text")))
+    hits = src.select("doc_id", found.alias("hits"), F.coalesce(spdx, none).alias("spdx"))
 
     def known_id(x: Column) -> Column:
         found = F.element_at(table, F.trim(F.translate(x, "\n", " ")))
         line = F.concat(F.substring(x, F.lit(2), F.length(x)), F.lit("\n"))
         return F.coalesce(found, *[F.when(F.regexp_like(line, F.lit(f"^{v}\n\\z")), F.lit(i)) for v, i in variable])
 
-    ids = hits.select("doc_id", F.coalesce(F.transform("hits", known_id), none).alias("ids"))
-    seq = ids.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
-                     F.array_join("ids", ",").alias("sentence_ids"))
-    line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
+    ids = hits.select("doc_id", "spdx", F.coalesce(F.transform("hits", known_id), none).alias("ids"))
+    granting = [r for r in RULES if r.licence != "Proprietary"]
     named = []
-    for r in RULES:
-        match = F.regexp_like(line, F.lit(_sequence_pattern(r)))
-        for longer in RULES:
+    for r in granting:
+        match = _holds(F.col("ids"), r)
+        for longer in granting:
             if len(longer.sentences) > len(r.sentences) and set(r.sentences) < set(longer.sentences):
-                match = match & ~F.regexp_like(line, F.lit(_sequence_pattern(longer)))
+                match = match & ~_holds(F.col("ids"), longer)
         named.append(F.when(match, F.lit(r.licence)))
-    names = F.when(F.col("n_sentences") > 0, F.array_sort(F.array_distinct(F.array_compact(F.array(*named))))
-                   ).otherwise(none)
-    out = seq.select("*", names.alias("names"))
+    granted = F.when(F.size("ids") > 0, F.array_compact(F.array(*named))).otherwise(none)
+    # a reservation of all rights says something only where no licence is granted
+    kept = [r for r in RULES if r.licence == "Proprietary"]
+    kept_rights = F.array_compact(F.array(*[F.when(_holds(F.col("ids"), r), F.lit(r.licence)) for r in kept]))
+    found_names = ids.select("doc_id", "ids", F.array_union(granted, F.col("spdx")).alias("granted"))
+    names = F.when(F.size("granted") > 0, F.col("granted")).when(F.size("ids") > 0, kept_rights).otherwise(none)
+    out = found_names.select("doc_id", F.size("ids").cast("long").alias("n_sentences"),
+                             F.array_join("ids", ",").alias("sentence_ids"), F.array_sort(F.array_distinct(names)).alias("names"))
     return out.select("doc_id", "n_sentences", "sentence_ids", F.array_join("names", ",").alias("licences"),
                       F.size("names").cast("long").alias("n_licences"))
