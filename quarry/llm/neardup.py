@@ -13,15 +13,18 @@ Exactness and skew:
 * Equal sets become one node first (their documents are linked anyway), so a
   group of copies costs one row.
 * Within a bucket no pair list is made. In each round every bucket names up to
-  2, 8, 32, ... hubs of each of its 2, 8, 32, ... largest components, and members
+  2, 16, 128, ... hubs of each of its 2, 16, 128, ... largest components, and members
   of smaller components are compared with the hubs of larger ones. A member
   drops out of the pairing as soon as it is linked, so a large group of near
   copies costs a few comparisons per member. A bucket is done when its members
   are in one component or every pair across components has been compared, so no
   candidate link is lost.
-* From the second round on, a node leaves whose own shingles, held by no other
-  node still open, are too many for any link: with p of its n shingles private,
-  an intersection is at most n - p and a union at least n.
+* From the second round on, shingles that no other open node holds bound what a
+  pair can share: with p and q private ones of n and m, the intersection is at
+  most min(n - p, m - q) and the union at least max(n + q, m + p). Pairs that
+  cannot be linked by that, or by their sizes, are not compared, and a node that
+  can be linked with none leaves. The near copies of a text with a tenth of
+  their shingles changed each are thus not held against each other.
 * Tables between rounds are written to the shared folder.
 
 With ``BANDS`` = 32 bands of ``ROWS`` = 5 registers, a pair at similarity 0.8
@@ -198,10 +201,10 @@ def sketch_documents(docs: DataFrame, size: int, id_col: str = "doc_id", text_co
 
 
 def _bucket_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, nid): one row per node and band."""
+    """(bucket, nid, n): one row per node and band."""
     width = 2 * ROWS
     keys = [F.xxhash64(F.lit(band), F.substring("registers", 1 + band * width, width)) for band in range(BANDS)]
-    return nodes.select("nid", F.explode(F.array(*keys)).alias("bucket"))
+    return nodes.select("nid", F.col("n_shingles").alias("n"), F.explode(F.array(*keys)).alias("bucket"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -246,9 +249,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
     a = nodes.select("nid", F.col("n_shingles").alias("n"), F.col("registers").alias("regs"))
     h = nodes.select(F.col("nid").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("registers").alias("hub_regs"))
-    # 100 * smaller >= threshold * larger is needed whatever the intersection
-    rows = pairs.join(a, "nid").join(h, "hub").filter(
-        F.least("n", "hub_n") >= F.lit(threshold) * F.greatest("n", "hub_n") - 1e-6)
+    rows = pairs.join(a, "nid").join(h, "hub")
     return rows.select("nid", "hub", "n", "hub_n", "regs", "hub_regs").mapInArrow(
         run, "nid long, hub long, n long, hub_n long")
 
@@ -287,28 +288,40 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def _hubs(members: DataFrame, width: int) -> DataFrame:
-    """(bucket, hub, hub_root, rank, used_up): up to ``width`` members of each
-    of a bucket's ``width`` largest components (rank 1 the largest); used_up
-    when the largest has no other members. Spark limits both windows within
-    each task before it shuffles, so a hot bucket sends a few rows per task."""
-    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    by_size = Window.partitionBy("bucket").orderBy(F.col("n").desc(), "root")
+    """(bucket, hub, hub_root, hub_n, hub_p, rank, used_up): up to ``width``
+    members of each of a bucket's ``width`` largest components (rank 1 the
+    largest), those with the least share of private shingles first, as most can
+    be linked with them; used_up when the largest has no other members. Spark
+    limits both windows within each task before it shuffles, so a hot bucket
+    sends a few rows per task."""
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
+    by_size = Window.partitionBy("bucket").orderBy(F.col("k").desc(), "root")
     top = sizes.withColumn("rank", F.row_number().over(by_size)).filter(F.col("rank") <= width)
-    largest = top.filter("rank = 1").select("bucket", (F.col("n") <= width).alias("used_up"))
-    by_hash = Window.partitionBy("bucket", "root").orderBy(F.xxhash64("nid"), "nid")
-    some = members.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= width)
+    largest = top.filter("rank = 1").select("bucket", (F.col("k") <= width).alias("used_up"))
+    first = Window.partitionBy("bucket", "root").orderBy(F.col("p") / F.col("n"), F.xxhash64("nid"), "nid")
+    some = members.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= width)
     return some.join(top, ["bucket", "root"]).join(largest, "bucket").select(
-        "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), "rank", "used_up")
+        "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("hub_n"),
+        F.col("p").alias("hub_p"), "rank", "used_up")
 
 
-def _without_loners(members: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The rows of nodes that can still be linked with another node of the
-    table, judged by the shingles that no other of them holds."""
+def _within_reach(n, p, other_n, other_p, percent: int):
+    """Whether two sets can be linked, judged by their sizes and by how many of
+    their shingles no other open node holds: these are in the union and not in
+    the intersection."""
+    common = F.least(n - p, other_n - other_p)
+    union = F.greatest(n + other_p, other_n + p)
+    return F.lit(100) * common >= F.lit(percent) * union
+
+
+def _with_private(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows with ``p``, how many of the node's shingles no other node of
+    the table holds; without the nodes for which these rule out any link."""
     alive = sets.join(members.select("nid").distinct(), "nid").select("nid", F.explode("members").alias("shingle"))
-    private = alive.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("nid")).filter("n = 1")
-    alone = private.groupBy("nid").agg(F.count(F.lit(1)).alias("p")).join(nodes.select("nid", "n_shingles"), "nid").filter(
-        F.lit(100) * (F.col("n_shingles") - F.col("p")) < F.lit(percent) * F.col("n_shingles"))
-    return members.join(alone.select("nid"), "nid", "left_anti")
+    private = alive.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("nid").alias("nid")).filter("c = 1")
+    counted = private.groupBy("nid").agg(F.count(F.lit(1)).alias("p"))
+    found = members.drop("p").join(counted, "nid", "left").withColumn("p", F.coalesce("p", F.lit(0).cast("long")))
+    return found.filter(F.lit(100) * (F.col("n") - F.col("p")) >= F.lit(percent) * F.col("n"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -344,17 +357,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
             .withColumn("root", F.coalesce("root", "nid")))
         # buckets with members in two components or more
         open_ = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        m = materialise(m.join(open_.select("bucket"), "bucket"), "open-buckets")
+        m = materialise(m.join(open_.select("bucket"), "bucket").withColumn("p", F.lit(0).cast("long")), "open-buckets")
         if m.isEmpty():
             break
         if comp is not None:
-            m = materialise(_without_loners(m, sets, nodes, percent), "open-buckets")
-        width = 2 if comp is None else 4 * width
+            m = materialise(_with_private(m, sets, percent), "open-buckets")
+            width *= 8
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
         ranked = m.join(ranks, ["bucket", "root"], "left").select(
-            "bucket", "nid", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
-        pairs = ranked.join(hubs, "bucket").filter(F.col("own_rank") > F.col("rank")).select("nid", "hub").distinct()
+            "bucket", "nid", "n", "p", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
+        met = ranked.join(hubs, "bucket").filter((F.col("own_rank") > F.col("rank")) & _within_reach(
+            F.col("n"), F.col("p"), F.col("hub_n"), F.col("hub_p"), percent))
+        pairs = met.select("nid", "hub").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["nid", "hub"], "left_anti")
         pairs = materialise(pairs, "pairs")
@@ -371,7 +386,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         # hubs of the largest component have met all members of others; where it
         # is used up, so are the smaller ones that were named, and their pairs
         spent = hubs.filter((F.col("rank") == 1) | F.col("used_up")).select("bucket", F.col("hub").alias("nid"))
-        members = m.select("bucket", "nid").join(spent, ["bucket", "nid"], "left_anti")
+        members = m.select("bucket", "nid", "n").join(spent, ["bucket", "nid"], "left_anti")
         tested = pairs if tested is None else tested.union(pairs)
 
     found = nodes.select("digest", "nid", "rep")
