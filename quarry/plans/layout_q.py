@@ -136,6 +136,39 @@ def clustered_lookup(spark, sf_dir):
     return d.filter((F.col("user_id") == 42) & F.col("ts").between(lo, hi))
 
 
+@query("interleaved_lookup", sql="""
+SELECT 'por_cliente' AS consulta, o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_custkey BETWEEN 40 AND 60
+UNION ALL
+SELECT 'por_data', o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31'
+""")
+def interleaved_lookup(spark, sf_dir):
+    """N6 for two ranges: one table whose files are narrow in the customer and
+    in the date, looked up by either; only files that meet the range are opened."""
+    o = tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    path = scratch_path(spark, "orders_interleaved")
+    N.write_interleaved(o, path, ["o_custkey", "o_orderdate"], bloom=["o_orderkey"])
+    by_customer = N.read_ranges(spark, path, o.schema, {"o_custkey": (40, 60)})
+    by_date = N.read_ranges(spark, path, o.schema, {"o_orderdate": ("1997-03-01", "1997-03-31")})
+    return by_customer.select(F.lit("por_cliente").alias("consulta"), "*").unionByName(
+        by_date.select(F.lit("por_data").alias("consulta"), "*"))
+
+
+@query("bucketed_join_hot", sql="""
+SELECT l.l_orderkey, l.l_linenumber, n.n_name FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+JOIN nation n ON n.n_nationkey = s.s_nationkey
+""")
+def bucketed_join_hot(spark, sf_dir):
+    """N7 with hot keys (25 nations hold all lines): their rows are dealt over
+    sub-buckets, the nation's row is copied to each, and the join needs no shuffle."""
+    t = tables(spark, sf_dir)
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    big, small = N.write_bucketed_pair(lines.drop("s_suppkey"), "s_nationkey", t.nation.select("n_nationkey", "n_name"),
+                                       "n_nationkey", "lines_by_nation")
+    return N.join_bucketed(big, small).select("l_orderkey", "l_linenumber", "n_name")
+
+
 @query("bucketed_join", sql="""
 SELECT o.o_orderkey, c.c_name FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 """)
