@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stemming import portuguese_stem
 from ..functions.text import STOP_WORDS, TOKEN_SPLIT, letter_runs, light_stem, stem_word, tokens
 
 
@@ -46,6 +47,18 @@ def match_all(docs: DataFrame, text: str, terms: list[str], stem: bool = False)
     return docs.filter(pre).filter(exact)
 
 
+def match_all_portuguese(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
+    """``match_all`` with the Portuguese text configuration: words of the text
+    and of the query are reduced to their Snowball stems (``functions.stemming``)."""
+    asked = [w for t in terms for w in letter_runs(t.lower()) if w not in STOP_WORDS]
+    if not asked:
+        return docs.filter(F.lit(False))
+    drop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    stems = F.transform(F.array_except(tokens(text), drop), portuguese_stem)
+    want = F.transform(F.array(*[F.lit(w) for w in sorted(set(asked))]), portuguese_stem)   # folded to a constant
+    return docs.filter(F.size(F.array_except(want, stems)) == 0)
+
+
 def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Postings ``(term, doc_id)``: one row per distinct non-stop term of each
     document. ``array_except`` drops duplicates and stop words in one
