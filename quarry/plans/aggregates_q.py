@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import cents, from_cents, sum_cents
 from ..operators.relational import broadcast_small
 from ..sources import tables
+from ..sources.writers import stage
 from .common import URGENT_SQL, urgent_orders
 from .registry import query
 
@@ -240,6 +241,40 @@ def table_profile(spark, sf_dir):
     return column_profile(tables(spark, sf_dir).orders, ["o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
+@query("profile_sketches", sql="""
+SELECT c AS column_name, n AS n_rows, nn AS n_nulls, top, true AS distinct_close, true AS median_close FROM (
+  SELECT 'l_quantity' AS c, COUNT(*) AS n, COUNT(*) - COUNT(l_quantity) AS nn, CAST(NULL AS VARCHAR) AS top FROM lineitem
+  UNION ALL SELECT 'l_extendedprice', COUNT(*), COUNT(*) - COUNT(l_extendedprice), NULL FROM lineitem
+  UNION ALL SELECT 'l_partkey', COUNT(*), COUNT(*) - COUNT(l_partkey), NULL FROM lineitem
+  UNION ALL SELECT 'l_returnflag', COUNT(*), COUNT(*) - COUNT(l_returnflag),
+    (SELECT l_returnflag FROM lineitem GROUP BY l_returnflag ORDER BY COUNT(*) DESC, l_returnflag LIMIT 1) FROM lineitem) x
+""")
+def profile_sketches(spark, sf_dir):
+    """D15 by mergeable sketches: one stored row per year and column, merged;
+    the estimates of distinct values (within 5 %) and of the median (within 4 %
+    in rank) are held against exact figures."""
+    from ..operators import profile as P
+
+    l = tables(spark, sf_dir).lineitem
+    cols = ["l_quantity", "l_extendedprice", "l_partkey", "l_returnflag"]
+    stored = P.sketch(l.withColumn("ano", F.year("l_shipdate")), cols, ["ano"])
+    _, seen = stage(P.describe(P.merge(stored), points=(0.5,), top=1), "profile")
+    est = {r["column_name"]: r for r in seen.collect()}   # one row per column
+    checks = []
+    for c in cols:
+        median = est[c]["quantiles"][0] if est[c]["quantiles"] else None
+        below, at = (F.count(F.when(F.col(c) < median, 1)), F.count(F.when(F.col(c) <= median, 1))) if median is not None else (F.lit(0), F.lit(0))
+        n = F.count(c)
+        ok = F.lit(True) if median is None else (below <= 0.54 * n) & (at >= 0.46 * n)
+        checks += [ok.alias(f"m_{c}"), F.count_distinct(c).alias(f"d_{c}")]
+    exact = l.agg(*checks)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m_{c}").alias("median_close"), F.col(f"d_{c}").alias("_d")) for c in cols])
+    j = seen.join(exact.select(F.inline(rows)), "column_name")
+    near = F.abs(F.col("n_distinct") - F.col("_d")) <= 0.05 * F.col("_d") + 1
+    return j.select("column_name", "n_rows", "n_nulls", F.when(F.col("column_name") == "l_returnflag", F.col("frequent")[0]["item"]).alias("top"),
+                    near.alias("distinct_close"), "median_close")
+
+
 def _month_sql(label: str, year: int, month: int) -> str:
     c = "CAST(round(o_totalprice * 100) AS BIGINT)"
     return f"""SELECT '{label}' AS mes, COUNT(*) AS n_orders,
