@@ -14,18 +14,27 @@ Three tests ask whether the token could be uniform random symbols:
 * runs above and below the alphabet's middle,
 * lag-one serial correlation of the symbol values,
 
-combined by Fisher's method to one p-value; high means "nothing speaks against
-random". Short tokens give the tests little power, so the p-value is compared
-with what plain writing of the same length reaches: each text's words of one
-case, joined and cut into pieces as long as the lower edge of the candidate's
-length class. Candidates of one letter case meet the words in lower case as
-base36, those of both cases the words with a capital each as base64. A short
-candidate meets a wide null, a long one a sharp null. An empirical p-value is at least 1 / (1 + pieces), so the pieces of a
-fixed reference text (``reference_counts``) are always added: a corpus without
-much plain writing can still accept. The resulting p-values go through the
+combined by Fisher's method to one p-value; a token below ``UNLIKE`` is not
+random. Short tokens give these tests little power against names and
+identifiers, so what passes is held against plain writing by two directed forms of
+the same tests: the evidence of a token (``_evidence``) adds, per symbol, how much
+likelier the uniform alphabet makes it than plain writing does (rare letters and
+digits), and, per neighbour pair, the same for a change of character class (runs
+of upper case, lower case and digits). Divided by the root of the length it is
+about normal; for plain writing its mean falls with the length, so that a short
+candidate meets a wide null and a long one a sharp null.
+
+The null are all plain words of the corpus, joined and cut into pieces as long as
+the lower edge of each length class, in lower case for candidates of one letter
+case and with a capital each for those of both, and the pieces of a fixed
+reference text, so that a corpus without plain writing has a null as well. A cell
+(letter case and length class) gets a normal tail fitted to each of the two,
+widened by ``WIDER``, and the larger p-value counts. So a p-value can be as small
+as the evidence makes it: whether a key is found does
+not depend on how many pieces or other candidates there are, but for the
 Benjamini-Hochberg step-up at rate ``FDR`` over all candidates of the corpus.
-Both need only counts per cell (letter case and length class) and score bin,
-summed on Spark: a table of at most ``CELLS * BINS * 2`` rows whatever the corpus.
+Both need only counts per cell and score bin, summed on Spark: a table of at most
+``CELLS * BINS * 2`` rows whatever the corpus.
 """
 
 from __future__ import annotations
@@ -51,8 +60,11 @@ CUTS, CUT_ALL = (re.compile("[+/]"), re.compile("[_-]")), re.compile("[+/_-]")
 
 MIN_RANDOM = 20
 LENGTH_EDGES = (16, 20, 24, 32, 48, 80)   # lower edges of the length classes
-BINS, BIN_WIDTH = 80, 0.25                # -log10(p) bins; the last is open
+BINS, BIN_WIDTH, BEST = 96, 0.25, 16.0    # bins of the evidence per root of length, the best first; the last is open
 FDR = 0.01
+UNLIKE = 1e-3                             # least combined p-value of the three tests
+WIDER = 1.15                              # of the fitted tail
+LONGEST_WORD = 40                         # letters of a plain word; what is longer is no writing
 NULL_SIZES = tuple(e for e in LENGTH_EDGES if e >= MIN_RANDOM)   # no candidate is shorter
 CHUNK = 1 << 16                           # symbols scored at a time
 # bytes outside of runs become spaces
@@ -112,18 +124,6 @@ def battery(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int)
                      total(symbols * symbols), total(symbols * follow), symbols[starts] + symbols[starts + sizes - 1])
 
 
-def _battery_even(symbols: np.ndarray, k: int) -> np.ndarray:
-    """``battery`` of tokens of one length, one to a row: the same numbers."""
-    m, size = symbols.shape
-    x = symbols.astype(np.int32)
-    counts = np.bincount((x + np.arange(0, m * k, k, dtype=np.int32)[:, None]).ravel(), minlength=m * k).reshape(m, k)
-    high = x >= (k + 1) // 2
-    change = np.count_nonzero(high[:, 1:] != high[:, :-1], 1)
-    return _combined(k, np.full(m, size), np.einsum("ij,ij->i", counts, counts), change + 1, np.count_nonzero(high, 1),
-                     np.einsum("ij->i", x), np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", x[:, 1:], x[:, :-1]),
-                     x[:, 0] + x[:, -1])
-
-
 def _combined(k, sizes, squares, runs, up, sums, sums2, lagged, ends) -> np.ndarray:
     """The three tests of tokens given by whole numbers: sums of squared symbol
     counts, runs, symbols in the upper half, sums of symbols, of their squares
@@ -153,25 +153,91 @@ def _combined(k, sizes, squares, runs, up, sums, sums2, lagged, ends) -> np.ndar
     return np.exp(-logs) * (1 + logs + logs * logs / 2)   # chi-squared, 6 degrees
 
 
+# fixed values of the plain model: shares of digits and other characters, of
+# capitals among letters, and of class changes between neighbours
+PLAIN_DIGITS, PLAIN_OTHERS, PLAIN_CAPITALS = 0.06, 0.03, 1 / 6
+PLAIN_CHANGE = {False: 0.10, True: 0.30}  # one letter case, both
+SCALE = 1000                              # evidence is summed in whole thousandths
+
+
+def _letter_shares() -> np.ndarray:
+    """Share of each letter in the reference text, a tenth of it even."""
+    from .licenses import SENTENCES
+
+    text = " ".join(form for forms in SENTENCES.values() for form in forms).lower()
+    n = np.array([text.count(c) for c in _LOWER], float)
+    return 0.9 * n / n.sum() + 0.1 / 26
+
+
+def _class_of(chars: str) -> np.ndarray:
+    return np.array([0 if c in _LOWER else 1 if c in _UPPER else 2 if c in _DIGITS else 3 for c in chars])
+
+
+def _weights(code: int) -> np.ndarray:
+    """weights[previous byte, byte] of an encoding's characters, in thousandths
+    (previous 0: the first character)."""
+    alphabet = ENCODINGS[code][1]
+    k, both, shares = len(alphabet), code >= MIXED, _letter_shares()
+    out = np.zeros((128, 128), np.int64)
+    kinds = _class_of(alphabet)
+    q = 1 - ((np.bincount(kinds, minlength=4) / k) ** 2).sum()
+    change = PLAIN_CHANGE[both]
+    differ, same = np.log(max(q, 1e-9) / change), np.log((1 - q) / (1 - change))
+    codes = np.array([ord(c) for c in alphabet])
+    for c, kind in zip(alphabet, kinds):
+        if kind < 2:
+            plain = (1 - PLAIN_DIGITS - PLAIN_OTHERS) * shares[_LOWER.index(c.lower())]
+            if both:
+                plain *= PLAIN_CAPITALS if kind else 1 - PLAIN_CAPITALS
+        else:
+            plain = PLAIN_DIGITS / 10 if kind == 2 else PLAIN_OTHERS / 2
+        symbol = np.log(1 / k / plain)
+        out[0, ord(c)] = round(SCALE * symbol)
+        out[codes, ord(c)] = np.round(SCALE * (symbol + np.where(kinds == kind, same, differ)))
+    return out
+
+
+_CHANGES = [None] * len(ENCODINGS)
+
+
+def _table(code: int) -> np.ndarray:
+    if _CHANGES[code] is None:
+        _CHANGES[code] = _weights(code)
+    return _CHANGES[code]
+
+
+def _evidence(raw: bytes, sizes: np.ndarray, code: int) -> np.ndarray:
+    """Bin of each token's evidence per root of its length (small: random);
+    ``raw`` holds the tokens one after the other."""
+    at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    x = np.frombuffer(raw, np.uint8)
+    before = np.concatenate([[0], x[:-1]])
+    before[at] = 0
+    sums = np.add.reduceat(_table(code)[before, x], at)
+    return _bins(sums / SCALE / np.sqrt(sizes))
+
+
+def _bins(value: np.ndarray) -> np.ndarray:
+    return np.clip((BEST - value) / BIN_WIDTH, 0, BINS - 1).astype(np.int32)
+
+
 def _scores(tokens: list[str], codes: list[int]) -> np.ndarray:
-    """-log10(p) bin of each token under its encoding."""
-    bins = np.zeros(len(tokens), np.int32)
+    """Bin of each token under its encoding; the last for those that the three
+    tests refuse, and for numbers, which are random to no one."""
+    bins = np.full(len(tokens), BINS - 1, np.int32)
     codes_a = np.array(codes)
-    for k in set(codes):
+    for k in set(codes) - {0}:
         at = np.flatnonzero(codes_a == k)
         table = _TABLES[k]
         raw = [tokens[i].rstrip("=") for i in at]
         sizes = np.array([len(t) for t in raw])
-        symbols = table[np.frombuffer("".join(raw).encode("ascii"), np.uint8)].astype(np.int64)
+        whole = "".join(raw).encode("ascii")
+        symbols = table[np.frombuffer(whole, np.uint8)].astype(np.int64)
         p = battery(symbols, np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes, len(ENCODINGS[k][1]))
-        bins[at] = _bins(p)
+        bins[at] = np.where(p >= UNLIKE, _evidence(whole, sizes, k), BINS - 1)
     return bins
 
 
-def _bins(p: np.ndarray) -> np.ndarray:
-    return np.minimum(-np.log10(np.maximum(p, 1e-300)) / BIN_WIDTH, BINS - 1).astype(np.int32)
-
-
 def _length_class(n: int) -> int:
     return int(np.searchsorted(LENGTH_EDGES, n, "right")) - 1
 
@@ -258,9 +324,10 @@ def _union(spans: list[tuple]) -> list[tuple[int, int]]:
 
 def _plain(text: str) -> bytes:
     """The plain words of a text (whole runs of encoding characters that are
-    letters of one case, a capital first allowed), joined, a capital each."""
+    letters of one case, a capital first allowed, ``LONGEST_WORD`` at most),
+    joined, a capital each."""
     return b"".join([w.capitalize() for w in text.encode("utf-8", "replace").translate(_BREAKS).split()
-                     if w.isalpha() and ((w[1:] or w).islower() or w.isupper())])
+                     if len(w) <= LONGEST_WORD and w.isalpha() and ((w[1:] or w).islower() or w.isupper())])
 
 
 class _Null:
@@ -285,11 +352,9 @@ class _Null:
             step = CHUNK // size * size
             for at in range(0, len(text), step):
                 part = text[at:at + step]
-                m = len(part) // size
+                sizes = np.full(len(part) // size, size)
                 for code, written in zip(NULL_CODES, (part.lower(), part)):
-                    symbols = _TABLES[code][np.frombuffer(written, np.uint8)].reshape(m, size)
-                    p = _battery_even(symbols, len(ENCODINGS[code][1]))
-                    self.counts[_cell(size, code)] += np.bincount(_bins(p), minlength=BINS)
+                    self.counts[_cell(size, code)] += np.bincount(_evidence(written, sizes, code), minlength=BINS)
         self.waiting = 0
 
 
@@ -339,26 +404,39 @@ def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("is_null", "cell", "bin").agg(F.sum("n").alias("n"))
 
 
-def cutoffs(counts: list[tuple[bool, int, int, int]], fdr: float = FDR, cells: int = len(LENGTH_EDGES)) -> list[int]:
-    """Largest accepted bin per cell (-1: none) by Benjamini-Hochberg.
-
-    The empirical p-value of bin b in cell c is (1 + null pieces of cell c
-    with a bin of at most b) / (1 + null pieces of cell c). Without any null
-    pieces nothing is accepted; ``fit_cutoffs`` always has those of the reference.
-    """
+def _tails(null: np.ndarray) -> np.ndarray:
+    """p-value of each bin of each cell: the normal tail fitted to the cell's
+    null pieces by their median and their best sixth (one standard deviation
+    below it), which a few odd texts do not move; 0 without pieces."""
+    bins = np.arange(null.shape[1])
+    n = null.sum(1)
+    share = np.cumsum(null, 1) / np.maximum(n, 1)[:, None]
+    middle = (share < 0.5).sum(1)
+    spread = np.maximum(middle - (share < 0.159).sum(1), 2.0)
+    z = (middle[:, None] - 0.5 - bins) / (WIDER * spread)[:, None]
+    return np.where(n[:, None] > 0, _normal_sf(z), 0.0)
+
+
+def cutoffs(counts: list[tuple[bool, int, int, int]], fdr: float = FDR, cells: int = len(LENGTH_EDGES),
+            reference: np.ndarray | None = None) -> list[int]:
+    """Largest accepted bin per cell (-1: none) by Benjamini-Hochberg. A bin's
+    p-value is the larger of the tails of the corpus' own pieces and of the
+    reference's; a cell without any pieces accepts nothing."""
     null = np.zeros((cells, BINS))
     cand = np.zeros((cells, BINS))
     for is_null, c, b, n in counts:
         (null if is_null else cand)[c, b] += n
-    below = np.cumsum(null, 1)
-    p = (1 + below) / (1 + below[:, -1:])
+    other = np.zeros_like(null) if reference is None else reference.astype(float)
+    p = np.maximum(_tails(null), _tails(other))
+    p[(null.sum(1) + other.sum(1)) == 0] = 1.0
+    p[:, -1] = 1.0     # the last bin holds what the tests refuse
     total = cand.sum()
     order = np.argsort(p, axis=None, kind="stable")
     seen = np.cumsum(cand.ravel()[order])
     levels = p.ravel()[order]
     # ties share one step: count all candidates with a p-value this small
     last = np.append(levels[1:] != levels[:-1], True)
-    good = last & (levels * total <= fdr * np.maximum(seen, 1e-9)) & (seen > 0)
+    good = last & (levels * max(total, 1) <= fdr * np.maximum(seen, 1e-9)) & (seen > 0)
     limit = levels[np.flatnonzero(good)[-1]] if good.any() else -1.0
     return [int(np.count_nonzero(row <= limit)) - 1 for row in p]
 
@@ -367,9 +445,7 @@ def fit_cutoffs(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> li
     """One pass over all texts; the driver gets the bounded table of counts and
     adds those of the reference text."""
     rows = score_counts(docs, text_col).collect()
-    fixed = reference_counts()
-    return cutoffs([(r.is_null, r.cell, r.bin, r.n) for r in rows]
-                   + [(True, int(c), int(b), int(fixed[c, b])) for c, b in zip(*np.nonzero(fixed))], fdr, CELLS)
+    return cutoffs([(r.is_null, r.cell, r.bin, r.n) for r in rows], fdr, CELLS, reference_counts())
 
 
 def find_spans(texts: list[str], limits: list[int]) -> list[list[tuple[int, int, int]]]:
