@@ -106,3 +106,46 @@ def test_all_layouts_in_one_table(spark):
     # a row with nothing is a turn row when the table has such rows, else unknown
     empty = spark.createDataFrame([(1, None, None, None)], "conv_id long, prompt string, response string, system string")
     assert [tuple(r) for r in C.to_turns(empty).collect()] == [(1, 0, "unknown", "", None)]
+
+
+def turns_of(df, **kw):
+    got = {}
+    for r in C.to_turns(df, **kw).orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.layout, r.role, r.text))
+    return got
+
+
+def test_content_parts_are_joined(spark):
+    df = spark.createDataFrame(
+        [(1, [("user", [("text", "Look: "), ("image", None), ("text", "what is it?")]), ("assistant", [("text", "A cat.")])], None),
+         (2, [("user", None)], "be brief"), (3, [("user", [])], None)],
+        "conv_id long, messages array<struct<role:string,content:array<struct<type:string,text:string>>>>, system string")
+    got = turns_of(df)
+    assert got[1] == [("messages", "user", 'Look: {"type":"image"}what is it?'), ("messages", "assistant", "A cat.")]
+    assert got[2] == [("system_messages", "system", "be brief"), ("system_messages", "user", "")]
+    assert got[3] == [("messages", "user", "")]
+    both = spark.createDataFrame([(1, "s", [("human", "h"), ("gpt", "g")])],
+                                 "conv_id long, system string, conversations array<struct<`from`:string,value:string>>")
+    assert turns_of(both)[1] == [("system_from_value", "system", "s"), ("system_from_value", "user", "h"), ("system_from_value", "assistant", "g")]
+
+
+def test_texts_of_unknown_fields_are_kept(spark):
+    df = spark.createDataFrame(
+        [(1, "q", "a", None, None, None), (2, "q", None, ("deep", ["x", "y"]), None, None), (3, None, None, None, [("n", "m")], 5),
+         (4, None, None, None, None, 7)],
+        "conv_id long, question string, answer string, extra struct<note:string,tags:array<string>>, "
+        "log array<struct<who:string,text:string>>, n long")
+    got = turns_of(df)
+    assert got[1] == [("question_answer", "user", "q"), ("question_answer", "assistant", "a")]
+    assert got[2] == [(None, "user", "q"), (None, "unknown", "deep"), (None, "unknown", "xy")]
+    assert got[3] == [(None, "unknown", "m")]
+    assert got[4] == [(None, "unknown", "")]
+
+
+def test_mappings_over_struct_paths(spark):
+    m = C.Mapping("nested", ("data.answer", "data.question"), turns=(("user", "data.question"), ("assistant", "data.answer")))
+    inner = C.Mapping("inner", ("data.chat[].by", "data.chat[].says"), items=("data.chat", "by", "says"))
+    df = spark.createDataFrame([(1, ("q", "a", None), 5), (2, (None, None, [("human", "h")]), 5), (3, None, 5)],
+                               "conv_id long, data struct<question:string,answer:string,chat:array<struct<by:string,says:string>>>, `data.x` long")
+    got = turns_of(df, mappings=(m, inner))
+    assert got == {1: [("nested", "user", "q"), ("nested", "assistant", "a")], 2: [("inner", "user", "h")], 3: [(None, "unknown", "")]}
