@@ -104,3 +104,18 @@ def test_short_items_are_searched_whole(spark):
     got = sorted(tuple(r) for r in D.find_leaks(df, bench).collect())
     assert got == [(1, 1, 1, 4, 18), (1, 3, 1, 19, 24), (1, 6, 1, 19, 24), (3, 2, 1, 0, 47), (7, 1, 1, 0, 50)]
     assert sorted(r.doc_id for r in D.drop_leaking(df, bench).collect()) == [2, 4, 5, 6]
+
+
+def test_a_long_text_full_of_benchmark_text(monkeypatch):
+    """Aligned in parts of bounded size; the result is the same as in one."""
+    items, _ = made(3)
+    index = D.WindowIndex([(i, t) for i, t in items if i is not None and t is not None])
+    rng = random.Random(1)
+    texts = [t for i, t in items if i is not None and t and len(t) > 60]
+    text = " ".join(t[:k] + "x" + t[k:] for t in rng.choices(texts, k=400) for k in [rng.randrange(len(t))])
+    data = D.folded(text)
+    win, band = index.bands(data)
+    assert len(win) > 3000
+    whole = sorted(index.verify(data, win, band))
+    monkeypatch.setattr(D, "AT_ONCE", 100)
+    assert sorted(index.verify(data, win, band)) == whole and len(whole) > 1000
