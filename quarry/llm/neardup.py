@@ -25,6 +25,10 @@ Exactness and skew:
   cannot be linked by that, or by their sizes, are not compared, and a node that
   can be linked with none leaves. The near copies of a text with a tenth of
   their shingles changed each are thus not held against each other.
+* Every set has a parity vector (``parity_vector``): two sets differ in at least
+  as many members as their vectors differ in bits. A pair of a bucket whose bits
+  tell that it is out of reach is never made, whatever band it shares; of sets of
+  a few hundred shingles nearly only pairs close to the threshold are left.
 * Tables between rounds are written to the shared folder.
 
 With ``BANDS`` = 32 bands of ``ROWS`` = 5 registers, a pair at similarity 0.8
@@ -46,6 +50,7 @@ BANDS, ROWS = 32, 5
 BASE = 1.02               # spacing of the register values
 SHIFT = 256               # keeps the registers of tiny sets above zero
 CHUNK = 16_384            # shingles sketched at once (fits a core's cache)
+PARITY_WORDS = 8          # 64-bit words of a set's parity vector
 KNOWN_WORDS = 500_000     # bound of each worker's word-hash table
 LIKELIHOOD_SLACK = 14.0   # log-likelihood lost at the threshold before a pair is dropped
 
@@ -121,6 +126,14 @@ def sketch_sets(sets: list[np.ndarray], m: int = BANDS * ROWS) -> np.ndarray:
     return out
 
 
+def parity_vector(members: np.ndarray) -> np.ndarray:
+    """One bit per slot: whether an odd number of members falls into it. Of two
+    sets' vectors the bits that differ are at most the members that differ."""
+    slots = 64 * PARITY_WORDS
+    odd = np.bincount((members >> _U(7)).astype(np.int64) & (slots - 1), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def merge_sketches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Registers of the union."""
     return np.maximum(a, b)
@@ -175,8 +188,9 @@ def _batches_of(batch, rows: int = 256):
 
 
 def sketch_documents(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, registers) per row; digest (128 bits of the
-    set) and registers are null for an empty set. Row-wise, no shuffle."""
+    """(doc_id, n_shingles, digest, registers, parity) per row; digest (128 bits
+    of the set), registers and parity vector are null for an empty set. Row-wise,
+    no shuffle."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -189,15 +203,18 @@ def sketch_documents(docs: DataFrame, size: int, id_col: str = "doc_id", text_co
                 regs = sketch_sets([sets[i] for i in full])
                 digests: list = [None] * len(sets)
                 packed: list = [None] * len(sets)
+                parity: list = [None] * len(sets)
                 for row, i in enumerate(full):
+                    parity[i] = parity_vector(sets[i])
                     digests[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     packed[i] = regs[row].astype(">u2").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(packed, pa.binary())], ["doc_id", "n_shingles", "digest", "registers"])
+                     pa.array(packed, pa.binary()), pa.array(parity, pa.list_(pa.int64()))],
+                    ["doc_id", "n_shingles", "digest", "registers", "parity"])
 
     src = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
-    return src.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary")
+    return src.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary, parity array<long>")
 
 
 def _bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -302,7 +319,7 @@ def _hubs(members: DataFrame, width: int) -> DataFrame:
     some = members.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= width)
     return some.join(top, ["bucket", "root"]).join(largest, "bucket").select(
         "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("hub_n"),
-        F.col("p").alias("hub_p"), "rank", "used_up")
+        F.col("p").alias("hub_p"), F.col("parity").alias("hub_parity"), "rank", "used_up")
 
 
 def _within_reach(n, p, other_n, other_p, percent: int):
@@ -314,6 +331,14 @@ def _within_reach(n, p, other_n, other_p, percent: int):
     return F.lit(100) * common >= F.lit(percent) * union
 
 
+def _differ_little(n, parity, other_n, other_parity, percent: int):
+    """Whether the bits in which the parity vectors differ leave the sets within
+    reach: with D members that differ of S in all, 100 * |A & B| >= percent *
+    |A | B| means (100 - percent) * S >= (100 + percent) * D."""
+    bits = sum((F.bit_count(F.get(parity, i).bitwiseXOR(F.get(other_parity, i))) for i in range(PARITY_WORDS)), F.lit(0))
+    return F.lit(100 - percent) * (n + other_n) >= F.lit(100 + percent) * bits
+
+
 def _with_private(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows with ``p``, how many of the node's shingles no other node of
     the table holds; without the nodes for which these rule out any link."""
@@ -340,11 +365,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     # nodes: distinct sets, numbered once and for all when written
     nodes = materialise(
         usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-                                     F.first("registers").alias("registers"))
+                                     F.first("registers").alias("registers"), F.first("parity").alias("parity"))
         .withColumn("nid", F.monotonically_increasing_id()), "nodes")
     rows = _bucket_rows(nodes)
     shared = rows.groupBy("bucket").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo < hi")
-    members = materialise(rows.join(shared.select("bucket"), "bucket"), "buckets")
+    members = materialise(rows.join(shared.select("bucket"), "bucket").join(nodes.select("nid", "parity"), "nid"), "buckets")
     in_play = nodes.join(members.select("nid").distinct(), "nid")
     sets = materialise(_sets_of(docs, in_play, size, id_col, text_col), "sets")
 
@@ -366,9 +391,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
         ranked = m.join(ranks, ["bucket", "root"], "left").select(
-            "bucket", "nid", "n", "p", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
-        met = ranked.join(hubs, "bucket").filter((F.col("own_rank") > F.col("rank")) & _within_reach(
-            F.col("n"), F.col("p"), F.col("hub_n"), F.col("hub_p"), percent))
+            "bucket", "nid", "n", "p", "parity", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
+        met = ranked.join(hubs, "bucket").filter(
+            (F.col("own_rank") > F.col("rank"))
+            & _within_reach(F.col("n"), F.col("p"), F.col("hub_n"), F.col("hub_p"), percent)
+            & _differ_little(F.col("n"), F.col("parity"), F.col("hub_n"), F.col("hub_parity"), percent))
         pairs = met.select("nid", "hub").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["nid", "hub"], "left_anti")
@@ -386,7 +413,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         # hubs of the largest component have met all members of others; where it
         # is used up, so are the smaller ones that were named, and their pairs
         spent = hubs.filter((F.col("rank") == 1) | F.col("used_up")).select("bucket", F.col("hub").alias("nid"))
-        members = m.select("bucket", "nid", "n").join(spent, ["bucket", "nid"], "left_anti")
+        members = m.select("bucket", "nid", "n", "parity").join(spent, ["bucket", "nid"], "left_anti")
         tested = pairs if tested is None else tested.union(pairs)
 
     found = nodes.select("digest", "nid", "rep")

@@ -94,3 +94,42 @@ def test_component_chains(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.root for r in N.components(df).collect()}
     assert got == {**{i: 0 for i in range(1, 51)}, 200: 100, 300: 100}
+
+
+def test_parity_bits_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2 ** 63, rng.integers(1, 400)).astype(np.uint64))
+        keep = a[rng.random(len(a)) > rng.random() * 0.4]
+        b = np.unique(np.concatenate([keep, rng.integers(0, 2 ** 63, rng.integers(0, 60)).astype(np.uint64)]))
+        bits = sum(int(x).bit_count() for x in (N.parity_vector(a) ^ N.parity_vector(b)).view(np.uint64))
+        differ = len(np.setxor1d(a, b))
+        assert bits <= differ and (bits - differ) % 2 == 0
+        if differ <= 60:
+            assert bits >= 0.7 * differ     # few cancel: it is a sharp filter
+
+
+def test_a_family_around_the_threshold(spark):
+    """Copies of one text with a few to many edits each: every link of brute force, and pairs that follow the
+    links instead of the square of the family."""
+    import random
+
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(140)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 3, 6, 8, 9, 11, 14, 18, 22])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(3000)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    keep, N.materialise = N.materialise, lambda df, name: made.append((name, keep(df, name))) or made[-1][1]
+    try:
+        out = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in out.collect())
+    finally:
+        N.materialise = keep
+    assert got == sorted(brute(rows, 2))
+    assert sum(t.count() for n, t in made if n == "pairs") <= 8 * len(rows)
