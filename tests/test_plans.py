@@ -57,11 +57,16 @@ def test_projection_pruned(spark):
 
 
 def test_scan_reads_staged_partitions(spark):
-    # the carry pass and the main pass read the same stored scan, and no Window
-    # runs over the data itself (only over the carry table)
-    p = _plan(queries()["win_running_total"](spark, SF))
-    assert "BroadcastHashJoin" in p
-    assert "Window" not in p.split("BroadcastExchange")[0]
+    # the result reads the stored scan once and attaches one carry per partition; no Window, no shuffle
+    from quarry.operators.windows import running_total
+    from quarry.sources import tables
+
+    o = tables(spark, SF).orders.select("o_custkey", "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("c"))
+    p = _plan(running_total(o, [], [("o_orderkey", True)], "c", "s", n_partitions=7))
+    assert "BroadcastHashJoin" in p and p.count("FileScan parquet") == 1
+    assert "Window" not in p and "MapInArrow" not in p and "hashpartitioning" not in p
+    p = _plan(queries()["win_running_total"](spark, SF))     # one partition has nothing to carry
+    assert "Window" not in p and "Exchange hashpartitioning" not in p and p.count("FileScan parquet") == 1
 
 
 def test_global_ranks_without_single_partition_window(spark):
