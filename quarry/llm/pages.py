@@ -144,13 +144,12 @@ def _end(top: Element, tag: str) -> Element:
 
 
 def _walk(root: Element) -> list[Element]:
-    """All elements, children before their parents (no recursion: nesting may be deep)."""
+    """All elements in page order, parents first (no recursion: nesting may be deep)."""
     order, stack = [], [root]
     while stack:
         e = stack.pop()
         order.append(e)
-        stack.extend(x for x in e.parts if type(x) is Element)
-    order.reverse()
+        stack.extend(x for x in reversed(e.parts) if type(x) is Element)
     return order
 
 
@@ -168,7 +167,7 @@ def declared(e: Element) -> bool:
 def sign(root: Element) -> list[Element]:
     """Sets every element's subtree hash and text sizes; returns the elements."""
     order = _walk(root)
-    for e in order:
+    for e in reversed(order):
         kids, own, n_text, n_linked = [], [], 0, 0
         for x in e.parts:
             if type(x) is Element:
@@ -198,10 +197,11 @@ def _number(sign_: bytes) -> int:
 
 
 def subtree_hashes(page: str) -> tuple[int, set[int]]:
-    """(hash of the whole page, hashes of its subtrees with text that could be template)."""
+    """(hash of the page as it is, hashes of its subtrees with text that could be template)."""
     root = parse(page)
     order = sign(root)
-    return _number(root.sign), {_number(e.sign) for e in order if e.tag in BLOCK and e.n_text and not e.prose
+    whole = blake2b(page.encode("utf-8", "replace"), digest_size=8).digest()
+    return _number(whole), {_number(e.sign) for e in order if e.tag in BLOCK and e.n_text and not e.prose
                                 and e.tag not in ("html", "body", "article", "main", "head")}
 
 
@@ -211,7 +211,7 @@ def extract(page: str, template: frozenset[int] | set[int] = frozenset()) -> str
     root = parse(page)
     order = sign(root) if template else _walk(root)
     marked: dict[str, list[Element]] = {"article": [], "main": []}
-    for e in reversed(order):
+    for e in order:
         if e.tag in marked or "itemprop=articlebody" in e.names or "role=main" in e.names:
             marked[e.tag if e.tag in marked else "main"].append(e)
     for tops in (marked["article"], marked["main"], [root]):

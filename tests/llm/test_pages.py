@@ -7,6 +7,8 @@ import pytest
 
 from quarry.llm import pages as P
 
+SF = "/root/testdata/sf0.01"
+
 
 def page(i, host, body, article=True):
     menu = "".join(f'<li><a href="/{i}/{k}">Entry {k + i}</a></li>' for k in range(5 + i % 2))
@@ -104,11 +106,10 @@ def test_awkward_rows(spark):
 
 def test_query_on_given_pages(spark):
     """The articles of the given pages, read by a plain rule that fits them only."""
-    from conftest import SF01
     from quarry.llm.queries import QUERIES
 
-    got = {r.page_id: r for r in QUERIES["op12_site_template"](spark, SF01).collect()}
-    rows = spark.read.parquet(f"{SF01}/pages.parquet").collect()
+    got = {r.page_id: r for r in QUERIES["op12_site_template"](spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     assert len(rows) == len(got)
     for r in rows:
         article = r.html[r.html.index("<article>") + 9:r.html.index("</article>")].replace("<b>", "").replace("<br>", " ")
