@@ -13,7 +13,7 @@ Exactness and skew:
 * Equal sets become one node first (their documents are linked anyway), so a
   group of copies costs one row.
 * Within a bucket no pair list is made. In each round every bucket names up to
-  2, 16, 128, ... hubs of each of its 2, 16, 128, ... largest components, and members
+  2, 128, 8192, ... hubs of each of its 2, 128, 8192, ... largest components, and members
   of smaller components are compared with the hubs of larger ones. A member
   drops out of the pairing as soon as it is linked, so a large group of near
   copies costs a few comparisons per member. A bucket is done when its members
@@ -50,7 +50,7 @@ BANDS, ROWS = 32, 5
 BASE = 1.02               # spacing of the register values
 SHIFT = 256               # keeps the registers of tiny sets above zero
 CHUNK = 16_384            # shingles sketched at once (fits a core's cache)
-PARITY_WORDS = 8          # 64-bit words of a set's parity vector
+PARITY_WORDS = 4          # 64-bit words of a set's parity vector
 KNOWN_WORDS = 500_000     # bound of each worker's word-hash table
 LIKELIHOOD_SLACK = 14.0   # log-likelihood lost at the threshold before a pair is dropped
 
@@ -377,17 +377,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     tested = None   # pairs already compared
     width = 2
     while True:
-        m = members.withColumn("root", F.col("nid")) if comp is None else (
-            members.join(comp.withColumnRenamed("node", "nid"), "nid", "left")
-            .withColumn("root", F.coalesce("root", "nid")))
-        # buckets with members in two components or more
-        open_ = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        m = materialise(m.join(open_.select("bucket"), "bucket").withColumn("p", F.lit(0).cast("long")), "open-buckets")
-        if m.isEmpty():
-            break
-        if comp is not None:
+        if comp is None:
+            m = members.withColumns({"root": F.col("nid"), "p": F.lit(0).cast("long")})
+            if m.isEmpty():
+                break
+        else:
+            m = members.join(comp.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+            # buckets with members in two components or more
+            open_ = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+            m = materialise(m.join(open_.select("bucket"), "bucket").withColumn("p", F.lit(0).cast("long")), "open-buckets")
+            if m.isEmpty():
+                break
             m = materialise(_with_private(m, sets, percent), "open-buckets")
-            width *= 8
+            width *= 64
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
         ranked = m.join(ranks, ["bucket", "root"], "left").select(
