@@ -50,7 +50,7 @@ BANDS, ROWS = 32, 5
 BASE = 1.02               # spacing of the register values
 SHIFT = 256               # keeps the registers of tiny sets above zero
 CHUNK = 16_384            # shingles sketched at once (fits a core's cache)
-PARITY_WORDS = 4          # 64-bit words of a set's parity vector
+PARITY_WORDS = 8          # 64-bit words of a set's parity vector
 KNOWN_WORDS = 500_000     # bound of each worker's word-hash table
 LIKELIHOOD_SLACK = 14.0   # log-likelihood lost at the threshold before a pair is dropped
 
@@ -319,7 +319,7 @@ def _hubs(members: DataFrame, width: int) -> DataFrame:
     some = members.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= width)
     return some.join(top, ["bucket", "root"]).join(largest, "bucket").select(
         "bucket", F.col("nid").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("hub_n"),
-        F.col("p").alias("hub_p"), F.col("parity").alias("hub_parity"), "rank", "used_up")
+        F.col("p").alias("hub_p"), "rank", "used_up")
 
 
 def _within_reach(n, p, other_n, other_p, percent: int):
@@ -369,8 +369,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         .withColumn("nid", F.monotonically_increasing_id()), "nodes")
     rows = _bucket_rows(nodes)
     shared = rows.groupBy("bucket").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo < hi")
-    members = materialise(rows.join(shared.select("bucket"), "bucket").join(nodes.select("nid", "parity"), "nid"), "buckets")
+    members = materialise(rows.join(shared.select("bucket"), "bucket"), "buckets")
     in_play = nodes.join(members.select("nid").distinct(), "nid")
+    vectors = materialise(in_play.select("nid", "parity"), "vectors")
+    hub_vectors = vectors.select(F.col("nid").alias("hub"), F.col("parity").alias("hub_parity"))
     sets = materialise(_sets_of(docs, in_play, size, id_col, text_col), "sets")
 
     comp = None     # (node, root), nodes with a link only
@@ -393,8 +395,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         hubs = materialise(_hubs(m, width), "hubs")
         ranks = hubs.select("bucket", F.col("hub_root").alias("root"), "rank").distinct()
         ranked = m.join(ranks, ["bucket", "root"], "left").select(
-            "bucket", "nid", "n", "p", "parity", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
-        met = ranked.join(hubs, "bucket").filter(
+            "bucket", "nid", "n", "p", F.coalesce("rank", F.lit(width + 1)).alias("own_rank"))
+        # the vectors are only here, where they are compared: not in the rows that are dealt out again and again
+        met = ranked.join(vectors, "nid").join(hubs.join(hub_vectors, "hub"), "bucket").filter(
             (F.col("own_rank") > F.col("rank"))
             & _within_reach(F.col("n"), F.col("p"), F.col("hub_n"), F.col("hub_p"), percent)
             & _differ_little(F.col("n"), F.col("parity"), F.col("hub_n"), F.col("hub_parity"), percent))
@@ -415,7 +418,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         # hubs of the largest component have met all members of others; where it
         # is used up, so are the smaller ones that were named, and their pairs
         spent = hubs.filter((F.col("rank") == 1) | F.col("used_up")).select("bucket", F.col("hub").alias("nid"))
-        members = m.select("bucket", "nid", "n", "parity").join(spent, ["bucket", "nid"], "left_anti")
+        members = m.select("bucket", "nid", "n").join(spent, ["bucket", "nid"], "left_anti")
         tested = pairs if tested is None else tested.union(pairs)
 
     found = nodes.select("digest", "nid", "rep")
