@@ -1,13 +1,17 @@
 """Deletes through a graph of foreign keys (M8, M9).
 
 ``delete_cascade`` follows every foreign key, over any number of levels, several
-paths to one table and references of a table to itself, as a semi-naive fixpoint:
-in each round only the keys that the round before has newly condemned look for
-children, and children that were condemned before are left out. A round is a
-semi join per foreign key against distinct keys (a hot parent is one key there,
-and AQE splits its children); rounds are as many as the longest chain of
-references that the delete reaches. What is found is written each round, so no
-plan grows and a lost executor repeats one round at most.
+paths to one table and references of a table to itself. Tables are taken parents
+first, those that refer to each other in a circle (or to themselves) together: a
+table outside of circles is read once per foreign key, against all keys that its
+parent loses. A circle is a semi-naive fixpoint: in each round only the keys that
+the round before has newly condemned look for children, and children that were
+condemned before are left out. A round is a semi join per foreign key against
+distinct keys (a hot parent is one key there, and AQE splits its children); rounds
+are as many as the longest chain of references within a circle. What is found is
+written each round, so no plan grows and a lost executor repeats one round at most.
+The keys of every step are counted: only a few are left to Spark to broadcast, more
+are joined by a shuffle, as a broadcast passes through the driver.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from ..sources.writers import stage
 
 CASCADE, RESTRICT, SET_NULL = "cascade", "restrict", "set null"
+BROADCAST_KEYS = 100_000   # more keys than these are never broadcast
 
 
 class ForeignKey(NamedTuple):
@@ -42,6 +47,39 @@ class Deleted(NamedTuple):
     rounds: int
 
 
+class _Keys(NamedTuple):
+    """Condemned keys of a table (column ``key``) and how many they are."""
+    df: DataFrame
+    n: int
+
+    def hinted(self) -> DataFrame:
+        return self.df if self.n <= BROADCAST_KEYS else self.df.hint("merge")
+
+
+def _joined(parts: list[_Keys]) -> list[_Keys]:
+    """All keys of a table as one set of rows (none if it has no part): what is
+    known is joined once, not once per round."""
+    return [_Keys(reduce(DataFrame.unionByName, [k.df for k in parts]), sum(k.n for k in parts))] if parts else []
+
+
+def _parents_first(tables: list[str], keys: list[ForeignKey]) -> list[set[str]]:
+    """The tables in circles of references (mostly of one table), each after
+    those that its tables refer to."""
+    reach = {t: {t} for t in tables}   # the table and all whose loss can reach it
+    grown = True
+    while grown:
+        grown = False
+        for fk in keys:
+            more = reach[fk.parent] - reach[fk.child]
+            reach[fk.child] |= more
+            grown = grown or bool(more)
+    circles: list[set[str]] = []
+    for t in sorted(tables, key=lambda t: len(reach[t])):
+        if not any(t in c for c in circles):
+            circles.append({u for u in reach[t] if t in reach[u]})
+    return circles
+
+
 def delete_cascade(tables: dict[str, tuple[DataFrame, str]], keys: list[ForeignKey], table: str, doomed: DataFrame) -> Deleted:
     """Delete the rows of ``table`` whose key is in ``doomed`` (one column).
 
@@ -53,36 +91,49 @@ def delete_cascade(tables: dict[str, tuple[DataFrame, str]], keys: list[ForeignK
     spark = any_df.sparkSession
     rows, key = tables[table]
     start = rows.select(F.col(key).alias("key")).join(doomed.toDF("key").dropna().distinct(), "key", "left_semi").distinct()
-    parts: dict[str, list[DataFrame]] = {t: [] for t in tables}
-    fresh = {table: stage(start, "cascade")[1]}
-    parts[table].append(fresh[table])
+    parts: dict[str, list[_Keys]] = {t: [] for t in tables}
+
+    def condemn(t: str, new: DataFrame) -> _Keys | None:
+        """Write the keys of ``t`` that were not condemned before; none if there are none."""
+        for known in _joined(parts[t]):
+            new = new.join(known.hinted(), "key", "left_anti")
+        df = stage(new, "cascade")[1]
+        fresh = _Keys(df, df.count())
+        if fresh.n or not parts[t]:
+            parts[t].append(fresh)
+        return fresh if fresh.n else None
+
+    def children(fk: ForeignKey, parent: _Keys) -> DataFrame:
+        child, child_key = tables[fk.child]
+        return child.select(F.col(child_key).alias("key"), F.col(fk.column).alias("_ref")).join(
+            parent.hinted().withColumnRenamed("key", "_ref"), "_ref", "left_semi").select("key")
+
+    condemn(table, start)
     rounds = 0
-    while True:
-        fresh = {t: f for t, f in fresh.items() if not f.isEmpty()}
-        if not fresh:
-            break
-        rounds += 1
-        found: dict[str, list[DataFrame]] = {}
-        for fk in keys:
-            if fk.rule == CASCADE and fk.parent in fresh:
-                child, child_key = tables[fk.child]
-                hit = child.select(F.col(child_key).alias("key"), F.col(fk.column).alias("_ref")).join(
-                    fresh[fk.parent].select(F.col("key").alias("_ref")), "_ref", "left_semi").select("key")
-                found.setdefault(fk.child, []).append(hit)
-        fresh = {}
-        for t, hits in found.items():
-            new = reduce(DataFrame.unionByName, hits).dropna().distinct()
-            for known in parts[t]:
-                new = new.join(known, "key", "left_anti")
-            fresh[t] = stage(new, "cascade")[1]
-            parts[t].append(fresh[t])
-    gone = {t: reduce(DataFrame.unionByName, p) for t, p in parts.items() if p}
+    follow = [fk for fk in keys if fk.rule == CASCADE]
+    for circle in _parents_first(list(tables), follow):
+        # what the tables before have lost condemns first; then round by round within the circle
+        fresh = {t: [k for k in _joined(parts[t]) if k.n] for t in {fk.parent for fk in follow}}
+        todo = [fk for fk in follow if fk.child in circle]
+        while True:
+            found: dict[str, list[DataFrame]] = {}
+            for fk in todo:
+                for parent in fresh.get(fk.parent, []):
+                    found.setdefault(fk.child, []).append(children(fk, parent))
+            if not found:
+                break
+            rounds += 1
+            new = {t: condemn(t, reduce(DataFrame.unionByName, hits).dropna().distinct()) for t, hits in found.items()}
+            fresh = {t: [k] for t, k in new.items() if k}
+            todo = [fk for fk in todo if fk.parent in circle]
+    condemned = {t: one for t, p in parts.items() for one in _joined(p)}
+    gone = {t: k.df for t, k in condemned.items()}
 
     def survivors(fk: ForeignKey) -> DataFrame:
         child, child_key = tables[fk.child]
         left = child.select(F.col(child_key).alias("key"), F.col(fk.column).alias("_ref"))
-        left = left.join(gone[fk.parent].select(F.col("key").alias("_ref")), "_ref", "left_semi").select("key")
-        return left.join(gone[fk.child], "key", "left_anti") if fk.child in gone else left
+        left = left.join(condemned[fk.parent].hinted().withColumnRenamed("key", "_ref"), "_ref", "left_semi").select("key")
+        return left.join(condemned[fk.child].hinted(), "key", "left_anti") if fk.child in gone else left
 
     hit = [fk for fk in keys if fk.parent in gone]
     blocked = [survivors(fk).select(F.lit(fk.child).alias("table"), F.lit(fk.column).alias("column"), F.col("key").cast("string"))

@@ -65,3 +65,25 @@ def test_chain_and_cycle_of_one_table(spark):
     assert sorted(r.key for r in d.gone["emp"].collect()) == [20, 21]
     d = C.delete_cascade(t, fk, "emp", spark.createDataFrame([(99,)], "k long"))
     assert d.gone["emp"].count() == 0 and C.remaining(t, d)["emp"].count() == 15
+
+
+def test_children_of_a_chain_are_read_once_and_many_keys_not_broadcast(spark, monkeypatch):
+    """A chain of 13 staff; each task belongs to one of them, each note to a task: tasks and notes take
+    one step each, not one per level, and no join sends more keys than allowed through the driver."""
+    plans = []
+
+    def staged(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    stage = C.stage
+    monkeypatch.setattr(C, "stage", staged)
+    monkeypatch.setattr(C, "BROADCAST_KEYS", 4, raising=False)
+    t = {"note": (spark.createDataFrame([(i, i % 26) for i in range(52)], "id long, task long"), "id"),
+         "task": (spark.createDataFrame([(i, i % 13) for i in range(26)], "id long, emp long"), "id"),
+         "emp": (spark.createDataFrame([(i, i - 1 if i else None) for i in range(13)], "id long, boss long"), "id")}
+    fk = [C.ForeignKey("note", "task", "task"), C.ForeignKey("task", "emp", "emp"), C.ForeignKey("emp", "boss", "emp")]
+    d = C.delete_cascade(t, fk, "emp", spark.createDataFrame([(4,)], "k long"))
+    assert {n: df.count() for n, df in d.gone.items()} == {"emp": 9, "task": 18, "note": 36}
+    assert len(plans) == 1 + 9 + 2 and d.rounds == 11
+    assert "Broadcast" not in plans[-1] and "Broadcast" not in plans[-2]   # 9 and 18 keys looked for
