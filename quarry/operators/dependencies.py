@@ -3,10 +3,13 @@
 ``discover`` finds the minimal functional dependencies of a table level by
 level: X -> A holds when the partition of the rows by X is not refined by A, that
 is when both have the same error e = rows - classes (to which classes of one row,
-the stripped ones, add nothing). One aggregate per level counts the classes of
-all candidate sets; sets are pruned as soon as a smaller one decides them. The
-driver sees one number per candidate set; how many there are depends on the
-number of columns, not of rows.
+the stripped ones, add nothing). Sets are pruned as soon as a smaller one decides
+them. Most candidates are refuted first: some classes of X, all rows of each, are
+looked at in one aggregate per level, and two values of A in one class refute
+X -> A for good. What is left, mostly true, is settled on all rows: one count of the
+classes of X and one of X with all that it may determine, each dependent alone only
+where these differ. The driver sees a few numbers per candidate set; how many there
+are depends on the number of columns, not of rows.
 
 The rest works on column names alone: closure, candidate keys, minimal cover,
 third-normal-form synthesis, Boyce-Codd decomposition and the chase that tells
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import prod
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +28,9 @@ from pyspark.sql import functions as F
 
 from ..sources.writers import stage
 
-SETS_PER_PASS = 64   # candidate sets counted in one pass over the rows
+SETS_PER_PASS = 4    # candidate sets counted in one pass over the rows
+LEAST_CLASSES = 4096 # classes of a set looked at to refute, at least
+REFUTE_SHARE = 256   # of more classes, one in so many at least
 
 
 class FD(NamedTuple):
@@ -60,23 +66,35 @@ def partition_errors(rows: DataFrame, sets: list[frozenset[str]]) -> dict[frozen
     return out
 
 
-def discover(df: DataFrame, cols: list[str] | None = None, max_lhs: int = 2) -> list[FD]:
+def discover(df: DataFrame, cols: list[str] | None = None, max_lhs: int = 2, stored: bool = False) -> list[FD]:
     """All minimal dependencies X -> A with at most ``max_lhs`` columns in X
     (the empty X included: a constant column). NULL is a value like any other; a
     table of at most one row has every column constant. Dependencies are
-    those of the rows given: data can refute a rule, not prove it."""
+    those of the rows given: data can refute a rule, not prove it. The rows are
+    written once, unless ``stored`` says that reading ``df`` again costs no more than that."""
     cols = list(cols or df.columns)
-    _, rows = stage(df.select(*[F.col(f"`{c}`") for c in cols]), "fd-rows")
-    n = rows.count()
+    rows = df.select(*[F.col(f"`{c}`") for c in cols])
+    if not stored:
+        _, rows = stage(rows, "fd-rows")
+    # distinct values only roughly: they tell how many classes to look at, not what holds
+    one = rows.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    n, values = one["n"], {c: one[f"c{i}"] + 1 for i, c in enumerate(cols)}
     errors = {frozenset(): max(n - 1, 0)}
     found: list[FD] = []
     level = [frozenset()]
     for size in range(max_lhs + 1):
         # columns that a smaller set decides already need no test
-        tests = [(x, a) for x in level for a in cols if a not in x and not _decided(found, x, a)]
-        todo = sorted({x | {a} for x, a in tests} - set(errors), key=sorted)
-        errors |= partition_errors(rows, todo)
-        found += [FD(x, a) for x, a in tests if errors[x | {a}] == errors[x]]
+        tests = {x: [a for a in cols if a not in x and not _decided(found, x, a)] for x in level}
+        refuted = _refuted(rows, [x for x in level if tests[x]], cols, values, n)
+        open_ = {x: [a for a in t if (x, a) not in refuted] for x, t in tests.items()}
+        # all dependents of a set at once, then each where they do not all hold
+        for apart in (False, True):
+            groups = [(x, g) for x, t in open_.items() for g in ([[a] for a in t] if apart else [t] if t else [])]
+            wanted = {s for x, g in groups for s in (x, x.union(g))} - set(errors)
+            errors |= partition_errors(rows, sorted(wanted, key=sorted))
+            held = [(x, g) for x, g in groups if errors[x.union(g)] == errors[x]]
+            found += [FD(x, a) for x, g in held for a in g]
+            open_ = {x: t for x, t in open_.items() if len(t) > 1 and (x, t) not in held}
         # the next sets: none of whose columns is decided by the others
         free = {x | {a} for x in level for a in cols if a not in x}
         level = sorted((x for x in free if not any(_decided(found, x - {a}, a) for a in x)), key=sorted)
@@ -85,6 +103,31 @@ def discover(df: DataFrame, cols: list[str] | None = None, max_lhs: int = 2) ->
     return sorted(found, key=lambda d: (len(d.lhs), sorted(d.lhs), d.rhs))
 
 
+def _refuted(rows: DataFrame, sets: list[frozenset[str]], cols: list[str], values: dict[str, int], n: int) -> set[tuple[frozenset[str], str]]:
+    """(X, A) of which the rows of some classes of X show that X -> A fails. The
+    classes are picked by their hash, so each is seen with all its rows: every class
+    of a set with few, one in ``REFUTE_SHARE`` of a set with many, as the columns'
+    distinct ``values`` and the ``n`` rows let expect. A pair that is not returned may
+    hold or fail."""
+    if not sets:
+        return set()
+    # every value hashed once; the classes from these hashes
+    hashed = rows.select(*[F.xxhash64(F.lit(seed), F.col(f"`{c}`").isNull(), F.col(f"`{c}`")).alias(f"{v}{j}")
+                           for j, c in enumerate(cols) for v, seed in (("v", 3), ("w", 4))])
+    picked = []
+    for i, x in enumerate(sets):
+        at = [cols.index(c) for c in sorted(x)]
+        a, b = (F.xxhash64(F.lit(seed), *[F.col(f"{v}{j}") for j in at]) for v, seed in (("v", 1), ("w", 2)))
+        about = min(n, prod(values[c] for c in x))
+        share = max(1, min(about // LEAST_CLASSES, REFUTE_SHARE))
+        picked.append(F.when(F.pmod(a, F.lit(share)) == 0, F.struct(F.lit(i).alias("set"), a.alias("a"), b.alias("b"))))
+    seen = hashed.select(*[f"v{j}" for j in range(len(cols))], F.inline(F.array(*picked))).filter(F.col("set").isNotNull())
+    ends = [x for j in range(len(cols)) for x in (F.min(f"v{j}").alias(f"lo{j}"), F.max(f"v{j}").alias(f"hi{j}"))]
+    per = seen.groupBy("set", "a", "b").agg(*ends)
+    two = per.groupBy("set").agg(*[F.max(F.col(f"lo{j}") != F.col(f"hi{j}")).alias(f"two{j}") for j in range(len(cols))])
+    return {(sets[r["set"]], c) for r in two.collect() for j, c in enumerate(cols) if r[f"two{j}"]}
+
+
 def _decided(found: list[FD], x: frozenset[str], a: str) -> bool:
     return any(d.rhs == a and d.lhs <= x for d in found)
 
@@ -228,14 +271,20 @@ def rejoin(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def rejoin_counts(df: DataFrame, relations: list[frozenset[str]]) -> DataFrame:
+def rejoin_counts(df: DataFrame, relations: list[frozenset[str]], made: dict[frozenset[str], DataFrame] | None = None) -> DataFrame:
     """One row: distinct rows of ``df`` (n_input), rows of the re-join of its
     projections (n_rejoined), and whether they are the same rows (lossless).
-    The re-join holds every input row, so equal counts mean equal rows."""
+    The re-join holds every input row, so equal counts mean equal rows. ``made``
+    keeps the distinct rows and the projections for further calls with the same ``df``."""
     from .relational import with_scalars
 
+    made = {} if made is None else made
     cols = sorted(df.columns)
-    _, whole = stage(df.select(*cols).distinct(), "fd-input")
+    if frozenset(cols) not in made:
+        made[frozenset(cols)] = stage(df.select(*cols).distinct(), "fd-input")[1]
+    whole = made[frozenset(cols)]
+    new = [r for r in relations if r not in made]
+    made.update(zip(new, project(whole, new)))
     n = whole.agg(F.count(F.lit(1)).alias("n_input"))
-    m = rejoin(project(whole, relations)).agg(F.count(F.lit(1)).alias("n_rejoined"))
+    m = rejoin([made[r] for r in relations]).agg(F.count(F.lit(1)).alias("n_rejoined"))
     return with_scalars(n, m).withColumn("lossless", F.col("n_input") == F.col("n_rejoined"))

@@ -17,6 +17,7 @@ from ..operators.relational import broadcast_small
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.documents import sale_documents, sale_headers
+from ..sources.writers import stage
 from .registry import query
 
 ANCHOR_SUPPLIER = "Supplier#000000007"
@@ -157,7 +158,8 @@ def normalize_synthesis(spark, sf_dir):
     """Third normal form of the wide row from the dependencies found in
     it: the relations and their rows."""
     w = _wide(spark, sf_dir).select(WIDE_COLS)
-    relations = D.synthesize_3nf(WIDE_COLS, D.discover(w, max_lhs=2))
+    _, w = stage(w, "wide")   # read by the search and once per relation
+    relations = D.synthesize_3nf(WIDE_COLS, D.discover(w, max_lhs=2, stored=True))
     out = [w.select(*sorted(r)).distinct().agg(F.count(F.lit(1)).alias("n_rows"))
            .select(F.lit(",".join(sorted(r))).alias("relation"), "n_rows") for r in relations]
     return reduce(DataFrame.unionByName, out)
@@ -170,9 +172,11 @@ FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM {WIDE_SQL})) x, (VALUES
 def normalize_rejoin(spark, sf_dir):
     """The relations of both normal forms, joined again, are the wide rows."""
     w = _wide(spark, sf_dir).select(WIDE_COLS)
-    fds = D.discover(w, max_lhs=2)
+    _, w = stage(w, "wide")
+    fds = D.discover(w, max_lhs=2, stored=True)
     forms = {"3NF": D.synthesize_3nf(WIDE_COLS, fds), "BCNF": D.decompose_bcnf(WIDE_COLS, fds)}
-    out = [D.rejoin_counts(w, r).withColumn("form", F.lit(f)) for f, r in forms.items()]
+    made: dict = {}   # distinct rows, and relations that both forms have
+    out = [D.rejoin_counts(w, r, made).withColumn("form", F.lit(f)) for f, r in forms.items()]
     return reduce(DataFrame.unionByName, out).select("form", "n_input", "n_rejoined", "lossless")
 
 

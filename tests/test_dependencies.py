@@ -114,3 +114,36 @@ def test_one_pass_per_level(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a long, b long, c long")
     errors = D.partition_errors(df, [frozenset("a"), frozenset("ab")])
     assert errors == {frozenset("a"): 0, frozenset("ab"): 0}
+
+
+def test_most_candidates_are_refuted_by_some_classes(spark, monkeypatch):
+    """Of the sets of 8 columns only those are counted on all rows that some classes could not refute; a
+    rule broken by a single row in no class looked at is still refused."""
+    counted = []
+
+    def count(rows, sets):
+        counted.extend(sets)
+        return errors(rows, sets)
+
+    errors = D.partition_errors
+    monkeypatch.setattr(D, "partition_errors", count)
+    monkeypatch.setattr(D, "LEAST_CLASSES", 16, raising=False)
+    rng = random.Random(5)
+    rows = [(i, i // 4, i // 8, *[rng.randrange(6) for _ in range(4)]) for i in range(3000)]
+    rows = [(*r, r[1] if r[0] != 1501 else -1) for r in rows]   # h is b but for one row
+    cols = list("abcdefgh")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in cols))
+    got = {(d.lhs, d.rhs) for d in D.discover(df, max_lhs=2)}
+    assert got == brute_fds(rows, cols, 2)
+    assert (frozenset("b"), "h") not in got and (frozenset("b"), "c") in got
+    assert len(counted) < 40   # without refutation 90 and more
+
+
+def test_projections_are_made_once(spark):
+    df = spark.createDataFrame([(i, i % 5, i % 5 + 10) for i in range(40)], "a long, b long, c long")
+    made = {}
+    relations = [frozenset("ab"), frozenset("bc")]
+    first = D.rejoin_counts(df, relations, made).first()
+    kept = dict(made)
+    assert D.rejoin_counts(df, relations, made).first() == first == (40, 40, True)
+    assert set(made) == {frozenset("abc"), *relations} and all(made[r] is kept[r] for r in kept)
