@@ -83,4 +83,5 @@ def describe(sketches: DataFrame, points: tuple[float, ...] = (0.25, 0.5, 0.75),
         (F.col("n_rows") - F.col("n_values")).alias("n_nulls"),
         F.when(F.col("n_values") > 0, F.expr("hll_sketch_estimate(distinct)")).otherwise(0).alias("n_distinct"),
         F.when(number, F.expr(f"kll_sketch_get_quantile_double(quantiles, array({at}))")).alias("quantiles"),
-        F.filter(F.expr(f"approx_top_k_estimate(frequent, {top})"), lambda x: x["item"].isNotNull()).alias("frequent"))
+        # NULL is counted like a value: one more is asked for, as NULL may be among them
+        F.slice(F.filter(F.expr(f"approx_top_k_estimate(frequent, {top + 1})"), lambda x: x["item"].isNotNull()), 1, top).alias("frequent"))

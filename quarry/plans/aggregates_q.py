@@ -271,7 +271,7 @@ def profile_sketches(spark, sf_dir):
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m_{c}").alias("median_close"), F.col(f"d_{c}").alias("_d")) for c in cols])
     j = seen.join(exact.select(F.inline(rows)), "column_name")
     near = F.abs(F.col("n_distinct") - F.col("_d")) <= 0.05 * F.col("_d") + 1
-    return j.select("column_name", "n_rows", "n_nulls", F.when(F.col("column_name") == "l_returnflag", F.col("frequent")[0]["item"]).alias("top"),
+    return j.select("column_name", "n_rows", "n_nulls", F.when(F.col("column_name") == "l_returnflag", F.get("frequent", 0)["item"]).alias("top"),
                     near.alias("distinct_close"), "median_close")
 
 

@@ -64,3 +64,20 @@ def test_empty_and_all_null(spark):
 def test_plan_copies_no_row_per_column(spark):
     plan = P.sketch(table(spark, 10), COLS, ["day"])._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and plan.count("Exchange") == 1
+
+
+def test_most_values_null(spark, tmp_path):
+    """NULL takes no place among the most frequent values, and the query finds one where most flags are NULL or all are."""
+    from __spark_entry__ import queries
+
+    df = table(spark, 700).withColumn("s", F.when(F.col("day") == 1, F.col("s")))
+    got = P.describe(P.merge(P.sketch(df, ["s"], ["day"])), top=1).first().frequent
+    assert [t["item"] for t in got] == ["a"]
+    for name, flag in (("some", F.when(F.col("id") % 5 == 0, "R")), ("none", F.lit(None).cast("string"))):
+        line = spark.range(300).select(
+            F.col("id").alias("l_partkey"), (F.col("id") % 50).cast("double").alias("l_quantity"), F.col("id").cast("double").alias("l_extendedprice"),
+            flag.alias("l_returnflag"), F.lit(dt.datetime(1996, 5, 1)).cast("timestamp_ntz").alias("l_shipdate"))
+        line.write.parquet(str(tmp_path / name / "lineitem.parquet"))
+        rows = {r.column_name: r for r in queries()["profile_sketches"](spark, str(tmp_path / name)).collect()}
+        assert rows["l_returnflag"].top == ("R" if name == "some" else None)
+        assert rows["l_returnflag"].n_nulls == (240 if name == "some" else 300) and rows["l_quantity"].median_close
