@@ -384,7 +384,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
             if m.isEmpty():
                 break
         else:
-            m = members.join(comp.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+            # (written once: what is open is told from it and then taken from it, and the join that drops spent
+            # hubs was run for each)
+            m = materialise(members.join(comp.withColumnRenamed("node", "nid"), "nid", "left")
+                            .withColumn("root", F.coalesce("root", "nid")), "unspent")
             # buckets with members in two components or more
             open_ = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
             m = materialise(m.join(open_.select("bucket"), "bucket").withColumn("p", F.lit(0).cast("long")), "open-buckets")

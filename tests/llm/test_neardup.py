@@ -133,3 +133,40 @@ def test_a_family_around_the_threshold(spark):
         N.materialise = keep
     assert got == sorted(brute(rows, 2))
     assert sum(t.count() for n, t in made if n == "pairs") <= 8 * len(rows)
+
+
+def test_members_left_over_follow_the_family(spark):
+    """The join that drops spent hubs runs once a round, and what it leaves grows with the family, not its square."""
+    import random
+
+    def left_over(n):
+        rng = random.Random(8)
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(140)]
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for _ in range(rng.choice([6, 8, 9, 11, 14])):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((i, " ".join(words)))
+        joins, counts = [], []
+
+        def counted(df, name):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            anti = plan.count("Join LeftAnti")
+            out = keep(df, name)
+            if anti and "bucket" in df.columns:
+                joins.append(anti)
+                counts.append(out.count())
+            return out
+
+        keep, N.materialise = N.materialise, counted
+        try:
+            got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+        finally:
+            N.materialise = keep
+        return rows, got, joins, sum(counts)
+
+    rows, got, joins, small = left_over(150)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute(rows, 2))
+    assert joins and set(joins) == {1}
+    assert 0 < small and left_over(300)[3] <= 2.6 * small
